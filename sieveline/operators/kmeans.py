@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from .naive_bayes import batch_update
 def model_row(rows: DataFrame, params: np.ndarray, batch_no: int) -> DataFrame:
     """Model parameters held by the driver (1,026 numbers) as a one-row table."""
     return rows.sparkSession.createDataFrame(
-        [(batch_no, CLUSTERING, params.tolist())], "batch_no long, model string, params array<double>"
+        pa.table({"batch_no": [batch_no], "model": [CLUSTERING], "params": [params]})
     )
 
 
@@ -31,7 +32,7 @@ def initial_model(first_batch: DataFrame) -> np.ndarray:
     (the earliest of equals).  Distances are compared to nine decimals."""
     spark = first_batch.sparkSession
     start = _dense(first_batch.agg(F.min_by("features", "row_in_batch")).first()[0])
-    centre = spark.createDataFrame([(1, start.tolist())], "batch_no long, weights array<double>")
+    centre = spark.createDataFrame(pa.table({"batch_no": [1], "weights": [start]}))
     distance = F.round(
         F.aggregate("features", F.lit(0.0), lambda acc, e: acc + e.x * e.x)
         - 2 * dot(F.col("features"), F.col("weights")), 9,

@@ -8,7 +8,9 @@ numbers.  All learners but the multi-layer perceptron decide by the sign of
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,10 @@ ALL_MODELS = (*CLASSIFIERS, CLUSTERING)
 
 HIDDEN_UNITS = 15
 
+#: Decision values this close to zero are ties and go to class or cluster 0, so
+#: that the order in which numbers were added up decides nothing.
+TIE = 1e-9
+
 #: Bytes of model rows one broadcast may carry.
 BROADCAST_LIMIT = 64 << 20
 
@@ -41,7 +47,8 @@ def log_likelihoods(sums: Column) -> Column:
     return F.zip_with(sums, F.array_repeat(log_total, F.size(sums)), lambda s, t: F.log(s + 1.0) - t)
 
 
-def as_scorer(models: DataFrame, n_buckets: int = N_BUCKETS) -> DataFrame:
+@lru_cache(maxsize=4)
+def _scorer_columns(n_buckets: int, context: SparkContext) -> dict[str, Column]:
     """Turn ``params`` into ``bias``, ``weights`` and, for the perceptron with a
     hidden layer, ``hidden`` (one ``bias, weights`` per unit).
 
@@ -77,11 +84,18 @@ def as_scorer(models: DataFrame, n_buckets: int = N_BUCKETS) -> DataFrame:
             F.get(p, k * unit).alias("bias"), F.slice(p, k * unit + 2, F.lit(n_buckets)).alias("weights")
         ),
     ))
-    return models.withColumns({"bias": bias, "weights": weights, "hidden": hidden}).drop("params")
+    return {"bias": bias, "weights": weights, "hidden": hidden}
+
+
+def as_scorer(models: DataFrame, n_buckets: int = N_BUCKETS) -> DataFrame:
+    """Models ready to be joined with rows: ``params`` made ``bias, weights, hidden``."""
+    return models.withColumns(_scorer_columns(n_buckets, models.sparkSession.sparkContext)).drop("params")
 
 
-def decision(features: Column) -> Column:
+@lru_cache(maxsize=4)
+def _decision(context: SparkContext) -> Column:
     """Decision value of a row joined with a scorer; positive means class 1."""
+    features = F.col("features")
     linear = dot(features, F.col("weights"))
     activations = F.transform("hidden", lambda h: F.tanh(h.bias + dot(features, h.weights)))
     network = total(F.zip_with(activations, "weights", lambda a, w: a * w))
@@ -98,8 +112,8 @@ def score(rows: DataFrame, models: DataFrame, on: Sequence[str], broadcast: bool
     scorers = as_scorer(models)
     joined = rows.join(F.broadcast(scorers) if broadcast else scorers, list(on))
     return (
-        joined.withColumn("decision", decision(F.col("features")))
-        .withColumn("prediction", (F.col("decision") > 0).cast("int"))
+        joined.withColumn("decision", _decision(rows.sparkSession.sparkContext))
+        .withColumn("prediction", (F.col("decision") > TIE).cast("int"))
         .withColumnRenamed("y", "truth")
         .drop("features", "bias", "weights", "hidden")
     )

@@ -33,7 +33,7 @@ def class_sums(rows: DataFrame) -> DataFrame:
 def batch_update(rows: DataFrame) -> np.ndarray:
     """What one batch adds to the model, as a vector of 1,026 sums."""
     added = np.zeros(2 + 2 * N_BUCKETS)
-    for slot, s in class_sums(rows).select("slot", "s").toLocalIterator():
+    for slot, s in class_sums(rows).select("slot", "s").collect():
         added[slot] = s
     return added
 

@@ -7,7 +7,7 @@ line's rows start in their batch; payloads without it are single-line batches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,23 +55,26 @@ def decode_columnar(payloads: DataFrame, payload: str | None = "payload", keep:
 
 def encode_record_map(batched: DataFrame, pixels: str = "pixels", label: str = "label") -> DataFrame:
     """``{"0": {"feature0": .., "label": ..}, ..}`` per line."""
-    record = F.map_concat(
-        F.map_from_entries(F.transform(
-            pixels, lambda v, i: F.struct(F.concat(F.lit("feature"), i), v.cast("int"))
-        )),
-        F.create_map(F.lit("label"), F.col(label).cast("int")),
-    )
-    return _keyed_by_row(_gather(batched, record))
+    lines = _gather(batched, F.struct(F.col(pixels).alias("pixels"), F.col(label).cast("int").alias("label")))
+
+    def record(entry: Column) -> Column:
+        features = F.transform(
+            entry.pixels, lambda v, i: F.struct(F.concat(F.lit("feature"), i), v.cast("int"))
+        )
+        return F.map_concat(F.map_from_entries(features), F.create_map(F.lit("label"), entry.label))
+
+    return _keyed_by_row(lines, record)
 
 
 def encode_nested_record_map(batched: DataFrame, img: str = "img", label: str = "label") -> DataFrame:
     """``{"0": {"img": [[[..]]], "label": ..}, ..}`` per line."""
-    return _keyed_by_row(_gather(batched, F.struct(F.col(img).alias("img"), F.col(label).alias("label"))))
+    lines = _gather(batched, F.struct(F.col(img).alias("img"), F.col(label).alias("label")))
+    return _keyed_by_row(lines, lambda entry: entry)
 
 
-def _keyed_by_row(lines: DataFrame) -> DataFrame:
+def _keyed_by_row(lines: DataFrame, record: Callable[[Column], Column]) -> DataFrame:
     records = F.map_from_entries(F.transform(
-        "entries", lambda e: F.struct(e.row_in_batch.cast("string"), e.entry)
+        "entries", lambda e: F.struct(e.row_in_batch.cast("string"), record(e.entry))
     ))
     return lines.select("batch_no", F.to_json(records).alias("payload"))
 

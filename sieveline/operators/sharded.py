@@ -153,7 +153,7 @@ def fit_batch(
         .applyInPandas(learn, "model string, n long, steps long, numbers array<double>")
     )
     if shards == 1:
-        learnt = {r.model: (r.steps, np.array(r.numbers)) for r in parts.toLocalIterator()}
+        learnt = {r.model: (r.steps, np.array(r.numbers)) for r in parts.collect()}
     else:
         learnt = _average(parts)
     return {
@@ -175,4 +175,4 @@ def _average(parts: DataFrame) -> dict[str, tuple[int, np.ndarray]]:
         )
         .select("model", "steps", F.col("numbers.v").alias("numbers"))
     )
-    return {r.model: (r.steps, np.array(r.numbers)) for r in means.toLocalIterator()}
+    return {r.model: (r.steps, np.array(r.numbers)) for r in means.collect()}

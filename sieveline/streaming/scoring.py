@@ -10,7 +10,7 @@ from ..operators.features import FeatureOptions, featurize
 from ..operators.models import score
 from ..session import work_dir
 from ..sources.replay import payload_stream
-from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FINAL, Store
+from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FINAL, Store, model_rows
 
 
 class Scorer:
@@ -22,9 +22,8 @@ class Scorer:
         if not states:
             raise ValueError(f"no models saved under number {model_num}")
         # At most four models of 7,711 numbers: a fixed, small broadcast.
-        self.table = store.spark.createDataFrame(
-            [(model_num, m, s.params.tolist()) for m, s in states.items()],
-            "checkpoint long, model string, params array<double>",
+        self.table = model_rows(store.spark, states).select(
+            F.lit(model_num).cast("long").alias("checkpoint"), "model", "params"
         )
 
     def __call__(self, rows: DataFrame, epoch_id: int) -> None:

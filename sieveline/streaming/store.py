@@ -9,6 +9,7 @@ leaves one set of rows.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,16 @@ MODELS = "model string, epoch_id long, params array<double>, moments array<doubl
 FINAL = 0
 
 
+def model_rows(spark: SparkSession, states: dict[str, ModelState]) -> DataFrame:
+    """Models the driver holds as rows ``model, params, moments, steps``."""
+    return spark.createDataFrame(pa.table({
+        "model": list(states),
+        "params": [s.params for s in states.values()],
+        "moments": [s.moments for s in states.values()],
+        "steps": [s.steps for s in states.values()],
+    }))
+
+
 class Store:
     """The tables of one family of models below ``root``."""
 
@@ -68,8 +79,8 @@ class Store:
     # Models
 
     def write_models(self, states: dict[str, ModelState], batch_no: int, epoch_id: int) -> None:
-        rows = [(m, epoch_id, s.params.tolist(), s.moments.tolist(), s.steps) for m, s in states.items()]
-        self._write(self.spark.createDataFrame(rows, MODELS).coalesce(1), "models", batch_no)
+        rows = model_rows(self.spark, states).withColumn("epoch_id", F.lit(epoch_id).cast("long"))
+        self._write(rows.coalesce(1), "models", batch_no)
 
     def models(self) -> DataFrame:
         return self._read("models", MODELS)
@@ -85,7 +96,7 @@ class Store:
 
     def load_states(self, batch_no: int) -> dict[str, ModelState]:
         """One batch's models as arrays: a few thousand numbers each."""
-        rows = self.models().filter(F.col("batch_no") == batch_no).toLocalIterator()
+        rows = self.models().filter(F.col("batch_no") == batch_no).collect()
         return {r.model: ModelState(np.array(r.params), np.array(r.moments), r.steps) for r in rows}
 
     # Logs

@@ -13,7 +13,7 @@ from ..operators.models import CLUSTERING, NAIVE_BAYES, score
 from ..operators.naive_bayes import batch_update
 from ..operators.sharded import SHARD_ROWS, ModelState, fit_batch, initial_state
 from ..sources.replay import payload_stream
-from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store
+from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store, model_rows
 
 
 class Trainer:
@@ -90,9 +90,8 @@ class Trainer:
         return after
 
     def _measure(self, features: DataFrame, states: dict[str, ModelState], number: int) -> DataFrame:
-        table = self.store.spark.createDataFrame(
-            [(number, m, s.params.tolist()) for m, s in states.items()],
-            "batch_no long, model string, params array<double>",
+        table = model_rows(self.store.spark, states).select(
+            F.lit(number).cast("long").alias("batch_no"), "model", "params"
         )
         counts = confusion_counts(score(features, table, ["batch_no"]), ["model"])
         if self.store.family == CLUSTER_FAMILY:
