@@ -25,10 +25,10 @@ CONSONANTS = "[^aeiou][^aeiouy]*"
 VOWELS = "[aeiouy][aeiou]*"
 
 # Conditions on a stem, written [C](VC)^m[V] in the paper.
-MEASURE_GT_0 = f"^({CONSONANTS})?{VOWELS}{CONSONANTS}"
-MEASURE_GT_1 = f"^({CONSONANTS})?{VOWELS}{CONSONANTS}{VOWELS}{CONSONANTS}"
-MEASURE_EQ_1 = f"^({CONSONANTS})?{VOWELS}{CONSONANTS}({VOWELS})?$"
-HAS_VOWEL = f"^({CONSONANTS})?[aeiouy]"
+HAS_VOWEL = f"^({CONSONANTS}[aeiouy]|[aeiou])"
+MEASURE_GT_0 = f"{HAS_VOWEL}[aeiou]*{CONSONANTS}"
+MEASURE_GT_1 = f"{MEASURE_GT_0}{VOWELS}{CONSONANTS}"
+MEASURE_EQ_1 = f"{MEASURE_GT_0}({VOWELS})?$"
 # m = 1 and the stem ends consonant, vowel, consonant other than w, x, y;
 # a two-letter vowel-consonant stem counts as well.
 SHORT_STEM = f"^({CONSONANTS}[aeiouy][^aeiouwxy]|[aeiou][^aeiou])$"
