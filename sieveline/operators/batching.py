@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
-#: Rows of one numbering bucket, and the number of buckets that may be broadcast
-#: (three numbers each, so the broadcast stays below a few megabytes).
+#: Rows of one numbering bucket, fewer if that leaves cores idle, and the number
+#: of buckets that may be broadcast (three numbers each: a few megabytes).
 BUCKET_WIDTH = 1 << 16
 MAX_BUCKETS = 50_000
 #: Widest bucket one sort may be asked to hold.
@@ -67,7 +67,9 @@ def number_rows(df: DataFrame, key: str, within: str | None = None) -> DataFrame
     low, high = df.agg(F.min(key), F.max(key)).first()
     if low is None:
         return df.withColumns({"row_no": F.lit(0).cast("long"), "n_rows": F.lit(0).cast("long")})
-    width = max(BUCKET_WIDTH, -(-(high - low + 1) // MAX_BUCKETS))
+    extent = high - low + 1
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    width = max(min(BUCKET_WIDTH, -(-extent // (4 * cores))), -(-extent // MAX_BUCKETS))
     if width > MAX_BUCKET_WIDTH:  # sparse keys: a dense stretch could overfill a bucket
         return number_rows_by_range(df, [key], within)
 

@@ -45,3 +45,12 @@ def featurize(rows: DataFrame, options: FeatureOptions = FeatureOptions()) -> Da
         "y": T.encode_label(F.col("feature2")),
         "features": _feature_column(options, rows.sparkSession.sparkContext),
     }).drop("feature0", "feature1", "feature2")
+
+
+def feature_entries(rows: DataFrame, *keep: str) -> DataFrame:
+    """The vectors in long form: the columns to keep, ``bucket`` and ``x``.
+
+    The outer generator avoids a test of the array's size, which the optimiser
+    would put below the projection that computes the array.
+    """
+    return rows.select(*keep, F.inline_outer("features")).filter(F.col("bucket").isNotNull())

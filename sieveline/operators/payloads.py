@@ -1,5 +1,9 @@
 """Batches as JSON payloads and back.
 
+The outer generators followed by a filter give what the plain ones give; the
+plain ones make the optimiser test the array's size first, which would parse the
+payload a second time.
+
 One payload line holds at most ``LINE_ROWS`` rows, so encoding gathers a bounded
 number of rows per group whatever the batch size.  ``first_row`` tells where a
 line's rows start in their batch; payloads without it are single-line batches.
@@ -49,8 +53,8 @@ def decode_columnar(payloads: DataFrame, payload: str | None = "payload", keep:
     return payloads.select(
         *keep,
         F.coalesce("first_row", F.lit(0)).alias("first_row"),
-        F.posexplode(F.arrays_zip(*FEATURES)).alias("pos", "row"),
-    ).select(*keep, (F.col("first_row") + F.col("pos")).alias("row_in_batch"), "row.*")
+        F.posexplode_outer(F.arrays_zip(*FEATURES)).alias("pos", "row"),
+    ).filter(F.col("pos").isNotNull()).select(*keep, (F.col("first_row") + F.col("pos")).alias("row_in_batch"), "row.*")
 
 
 def encode_record_map(batched: DataFrame, pixels: str = "pixels", label: str = "label") -> DataFrame:
@@ -81,7 +85,8 @@ def _keyed_by_row(lines: DataFrame, record: Callable[[Column], Column]) -> DataF
 
 def decode_record_map(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``row_in_batch, pixels, label`` with the pixels as an ordered array."""
-    rows = payloads.select(*keep, F.explode(F.from_json("payload", RECORD_MAP)).alias("row", "record"))
+    rows = payloads.select(*keep, F.explode_outer(F.from_json("payload", RECORD_MAP)).alias("row", "record"))
+    rows = rows.filter(F.col("row").isNotNull())
     # The label is the one entry that is not a pixel.
     n_pixels = F.size("record") - F.when(F.map_contains_key("record", "label"), 1).otherwise(0)
     pixels = F.when(n_pixels > 0, F.transform(
@@ -96,7 +101,8 @@ def decode_record_map(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFram
 
 def decode_nested_record_map(payloads: DataFrame, keep: Sequence[str] = (), flatten: bool = False) -> DataFrame:
     """``row_in_batch, img, label``; ``flatten`` turns the image into one vector."""
-    rows = payloads.select(*keep, F.explode(F.from_json("payload", NESTED_RECORD_MAP)).alias("row", "record"))
+    rows = payloads.select(*keep, F.explode_outer(F.from_json("payload", NESTED_RECORD_MAP)).alias("row", "record"))
+    rows = rows.filter(F.col("row").isNotNull())
     img = F.flatten(F.flatten("record.img")) if flatten else F.col("record.img")
     return rows.select(
         *keep, F.col("row").cast("int").alias("row_in_batch"), img.alias("img"), F.col("record.label").alias("label")
@@ -111,4 +117,5 @@ def encode_lines(batched: DataFrame, line: str = "line") -> DataFrame:
 
 def decode_lines(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``pos, line`` of line payloads, the newline kept."""
-    return payloads.select(*keep, F.posexplode(F.from_json("payload", LINES)).alias("pos", "line"))
+    lines = payloads.select(*keep, F.posexplode_outer(F.from_json("payload", LINES)).alias("pos", "line"))
+    return lines.filter(F.col("pos").isNotNull())

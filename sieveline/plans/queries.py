@@ -11,7 +11,7 @@ from ..functions.porter import stem_tokens
 from ..functions.vectors import bucket_counts, hash_buckets, l2_normalize, sparse_vector, to_dense
 from ..operators import kmeans, metrics, payloads, reports
 from ..operators.batching import assign_batches, batch_table, full_batches, number_rows, number_rows_by_range, replay_epochs, replay_files
-from ..operators.features import FeatureOptions, featurize
+from ..operators.features import feature_entries, featurize
 from ..operators.models import CLASSIFIERS, CLUSTERING, LOGISTIC, MLP, NAIVE_BAYES, PERCEPTRON, score, score_checkpoints
 from ..operators.naive_bayes import class_sums, cumulative_models, model_table
 from ..operators.sharded import fit_batch, initial_state
@@ -39,7 +39,8 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct kept words of all documents.  Words repeat, so each task removes
     its own repeats before the shuffle."""
     kept = T.remove_stopwords(T.tokenize(T.clean_text(F.col("text"))))
-    return documents(spark, sf_dir).select(F.explode(F.array_distinct(kept)).alias("token")).distinct()
+    words = documents(spark, sf_dir).select(F.explode_outer(F.array_distinct(kept)).alias("token"))
+    return words.filter(F.col("token").isNotNull()).distinct()
 
 
 # Text
@@ -133,37 +134,33 @@ def hash_bucket(spark, sf_dir):
     )
 
 
-def _document_counts(spark, sf_dir):
-    tokens = T.vectorizer_tokens(T.preprocess_tokens(F.col("text")))
-    return documents(spark, sf_dir).select("row_id", bucket_counts(hash_buckets(tokens)).alias("counts"))
+def _document_counts():
+    return bucket_counts(hash_buckets(T.vectorizer_tokens(T.preprocess_tokens(F.col("text")))))
 
 
 @query
 def bucket_tf(spark, sf_dir):
-    return _document_counts(spark, sf_dir).select("row_id", F.inline("counts")).toDF("row_id", "bucket", "tf")
+    counts = documents(spark, sf_dir).select("row_id", F.inline_outer(_document_counts()))
+    return counts.toDF("row_id", "bucket", "tf").filter(F.col("bucket").isNotNull())
 
 
 @query
 def l2_features(spark, sf_dir):
-    return (
-        _document_counts(spark, sf_dir)
-        .select("row_id", F.inline(l2_normalize(F.col("counts"))))
-        .select("row_id", "bucket", F.round("x", 6).alias("x"))
-    )
+    vectors = documents(spark, sf_dir).select("row_id", l2_normalize(_document_counts()).alias("features"))
+    return feature_entries(vectors, "row_id").withColumn("x", F.round("x", 6))
 
 
 @query
 def feature_rows(spark, sf_dir):
     """Labelled messages to sparse vectors and labels."""
-    return featurize(labelled_messages(spark, sf_dir)).select(
-        "row_id", "y", F.inline("features")
-    ).select("row_id", "y", "bucket", F.round("x", 6).alias("x"))
+    vectors = featurize(labelled_messages(spark, sf_dir))
+    return feature_entries(vectors, "row_id", "y").withColumn("x", F.round("x", 6))
 
 
 @query
 def dense_vector(spark, sf_dir):
     return D.batched_features(spark, sf_dir).select(
-        "row_id", F.posexplode(to_dense(F.col("features"))).alias("bucket", "x")
+        "row_id", F.posexplode_outer(to_dense(F.col("features"))).alias("bucket", "x")
     ).withColumn("x", F.round("x", 6))
 
 

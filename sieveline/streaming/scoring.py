@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,10 +14,10 @@ from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FINAL, Store, model_rows
 
 
 class Scorer:
-    """Logs one prediction per model and row for each micro-batch."""
+    """Logs one prediction per model and row for each micro-batch of feature rows."""
 
-    def __init__(self, store: Store, model_num: int = FINAL, options: FeatureOptions = FeatureOptions()):
-        self.store, self.model_num, self.options = store, model_num, options
+    def __init__(self, store: Store, model_num: int = FINAL):
+        self.store, self.model_num, self.batch_no = store, model_num, 0
         states = store.load_states(model_num if model_num != FINAL else store.last_batch())
         if not states:
             raise ValueError(f"no models saved under number {model_num}")
@@ -27,11 +27,15 @@ class Scorer:
         )
 
     def __call__(self, rows: DataFrame, epoch_id: int) -> None:
-        if rows.isEmpty():
-            return
-        features = featurize(rows, self.options).withColumn("checkpoint", F.lit(self.model_num).cast("long"))
-        scored = score(features, self.table, ["checkpoint"])
-        self.store.write_test_log(scored, self.model_num, epoch_id + 1)
+        """Rows are counted while they are written; an empty batch takes no number."""
+        written = Observation()
+        features = rows.select(
+            F.lit(self.model_num).cast("long").alias("checkpoint"), "row_in_batch", "y", "features"
+        )
+        scored = score(features, self.table, ["checkpoint"]).observe(written, F.count("*").alias("n"))
+        self.store.write_test_log(scored, self.model_num, self.batch_no + 1)
+        if written.get["n"]:
+            self.batch_no += 1
 
 
 def stream_test(
@@ -46,11 +50,11 @@ def stream_test(
 ) -> StreamingQuery:
     """Empty the checkpoint's test log and start scoring a payload folder."""
     store = Store(spark, root, CLUSTER_FAMILY if clustering else CLASSIFIER_FAMILY)
-    scorer = Scorer(store, model_num, options)
+    scorer = Scorer(store, model_num)
     store.start_test(model_num)
     trigger = {"processingTime": f"{delay} seconds"} if delay else {"availableNow": True}
     return (
-        payload_stream(spark, payload_dir, batches_per_trigger)
+        featurize(payload_stream(spark, payload_dir, batches_per_trigger), options)
         .writeStream.foreachBatch(scorer)
         .option("checkpointLocation", work_dir(spark, "test_progress"))
         .trigger(**trigger).start()

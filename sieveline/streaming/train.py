@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.hashing import N_BUCKETS
 from ..operators import kmeans
 from ..operators.features import FeatureOptions, featurize
 from ..operators.metrics import accuracy_precision_recall, confusion_counts, dual_polarity
@@ -19,21 +21,19 @@ from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store, model_row
 class Trainer:
     """Carries the models of one family from batch to batch.
 
-    Call it with each micro-batch and its number.  Rows stay on the executors:
-    what the driver holds are the models, at most 23,133 numbers each, and one
-    metric row per model.
+    Call it with the feature rows of each micro-batch and its number.  Rows stay
+    on the executors: what the driver holds are the models, at most 23,133
+    numbers each, and one metric row per model.
     """
 
     def __init__(
         self,
         store: Store,
-        options: FeatureOptions = FeatureOptions(),
         shard_rows: int = SHARD_ROWS,
         prequential: bool = False,
         models: tuple[str, ...] | None = None,
     ):
-        self.store, self.options = store, options
-        self.shard_rows, self.prequential = shard_rows, prequential
+        self.store, self.shard_rows, self.prequential = store, shard_rows, prequential
         self.models = models or FAMILIES[store.family]
         self.batch_no = store.last_batch()
         self.states = store.load_states(self.batch_no) if self.batch_no else {}
@@ -41,7 +41,8 @@ class Trainer:
         self.last_epoch = -1 if logged is None else logged
 
     def __call__(self, rows: DataFrame, epoch_id: int) -> None:
-        """Fit, score and log one micro-batch of decoded rows; skip an empty one.
+        """Fit, score and log one micro-batch of ``row_in_batch, y, features``;
+        skip an empty one.
 
         The log row is written last and marks the batch as done: a micro-batch
         that was logged is skipped, one that failed before is repeated whole.
@@ -49,17 +50,16 @@ class Trainer:
         if epoch_id <= self.last_epoch:
             return
         number = self.batch_no + 1
-        features = (
-            featurize(rows, self.options)
-            .select(F.lit(number).cast("long").alias("batch_no"), "row_in_batch", "y", "features")
-            .persist()
-        )
+        features = rows.select(
+            F.lit(number).cast("long").alias("batch_no"), "row_in_batch", "y", "features"
+        ).persist()
         try:
-            n = features.count()
-            if n == 0:
+            # The class sums hold the class sizes, so they count the rows as well.
+            sums = batch_update(features)
+            if sums[:2].sum() == 0:
                 return
             before = self.states or self._fresh(features)
-            after = self._fit(features, before, n, number)
+            after = self._fit(features, before, sums, number)
             self.store.write_models(after, number, epoch_id)
             metrics = self._measure(features, before if self.prequential else after, number)
             self.store.write_train_log(metrics.withColumn("epoch_id", F.lit(epoch_id).cast("long")), number)
@@ -73,20 +73,22 @@ class Trainer:
             if m == CLUSTERING:
                 start[m] = ModelState(kmeans.initial_model(features))
             elif m == NAIVE_BAYES:
-                start[m] = ModelState(batch_update(features.limit(0)))
+                start[m] = ModelState(np.zeros(2 + 2 * N_BUCKETS))
             else:
                 start[m] = initial_state(m)
         return start
 
-    def _fit(self, features: DataFrame, states: dict[str, ModelState], n: int, number: int) -> dict[str, ModelState]:
+    def _fit(
+        self, features: DataFrame, states: dict[str, ModelState], sums: np.ndarray, number: int
+    ) -> dict[str, ModelState]:
         after = dict(states)
         if CLUSTERING in states:
             after[CLUSTERING] = ModelState(kmeans.update(features, states[CLUSTERING].params, number))
         if NAIVE_BAYES in states:
-            after[NAIVE_BAYES] = ModelState(states[NAIVE_BAYES].params + batch_update(features))
+            after[NAIVE_BAYES] = ModelState(states[NAIVE_BAYES].params + sums)
         in_order = {m: s for m, s in states.items() if m not in (CLUSTERING, NAIVE_BAYES)}
         if in_order:
-            after.update(fit_batch(features, in_order, n, self.shard_rows))
+            after.update(fit_batch(features, in_order, int(sums[:2].sum()), self.shard_rows))
         return after
 
     def _measure(self, features: DataFrame, states: dict[str, ModelState], number: int) -> DataFrame:
@@ -106,6 +108,7 @@ def stream_train(
     clustering: bool = False,
     delay: int | None = None,
     batches_per_trigger: int = 1,
+    options: FeatureOptions = FeatureOptions(),
     **trainer_options,
 ) -> StreamingQuery:
     """Start training on a payload folder.
@@ -118,7 +121,7 @@ def stream_train(
     trainer = Trainer(store, **trainer_options)
     trigger = {"processingTime": f"{delay} seconds"} if delay else {"availableNow": True}
     return (
-        payload_stream(spark, payload_dir, batches_per_trigger)
+        featurize(payload_stream(spark, payload_dir, batches_per_trigger), options)
         .writeStream.foreachBatch(trainer)
         .option("checkpointLocation", f"{store.path}/train_progress")
         .trigger(**trigger).start()

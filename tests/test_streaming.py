@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from sieveline.operators.batching import batch_table
+from sieveline.operators.features import featurize
 from sieveline.operators.models import CLASSIFIERS, CLUSTERING, LOGISTIC, NAIVE_BAYES
 from sieveline.operators.payloads import encode_columnar
 from sieveline.session import shared_dir, work_dir
@@ -101,7 +102,7 @@ def test_a_broken_run_goes_on_where_it_stopped(spark, payload_dir, finished):
 
 def test_a_batch_delivered_twice_counts_once(spark, payload_dir):
     store, _ = new_store(spark)
-    rows = payload_rows(spark, payload_dir)
+    rows = featurize(payload_rows(spark, payload_dir))
     first = rows.filter(F.col("batch_no") == 1)
     trainer = Trainer(store, models=(NAIVE_BAYES, LOGISTIC))
     trainer(first, 0)
@@ -115,7 +116,7 @@ def test_a_batch_delivered_twice_counts_once(spark, payload_dir):
 
 def test_an_empty_batch_leaves_no_trace(spark, payload_dir):
     store, _ = new_store(spark)
-    rows = payload_rows(spark, payload_dir)
+    rows = featurize(payload_rows(spark, payload_dir))
     trainer = Trainer(store, models=(NAIVE_BAYES,))
     trainer(rows.limit(0), 0)
     assert store.train_log().count() == 0 and trainer.batch_no == 0
@@ -126,7 +127,7 @@ def test_an_empty_batch_leaves_no_trace(spark, payload_dir):
 def test_scoring_before_fitting(spark, payload_dir):
     """Prequential metrics of batch 2 are those of the model after batch 1."""
     store, _ = new_store(spark)
-    rows = payload_rows(spark, payload_dir)
+    rows = featurize(payload_rows(spark, payload_dir))
     trainer = Trainer(store, models=(NAIVE_BAYES,), prequential=True)
     for b in (1, 2):
         trainer(rows.filter(F.col("batch_no") == b), b - 1)
@@ -161,7 +162,7 @@ def test_clustering_has_its_own_run(spark, payload_dir):
 
 def test_reset_keeps_models(spark, payload_dir):
     store, _ = new_store(spark)
-    Trainer(store, models=(NAIVE_BAYES,))(payload_rows(spark, payload_dir).filter("batch_no = 1"), 0)
+    Trainer(store, models=(NAIVE_BAYES,))(featurize(payload_rows(spark, payload_dir)).filter("batch_no = 1"), 0)
     store.reset_logs()
     assert store.train_log().count() == 0 and store.test_log().count() == 0 and store.models().count() == 1
 
