@@ -13,6 +13,8 @@ from ..session import shared_dir
 #: of buckets that may be broadcast (three numbers each: a few megabytes).
 BUCKET_WIDTH = 1 << 16
 MAX_BUCKETS = 50_000
+#: Files whose batch counts may be broadcast; beyond it the join shuffles.
+MAX_FILES = 500_000
 #: Widest bucket one sort may be asked to hold.
 MAX_BUCKET_WIDTH = 1 << 22
 
@@ -161,13 +163,15 @@ def batch_table(df: DataFrame, key: str, batch_size: int) -> DataFrame:
 
 def replay_files(df: DataFrame, file_no: str, key: str, batch_size: int) -> DataFrame:
     """Batches of several files one after another; no batch spans two files."""
-    batched = assign_batches(number_rows(df, key, within=file_no), batch_size)
-    per_file = batched.groupBy(file_no).agg(F.max("batch_no").alias("_batches"))
+    per_file = df.groupBy(file_no).agg(full_batches(F.count("*"), batch_size).alias("_batches"))
     earlier = prefix_sum(per_file, file_no, {"_batches": "_upto"}).select(
         file_no, (F.col("_upto") - F.col("_batches")).alias("_earlier")
     )
+    if df.select(file_no).distinct().count() <= MAX_FILES:
+        earlier = F.broadcast(earlier)  # two numbers per file
     return (
-        batched.join(earlier, file_no)
+        assign_batches(number_rows(df, key, within=file_no), batch_size)
+        .join(earlier, file_no)
         .withColumn("file_batch_no", F.col("batch_no"))
         .withColumn("batch_no", F.col("batch_no") + F.col("_earlier"))
         .drop("_earlier")

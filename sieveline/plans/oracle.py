@@ -137,6 +137,10 @@ for _name, _batch in (("kmeans_init", 0), ("kmeans_step", 1)):
 SELECT CAST(k AS INTEGER) AS cluster, CAST(b AS INTEGER) AS bucket,
        round(CASE WHEN k = 0 THEN c0[b + 1] ELSE c1[b + 1] END, 6) AS value
 FROM kmeans_run, (SELECT unnest([0, 1]) AS k), (SELECT unnest(range(512)) AS b) WHERE batch_no = {_batch}""", "kmeans_run")
+sql("kmeans_centres", """
+SELECT batch_no, CAST(k AS INTEGER) AS cluster, CASE WHEN k = 0 THEN n0 ELSE n1 END AS size, CAST(b AS INTEGER) AS bucket,
+       round(CASE WHEN k = 0 THEN c0[b + 1] ELSE c1[b + 1] END, 6) AS value
+FROM kmeans_run, (SELECT unnest([0, 1]) AS k), (SELECT unnest(range(512)) AS b) WHERE batch_no > 0""", "kmeans_run")
 sql("kmeans_assign", """
 SELECT row_id, prediction AS cluster FROM kmeans_predictions
 WHERE checkpoint = (SELECT max(batch_no) FROM rows)""", "kmeans_predictions", "rows")
@@ -148,7 +152,18 @@ SELECT batch_no, -1 AS bucket, round(b, 6) AS value FROM {_model}_models
 UNION ALL SELECT batch_no, CAST(k AS INTEGER), round(w[k + 1], 6) FROM {_model}_models, (SELECT unnest(range(512)) AS k)""", f"{_model}_models")
     sql(f"{_name}_predict", f"SELECT row_id, checkpoint, truth, prediction FROM {_model}_predictions", f"{_model}_predictions")
 
+sql("sharded_fit", " UNION ALL ".join(
+    f"SELECT '{model}' AS model, CAST(n AS BIGINT) AS n, CAST(pos AS INTEGER) AS pos, round(value, 6) AS value FROM {name}_mean"
+    for model, name in (("SGD Classifier", "logistic"), ("Perceptron", "perceptron"))
+), "logistic_mean", "perceptron_mean")
+sql("mlp_predict", "SELECT row_id, checkpoint, truth, prediction FROM network_predictions", "network_predictions")
+sql("mlp_weights", """
+SELECT batch_no, CAST(k * 513 + j AS INTEGER) AS pos, round(w1[k + 1][j + 1], 6) AS value
+FROM network_run, (SELECT unnest(range(15)) AS k), (SELECT unnest(range(513)) AS j) WHERE batch_no > 0
+UNION ALL SELECT batch_no, CAST(15 * 513 + k AS INTEGER), round(w2[k + 1], 6)
+FROM network_run, (SELECT unnest(range(16)) AS k) WHERE batch_no > 0""", "network_run")
 sql("stream_train_log", f"{_LOG} FROM ({confusion(_TRAIN, 'model', 'batch_no')})", "predictions")
+sql("mlp_stream", f"{_LOG} FROM ({confusion('(SELECT * FROM network_predictions WHERE checkpoint = batch_no)', 'model', 'batch_no')})", "network_predictions")
 _FINAL = "(SELECT * FROM {} WHERE checkpoint = (SELECT max(batch_no) FROM rows))"
 sql("stream_test_log", f"""
 SELECT p.model, p.batch_no, r.row_in_batch, p.prediction, p.truth
@@ -191,6 +206,7 @@ sql("test_curve_clustering", curve(
     "(SELECT *, 1 AS polarity FROM kmeans_predictions WHERE checkpoint > 0 UNION ALL "
     "SELECT * REPLACE (1 - prediction AS prediction), 0 FROM kmeans_predictions WHERE checkpoint > 0)",
     "model", "polarity", "checkpoint"), "kmeans_predictions")
+sql("mlp_test_curve", curve("(SELECT *, 1 AS polarity FROM network_predictions)", "model", "polarity", "checkpoint"), "network_predictions")
 sql("preview5", f"""
 SELECT model, batch_no, round(accuracy, 6) AS accuracy FROM ({confusion(_TRAIN, 'model', 'batch_no')})
 WHERE model = 'Perceptron' ORDER BY batch_no LIMIT 5""", "predictions")

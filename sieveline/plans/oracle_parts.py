@@ -10,6 +10,8 @@ from __future__ import annotations
 from ..functions import hashing as H
 from ..functions import porter as P
 from ..functions.text import STOP_WORDS
+from ..operators.models import HIDDEN_UNITS, MLP
+from ..operators.sharded import initial_state
 
 BATCH = 100
 
@@ -261,6 +263,33 @@ SELECT d.row_id, d.batch_no, m.batch_no AS checkpoint, d.y AS truth,
        CASE WHEN list_dot_product(m.w, d.v) + m.b > 1e-9 THEN 1 ELSE 0 END AS prediction
 FROM dense d JOIN {_model}_models m ON true""", "dense", f"{_model}_models")
 
+# The whole table as one batch, dealt into shards that each learn from zero.
+part("mail_vectors", """
+SELECT row_id, y, v, row_number() OVER (ORDER BY row_id) - 1 AS row_no, count(*) OVER () AS n FROM (
+SELECT m.row_id, m.y, list(coalesce(x.x, 0.0) ORDER BY b.bucket) AS v
+FROM (SELECT row_id, CASE WHEN feature2 = 'spam' THEN 1 ELSE 0 END AS y FROM mail) m
+JOIN (SELECT unnest(range(512)) AS bucket) b ON true
+LEFT JOIN mail_x x ON x.row_id = m.row_id AND x.bucket = b.bucket GROUP BY m.row_id, m.y)""", "mail", "mail_x")
+part("shard_rows", """
+SELECT shard, row_number() OVER (PARTITION BY shard ORDER BY row_no) AS i, y, v
+FROM (SELECT *, row_no % CAST(ceil(n / least(8192, greatest(64, ceil(n / 8)))) AS BIGINT) AS shard FROM mail_vectors)""", "mail_vectors")
+for _model, _error, _keep in (
+    ("logistic", "0.01 * (1 / (1 + exp(-z)) - y)", "1 - 0.01 * 0.0001"),
+    ("perceptron", "CASE WHEN (2 * y - 1) * z <= 0 THEN 1 - 2 * y ELSE 0 END", "1"),
+):
+    part(f"{_model}_shards", f"""
+SELECT DISTINCT shard, 0::BIGINT AS i, {ZEROS} AS w, 0.0::DOUBLE AS b FROM shard_rows
+UNION ALL
+SELECT shard, i, list_transform(range(512), lambda j: w[j + 1] * ({_keep}) - step * v[j + 1]), b - step
+FROM (SELECT shard, i, v, w, b, {_error} AS step
+      FROM (SELECT r.shard, d.i, d.y, d.v, r.w, r.b, list_dot_product(r.w, d.v) + r.b AS z
+            FROM {_model}_shards r JOIN shard_rows d ON d.shard = r.shard AND d.i = r.i + 1))""", "shard_rows")
+    part(f"{_model}_mean", f"""
+SELECT pos, sum(size) AS n, sum(size * CASE WHEN pos = 0 THEN b ELSE w[pos] END) / sum(size) AS value
+FROM {_model}_shards JOIN (SELECT shard, max(i) AS size FROM shard_rows GROUP BY shard) USING (shard),
+     (SELECT unnest(range(513)) AS pos)
+WHERE i = size GROUP BY pos""", f"{_model}_shards")
+
 # Predictions of all three by row and checkpoint.
 part("predictions", """
 SELECT 'Multinomial Naive Bayes' AS model, row_id, batch_no, checkpoint, truth, prediction FROM nb_predictions
@@ -268,6 +297,66 @@ UNION ALL SELECT 'SGD Classifier', row_id, batch_no, checkpoint, truth, predicti
 UNION ALL SELECT 'Perceptron', row_id, batch_no, checkpoint, truth, prediction FROM perceptron_predictions""",
      "nb_predictions", "logistic_predictions", "perceptron_predictions")
 
+# The network with a hidden layer: one Adam step per batch, since a batch of 100
+# rows is one mini-batch.  Its random start is written out as a literal.
+
+_U = 1 + H.N_BUCKETS
+_START = initial_state(MLP).params
+
+
+def _literal(numbers) -> str:
+    return "[" + ", ".join(repr(float(n)) for n in numbers) + "]"
+
+
+_HIDDEN_START = "[" + ", ".join(_literal(_START[k * _U:(k + 1) * _U]) for k in range(HIDDEN_UNITS)) + "]"
+_ZERO_UNIT = f"list_transform(range({_U}), lambda j: 0.0::DOUBLE)"
+_ZERO_HIDDEN = f"list_transform(range({HIDDEN_UNITS}), lambda k: {_ZERO_UNIT})"
+_ZERO_OUT = f"list_transform(range({HIDDEN_UNITS + 1}), lambda k: 0.0::DOUBLE)"
+
+
+def _each_weight(expression: str) -> str:
+    """An array like the hidden layer, from an expression over unit k and input j."""
+    return f"list_transform(range({HIDDEN_UNITS}), lambda k: list_transform(range({_U}), lambda j: {expression}))"
+
+
+def _each_out(expression: str) -> str:
+    return f"list_transform(range({HIDDEN_UNITS + 1}), lambda k: {expression})"
+
+
+_RATE = "0.001 * sqrt(1 - 0.999 ** batch_no) / (1 - 0.9 ** batch_no)"
+
+part("network_input", """
+SELECT batch_no, list(list_prepend(1.0::DOUBLE, v) ORDER BY row_in_batch) AS xs, list(y ORDER BY row_in_batch) AS ys, count(*) AS n
+FROM dense GROUP BY batch_no""", "dense")
+part("network_run", f"""
+SELECT 0::BIGINT AS batch_no, {_HIDDEN_START} AS w1, {_literal(_START[HIDDEN_UNITS * _U:])} AS w2,
+       {_ZERO_HIDDEN} AS m1, {_ZERO_HIDDEN} AS v1, {_ZERO_OUT} AS m2, {_ZERO_OUT} AS v2
+UNION ALL
+SELECT batch_no,
+       {_each_weight(f'w1[k + 1][j + 1] - {_RATE} * m1[k + 1][j + 1] / (sqrt(v1[k + 1][j + 1]) + 1e-8)')},
+       {_each_out(f'w2[k + 1] - {_RATE} * m2[k + 1] / (sqrt(v2[k + 1]) + 1e-8)')}, m1, v1, m2, v2
+FROM (SELECT batch_no, w1, w2,
+             {_each_weight('0.9 * m1[k + 1][j + 1] + 0.1 * g1[k + 1][j + 1]')} AS m1,
+             {_each_weight('0.999 * v1[k + 1][j + 1] + 0.001 * g1[k + 1][j + 1] ** 2')} AS v1,
+             {_each_out('0.9 * m2[k + 1] + 0.1 * g2[k + 1]')} AS m2,
+             {_each_out('0.999 * v2[k + 1] + 0.001 * g2[k + 1] ** 2')} AS v2
+FROM (SELECT batch_no, w1, w2, m1, v1, m2, v2,
+             {_each_weight('(list_dot_product(back[k + 1], columns[j + 1]) + CASE WHEN j = 0 THEN 0 ELSE 1e-4 * w1[k + 1][j + 1] END) / n')} AS g1,
+             {_each_out('(list_dot_product(errors, outs[k + 1]) + CASE WHEN k = 0 THEN 0 ELSE 1e-4 * w2[k + 1] END) / n')} AS g2
+FROM (SELECT *, list_transform(range({_U}), lambda j: list_transform(xs, lambda x: x[j + 1])) AS columns,
+             {_each_out('list_transform(hs, lambda h: CASE WHEN k = 0 THEN 1.0 ELSE h[k] END)')} AS outs,
+             list_transform(range({HIDDEN_UNITS}), lambda k: list_transform(range(n), lambda i:
+               errors[i + 1] * w2[k + 2] * (1 - hs[i + 1][k + 1] ** 2))) AS back
+FROM (SELECT *, list_transform(range(n), lambda i: 1 / (1 + exp(-(w2[1] + list_dot_product(w2[2:], hs[i + 1])))) - ys[i + 1]) AS errors
+FROM (SELECT b.batch_no, b.xs, b.ys, b.n, r.w1, r.w2, r.m1, r.v1, r.m2, r.v2,
+             list_transform(b.xs, lambda x: list_transform(r.w1, lambda u: tanh(list_dot_product(u, x)))) AS hs
+      FROM network_run r JOIN network_input b ON b.batch_no = r.batch_no + 1)))))""", "network_input")
+part("network_predictions", """
+SELECT 'Multi Layer Perceptron' AS model, d.row_id, d.batch_no, m.batch_no AS checkpoint, d.y AS truth,
+       CASE WHEN m.w2[1] + list_dot_product(m.w2[2:], list_transform(m.w1,
+         lambda u: tanh(list_dot_product(u, list_prepend(1.0::DOUBLE, d.v))))) > 1e-9 THEN 1 ELSE 0 END AS prediction
+FROM dense d JOIN network_run m ON m.batch_no > 0""", "dense", "network_run")
+
 # Two-centre k-means, batch after batch.
 
 part("kmeans_start", """

@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from ..functions import hashing as H
 from ..functions import text as T
 from ..functions.porter import stem_tokens
-from ..functions.vectors import bucket_counts, hash_buckets, l2_normalize, sparse_vector, to_dense
+from ..functions.vectors import bucket_counts, hash_buckets, l2_normalize, to_dense
 from ..operators import kmeans, metrics, payloads, reports
-from ..operators.batching import assign_batches, batch_table, full_batches, number_rows, number_rows_by_range, replay_epochs, replay_files
+from ..operators.batching import assign_batches, batch_table, number_rows_by_range, replay_epochs, replay_files
 from ..operators.features import feature_entries, featurize
-from ..operators.models import CLASSIFIERS, CLUSTERING, LOGISTIC, MLP, NAIVE_BAYES, PERCEPTRON, score, score_checkpoints
-from ..operators.naive_bayes import class_sums, cumulative_models, model_table
-from ..operators.sharded import fit_batch, initial_state
+from ..operators.models import CLASSIFIERS, LOGISTIC, MLP, NAIVE_BAYES, PERCEPTRON, score, score_checkpoints, slice_of
+from ..operators.naive_bayes import class_sums, model_table
+from ..operators.sharded import SHARD_ROWS, fit_batch, initial_state
 from ..session import spread, work_dir
 from ..sources import logs
-from ..sources.replay import payload_rows, payload_stream
+from ..sources.replay import payload_stream
 from ..sources.tables import csv_scan, is_test_row, labelled_messages, load, text_scan
 from ..streaming.store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, Store
 from ..streaming.train import stream_train
@@ -412,18 +412,30 @@ def kmeans_step(spark, sf_dir):
     return _centre_table(spark, kmeans.update(first, kmeans.initial_model(first), 1))
 
 
+@query
+def kmeans_centres(spark, sf_dir):
+    """Cluster sizes and centres after every batch."""
+    models = D.trained(spark, sf_dir, CLUSTER_FAMILY).models()
+    p = F.col("params")
+    clusters = F.array(*[
+        F.struct(
+            F.lit(k).alias("cluster"), F.get(p, F.lit(k)).cast("long").alias("size"),
+            slice_of(p, 2 + k * H.N_BUCKETS, H.N_BUCKETS).alias("centre"),
+        )
+        for k in (0, 1)
+    ])
+    return models.select("batch_no", F.inline(clusters)).select(
+        "batch_no", "cluster", "size", F.posexplode("centre").alias("bucket", "value")
+    ).withColumn("value", F.round("value", 6))
+
+
 @query
 def kmeans_assign(spark, sf_dir):
     """Every row with its cluster under the final centres."""
-    last = D.trained(spark, sf_dir, CLUSTER_FAMILY).load_states(
-        D.trained(spark, sf_dir, CLUSTER_FAMILY).last_batch()
-    )[CLUSTERING]
-    rows = D.batched_features(spark, sf_dir)
-    at = score_checkpoints(
-        rows.select("row_id", "y", "features"),
-        kmeans.model_row(rows, last.params, 1), [1],
-    )
-    return at.select("row_id", F.col("prediction").alias("cluster"))
+    store = D.trained(spark, sf_dir, CLUSTER_FAMILY)
+    rows = D.batched_features(spark, sf_dir).select("row_id", "y", "features")
+    scored = score_checkpoints(rows, store.models(), [store.last_batch()])
+    return scored.select("row_id", F.col("prediction").alias("cluster"))
 
 
 @query
@@ -454,6 +466,15 @@ def perceptron_weights(spark, sf_dir):
     return _weights(spark, sf_dir, PERCEPTRON)
 
 
+@query
+def mlp_weights(spark, sf_dir):
+    """Parameters of the network after every batch, by position."""
+    models = D.trained(spark, sf_dir).models().filter(F.col("model") == MLP)
+    return models.select("batch_no", F.posexplode("params").alias("pos", "value")).withColumn(
+        "value", F.round("value", 6)
+    )
+
+
 @query
 def logreg_predict(spark, sf_dir):
     return _predictions(spark, sf_dir, LOGISTIC)
@@ -477,13 +498,22 @@ def _predictions(spark, sf_dir, model):
 
 @query
 def sharded_fit(spark, sf_dir):
-    """All labelled rows as one batch in shards of 64, parameters averaged."""
-    rows = batch_table(featurize(labelled_messages(spark, sf_dir)), "row_id", 1)
-    whole = rows.withColumn("row_in_batch", F.col("row_no").cast("int"))
-    n = whole.count()
-    fitted = fit_batch(whole, {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON, MLP)}, n, shard_rows=64)
-    table = [(m, n, float((s.params**2).sum())) for m, s in fitted.items()]
-    return spark.createDataFrame(table, "model string, n long, squared_norm double")
+    """All labelled rows as one batch, learnt in shards whose weights are averaged.
+
+    Shards hold an eighth of a small table, and never more than ``SHARD_ROWS`` rows.
+    """
+    rows = D.batched_features(spark, sf_dir, 1).withColumn("row_in_batch", F.col("row_no"))
+    n = rows.count()
+    fitted = fit_batch(
+        rows, {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON)}, n,
+        shard_rows=min(SHARD_ROWS, max(64, -(-n // 8))),
+    )
+    weights = spark.createDataFrame(
+        [(m, n, s.params.tolist()) for m, s in fitted.items()], "model string, n long, params array<double>"
+    )
+    return weights.select("model", "n", F.posexplode("params").alias("pos", "value")).withColumn(
+        "value", F.round("value", 6)
+    )
 
 
 # Streams

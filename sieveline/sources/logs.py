@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.models import ALL_MODELS, CLUSTERING
+from ..session import work_dir
 
 # Header names of the log files.
 TRAIN_HEADER = {"batch_no": "BatchNum", "accuracy": "Accuracy", "precision": "Precision", "recall": "Recall"}
@@ -79,17 +80,15 @@ def export_csv_logs(
     ``test`` has ``model`` and ``checkpoint``, where checkpoint 0 is the final model.
     """
     if train is not None:
-        for model in _values(train, "model"):
+        for model in sorted(r.model for r in train.select("model").distinct().collect()):
             write_csv_log(train.filter(F.col("model") == model), f"{root}/{model}/TrainLogs/logs.csv", TRAIN_HEADER)
     if clusters is not None:
         write_csv_log(clusters, f"{root}/{CLUSTERING}/TrainLogs/logs.csv", CLUSTER_HEADER)
     if test is not None:
-        for model in _values(test, "model"):
-            for number in _values(test, "checkpoint"):
-                log = test.filter((F.col("model") == model) & (F.col("checkpoint") == number))
-                write_csv_log(log, f"{root}/{model}/TestLogs/logs{number or ''}.csv", TEST_HEADER)
-
-
-def _values(df: DataFrame, column: str) -> list:
-    """Distinct values of a column that names files: models or checkpoints."""
-    return sorted(r[0] for r in df.select(column).distinct().collect())
+        # Written once by model and checkpoint; each file then reads its partition.
+        path = work_dir(test.sparkSession, "test-log")
+        test.select("model", "checkpoint", *TEST_HEADER).write.partitionBy("model", "checkpoint").parquet(path)
+        test = test.sparkSession.read.parquet(path)
+        for model, number in test.select("model", "checkpoint").distinct().collect():
+            log = test.filter((F.col("model") == model) & (F.col("checkpoint") == number))
+            write_csv_log(log, f"{root}/{model}/TestLogs/logs{number or ''}.csv", TEST_HEADER)

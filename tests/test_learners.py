@@ -9,7 +9,7 @@ from sieveline.functions.hashing import N_BUCKETS
 from sieveline.operators import kmeans, sharded
 from sieveline.operators.metrics import classification_metrics, confusion_matrix, dual_polarity, confusion_counts, error_rate, invert_predictions
 from sieveline.operators.models import (
-    CLUSTERING, HIDDEN_UNITS, LOGISTIC, MLP, NAIVE_BAYES, PERCEPTRON, score, score_checkpoints,
+    HIDDEN_UNITS, LOGISTIC, MLP, NAIVE_BAYES, PERCEPTRON, score, score_checkpoints,
 )
 from sieveline.operators import models as M
 from sieveline.operators.naive_bayes import batch_update, cumulative_models, model_table
@@ -146,6 +146,16 @@ def test_shards_are_averaged_by_size(spark, partitions):
         np.testing.assert_allclose(made[m].params, mean, atol=1e-12)
 
 
+def test_network_shards_are_averaged(spark):
+    rows = messages(50, batch=50)
+    start = {MLP: initial_state(MLP)}
+    made = fit_batch(frame(spark, rows), start, 50, shard_rows=25)[MLP]
+    halves = [fit_batch(frame(spark, [r for r in rows if r[1] % 2 == s]), start, 25)[MLP] for s in (0, 1)]
+    np.testing.assert_allclose(made.params, (halves[0].params + halves[1].params) / 2, atol=1e-12)
+    np.testing.assert_allclose(made.moments, (halves[0].moments + halves[1].moments) / 2, atol=1e-12)
+    assert made.steps == 1
+
+
 def loss(params, rows):
     """Log loss plus L2 of the network, from its definition."""
     unit = 1 + N_BUCKETS

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from sieveline.operators import payloads as P
 from sieveline.operators.batching import assign_batches, batch_table, number_rows_by_range
-from sieveline.session import work_dir
 from sieveline.sources.tables import csv_scan, dataset_split, text_scan
 
 

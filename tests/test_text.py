@@ -6,7 +6,7 @@ from porter_check import stem
 from sieveline.functions import text as T
 from sieveline.functions.hashing import md5_bucket, murmur3, murmur3_bucket, spark_bucket
 from sieveline.functions.porter import stem_tokens
-from sieveline.functions.vectors import bucket_counts, dot, hash_buckets, l2_normalize, sparse_vector, to_dense
+from sieveline.functions.vectors import bucket_counts, dot, l2_normalize, sparse_vector, to_dense
 from sieveline.operators.features import FeatureOptions, featurize
 
 
