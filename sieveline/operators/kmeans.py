@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import N_BUCKETS
 from ..functions.vectors import dot
 from .models import CLUSTERING, score
-from .naive_bayes import batch_update
+from .naive_bayes import batch_updates
 
 
 def model_row(rows: DataFrame, params: np.ndarray, batch_no: int) -> DataFrame:
@@ -58,7 +58,7 @@ def update(rows: DataFrame, params: np.ndarray, batch_no: int) -> np.ndarray:
     Rows are summed per cluster and bucket on the executors; 1,026 sums return.
     """
     assigned = assign(rows, params, batch_no).withColumn("y", F.col("prediction"))
-    added = batch_update(assigned.select("batch_no", "y", "features"))
+    added = batch_updates(assigned.select("batch_no", "y", "features"))[batch_no]
     moved = params.copy()
     for k in (0, 1):
         at = slice(2 + k * N_BUCKETS, 2 + (k + 1) * N_BUCKETS)

@@ -30,11 +30,14 @@ def class_sums(rows: DataFrame) -> DataFrame:
     return _contributions(rows).groupBy("batch_no", "slot").agg(F.sum("x").alias("s"))
 
 
-def batch_update(rows: DataFrame) -> np.ndarray:
-    """What one batch adds to the model, as a vector of 1,026 sums."""
-    added = np.zeros(2 + 2 * N_BUCKETS)
-    for slot, s in class_sums(rows).select("slot", "s").collect():
-        added[slot] = s
+def batch_updates(rows: DataFrame) -> dict[int, np.ndarray]:
+    """What each batch in ``rows`` adds to the model, as a vector of 1,026 sums.
+
+    For the few batches of one micro-batch; the first two sums count their rows.
+    """
+    added: dict[int, np.ndarray] = {}
+    for batch_no, slot, s in class_sums(rows).collect():
+        added.setdefault(batch_no, np.zeros(2 + 2 * N_BUCKETS))[slot] = s
     return added
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,31 +11,28 @@ from ..operators.models import score
 from ..session import work_dir
 from ..sources.replay import payload_stream
 from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FINAL, Store, model_rows
+from .train import BATCHES_PER_TRIGGER, stream_train
 
 
 class Scorer:
     """Logs one prediction per model and row for each micro-batch of feature rows."""
 
     def __init__(self, store: Store, model_num: int = FINAL):
-        self.store, self.model_num, self.batch_no = store, model_num, 0
+        self.store, self.model_num = store, model_num
         states = store.load_states(model_num if model_num != FINAL else store.last_batch())
         if not states:
             raise ValueError(f"no models saved under number {model_num}")
         # At most four models of 7,711 numbers: a fixed, small broadcast.
-        self.table = model_rows(store.spark, states).select(
-            F.lit(model_num).cast("long").alias("checkpoint"), "model", "params"
+        self.table = model_rows(store.spark, {model_num: states}).select(
+            F.col("batch_no").alias("checkpoint"), "model", "params"
         )
 
     def __call__(self, rows: DataFrame, epoch_id: int) -> None:
-        """Rows are counted while they are written; an empty batch takes no number."""
-        written = Observation()
-        features = rows.select(
-            F.lit(self.model_num).cast("long").alias("checkpoint"), "row_in_batch", "y", "features"
+        """An empty micro-batch writes nothing; one that comes again replaces its rows."""
+        asked = rows.select(
+            F.lit(self.model_num).cast("long").alias("checkpoint"), "batch_no", "row_in_batch", "y", "features"
         )
-        scored = score(features, self.table, ["checkpoint"]).observe(written, F.count("*").alias("n"))
-        self.store.write_test_log(scored, self.model_num, self.batch_no + 1)
-        if written.get["n"]:
-            self.batch_no += 1
+        self.store.write_test_log(score(asked, self.table, ["checkpoint"]), self.model_num)
 
 
 def stream_test(
@@ -45,7 +42,7 @@ def stream_test(
     clustering: bool = False,
     model_num: int = FINAL,
     delay: int | None = None,
-    batches_per_trigger: int = 1,
+    batches_per_trigger: int = BATCHES_PER_TRIGGER,
     options: FeatureOptions = FeatureOptions(),
 ) -> StreamingQuery:
     """Empty the checkpoint's test log and start scoring a payload folder."""
@@ -63,8 +60,6 @@ def stream_test(
 
 def run(spark: SparkSession, mode: str, payload_dir: str, root: str, **options) -> StreamingQuery:
     """Start a query by mode, ``train`` or ``test``."""
-    from .train import stream_train
-
     modes = {"train": stream_train, "test": stream_test}
     if mode.lower() not in modes:
         raise ValueError(f"mode must be 'train' or 'test', not {mode!r}")

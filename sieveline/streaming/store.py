@@ -34,13 +34,15 @@ MODELS = "model string, epoch_id long, params array<double>, moments array<doubl
 FINAL = 0
 
 
-def model_rows(spark: SparkSession, states: dict[str, ModelState]) -> DataFrame:
-    """Models the driver holds as rows ``model, params, moments, steps``."""
+def model_rows(spark: SparkSession, by_batch: dict[int, dict[str, ModelState]]) -> DataFrame:
+    """Models the driver holds as rows ``batch_no, model, params, moments, steps``."""
+    rows = [(n, m, s) for n, states in by_batch.items() for m, s in states.items()]
     return spark.createDataFrame(pa.table({
-        "model": list(states),
-        "params": [s.params for s in states.values()],
-        "moments": [s.moments for s in states.values()],
-        "steps": [s.steps for s in states.values()],
+        "batch_no": pa.array([n for n, _, _ in rows], pa.int64()),
+        "model": [m for _, m, _ in rows],
+        "params": [s.params for _, _, s in rows],
+        "moments": [s.moments for _, _, s in rows],
+        "steps": [s.steps for _, _, s in rows],
     }))
 
 
@@ -61,8 +63,10 @@ class Store:
     def _read(self, table: str, schema: str) -> DataFrame:
         return self.spark.read.schema(f"{schema}, batch_no long").parquet(f"{self.path}/{table}")
 
-    def _write(self, rows: DataFrame, table: str, batch_no: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{table}/batch_no={batch_no}")
+    def _write(self, rows: DataFrame, table: str) -> None:
+        """Replace the partitions of the batches in ``rows`` and no others."""
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_no").parquet(f"{self.path}/{table}"))
 
     def create(self) -> None:
         """Start from nothing: no models, empty logs."""
@@ -78,9 +82,9 @@ class Store:
 
     # Models
 
-    def write_models(self, states: dict[str, ModelState], batch_no: int, epoch_id: int) -> None:
-        rows = model_rows(self.spark, states).withColumn("epoch_id", F.lit(epoch_id).cast("long"))
-        self._write(rows.coalesce(1), "models", batch_no)
+    def write_models(self, by_batch: dict[int, dict[str, ModelState]], epoch_id: int) -> None:
+        rows = model_rows(self.spark, by_batch).withColumn("epoch_id", F.lit(epoch_id).cast("long"))
+        self._write(rows.coalesce(1), "models")
 
     def models(self) -> DataFrame:
         return self._read("models", MODELS)
@@ -101,9 +105,9 @@ class Store:
 
     # Logs
 
-    def write_train_log(self, rows: DataFrame, batch_no: int) -> None:
+    def write_train_log(self, rows: DataFrame) -> None:
         columns = [f.split()[0] for f in TRAIN_LOG[self.family].split(", ")]
-        self._write(rows.select(*columns).coalesce(1), "train_log", batch_no)
+        self._write(rows.select(*columns, "batch_no").coalesce(1), "train_log")
 
     def train_log(self) -> DataFrame:
         return self._read("train_log", TRAIN_LOG[self.family])
@@ -112,9 +116,9 @@ class Store:
         """Empty the log of one checkpoint, as a new test run does."""
         self._clear(f"test_log/checkpoint={model_num}", TEST_LOG)
 
-    def write_test_log(self, scored: DataFrame, model_num: int, batch_no: int) -> None:
-        rows = scored.select("row_in_batch", "model", "prediction", "truth")
-        self._write(rows, f"test_log/checkpoint={model_num}", batch_no)
+    def write_test_log(self, scored: DataFrame, model_num: int) -> None:
+        rows = scored.select("batch_no", "row_in_batch", "model", "prediction", "truth")
+        self._write(rows, f"test_log/checkpoint={model_num}")
 
     def test_log(self) -> DataFrame:
         """``checkpoint, batch_no, row_in_batch, model, prediction, truth``."""

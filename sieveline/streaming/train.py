@@ -12,18 +12,24 @@ from ..operators import kmeans
 from ..operators.features import FeatureOptions, featurize
 from ..operators.metrics import accuracy_precision_recall, confusion_counts, dual_polarity
 from ..operators.models import CLUSTERING, NAIVE_BAYES, score
-from ..operators.naive_bayes import batch_update
+from ..operators.naive_bayes import batch_updates
 from ..operators.sharded import SHARD_ROWS, ModelState, fit_batch, initial_state
 from ..sources.replay import payload_stream
 from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store, model_rows
 
 
+#: Batches one micro-batch takes in.  Their models are held and written together,
+#: at most 750 kB for the four classifiers of a batch.
+BATCHES_PER_TRIGGER = 16
+
+
 class Trainer:
     """Carries the models of one family from batch to batch.
 
-    Call it with the feature rows of each micro-batch and its number.  Rows stay
-    on the executors: what the driver holds are the models, at most 23,133
-    numbers each, and one metric row per model.
+    Call it with the feature rows of each micro-batch and its number.  A
+    micro-batch may hold several batches; they are learnt one after another and
+    scored, saved and logged together.  Rows stay on the executors: what the
+    driver holds are the models, at most 23,133 numbers each, and their sums.
     """
 
     def __init__(
@@ -35,37 +41,46 @@ class Trainer:
     ):
         self.store, self.shard_rows, self.prequential = store, shard_rows, prequential
         self.models = models or FAMILIES[store.family]
-        self.batch_no = store.last_batch()
-        self.states = store.load_states(self.batch_no) if self.batch_no else {}
         logged = store.train_log().agg(F.max("epoch_id")).first()[0]
         self.last_epoch = -1 if logged is None else logged
+        self._resume_after(store.last_batch())
+
+    def _resume_after(self, batch_no: int) -> None:
+        self.batch_no = batch_no
+        self.states = self.store.load_states(batch_no) if batch_no else {}
 
     def __call__(self, rows: DataFrame, epoch_id: int) -> None:
-        """Fit, score and log one micro-batch of ``row_in_batch, y, features``;
-        skip an empty one.
+        """Learn the batches of one micro-batch of ``batch_no, row_in_batch, y,
+        features``, in the order of their numbers; skip an empty one.
 
-        The log row is written last and marks the batch as done: a micro-batch
-        that was logged is skipped, one that failed before is repeated whole.
+        Log rows are written last.  A micro-batch that comes again, because the
+        run broke before it was committed, is learnt again from the models
+        before it and overwrites what it left.
         """
-        if epoch_id <= self.last_epoch:
+        if epoch_id < self.last_epoch:
             return
-        number = self.batch_no + 1
-        features = rows.select(
-            F.lit(number).cast("long").alias("batch_no"), "row_in_batch", "y", "features"
-        ).persist()
+        if epoch_id == self.last_epoch:
+            done = self.store.train_log().filter(F.col("epoch_id") == epoch_id)
+            self._resume_after(done.agg(F.min("batch_no")).first()[0] - 1)
+        features = rows.select("batch_no", "row_in_batch", "y", "features").persist()
         try:
-            # The class sums hold the class sizes, so they count the rows as well.
-            sums = batch_update(features)
-            if sums[:2].sum() == 0:
+            # The class sums hold the class sizes, so they find and count the batches too.
+            sums = batch_updates(features)
+            if not sums:
                 return
-            before = self.states or self._fresh(features)
-            after = self._fit(features, before, sums, number)
-            self.store.write_models(after, number, epoch_id)
-            metrics = self._measure(features, before if self.prequential else after, number)
-            self.store.write_train_log(metrics.withColumn("epoch_id", F.lit(epoch_id).cast("long")), number)
+            order = sorted(sums)
+            trail = [self.states or self._fresh(features.filter(F.col("batch_no") == order[0]))]
+            for sent in order:
+                batch = features.filter(F.col("batch_no") == sent)
+                trail.append(self._fit(batch, trail[-1], sums[sent], sent))
+            numbers = {sent: self.batch_no + i + 1 for i, sent in enumerate(order)}
+            after = dict(zip(order, trail[1:]))
+            self.store.write_models({numbers[sent]: s for sent, s in after.items()}, epoch_id)
+            judged = dict(zip(order, trail)) if self.prequential else after
+            self._log(features, judged, numbers, epoch_id)
         finally:
             features.unpersist()
-        self.batch_no, self.states, self.last_epoch = number, after, epoch_id
+        self.batch_no, self.states, self.last_epoch = self.batch_no + len(order), trail[-1], epoch_id
 
     def _fresh(self, features: DataFrame) -> dict[str, ModelState]:
         start = {}
@@ -91,14 +106,17 @@ class Trainer:
             after.update(fit_batch(features, in_order, int(sums[:2].sum()), self.shard_rows))
         return after
 
-    def _measure(self, features: DataFrame, states: dict[str, ModelState], number: int) -> DataFrame:
-        table = model_rows(self.store.spark, states).select(
-            F.lit(number).cast("long").alias("batch_no"), "model", "params"
-        )
-        counts = confusion_counts(score(features, table, ["batch_no"]), ["model"])
-        if self.store.family == CLUSTER_FAMILY:
-            return dual_polarity(counts)
-        return accuracy_precision_recall(counts)
+    def _log(
+        self, features: DataFrame, judged: dict[int, dict[str, ModelState]], numbers: dict[int, int], epoch_id: int
+    ) -> None:
+        """Score every batch with its models and log the metrics under its number."""
+        models = model_rows(self.store.spark, judged).select("batch_no", "model", "params")
+        counts = confusion_counts(score(features, models, ["batch_no"]), ["model", "batch_no"])
+        number = F.create_map(*[F.lit(n).cast("long") for pair in numbers.items() for n in pair])
+        measured = dual_polarity(counts) if self.store.family == CLUSTER_FAMILY else accuracy_precision_recall(counts)
+        self.store.write_train_log(measured.withColumns({
+            "batch_no": F.element_at(number, F.col("batch_no")), "epoch_id": F.lit(epoch_id).cast("long"),
+        }))
 
 
 def stream_train(
@@ -107,7 +125,7 @@ def stream_train(
     root: str,
     clustering: bool = False,
     delay: int | None = None,
-    batches_per_trigger: int = 1,
+    batches_per_trigger: int = BATCHES_PER_TRIGGER,
     options: FeatureOptions = FeatureOptions(),
     **trainer_options,
 ) -> StreamingQuery:
@@ -115,7 +133,8 @@ def stream_train(
 
     With ``delay`` a micro-batch starts every so many seconds until the query is
     stopped; without, it ends when the folder is used up.  A query started again
-    on the same root goes on where the last one stopped.
+    on the same root goes on where the last one stopped.  Every payload file is a
+    training step of its own, however many of them one micro-batch takes in.
     """
     store = Store(spark, root, CLUSTER_FAMILY if clustering else CLASSIFIER_FAMILY)
     trainer = Trainer(store, **trainer_options)

@@ -12,7 +12,7 @@ from sieveline.operators.models import (
     HIDDEN_UNITS, LOGISTIC, MLP, NAIVE_BAYES, PERCEPTRON, score, score_checkpoints,
 )
 from sieveline.operators import models as M
-from sieveline.operators.naive_bayes import batch_update, cumulative_models, model_table
+from sieveline.operators.naive_bayes import batch_updates, cumulative_models, model_table
 from sieveline.operators.sharded import ModelState, fit_batch, initial_state
 
 SCHEMA = "batch_no long, row_in_batch int, y int, features array<struct<bucket int, x double>>"
@@ -77,7 +77,7 @@ def test_one_pass_equals_batch_by_batch(spark):
     cumulative = {r.batch_no: np.array(r.params) for r in cumulative_models(df).collect()}
     state = np.zeros(2 + 2 * N_BUCKETS)
     for b in range(1, 6):
-        state = state + batch_update(df.filter(F.col("batch_no") == b))
+        state = state + batch_updates(df.filter(F.col("batch_no") == b))[b]
         np.testing.assert_allclose(cumulative[b], state, atol=1e-12)
         n, logs = naive_bayes([r for r in rows if r[0] <= b])
         assert list(state[:2]) == n
@@ -215,7 +215,7 @@ def test_every_learner_beats_the_majority(spark):
     states = {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON, MLP)}
     for _ in range(40):
         states = fit_batch(df, states, 600)
-    states[NAIVE_BAYES] = ModelState(batch_update(df))
+    states[NAIVE_BAYES] = ModelState(batch_updates(df)[1])
     measured = classification_metrics(score(df, table(spark, states), ["batch_no"]), ["model"]).collect()
     majority = max(sum(r[2] == c for r in rows) for c in (0, 1)) / 600
     assert len(measured) == 4

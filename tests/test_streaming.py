@@ -71,35 +71,49 @@ def test_final_and_numbered_models(finished):
     assert {r.batch_no for r in finished.load_models(2).collect()} == {2}
 
 
-def test_a_broken_run_goes_on_where_it_stopped(spark, payload_dir, finished):
+@pytest.mark.parametrize("per_trigger, logged", [(1, 2), (2, 2), (16, 0)])
+def test_a_broken_run_goes_on_where_it_stopped(spark, payload_dir, finished, per_trigger, logged):
     store, root = new_store(spark)
+    original = Trainer._log
 
-    class Stopped(Exception):
-        pass
-
-    original = Trainer._measure
-
-    def fails_once(self, features, states, number):
-        if number == 3 and not fails_once.done:
+    def fails_once(self, features, judged, numbers, epoch_id):
+        if 3 in numbers and not fails_once.done:
             fails_once.done = True
-            raise Stopped
-        return original(self, features, states, number)
+            raise RuntimeError("lost")
+        return original(self, features, judged, numbers, epoch_id)
 
     fails_once.done = False
-    Trainer._measure = fails_once
+    Trainer._log = fails_once
     try:
         with pytest.raises(Exception):
-            stream_train(spark, payload_dir, root).awaitTermination()
-        assert store.last_batch() == 2
-        stream_train(spark, payload_dir, root).awaitTermination()
+            stream_train(spark, payload_dir, root, batches_per_trigger=per_trigger).awaitTermination()
+        assert store.last_batch() == logged
+        stream_train(spark, payload_dir, root, batches_per_trigger=per_trigger).awaitTermination()
     finally:
-        Trainer._measure = original
-    assert log(store) == log(finished)
-    whole, again = params(finished), params(store)
+        Trainer._log = original
+    same_run(store, finished)
+
+
+def same_run(store, other):
+    assert [r[:2] + r[3:] for r in log(store)] == [r[:2] + r[3:] for r in log(other)]
+    whole, again = params(other), params(store)
+    assert set(whole) == set(again)
     for key in whole:
         np.testing.assert_allclose(again[key], whole[key], atol=1e-12)
 
 
+def test_an_uncommitted_micro_batch_is_done_again(spark, payload_dir, finished):
+    """Two batches logged, the second half of the micro-batch's log lost."""
+    store, _ = new_store(spark)
+    rows = featurize(payload_rows(spark, payload_dir))
+    early, late = rows.filter("batch_no <= 2"), rows.filter("batch_no > 2")
+    Trainer(store)(early, 0)
+    Trainer(store)(late, 1)
+    # A new trainer gets micro-batch 1 once more, then nothing is doubled.
+    Trainer(store)(late, 1)
+    same_run(store, finished)
+
+
 def test_a_batch_delivered_twice_counts_once(spark, payload_dir):
     store, _ = new_store(spark)
     rows = featurize(payload_rows(spark, payload_dir))
@@ -110,6 +124,8 @@ def test_a_batch_delivered_twice_counts_once(spark, payload_dir):
     trainer(first, 0)
     Trainer(store, models=(NAIVE_BAYES, LOGISTIC))(first, 0)
     assert log(store) == once[0] and set(params(store)) == set(once[1])
+    for key, value in params(store).items():
+        np.testing.assert_allclose(value, once[1][key], atol=1e-12)
     trainer(rows.filter(F.col("batch_no") == 2), 1)
     assert store.last_batch() == 2
 
