@@ -119,50 +119,96 @@ def _network_gradient(params: np.ndarray, rows, y) -> np.ndarray:
 PASSES = {LOGISTIC: logistic_pass, PERCEPTRON: perceptron_pass, MLP: network_pass}
 
 
+def fit_batches(
+    rows: DataFrame,
+    states: dict[str, ModelState],
+    sizes: dict[int, int],
+    shard_rows: int = SHARD_ROWS,
+) -> dict[int, dict[str, ModelState]]:
+    """The given models after each batch, batches taken in the order of their numbers.
+
+    ``rows`` has ``batch_no, row_in_batch, y, features``; ``sizes`` says how many
+    rows each batch has.  Consecutive batches that fit one shard together are
+    learnt by one task, a batch that does not is spread over several.
+    """
+    after: dict[int, dict[str, ModelState]] = {}
+    for group in _groups(sizes, shard_rows):
+        part = rows.filter(F.col("batch_no").isin(group))
+        n_rows = sum(sizes[b] for b in group)
+        if n_rows <= shard_rows:
+            after.update(_in_order(part, states))
+        else:
+            after[group[0]] = _average(_learn(part, states, -(-n_rows // shard_rows)))
+        states = after[group[-1]]
+    return after
+
+
 def fit_batch(
     rows: DataFrame, states: dict[str, ModelState], n_rows: int, shard_rows: int = SHARD_ROWS
 ) -> dict[str, ModelState]:
-    """One pass of every given model over one batch, all in one shuffle.
+    """:func:`fit_batches` for a table that is one batch."""
+    one = rows.withColumn("batch_no", F.lit(1).cast("long"))
+    return fit_batches(one, states, {1: n_rows}, shard_rows)[1]
+
+
+def _groups(sizes: dict[int, int], shard_rows: int) -> list[list[int]]:
+    """Runs of consecutive batches that fit a shard; larger batches stand alone."""
+    groups: list[list[int]] = []
+    room = 0
+    for batch_no in sorted(sizes):
+        if sizes[batch_no] <= room:
+            groups[-1].append(batch_no)
+            room -= sizes[batch_no]
+        else:
+            groups.append([batch_no])
+            room = shard_rows - sizes[batch_no]
+    return groups
 
-    ``rows`` has ``row_in_batch, y, features``.  The models are small and travel
-    to the shards with the task; averaged parameters are all that returns.
-    """
-    shards = max(1, -(-n_rows // shard_rows))
 
+def _learn(rows: DataFrame, states: dict[str, ModelState], shards: int) -> DataFrame:
+    """One pass of every model over every shard, all in one shuffle.
+
+    The models are small and travel to the shards with the task.
+    """
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_in_batch")
-        y = pdf["y"].to_numpy()
-        data = [
-            (np.asarray(b, dtype=np.int64), np.asarray(x, dtype=float))
-            for b, x in zip(pdf["buckets"], pdf["xs"])
-        ]
-        learnt = {m: PASSES[m](s, data, y) for m, s in states.items()}
-        return pd.DataFrame({
-            "model": list(learnt),
-            "n": len(pdf),
-            "steps": [s.steps for s in learnt.values()],
-            "numbers": [np.concatenate([s.params, s.moments]) for s in learnt.values()],
-        })
-
-    parts = (
+        current, results = dict(states), []
+        for batch_no, batch in pdf.sort_values(["batch_no", "row_in_batch"]).groupby("batch_no"):
+            y = batch["y"].to_numpy()
+            data = [
+                (np.asarray(b, dtype=np.int64), np.asarray(x, dtype=float))
+                for b, x in zip(batch["buckets"], batch["xs"])
+            ]
+            current = {m: PASSES[m](s, data, y) for m, s in current.items()}
+            results += [
+                (batch_no, m, len(batch), s.steps, np.concatenate([s.params, s.moments])) for m, s in current.items()
+            ]
+        return pd.DataFrame(results, columns=["batch_no", "model", "n", "steps", "numbers"])
+
+    return (
         rows.select(
-            F.pmod("row_in_batch", F.lit(shards)).alias("shard"), "row_in_batch", "y",
+            F.pmod("row_in_batch", F.lit(shards)).alias("shard"), "batch_no", "row_in_batch", "y",
             F.col("features.bucket").alias("buckets"), F.col("features.x").alias("xs"),
         )
         .groupBy("shard")
-        .applyInPandas(learn, "model string, n long, steps long, numbers array<double>")
+        .applyInPandas(learn, "batch_no long, model string, n long, steps long, numbers array<double>")
     )
-    if shards == 1:
-        learnt = {r.model: (r.steps, np.array(r.numbers)) for r in parts.collect()}
-    else:
-        learnt = _average(parts)
-    return {
-        m: ModelState(learnt[m][1][:len(s.params)], learnt[m][1][len(s.params):], learnt[m][0])
-        for m, s in states.items()
-    }
 
 
-def _average(parts: DataFrame) -> dict[str, tuple[int, np.ndarray]]:
+def _state(model: str, steps: int, numbers) -> ModelState:
+    numbers = np.array(numbers)
+    size = len(initial_state(model).params)
+    return ModelState(numbers[:size], numbers[size:], steps)
+
+
+def _in_order(rows: DataFrame, states: dict[str, ModelState]) -> dict[int, dict[str, ModelState]]:
+    """Models after each of a few small batches: at most ``SHARD_ROWS`` rows in all."""
+    after: dict[int, dict[str, ModelState]] = {}
+    for r in _learn(rows, states, 1).collect():
+        after.setdefault(r.batch_no, {})[r.model] = _state(r.model, r.steps, r.numbers)
+    return after
+
+
+def _average(parts: DataFrame) -> dict[str, ModelState]:
     """Mean of the shards' numbers, weighted by rows, number by number."""
     means = (
         parts.select("model", "n", "steps", F.posexplode("numbers").alias("pos", "v"))
@@ -175,4 +221,4 @@ def _average(parts: DataFrame) -> dict[str, tuple[int, np.ndarray]]:
         )
         .select("model", "steps", F.col("numbers.v").alias("numbers"))
     )
-    return {r.model: (r.steps, np.array(r.numbers)) for r in means.collect()}
+    return {r.model: _state(r.model, r.steps, r.numbers) for r in means.collect()}

@@ -523,7 +523,7 @@ def sharded_fit(spark, sf_dir):
 def stream_decode(spark, sf_dir):
     """The payload folder through a file stream."""
     out = work_dir(spark, "decoded")
-    (payload_stream(spark, D.payload_folder(spark, sf_dir))
+    (payload_stream(spark, D.payload_folder(spark, sf_dir), batches_per_trigger=16)
      .writeStream.format("parquet").option("path", out)
      .option("checkpointLocation", work_dir(spark, "progress"))
      .trigger(availableNow=True).start().awaitTermination())

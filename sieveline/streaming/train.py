@@ -13,7 +13,7 @@ from ..operators.features import FeatureOptions, featurize
 from ..operators.metrics import accuracy_precision_recall, confusion_counts, dual_polarity
 from ..operators.models import CLUSTERING, NAIVE_BAYES, score
 from ..operators.naive_bayes import batch_updates
-from ..operators.sharded import SHARD_ROWS, ModelState, fit_batch, initial_state
+from ..operators.sharded import SHARD_ROWS, ModelState, fit_batches, initial_state
 from ..sources.replay import payload_stream
 from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store, model_rows
 
@@ -69,18 +69,15 @@ class Trainer:
             if not sums:
                 return
             order = sorted(sums)
-            trail = [self.states or self._fresh(features.filter(F.col("batch_no") == order[0]))]
-            for sent in order:
-                batch = features.filter(F.col("batch_no") == sent)
-                trail.append(self._fit(batch, trail[-1], sums[sent], sent))
+            start = self.states or self._fresh(features.filter(F.col("batch_no") == order[0]))
+            after = self._fit(features, start, sums)
             numbers = {sent: self.batch_no + i + 1 for i, sent in enumerate(order)}
-            after = dict(zip(order, trail[1:]))
-            self.store.write_models({numbers[sent]: s for sent, s in after.items()}, epoch_id)
-            judged = dict(zip(order, trail)) if self.prequential else after
-            self._log(features, judged, numbers, epoch_id)
+            self.store.write_models({numbers[sent]: after[sent] for sent in order}, epoch_id)
+            before = dict(zip(order, [start] + [after[sent] for sent in order[:-1]]))
+            self._log(features, before if self.prequential else after, numbers, epoch_id)
         finally:
             features.unpersist()
-        self.batch_no, self.states, self.last_epoch = self.batch_no + len(order), trail[-1], epoch_id
+        self.batch_no, self.states, self.last_epoch = numbers[order[-1]], after[order[-1]], epoch_id
 
     def _fresh(self, features: DataFrame) -> dict[str, ModelState]:
         start = {}
@@ -94,16 +91,26 @@ class Trainer:
         return start
 
     def _fit(
-        self, features: DataFrame, states: dict[str, ModelState], sums: np.ndarray, number: int
-    ) -> dict[str, ModelState]:
-        after = dict(states)
-        if CLUSTERING in states:
-            after[CLUSTERING] = ModelState(kmeans.update(features, states[CLUSTERING].params, number))
-        if NAIVE_BAYES in states:
-            after[NAIVE_BAYES] = ModelState(states[NAIVE_BAYES].params + sums)
-        in_order = {m: s for m, s in states.items() if m not in (CLUSTERING, NAIVE_BAYES)}
+        self, features: DataFrame, start: dict[str, ModelState], sums: dict[int, np.ndarray]
+    ) -> dict[int, dict[str, ModelState]]:
+        """The models after each batch."""
+        order = sorted(sums)
+        after: dict[int, dict[str, ModelState]] = {sent: {} for sent in order}
+        if NAIVE_BAYES in start:
+            total = start[NAIVE_BAYES].params
+            for sent in order:
+                total = total + sums[sent]
+                after[sent][NAIVE_BAYES] = ModelState(total)
+        if CLUSTERING in start:
+            centres = start[CLUSTERING].params
+            for sent in order:
+                centres = kmeans.update(features.filter(F.col("batch_no") == sent), centres, sent)
+                after[sent][CLUSTERING] = ModelState(centres)
+        in_order = {m: s for m, s in start.items() if m not in (CLUSTERING, NAIVE_BAYES)}
         if in_order:
-            after.update(fit_batch(features, in_order, int(sums[:2].sum()), self.shard_rows))
+            sizes = {sent: int(sums[sent][:2].sum()) for sent in order}
+            for sent, states in fit_batches(features, in_order, sizes, self.shard_rows).items():
+                after[sent].update(states)
         return after
 
     def _log(

@@ -13,7 +13,7 @@ from sieveline.operators.models import (
 )
 from sieveline.operators import models as M
 from sieveline.operators.naive_bayes import batch_updates, cumulative_models, model_table
-from sieveline.operators.sharded import ModelState, fit_batch, initial_state
+from sieveline.operators.sharded import ModelState, fit_batch, fit_batches, initial_state
 
 SCHEMA = "batch_no long, row_in_batch int, y int, features array<struct<bucket int, x double>>"
 
@@ -146,6 +146,24 @@ def test_shards_are_averaged_by_size(spark, partitions):
         np.testing.assert_allclose(made[m].params, mean, atol=1e-12)
 
 
+@pytest.mark.parametrize("shard_rows", [8192, 45, 20, 16])
+def test_batches_in_groups_follow_one_another(spark, shard_rows):
+    rows = messages(90)
+    start = {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON, MLP)}
+    sizes = {b: sum(r[0] == b for r in rows) for b in range(1, 6)}
+    made = fit_batches(frame(spark, rows), start, sizes, shard_rows)
+    state = start
+    for b in sizes:
+        state = fit_batch(frame(spark, [r for r in rows if r[0] == b]), state, sizes[b], shard_rows)
+        for m in state:
+            np.testing.assert_allclose(made[b][m].params, state[m].params, atol=1e-12)
+            assert made[b][m].steps == state[m].steps
+
+
+def test_groups_fill_shards():
+    assert sharded._groups({1: 20, 2: 20, 3: 20, 4: 100, 5: 5, 6: 40}, 45) == [[1, 2], [3], [4], [5, 6]]
+
+
 def test_network_shards_are_averaged(spark):
     rows = messages(50, batch=50)
     start = {MLP: initial_state(MLP)}
