@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import N_BUCKETS
-from .models import HIDDEN_UNITS, LOGISTIC, MLP, PERCEPTRON
+from . import kmeans
+from .models import CLUSTERING, HIDDEN_UNITS, LOGISTIC, MLP, PERCEPTRON, TIE
 
 SHARD_ROWS = 8192
 
@@ -116,7 +117,24 @@ def _network_gradient(params: np.ndarray, rows, y) -> np.ndarray:
     return np.concatenate([grad_hidden.ravel(), grad_output]) / n
 
 
-PASSES = {LOGISTIC: logistic_pass, PERCEPTRON: perceptron_pass, MLP: network_pass}
+def clustering_pass(state: ModelState, rows, y) -> ModelState:
+    """Assign a whole batch to the nearer centre, then move the centres.  Exact
+    only for a batch that one shard holds; ``kmeans.update`` does any size."""
+    sizes, centres = state.params[:2].copy(), state.params[2:].reshape(2, N_BUCKETS)
+    toward = 2 * (centres[1] - centres[0])
+    bias = centres[0] @ centres[0] - centres[1] @ centres[1]
+    sums = sizes[:, None] * centres
+    for buckets, x in rows:
+        k = int(bias + x @ toward[buckets] > TIE)
+        sums[k, buckets] += x
+        sizes[k] += 1
+    moved = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centres)
+    return replace(state, params=np.concatenate([sizes, moved.ravel()]))
+
+
+PASSES = {
+    LOGISTIC: logistic_pass, PERCEPTRON: perceptron_pass, MLP: network_pass, CLUSTERING: clustering_pass,
+}
 
 
 def fit_batches(
@@ -127,6 +145,8 @@ def fit_batches(
 ) -> dict[int, dict[str, ModelState]]:
     """The given models after each batch, batches taken in the order of their numbers.
 
+    The clusterer may be among them: large batches then use its own update.
+
     ``rows`` has ``batch_no, row_in_batch, y, features``; ``sizes`` says how many
     rows each batch has.  Consecutive batches that fit one shard together are
     learnt by one task, a batch that does not is spread over several.
@@ -138,7 +158,7 @@ def fit_batches(
         if n_rows <= shard_rows:
             after.update(_in_order(part, states))
         else:
-            after[group[0]] = _average(_learn(part, states, -(-n_rows // shard_rows)))
+            after[group[0]] = _spread(part, states, group[0], -(-n_rows // shard_rows))
         states = after[group[-1]]
     return after
 
@@ -196,7 +216,7 @@ def _learn(rows: DataFrame, states: dict[str, ModelState], shards: int) -> DataF
 
 def _state(model: str, steps: int, numbers) -> ModelState:
     numbers = np.array(numbers)
-    size = len(initial_state(model).params)
+    size = MLP_SIZE if model == MLP else len(numbers)  # only the network has moments
     return ModelState(numbers[:size], numbers[size:], steps)
 
 
@@ -208,6 +228,17 @@ def _in_order(rows: DataFrame, states: dict[str, ModelState]) -> dict[int, dict[
     return after
 
 
+def _spread(rows: DataFrame, states: dict[str, ModelState], batch_no: int, shards: int) -> dict[str, ModelState]:
+    """Models after one batch of any size."""
+    after = {}
+    if CLUSTERING in states:
+        after[CLUSTERING] = ModelState(kmeans.update(rows, states[CLUSTERING].params, batch_no))
+    mixed = {m: s for m, s in states.items() if m != CLUSTERING}
+    if mixed:
+        after.update(_average(_learn(rows, mixed, shards)))
+    return after
+
+
 def _average(parts: DataFrame) -> dict[str, ModelState]:
     """Mean of the shards' numbers, weighted by rows, number by number."""
     means = (

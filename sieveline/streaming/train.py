@@ -101,12 +101,7 @@ class Trainer:
             for sent in order:
                 total = total + sums[sent]
                 after[sent][NAIVE_BAYES] = ModelState(total)
-        if CLUSTERING in start:
-            centres = start[CLUSTERING].params
-            for sent in order:
-                centres = kmeans.update(features.filter(F.col("batch_no") == sent), centres, sent)
-                after[sent][CLUSTERING] = ModelState(centres)
-        in_order = {m: s for m, s in start.items() if m not in (CLUSTERING, NAIVE_BAYES)}
+        in_order = {m: s for m, s in start.items() if m != NAIVE_BAYES}
         if in_order:
             sizes = {sent: int(sums[sent][:2].sum()) for sent in order}
             for sent, states in fit_batches(features, in_order, sizes, self.shard_rows).items():

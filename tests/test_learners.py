@@ -9,7 +9,7 @@ from sieveline.functions.hashing import N_BUCKETS
 from sieveline.operators import kmeans, sharded
 from sieveline.operators.metrics import classification_metrics, confusion_matrix, dual_polarity, confusion_counts, error_rate, invert_predictions
 from sieveline.operators.models import (
-    HIDDEN_UNITS, LOGISTIC, MLP, NAIVE_BAYES, PERCEPTRON, score, score_checkpoints,
+    CLUSTERING, HIDDEN_UNITS, LOGISTIC, MLP, NAIVE_BAYES, PERCEPTRON, score, score_checkpoints,
 )
 from sieveline.operators import models as M
 from sieveline.operators.naive_bayes import batch_updates, cumulative_models, model_table
@@ -270,18 +270,34 @@ def test_clusters_batch_by_batch(spark):
     assert made == {(3, r[1]): closest(dense(r), centres) for r in rows if r[0] == 3}
 
 
+@pytest.mark.parametrize("shard_rows", [8192, 30, 10])
+def test_clusters_in_one_task_or_many(spark, shard_rows):
+    df = frame(spark, messages(90, batch=30))
+    start = kmeans.initial_model(df.filter(F.col("batch_no") == 1))
+    made = fit_batches(df, {CLUSTERING: ModelState(start)}, {1: 30, 2: 30, 3: 30}, shard_rows)
+    params = start
+    for b in (1, 2, 3):
+        params = kmeans.update(df.filter(F.col("batch_no") == b), params, b)
+        np.testing.assert_allclose(made[b][CLUSTERING].params, params, atol=1e-12)
+
+
 def test_a_tie_goes_to_the_first_centre(spark):
     params = np.zeros(2 + 2 * N_BUCKETS)
     params[2 + 0], params[2 + N_BUCKETS + 1] = 1.0, 1.0
     rows = [(1, 0, 0, [(0, 0.6), (1, 0.6)]), (1, 1, 0, []), (1, 2, 0, [(1, 0.5)])]
     made = {r.row_in_batch: r.prediction for r in kmeans.assign(frame(spark, rows), params, 1).collect()}
     assert made == {0: 0, 1: 0, 2: 1}
+    for shard_rows in (1, 3):
+        moved = fit_batches(frame(spark, rows), {CLUSTERING: ModelState(params)}, {1: 3}, shard_rows)
+        assert list(moved[1][CLUSTERING].params[:2]) == [2, 1]
 
 
 def test_a_starved_centre_stays(spark):
     params = np.zeros(2 + 2 * N_BUCKETS)
     params[2 + 0], params[2 + N_BUCKETS + 1] = 1.0, 5.0
     moved = kmeans.update(frame(spark, [(1, 0, 0, [(0, 0.5)])]), params, 1)
+    one = fit_batches(frame(spark, [(1, 0, 0, [(0, 0.5)])]), {CLUSTERING: ModelState(params)}, {1: 1})
+    np.testing.assert_array_equal(one[1][CLUSTERING].params, moved)
     assert list(moved[:2]) == [1, 0] and moved[2] == 0.5 and moved[2 + N_BUCKETS + 1] == 5.0
 
 
