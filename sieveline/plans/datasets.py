@@ -74,9 +74,8 @@ def trained(spark: SparkSession, sf_dir: str, family: str = CLASSIFIER_FAMILY, b
     def build() -> Store:
         store = Store(spark, work_dir(spark, "run"), family)
         store.create()
-        root = store.path.rsplit("/", 1)[0]
         stream_train(
-            spark, payload_folder(spark, sf_dir, batch), root, clustering=family == CLUSTER_FAMILY
+            spark, payload_folder(spark, sf_dir, batch), store.root, clustering=family == CLUSTER_FAMILY
         ).awaitTermination()
         return store
 
@@ -87,9 +86,8 @@ def tested(spark: SparkSession, sf_dir: str, family: str = CLASSIFIER_FAMILY, ba
     """The same store after a test stream with the final models."""
     def build() -> Store:
         store = trained(spark, sf_dir, family, batch)
-        root = store.path.rsplit("/", 1)[0]
         stream_test(
-            spark, payload_folder(spark, sf_dir, batch), root,
+            spark, payload_folder(spark, sf_dir, batch), store.root,
             clustering=family == CLUSTER_FAMILY, model_num=FINAL,
         ).awaitTermination()
         return store

@@ -573,8 +573,7 @@ def log_reset(spark, sf_dir):
     """A run that trains, then clears its logs: models stay, logs are empty."""
     store = Store(spark, work_dir(spark, "reset"))
     store.create()
-    root = store.path.rsplit("/", 1)[0]
-    stream_train(spark, D.payload_folder(spark, sf_dir), root, models=(NAIVE_BAYES,)).awaitTermination()
+    stream_train(spark, D.payload_folder(spark, sf_dir), store.root, models=(NAIVE_BAYES,)).awaitTermination()
     store.reset_logs()
     tables = {"models": store.models(), "train_log": store.train_log(), "test_log": store.test_log()}
     counts = None

@@ -53,7 +53,8 @@ class Store:
         if family not in FAMILIES:
             raise ValueError(f"family must be one of {sorted(FAMILIES)}, not {family!r}")
         self.spark, self.family = spark, family
-        self.path = f"{root.rstrip('/')}/{family}"
+        self.root = root.rstrip("/")
+        self.path = f"{self.root}/{family}"
 
     def _clear(self, table: str, schema: str) -> None:
         (self.spark.createDataFrame([], f"{schema}, batch_no long")

@@ -11,7 +11,7 @@ from sieveline.session import shared_dir, work_dir
 from sieveline.sources.replay import payload_rows, payload_stream, write_payloads
 from sieveline.sources.tables import labelled_messages
 from sieveline.streaming.scoring import Scorer, run, stream_test
-from sieveline.streaming.store import CLUSTER_FAMILY, Store
+from sieveline.streaming.store import CLUSTER_FAMILY, FAMILIES, Store
 from sieveline.streaming.train import Trainer, stream_train
 
 
@@ -26,7 +26,7 @@ def payload_dir(spark):
 def new_store(spark, family="classifiers"):
     store = Store(spark, work_dir(spark, "test-run"), family)
     store.create()
-    return store, store.path.rsplit("/", 1)[0]
+    return store, store.root
 
 
 @pytest.fixture(scope="module")
@@ -154,7 +154,7 @@ def test_scoring_before_fitting(spark, payload_dir):
 
 
 def test_a_new_test_run_replaces_the_log(spark, payload_dir, finished):
-    root = finished.path.rsplit("/", 1)[0]
+    root = finished.root
     for _ in range(2):
         stream_test(spark, payload_dir, root).awaitTermination()
     stream_test(spark, payload_dir, root, model_num=2).awaitTermination()
@@ -176,6 +176,15 @@ def test_clustering_has_its_own_run(spark, payload_dir):
     assert store.load_states(4)[CLUSTERING].params[:2].sum() == 80
 
 
+def test_large_batches_are_learnt_in_shards(spark, payload_dir):
+    """Batches of 20 in shards of 5: other weights, one set of rows per batch."""
+    for family, models in FAMILIES.items():
+        store, root = new_store(spark, family)
+        stream_train(spark, payload_dir, root, clustering=family == CLUSTER_FAMILY, shard_rows=5).awaitTermination()
+        assert {(r.batch_no, r.model) for r in store.models().collect()} == {(b, m) for b in range(1, 5) for m in models}
+        assert store.train_log().agg(F.sum("n")).first()[0] == 80 * len(models)
+
+
 def test_reset_keeps_models(spark, payload_dir):
     store, _ = new_store(spark)
     Trainer(store, models=(NAIVE_BAYES,))(featurize(payload_rows(spark, payload_dir)).filter("batch_no = 1"), 0)
