@@ -102,7 +102,7 @@ class Runs:
         paths = [path for _, path in self._all()]
         for name, _ in self._all():
             self.spark.sql(f"DROP TABLE {name}")  # the files in the shared folder stay
-        return self.spark.read.parquet(*paths)
+        return self.spark.read.schema("h1 long, h2 long, keeper long").parquet(*paths)
 
     def _all(self) -> list[tuple[str, str]]:
         return [run for level in self.levels for run in level]

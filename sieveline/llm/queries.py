@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import chat_format, decontaminate, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, token_store
+from . import chat_format, decontaminate, licenses, line_dedup, mixing, quality, search, simhash, suffix_dedup, token_store
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -170,3 +170,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id is divisible by 20 asks, all documents answer."""
+    return search.top_k(load(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)

@@ -5,6 +5,7 @@ import random
 import pytest
 import xxhash
 
+from corpus_rows import rows_of  # noqa: F401
 from sieveline.llm import simhash
 
 
