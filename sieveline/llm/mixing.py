@@ -99,7 +99,9 @@ def multipliers(cells: DataFrame, sources: DataFrame, largest: float = LARGEST)
         words = F.col("n") * F.col("size")
         slope = F.when(rate < largest, words * rate * c).otherwise(0.0)
         summed = own.join(state.filter(~F.col("all")), "src").groupBy("src").agg(
-            F.sum(words * rate).alias("taken"), F.sum(slope).alias("slope")
+            # decimals add up to the same whatever the order, so reruns agree to the last digit
+            F.sum((words * rate).cast("decimal(38,9)")).cast("double").alias("taken"),
+            F.sum(slope.cast("decimal(38,9)")).cast("double").alias("slope"),
         )
         gap = F.col("taken") - F.col("target")
         low = F.when(gap < 0, F.col("multiplier")).otherwise(F.col("low"))
