@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 #: Rows of one numbering bucket, fewer if that leaves cores idle, and the number
-#: of buckets that may be broadcast (three numbers each: a few megabytes).
+#: of buckets that may be broadcast (three numbers each: a few megabytes).  These and
+#: the limits below decide the way rows are numbered, never the numbers.
 BUCKET_WIDTH = 1 << 16
 MAX_BUCKETS = 50_000
 #: Files whose batch counts may be broadcast; beyond it the join shuffles.
@@ -145,20 +146,24 @@ def full_batches(n_rows, batch_size: int):
     return F.floor(n_rows / batch_size) + extra
 
 
-def assign_batches(numbered: DataFrame, batch_size: int) -> DataFrame:
-    """Add ``batch_no`` (from 1) and ``row_in_batch`` (from 0) and drop the tail
-    that fills no batch."""
+def assign_batches(numbered: DataFrame, batch_size: int, keep_tail: bool = True) -> DataFrame:
+    """Add ``batch_no`` (from 1) and ``row_in_batch`` (from 0).
+
+    The rows left over make a short last batch; without ``keep_tail`` they are sent
+    or dropped by the rule of :func:`full_batches`.
+    """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
-    return numbered.withColumns({
+    batched = numbered.withColumns({
         "batch_no": F.floor(F.col("row_no") / batch_size) + 1,
         "row_in_batch": (F.col("row_no") % batch_size).cast("int"),
-    }).filter(F.col("batch_no") <= full_batches(F.col("n_rows"), batch_size))
+    })
+    return batched if keep_tail else batched.filter(F.col("batch_no") <= full_batches(F.col("n_rows"), batch_size))
 
 
-def batch_table(df: DataFrame, key: str, batch_size: int) -> DataFrame:
+def batch_table(df: DataFrame, key: str, batch_size: int, keep_tail: bool = True) -> DataFrame:
     """Batches of a table ordered by a unique integer key."""
-    return assign_batches(number_rows(df, key), batch_size)
+    return assign_batches(number_rows(df, key), batch_size, keep_tail)
 
 
 def replay_files(df: DataFrame, file_no: str, key: str, batch_size: int) -> DataFrame:
@@ -170,7 +175,7 @@ def replay_files(df: DataFrame, file_no: str, key: str, batch_size: int) -> Data
     if df.select(file_no).distinct().count() <= MAX_FILES:
         earlier = F.broadcast(earlier)  # two numbers per file
     return (
-        assign_batches(number_rows(df, key, within=file_no), batch_size)
+        assign_batches(number_rows(df, key, within=file_no), batch_size, keep_tail=False)
         .join(earlier, file_no)
         .withColumn("file_batch_no", F.col("batch_no"))
         .withColumn("batch_no", F.col("batch_no") + F.col("_earlier"))
@@ -179,7 +184,10 @@ def replay_files(df: DataFrame, file_no: str, key: str, batch_size: int) -> Data
 
 
 def replay_epochs(batched: DataFrame, batch_size: int, epochs: int) -> DataFrame:
-    """The whole batched table ``epochs`` times over, batch numbers running on."""
+    """The whole batched table, cut by the tail rule, ``epochs`` times over, batch
+    numbers running on; ``epochs`` is at least 1."""
+    if epochs < 1:
+        raise ValueError("epochs must be at least 1")
     return batched.withColumn(
         "epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
     ).withColumn(

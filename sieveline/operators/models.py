@@ -119,6 +119,12 @@ def score(rows: DataFrame, models: DataFrame, on: Sequence[str], broadcast: bool
     )
 
 
+def tested_checkpoints(last: int, every: int = 10) -> list[int]:
+    """Every tenth checkpoint and the last one: testing them all would take time that
+    grows with the square of the data."""
+    return sorted({*range(every, last + 1, every), last})
+
+
 def score_checkpoints(rows: DataFrame, models: DataFrame, checkpoints: Sequence[int]) -> DataFrame:
     """Rows scored by each listed checkpoint of each model, ``checkpoint`` added.
 

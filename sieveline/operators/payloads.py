@@ -116,6 +116,10 @@ def encode_lines(batched: DataFrame, line: str = "line") -> DataFrame:
 
 
 def decode_lines(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """``pos, line`` of line payloads, the newline kept."""
-    lines = payloads.select(*keep, F.posexplode_outer(F.from_json("payload", LINES)).alias("pos", "line"))
-    return lines.filter(F.col("pos").isNotNull())
+    """``pos, line`` of line payloads, the newline kept; ``pos`` counts through the
+    payload lines of a batch, by their ``first_row`` if they have one."""
+    first = F.coalesce("first_row", F.lit(0)) if "first_row" in payloads.columns else F.lit(0)
+    lines = payloads.select(
+        *keep, first.alias("first_row"), F.posexplode_outer(F.from_json("payload", LINES)).alias("pos", "line")
+    ).filter(F.col("pos").isNotNull())
+    return lines.select(*keep, (F.col("first_row") + F.col("pos")).alias("pos"), "line")

@@ -1,15 +1,15 @@
-"""Learners that go through rows one after another, in bounded shards.
-
-A batch is dealt into shards of at most ``SHARD_ROWS`` rows by its row numbers.
-Every shard starts from the current model, makes one pass over its rows in
-order, and the parameters are averaged by shard size (parameter mixing, McDonald
-et al. 2010; Zinkevich et al. 2010).  A batch that fits one shard is learnt
-strictly in row order.  The number of shards follows from the batch alone, so
-results do not depend on the cluster.
+"""Learners that go through rows one after another, in a stated number of shards.
+
+A batch is dealt into ``shards`` by its row numbers.  Every shard starts from the
+current model, makes one pass over its rows in order, and the parameters are averaged
+by shard size (parameter mixing, McDonald et al. 2010; Zinkevich et al. 2010).  One
+shard is the sequential rule itself.  The number is an argument that is kept with
+the models; neither the size of a batch nor the cluster has a part in the results.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import N_BUCKETS
 from . import kmeans
-from .models import CLUSTERING, HIDDEN_UNITS, LOGISTIC, MLP, PERCEPTRON, TIE
+from .models import CLUSTERING, HIDDEN_UNITS, LOGISTIC, MLP, PERCEPTRON
 
-SHARD_ROWS = 8192
+SHARDS = 4
 
 # Settings of the learners.
 LOGISTIC_STEP, L2 = 0.01, 1e-4
@@ -117,100 +117,89 @@ def _network_gradient(params: np.ndarray, rows, y) -> np.ndarray:
     return np.concatenate([grad_hidden.ravel(), grad_output]) / n
 
 
-def clustering_pass(state: ModelState, rows, y) -> ModelState:
-    """Assign a whole batch to the nearer centre, then move the centres.  Exact
-    only for a batch that one shard holds; ``kmeans.update`` does any size."""
-    sizes, centres = state.params[:2].copy(), state.params[2:].reshape(2, N_BUCKETS)
-    toward = 2 * (centres[1] - centres[0])
-    bias = centres[0] @ centres[0] - centres[1] @ centres[1]
-    sums = sizes[:, None] * centres
-    for buckets, x in rows:
-        k = int(bias + x @ toward[buckets] > TIE)
-        sums[k, buckets] += x
-        sizes[k] += 1
-    moved = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centres)
-    return replace(state, params=np.concatenate([sizes, moved.ravel()]))
-
+PASSES = {LOGISTIC: logistic_pass, PERCEPTRON: perceptron_pass, MLP: network_pass}
 
-PASSES = {
-    LOGISTIC: logistic_pass, PERCEPTRON: perceptron_pass, MLP: network_pass, CLUSTERING: clustering_pass,
-}
+#: Rows that a shard holds at a time: whole mini-batches of the network.
+PIECE = 10 * MLP_BATCH
 
 
 def fit_batches(
-    rows: DataFrame,
-    states: dict[str, ModelState],
-    sizes: dict[int, int],
-    shard_rows: int = SHARD_ROWS,
+    rows: DataFrame, states: dict[str, ModelState], order: Sequence[int], shards: int = SHARDS
 ) -> dict[int, dict[str, ModelState]]:
-    """The given models after each batch, batches taken in the order of their numbers.
-
-    The clusterer may be among them: large batches then use its own update.
+    """The given models after each batch, batches taken in ``order``.
 
-    ``rows`` has ``batch_no, row_in_batch, y, features``; ``sizes`` says how many
-    rows each batch has.  Consecutive batches that fit one shard together are
-    learnt by one task, a batch that does not is spread over several.
+    ``rows`` has ``batch_no, row_in_batch, y, features``.  The clusterer may be among
+    the models; its update needs no order and is summed up by all tasks.  One shard
+    learns all batches in one pass; more shards meet after every batch.
     """
-    after: dict[int, dict[str, ModelState]] = {}
-    for group in _groups(sizes, shard_rows):
-        part = rows.filter(F.col("batch_no").isin(group))
-        n_rows = sum(sizes[b] for b in group)
-        if n_rows <= shard_rows:
-            after.update(_in_order(part, states))
-        else:
-            after[group[0]] = _spread(part, states, group[0], -(-n_rows // shard_rows))
-        states = after[group[-1]]
+    if shards < 1:
+        raise ValueError("shards must be at least 1")
+    after: dict[int, dict[str, ModelState]] = {batch_no: {} for batch_no in order}
+    if CLUSTERING in states:
+        params = states[CLUSTERING].params
+        for batch_no in order:
+            params = kmeans.update(rows.filter(F.col("batch_no") == batch_no), params, batch_no)
+            after[batch_no][CLUSTERING] = ModelState(params)
+    mixed = {m: s for m, s in states.items() if m != CLUSTERING}
+    if mixed and shards == 1:
+        for r in _learn(rows, mixed, 1).collect():
+            after[r.batch_no][r.model] = _state(r.model, r.steps, r.numbers)
+    elif mixed:
+        for batch_no in order:
+            mixed = _average(_learn(rows.filter(F.col("batch_no") == batch_no), mixed, shards).collect())
+            after[batch_no].update(mixed)
     return after
 
 
-def fit_batch(
-    rows: DataFrame, states: dict[str, ModelState], n_rows: int, shard_rows: int = SHARD_ROWS
-) -> dict[str, ModelState]:
+def fit_batch(rows: DataFrame, states: dict[str, ModelState], shards: int = SHARDS) -> dict[str, ModelState]:
     """:func:`fit_batches` for a table that is one batch."""
     one = rows.withColumn("batch_no", F.lit(1).cast("long"))
-    return fit_batches(one, states, {1: n_rows}, shard_rows)[1]
-
-
-def _groups(sizes: dict[int, int], shard_rows: int) -> list[list[int]]:
-    """Runs of consecutive batches that fit a shard; larger batches stand alone."""
-    groups: list[list[int]] = []
-    room = 0
-    for batch_no in sorted(sizes):
-        if sizes[batch_no] <= room:
-            groups[-1].append(batch_no)
-            room -= sizes[batch_no]
-        else:
-            groups.append([batch_no])
-            room = shard_rows - sizes[batch_no]
-    return groups
+    return fit_batches(one, states, [1], shards)[1]
 
 
 def _learn(rows: DataFrame, states: dict[str, ModelState], shards: int) -> DataFrame:
-    """One pass of every model over every shard, all in one shuffle.
+    """Every model after one pass over each shard and batch, all in one shuffle.
 
-    The models are small and travel to the shards with the task.
+    The models are small and travel with the tasks.  A shard's rows stream by in
+    order and are taken in pieces, so a task holds a piece whatever the batch size.
     """
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        current, results = dict(states), []
-        for batch_no, batch in pdf.sort_values(["batch_no", "row_in_batch"]).groupby("batch_no"):
-            y = batch["y"].to_numpy()
-            data = [
-                (np.asarray(b, dtype=np.int64), np.asarray(x, dtype=float))
-                for b, x in zip(batch["buckets"], batch["xs"])
-            ]
-            current = {m: PASSES[m](s, data, y) for m, s in current.items()}
-            results += [
-                (batch_no, m, len(batch), s.steps, np.concatenate([s.params, s.moments])) for m, s in current.items()
-            ]
-        return pd.DataFrame(results, columns=["batch_no", "model", "n", "steps", "numbers"])
-
-    return (
-        rows.select(
-            F.pmod("row_in_batch", F.lit(shards)).alias("shard"), "batch_no", "row_in_batch", "y",
-            F.col("features.bucket").alias("buckets"), F.col("features.x").alias("xs"),
+    def learn(frames):
+        at, current, held, n = None, {}, [], 0
+        for frame in frames:
+            for shard, batch_no, y, buckets, xs in frame.itertuples(index=False, name=None):
+                if (shard, batch_no) != at:
+                    if at is not None:
+                        current = take(current, held)
+                        yield report(at, current, n)
+                    if at is None or shard != at[0]:
+                        current = dict(states)
+                    at, held, n = (shard, batch_no), [], 0
+                held.append((np.asarray(buckets, dtype=np.int64), np.asarray(xs, dtype=float), y))
+                n += 1
+                if len(held) == PIECE:
+                    current, held = take(current, held), []
+        if at is not None:
+            yield report(at, take(current, held), n)
+
+    def take(current, held):
+        if not held:
+            return current
+        data, y = [(b, x) for b, x, _ in held], np.array([y for _, _, y in held])
+        return {m: PASSES[m](s, data, y) for m, s in current.items()}
+
+    def report(at, current, n):
+        return pd.DataFrame(
+            [(*at, m, n, s.steps, np.concatenate([s.params, s.moments])) for m, s in current.items()],
+            columns=["shard", "batch_no", "model", "n", "steps", "numbers"],
         )
-        .groupBy("shard")
-        .applyInPandas(learn, "batch_no long, model string, n long, steps long, numbers array<double>")
+
+    dealt = rows.select(
+        F.pmod("row_in_batch", F.lit(shards)).cast("int").alias("shard"), "batch_no", "row_in_batch", "y",
+        F.col("features.bucket").alias("buckets"), F.col("features.x").alias("xs"),
+    )
+    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "batch_no", "row_in_batch")
+    return dealt.drop("row_in_batch").mapInPandas(
+        learn, "shard int, batch_no long, model string, n long, steps long, numbers array<double>"
     )
 
 
@@ -220,36 +209,13 @@ def _state(model: str, steps: int, numbers) -> ModelState:
     return ModelState(numbers[:size], numbers[size:], steps)
 
 
-def _in_order(rows: DataFrame, states: dict[str, ModelState]) -> dict[int, dict[str, ModelState]]:
-    """Models after each of a few small batches: at most ``SHARD_ROWS`` rows in all."""
-    after: dict[int, dict[str, ModelState]] = {}
-    for r in _learn(rows, states, 1).collect():
-        after.setdefault(r.batch_no, {})[r.model] = _state(r.model, r.steps, r.numbers)
-    return after
-
-
-def _spread(rows: DataFrame, states: dict[str, ModelState], batch_no: int, shards: int) -> dict[str, ModelState]:
-    """Models after one batch of any size."""
-    after = {}
-    if CLUSTERING in states:
-        after[CLUSTERING] = ModelState(kmeans.update(rows, states[CLUSTERING].params, batch_no))
-    mixed = {m: s for m, s in states.items() if m != CLUSTERING}
-    if mixed:
-        after.update(_average(_learn(rows, mixed, shards)))
-    return after
-
-
-def _average(parts: DataFrame) -> dict[str, ModelState]:
-    """Mean of the shards' numbers, weighted by rows, number by number."""
-    means = (
-        parts.select("model", "n", "steps", F.posexplode("numbers").alias("pos", "v"))
-        .groupBy("model", "pos")
-        .agg((F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("v"), F.max("steps").alias("steps"))
-        .groupBy("model")
-        .agg(
-            F.max("steps").alias("steps"),
-            F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("numbers"),
-        )
-        .select("model", "steps", F.col("numbers.v").alias("numbers"))
-    )
-    return {r.model: _state(r.model, r.steps, r.numbers) for r in means.collect()}
+def _average(parts: list) -> dict[str, ModelState]:
+    """Mean of the shards' numbers, weighted by rows, added up in order of the shards:
+    as many rows of a few thousand numbers as there are shards."""
+    mean: dict[str, ModelState] = {}
+    for model in sorted({r.model for r in parts}):
+        own = sorted((r for r in parts if r.model == model), key=lambda r: r.shard)
+        n = sum(r.n for r in own)
+        numbers = sum(r.n * np.array(r.numbers) for r in own) / n
+        mean[model] = _state(model, round(sum(r.n * r.steps for r in own) / n), numbers)
+    return mean

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from ..operators.batching import batch_table
 from ..operators.features import featurize
-from ..operators.models import score_checkpoints
+from ..operators.models import score_checkpoints, tested_checkpoints
 from ..operators.naive_bayes import cumulative_models
 from ..operators.payloads import encode_columnar
 from ..session import materialize, work_dir
 from ..sources.replay import write_payloads
-from ..sources.tables import labelled_messages
+from ..sources.tables import dataset_split, labelled_messages
 from ..streaming.scoring import stream_test
 from ..streaming.store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FINAL, Store
 from ..streaming.train import stream_train
@@ -35,21 +35,27 @@ def _once(spark: SparkSession, name: str, sf_dir: str, batch: int, build: Callab
     return _built[key]
 
 
-def batched_messages(spark: SparkSession, sf_dir: str, batch: int = BATCH) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
+    """The labelled messages of the ``train`` or the ``test`` file, or of ``both``."""
+    rows = labelled_messages(spark, sf_dir)
+    return rows if part == "both" else dataset_split(rows, part)
+
+
+def batched_messages(spark: SparkSession, sf_dir: str, batch: int = BATCH, part: str = "both") -> DataFrame:
     """Labelled messages in batches, text and all."""
-    return batch_table(labelled_messages(spark, sf_dir), "row_id", batch)
+    return batch_table(messages(spark, sf_dir, part), "row_id", batch)
 
 
-def batched_features(spark: SparkSession, sf_dir: str, batch: int = BATCH) -> DataFrame:
+def batched_features(spark: SparkSession, sf_dir: str, batch: int = BATCH, part: str = "train") -> DataFrame:
     """``row_id, y, features, row_no, batch_no, row_in_batch`` of the labelled messages.
 
     Features are computed where the text is read; only vectors are shuffled into
     batch order.
     """
     def build() -> DataFrame:
-        return materialize(batch_table(featurize(labelled_messages(spark, sf_dir)), "row_id", batch), "features")
+        return materialize(batch_table(featurize(messages(spark, sf_dir, part)), "row_id", batch), "features")
 
-    return _once(spark, "features", sf_dir, batch, build)
+    return _once(spark, f"features-{part}", sf_dir, batch, build)
 
 
 def naive_bayes_models(spark: SparkSession, sf_dir: str, batch: int = BATCH) -> DataFrame:
@@ -59,14 +65,14 @@ def naive_bayes_models(spark: SparkSession, sf_dir: str, batch: int = BATCH) ->
     return cumulative_models(rows, n_batches)
 
 
-def payload_folder(spark: SparkSession, sf_dir: str, batch: int = BATCH) -> str:
+def payload_folder(spark: SparkSession, sf_dir: str, batch: int = BATCH, part: str = "train") -> str:
     """The labelled messages as a folder of payload files."""
     def build() -> str:
         path = work_dir(spark, "payloads")
-        write_payloads(encode_columnar(batched_messages(spark, sf_dir, batch)), path)
+        write_payloads(encode_columnar(batched_messages(spark, sf_dir, batch, part)), path)
         return path
 
-    return _once(spark, "payloads", sf_dir, batch, build)
+    return _once(spark, f"payloads-{part}", sf_dir, batch, build)
 
 
 def trained(spark: SparkSession, sf_dir: str, family: str = CLASSIFIER_FAMILY, batch: int = BATCH) -> Store:
@@ -75,7 +81,8 @@ def trained(spark: SparkSession, sf_dir: str, family: str = CLASSIFIER_FAMILY, b
         store = Store(spark, work_dir(spark, "run"), family)
         store.create()
         stream_train(
-            spark, payload_folder(spark, sf_dir, batch), store.root, clustering=family == CLUSTER_FAMILY
+            spark, payload_folder(spark, sf_dir, batch), store.root, clustering=family == CLUSTER_FAMILY,
+            shards=1,  # the sequential rule, which SQL can follow row by row
         ).awaitTermination()
         return store
 
@@ -83,11 +90,11 @@ def trained(spark: SparkSession, sf_dir: str, family: str = CLASSIFIER_FAMILY, b
 
 
 def tested(spark: SparkSession, sf_dir: str, family: str = CLASSIFIER_FAMILY, batch: int = BATCH) -> Store:
-    """The same store after a test stream with the final models."""
+    """The same store after a test stream of held-out messages with the final models."""
     def build() -> Store:
         store = trained(spark, sf_dir, family, batch)
         stream_test(
-            spark, payload_folder(spark, sf_dir, batch), store.root,
+            spark, payload_folder(spark, sf_dir, batch, "test"), store.root,
             clustering=family == CLUSTER_FAMILY, model_num=FINAL,
         ).awaitTermination()
         return store
@@ -95,12 +102,14 @@ def tested(spark: SparkSession, sf_dir: str, family: str = CLASSIFIER_FAMILY, ba
     return _once(spark, f"tested-{family}", sf_dir, batch, build)
 
 
-def checkpoint_predictions(spark: SparkSession, sf_dir: str, family: str, batch: int = BATCH) -> DataFrame:
-    """Every row scored by every checkpoint of a family: the logs of a test run
-    per checkpoint, in one table."""
+def checkpoint_predictions(
+    spark: SparkSession, sf_dir: str, family: str, batch: int = BATCH, every: int = 2
+) -> DataFrame:
+    """Every held-out row scored by the checkpoints of a family that are tested: the
+    logs of a test run per checkpoint, in one table."""
     store = trained(spark, sf_dir, family, batch)
     last = store.last_batch()
-    rows = batched_features(spark, sf_dir, batch).select("row_id", "batch_no", "y", "features")
-    return score_checkpoints(rows, store.models(), range(1, last + 1)).withColumn(
+    rows = batched_features(spark, sf_dir, batch, "test").select("row_id", "batch_no", "y", "features")
+    return score_checkpoints(rows, store.models(), tested_checkpoints(last, every)).withColumn(
         "is_final", F.col("checkpoint") == last
     )

@@ -6,6 +6,9 @@ from .oracle_parts import BATCH, CLEAN, batched, confusion, statement
 
 SQL: dict[str, str] = {}
 
+#: The checkpoints that are tested: every second one and the last.
+TESTED = "checkpoint > 0 AND (checkpoint % 2 = 0 OR checkpoint = (SELECT max(batch_no) FROM rows))"
+
 
 def sql(name: str, select: str, *needs: str) -> None:
     SQL[name] = statement(select, *needs)
@@ -53,12 +56,12 @@ SELECT m.row_id, CASE WHEN m.feature2 = 'spam' THEN 1 ELSE 0 END AS y, x.bucket,
 FROM mail m JOIN mail_x x ON m.row_id = x.row_id""", "mail", "mail_x")
 sql("dense_vector", """
 SELECT r.row_id, CAST(b.bucket AS INTEGER) AS bucket, round(coalesce(f.x, 0.0), 6) AS x
-FROM rows r JOIN (SELECT unnest(range(512)) AS bucket) b ON true
-LEFT JOIN features f ON f.row_id = r.row_id AND f.bucket = b.bucket""", "rows", "features")
+FROM all_rows r JOIN (SELECT unnest(range(512)) AS bucket) b ON true
+LEFT JOIN all_features f ON f.row_id = r.row_id AND f.bucket = b.bucket""", "all_rows", "all_features")
 
-sql("batch_assign", f"SELECT row_id, row_no, batch_no, row_in_batch FROM ({batched('mail', 'row_id', BATCH)})", "mail")
-sql("batch_assign_events", f"SELECT event_id, row_no, batch_no, row_in_batch FROM ({batched('events', 'ts, event_id', 1000)})")
-sql("batch_assign_orders", f"SELECT o_orderkey, batch_no, row_in_batch FROM ({batched('orders', 'o_orderkey', 1024)})")
+sql("batch_assign", f"SELECT row_id, row_no, batch_no, row_in_batch FROM ({batched('mail', 'row_id', BATCH, True)})", "mail")
+sql("batch_assign_events", f"SELECT event_id, row_no, batch_no, row_in_batch FROM ({batched('events', 'ts, event_id', 1000, True)})")
+sql("batch_assign_orders", f"SELECT o_orderkey, batch_no, row_in_batch FROM ({batched('orders', 'o_orderkey', 1024, True)})")
 SQL["replay_files_in_order"] = """
 WITH numbered AS (
   SELECT doc_id, CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS file_no,
@@ -73,9 +76,9 @@ FROM cut JOIN (
   FROM (SELECT file_no, max(file_batch_no) AS batches FROM cut GROUP BY file_no)) USING (file_no)"""
 sql("replay_epochs_twice", f"""
 SELECT doc_id, epoch, CAST(batch_no + epoch * max(batch_no) OVER () AS BIGINT) AS batch_no, row_in_batch
-FROM ({batched('labels', 'doc_id', 50)}), (SELECT CAST(unnest([0, 1]) AS INTEGER) AS epoch)""")
+FROM ({batched('labels', 'doc_id', 50, True)}), (SELECT CAST(unnest([0, 1]) AS INTEGER) AS epoch)""")
 sql("dataset_select", "SELECT row_id, CASE WHEN row_id % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM mail", "mail")
-sql("batch_sizes", "SELECT batch_no, count(*) AS n, string_agg(DISTINCT y, ',' ORDER BY y) AS labels FROM rows GROUP BY batch_no", "rows")
+sql("batch_sizes", "SELECT batch_no, count(*) AS n, string_agg(DISTINCT y, ',' ORDER BY y) AS labels FROM all_rows GROUP BY batch_no", "all_rows")
 
 _messages = f"SELECT batch_no, row_in_batch, feature0, feature1, feature2 FROM ({batched('mail', 'row_id', BATCH)})"
 sql("columnar_roundtrip", _messages, "mail")
@@ -150,13 +153,13 @@ for _name, _model in (("logreg", "logistic"), ("perceptron", "perceptron")):
     sql(f"{_name}_weights", f"""
 SELECT batch_no, -1 AS bucket, round(b, 6) AS value FROM {_model}_models
 UNION ALL SELECT batch_no, CAST(k AS INTEGER), round(w[k + 1], 6) FROM {_model}_models, (SELECT unnest(range(512)) AS k)""", f"{_model}_models")
-    sql(f"{_name}_predict", f"SELECT row_id, checkpoint, truth, prediction FROM {_model}_predictions", f"{_model}_predictions")
+    sql(f"{_name}_predict", f"SELECT row_id, checkpoint, truth, prediction FROM {_model}_test_predictions WHERE {TESTED}", f"{_model}_test_predictions", "rows")
 
 sql("sharded_fit", " UNION ALL ".join(
     f"SELECT '{model}' AS model, CAST(n AS BIGINT) AS n, CAST(pos AS INTEGER) AS pos, round(value, 6) AS value FROM {name}_mean"
     for model, name in (("SGD Classifier", "logistic"), ("Perceptron", "perceptron"))
 ), "logistic_mean", "perceptron_mean")
-sql("mlp_predict", "SELECT row_id, checkpoint, truth, prediction FROM network_predictions", "network_predictions")
+sql("mlp_predict", f"SELECT row_id, checkpoint, truth, prediction FROM network_test_predictions WHERE {TESTED}", "network_test_predictions", "rows")
 sql("mlp_weights", """
 SELECT batch_no, CAST(k * 513 + j AS INTEGER) AS pos, round(w1[k + 1][j + 1], 6) AS value
 FROM network_run, (SELECT unnest(range(15)) AS k), (SELECT unnest(range(513)) AS j) WHERE batch_no > 0
@@ -167,10 +170,10 @@ sql("mlp_stream", f"{_LOG} FROM ({confusion('(SELECT * FROM network_predictions
 _FINAL = "(SELECT * FROM {} WHERE checkpoint = (SELECT max(batch_no) FROM rows))"
 sql("stream_test_log", f"""
 SELECT p.model, p.batch_no, r.row_in_batch, p.prediction, p.truth
-FROM {_FINAL.format('predictions')} p JOIN rows r ON p.row_id = r.row_id""", "predictions", "rows")
+FROM {_FINAL.format('test_predictions')} p JOIN test_rows r ON p.row_id = r.row_id""", "test_predictions", "test_rows", "rows")
 sql("cluster_test_log", f"""
 SELECT p.model, p.batch_no, r.row_in_batch, p.prediction, p.truth
-FROM {_FINAL.format('kmeans_predictions')} p JOIN rows r ON p.row_id = r.row_id""", "kmeans_predictions", "rows")
+FROM {_FINAL.format('kmeans_test_predictions')} p JOIN test_rows r ON p.row_id = r.row_id""", "kmeans_test_predictions", "test_rows", "rows")
 sql("model_latest", """
 SELECT m.model, (SELECT max(batch_no) FROM rows) AS batch_no, CAST(m.n AS INTEGER) AS n_params
 FROM (VALUES ('Multinomial Naive Bayes', 2 + 2 * 512), ('SGD Classifier', 1 + 512), ('Perceptron', 1 + 512),
@@ -194,19 +197,21 @@ def curve(table: str, *keys: str) -> str:
 sql("train_curve_long", curve(_TRAIN, "model", "batch_no"), "predictions")
 sql("train_curve_one_model", f"SELECT * EXCLUDE (model) FROM ({curve(_TRAIN, 'model', 'batch_no')}) WHERE model = 'Perceptron'", "predictions")
 sql("train_curve_pivot", "SELECT metric, batch_no, " + ", ".join(
-    f"""max(value) FILTER (model = '{m}') AS "{m}" """ for m in ("Multinomial Naive Bayes", "SGD Classifier", "Perceptron")
+    f"""max(value) FILTER (model = '{m}') AS "{m}" """ for m in ("Multinomial Naive Bayes", "SGD Classifier", "Perceptron", "Multi Layer Perceptron")
 ) + f"FROM ({curve(_TRAIN, 'model', 'batch_no')}) GROUP BY metric, batch_no", "predictions")
 sql("test_accuracy_bar", f"""
 SELECT model, round(accuracy, 6) AS accuracy, floor(accuracy * 1000) / 1000.0 AS bar_label
-FROM ({confusion(_FINAL.format('predictions'), 'model')})""", "predictions", "rows")
+FROM ({confusion(_FINAL.format('test_predictions'), 'model')})""", "test_predictions", "rows")
 sql("test_curve", curve(
-    "(SELECT *, 1 AS polarity FROM predictions WHERE checkpoint < (SELECT max(batch_no) FROM rows))", "model", "polarity", "checkpoint"
-), "predictions", "rows")
+    f"(SELECT *, 1 AS polarity FROM test_predictions WHERE {TESTED} AND checkpoint < (SELECT max(batch_no) FROM rows))",
+    "model", "polarity", "checkpoint"), "test_predictions", "rows")
 sql("test_curve_clustering", curve(
-    "(SELECT *, 1 AS polarity FROM kmeans_predictions WHERE checkpoint > 0 UNION ALL "
-    "SELECT * REPLACE (1 - prediction AS prediction), 0 FROM kmeans_predictions WHERE checkpoint > 0)",
-    "model", "polarity", "checkpoint"), "kmeans_predictions")
-sql("mlp_test_curve", curve("(SELECT *, 1 AS polarity FROM network_predictions)", "model", "polarity", "checkpoint"), "network_predictions")
+    f"(SELECT *, 1 AS polarity FROM kmeans_test_predictions WHERE {TESTED} UNION ALL "
+    f"SELECT * REPLACE (1 - prediction AS prediction), 0 FROM kmeans_test_predictions WHERE {TESTED})",
+    "model", "polarity", "checkpoint"), "kmeans_test_predictions", "rows")
+sql("mlp_test_curve", curve(
+    f"(SELECT *, 1 AS polarity FROM network_test_predictions WHERE {TESTED})", "model", "polarity", "checkpoint"
+), "network_test_predictions", "rows")
 sql("preview5", f"""
 SELECT model, batch_no, round(accuracy, 6) AS accuracy FROM ({confusion(_TRAIN, 'model', 'batch_no')})
 WHERE model = 'Perceptron' ORDER BY batch_no LIMIT 5""", "predictions")
@@ -217,5 +222,13 @@ sql("csv_cluster_log", f"SELECT * EXCLUDE (n) FROM ({dual('(SELECT * FROM kmeans
 sql("checkpoint_number", f"""
 SELECT model, CAST(checkpoint AS INTEGER) AS checkpoint, checkpoint = (SELECT max(batch_no) FROM rows) AS is_final,
        count(*) AS n, count(*) FILTER (truth = prediction) AS hits
-FROM (SELECT * FROM {_FINAL.format('predictions')} UNION ALL SELECT * FROM kmeans_predictions WHERE checkpoint > 0)
-GROUP BY model, checkpoint""", "predictions", "kmeans_predictions", "rows")
+FROM (SELECT * FROM {_FINAL.format('test_predictions')} UNION ALL SELECT * FROM kmeans_test_predictions WHERE {TESTED})
+GROUP BY model, checkpoint""", "test_predictions", "kmeans_test_predictions", "rows")
+sql("model_number", """
+SELECT model, checkpoint, row_id, prediction, truth FROM test_predictions WHERE checkpoint = 2""", "test_predictions")
+sql("test_after_reset", """
+SELECT 'Multinomial Naive Bayes' AS model, p.batch_no, r.row_in_batch, p.prediction, p.truth
+FROM nb_test_predictions p JOIN test_rows r ON p.row_id = r.row_id
+WHERE checkpoint = (SELECT max(batch_no) FROM rows)""", "nb_test_predictions", "test_rows", "rows")
+for _name in ("csv_to_log", "plain_stream_log"):
+    SQL[_name] = SQL["nb_train_metrics"]

@@ -183,19 +183,23 @@ add_tokens("doc", "texts")
 add_tokens("mail", "mail_texts")
 
 
-def batched(table: str, order: str, size: int, columns: str = "*") -> str:
-    """Batches of a table by the tail rule."""
+def batched(table: str, order: str, size: int, tail_rule: bool = False) -> str:
+    """Batches of a table, the last one as short as it may be, or cut by the tail rule."""
+    kept = f"row_no < n_rows - n_rows % {size} OR (n_rows % {size} = {size} - 1 AND {size} > 1)" if tail_rule else "true"
     return f"""
 SELECT *, CAST(row_no // {size} + 1 AS BIGINT) AS batch_no, CAST(row_no % {size} AS INTEGER) AS row_in_batch
-FROM (SELECT {columns}, row_number() OVER (ORDER BY {order}) - 1 AS row_no, count(*) OVER () AS n_rows FROM {table})
-WHERE row_no < n_rows - n_rows % {size} OR (n_rows % {size} = {size} - 1 AND {size} > 1)"""
+FROM (SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS row_no, count(*) OVER () AS n_rows FROM {table})
+WHERE {kept}"""
 
 
-part("rows", f"""
+# All messages, those of the training file (no prefix) and the held-out ones.
+for _prefix, _where in (("all_", "true"), ("", "row_id % 5 <> 0"), ("test_", "row_id % 5 = 0")):
+    part(f"{_prefix}rows", f"""
 SELECT row_id, batch_no, row_in_batch, CASE WHEN feature2 = 'spam' THEN 1 ELSE 0 END AS y
-FROM ({batched('mail', 'row_id', BATCH)})""", "mail")
+FROM ({batched(f'(SELECT * FROM mail WHERE {_where})', 'row_id', BATCH)})""", "mail")
+    part(f"{_prefix}features", f"""
+SELECT r.*, x.bucket, x.x FROM {_prefix}rows r JOIN mail_x x ON r.row_id = x.row_id""", f"{_prefix}rows", "mail_x")
 part("batches", "SELECT DISTINCT batch_no FROM rows", "rows")
-part("features", "SELECT r.*, x.bucket, x.x FROM rows r JOIN mail_x x ON r.row_id = x.row_id", "rows", "mail_x")
 
 # Naive Bayes after every batch.
 
@@ -215,30 +219,32 @@ SELECT r.batch_no, r.y, r.bucket,
        ln(r.s + 1) - ln(sum(r.s + 1) OVER (PARTITION BY r.batch_no, r.y)) AS log_likelihood
 FROM nb_running r JOIN nb_sizes z ON r.batch_no = z.batch_no AND r.y = z.y""", "nb_running", "nb_sizes")
 # Scores of every row under the model of every batch.
-part("nb_scores", """
+for _prefix in ("", "test_"):
+    part(f"nb_{_prefix}scores", f"""
 SELECT r.row_id, r.batch_no, r.y AS truth, p.batch_no AS checkpoint, p.y,
        p.log_prior + coalesce(sum(f.x * m.log_likelihood), 0) AS score
-FROM rows r
+FROM {_prefix}rows r
 JOIN (SELECT DISTINCT batch_no, y, log_prior FROM nb_models) p ON true
-LEFT JOIN features f ON f.row_id = r.row_id
+LEFT JOIN {_prefix}features f ON f.row_id = r.row_id
 LEFT JOIN nb_models m ON m.batch_no = p.batch_no AND m.y = p.y AND m.bucket = f.bucket
-GROUP BY r.row_id, r.batch_no, r.y, p.batch_no, p.y, p.log_prior""", "rows", "features", "nb_models")
-part("nb_predictions", """
+GROUP BY r.row_id, r.batch_no, r.y, p.batch_no, p.y, p.log_prior""", f"{_prefix}rows", f"{_prefix}features", "nb_models")
+    part(f"nb_{_prefix}predictions", f"""
 SELECT row_id, batch_no, checkpoint, truth,
        max(score) FILTER (y = 1) - max(score) FILTER (y = 0) AS decision,
        CASE WHEN max(score) FILTER (y = 1) IS NULL THEN 0
             WHEN max(score) FILTER (y = 0) IS NULL THEN 1
             WHEN max(score) FILTER (y = 1) - max(score) FILTER (y = 0) > 1e-9 THEN 1 ELSE 0 END AS prediction
-FROM nb_scores GROUP BY 1, 2, 3, 4""", "nb_scores")
+FROM nb_{_prefix}scores GROUP BY 1, 2, 3, 4""", f"nb_{_prefix}scores")
 
 # Dense rows in training order, for the learners that go row by row.
 
-part("dense", """
+for _prefix in ("", "test_"):
+    part(f"{_prefix}dense", f"""
 SELECT r.batch_no, r.row_in_batch, r.row_id, r.y, row_number() OVER (ORDER BY r.row_id) AS i,
        list(coalesce(f.x, 0.0) ORDER BY b.bucket) AS v
-FROM rows r JOIN (SELECT unnest(range(512)) AS bucket) b ON true
-LEFT JOIN features f ON f.row_id = r.row_id AND f.bucket = b.bucket
-GROUP BY r.batch_no, r.row_in_batch, r.row_id, r.y""", "rows", "features")
+FROM {_prefix}rows r JOIN (SELECT unnest(range(512)) AS bucket) b ON true
+LEFT JOIN {_prefix}features f ON f.row_id = r.row_id AND f.bucket = b.bucket
+GROUP BY r.batch_no, r.row_in_batch, r.row_id, r.y""", f"{_prefix}rows", f"{_prefix}features")
 
 ZEROS = "list_transform(range(512), lambda j: 0.0::DOUBLE)"
 
@@ -258,10 +264,11 @@ FROM (SELECT d.i, d.batch_no, d.v, r.w, r.b,
 for _model in ("logistic", "perceptron"):
     part(f"{_model}_models", f"""
 SELECT batch_no, w, b FROM {_model}_run WHERE i IN (SELECT max(i) FROM dense GROUP BY batch_no)""", f"{_model}_run", "dense")
-    part(f"{_model}_predictions", f"""
+    for _prefix in ("", "test_"):
+        part(f"{_model}_{_prefix}predictions", f"""
 SELECT d.row_id, d.batch_no, m.batch_no AS checkpoint, d.y AS truth,
        CASE WHEN list_dot_product(m.w, d.v) + m.b > 1e-9 THEN 1 ELSE 0 END AS prediction
-FROM dense d JOIN {_model}_models m ON true""", "dense", f"{_model}_models")
+FROM {_prefix}dense d JOIN {_model}_models m ON true""", f"{_prefix}dense", f"{_model}_models")
 
 # The whole table as one batch, dealt into shards that each learn from zero.
 part("mail_vectors", """
@@ -272,7 +279,7 @@ JOIN (SELECT unnest(range(512)) AS bucket) b ON true
 LEFT JOIN mail_x x ON x.row_id = m.row_id AND x.bucket = b.bucket GROUP BY m.row_id, m.y)""", "mail", "mail_x")
 part("shard_rows", """
 SELECT shard, row_number() OVER (PARTITION BY shard ORDER BY row_no) AS i, y, v
-FROM (SELECT *, row_no % CAST(ceil(n / least(8192, greatest(64, ceil(n / 8)))) AS BIGINT) AS shard FROM mail_vectors)""", "mail_vectors")
+FROM (SELECT *, row_no % 8 AS shard FROM mail_vectors)""", "mail_vectors")
 for _model, _error, _keep in (
     ("logistic", "0.01 * (1 / (1 + exp(-z)) - y)", "1 - 0.01 * 0.0001"),
     ("perceptron", "CASE WHEN (2 * y - 1) * z <= 0 THEN 1 - 2 * y ELSE 0 END", "1"),
@@ -290,12 +297,14 @@ FROM {_model}_shards JOIN (SELECT shard, max(i) AS size FROM shard_rows GROUP BY
      (SELECT unnest(range(513)) AS pos)
 WHERE i = size GROUP BY pos""", f"{_model}_shards")
 
-# Predictions of all three by row and checkpoint.
-part("predictions", """
-SELECT 'Multinomial Naive Bayes' AS model, row_id, batch_no, checkpoint, truth, prediction FROM nb_predictions
-UNION ALL SELECT 'SGD Classifier', row_id, batch_no, checkpoint, truth, prediction FROM logistic_predictions
-UNION ALL SELECT 'Perceptron', row_id, batch_no, checkpoint, truth, prediction FROM perceptron_predictions""",
-     "nb_predictions", "logistic_predictions", "perceptron_predictions")
+# Predictions of all four by row and checkpoint.
+for _prefix in ("", "test_"):
+    part(f"{_prefix}predictions", f"""
+SELECT 'Multinomial Naive Bayes' AS model, row_id, batch_no, checkpoint, truth, prediction FROM nb_{_prefix}predictions
+UNION ALL SELECT 'SGD Classifier', row_id, batch_no, checkpoint, truth, prediction FROM logistic_{_prefix}predictions
+UNION ALL SELECT 'Perceptron', row_id, batch_no, checkpoint, truth, prediction FROM perceptron_{_prefix}predictions
+UNION ALL SELECT model, row_id, batch_no, checkpoint, truth, prediction FROM network_{_prefix}predictions""",
+         *[f"{m}_{_prefix}predictions" for m in ("nb", "logistic", "perceptron", "network")])
 
 # The network with a hidden layer: one Adam step per batch, since a batch of 100
 # rows is one mini-batch.  Its random start is written out as a literal.
@@ -351,11 +360,12 @@ FROM (SELECT *, list_transform(range(n), lambda i: 1 / (1 + exp(-(w2[1] + list_d
 FROM (SELECT b.batch_no, b.xs, b.ys, b.n, r.w1, r.w2, r.m1, r.v1, r.m2, r.v2,
              list_transform(b.xs, lambda x: list_transform(r.w1, lambda u: tanh(list_dot_product(u, x)))) AS hs
       FROM network_run r JOIN network_input b ON b.batch_no = r.batch_no + 1)))))""", "network_input")
-part("network_predictions", """
+for _prefix in ("", "test_"):
+    part(f"network_{_prefix}predictions", f"""
 SELECT 'Multi Layer Perceptron' AS model, d.row_id, d.batch_no, m.batch_no AS checkpoint, d.y AS truth,
        CASE WHEN m.w2[1] + list_dot_product(m.w2[2:], list_transform(m.w1,
          lambda u: tanh(list_dot_product(u, list_prepend(1.0::DOUBLE, d.v))))) > 1e-9 THEN 1 ELSE 0 END AS prediction
-FROM dense d JOIN network_run m ON m.batch_no > 0""", "dense", "network_run")
+FROM {_prefix}dense d JOIN network_run m ON m.batch_no > 0""", f"{_prefix}dense", "network_run")
 
 # Two-centre k-means, batch after batch.
 
@@ -393,10 +403,11 @@ FROM (SELECT b.batch_no, r.c0, r.c1, r.n0, r.n1,
              list_filter(b.vs, lambda v: NOT ({nearest('v', 'r.c0', 'r.c1')})) AS v0,
              list_filter(b.vs, lambda v: {nearest('v', 'r.c0', 'r.c1')}) AS v1
       FROM kmeans_run r JOIN batch_rows b ON b.batch_no = r.batch_no + 1)""", "kmeans_start", "batch_rows")
-part("kmeans_predictions", f"""
+for _prefix in ("", "test_"):
+    part(f"kmeans_{_prefix}predictions", f"""
 SELECT 'Clustering' AS model, d.row_id, d.batch_no, m.batch_no AS checkpoint, d.y AS truth,
        CASE WHEN {nearest('d.v', 'm.c0', 'm.c1')} THEN 1 ELSE 0 END AS prediction
-FROM dense d JOIN kmeans_run m ON true""", "dense", "kmeans_run")
+FROM {_prefix}dense d JOIN kmeans_run m ON true""", f"{_prefix}dense", "kmeans_run")
 
 
 def confusion(table: str, *keys: str) -> str:

@@ -14,11 +14,12 @@ from ..operators.batching import assign_batches, batch_table, number_rows_by_ran
 from ..operators.features import feature_entries, featurize
 from ..operators.models import CLASSIFIERS, LOGISTIC, MLP, NAIVE_BAYES, PERCEPTRON, score, score_checkpoints, slice_of
 from ..operators.naive_bayes import class_sums, model_table
-from ..operators.sharded import SHARD_ROWS, fit_batch, initial_state
+from ..operators.sharded import fit_batch, initial_state
 from ..session import spread, work_dir
 from ..sources import logs
-from ..sources.replay import payload_stream
-from ..sources.tables import csv_scan, is_test_row, labelled_messages, load, text_scan
+from ..sources.replay import payload_stream, write_payloads
+from ..sources.tables import csv_rows, csv_scan, is_test_row, labelled_messages, load, text_scan
+from ..streaming.scoring import stream_test
 from ..streaming.store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, Store
 from ..streaming.train import stream_train
 from . import datasets as D
@@ -159,7 +160,7 @@ def feature_rows(spark, sf_dir):
 
 @query
 def dense_vector(spark, sf_dir):
-    return D.batched_features(spark, sf_dir).select(
+    return D.batched_features(spark, sf_dir, part="both").select(
         "row_id", F.posexplode_outer(to_dense(F.col("features"))).alias("bucket", "x")
     ).withColumn("x", F.round("x", 6))
 
@@ -169,7 +170,7 @@ def dense_vector(spark, sf_dir):
 
 @query
 def batch_assign(spark, sf_dir):
-    batched = D.batched_messages(spark, sf_dir)
+    batched = batch_table(labelled_messages(spark, sf_dir), "row_id", D.BATCH, keep_tail=False)
     return batched.select("row_id", "row_no", "batch_no", "row_in_batch")
 
 
@@ -177,13 +178,13 @@ def batch_assign(spark, sf_dir):
 def batch_assign_events(spark, sf_dir):
     """Batches of 1,000 events in order of time: any order key will do."""
     events = load(spark, sf_dir, "events").select("event_id", "ts")
-    batched = assign_batches(number_rows_by_range(events, ["ts", "event_id"]), 1000)
+    batched = assign_batches(number_rows_by_range(events, ["ts", "event_id"]), 1000, keep_tail=False)
     return batched.select("event_id", "row_no", "batch_no", "row_in_batch")
 
 
 @query
 def batch_assign_orders(spark, sf_dir):
-    return batch_table(load(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 1024).select(
+    return batch_table(load(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 1024, keep_tail=False).select(
         "o_orderkey", "batch_no", "row_in_batch"
     )
 
@@ -202,7 +203,7 @@ def replay_files_in_order(spark, sf_dir):
 @query
 def replay_epochs_twice(spark, sf_dir):
     labels = load(spark, sf_dir, "labels").select("doc_id")
-    return replay_epochs(batch_table(labels, "doc_id", 50), 50, 2).select(
+    return replay_epochs(batch_table(labels, "doc_id", 50, keep_tail=False), 50, 2).select(
         "doc_id", "epoch", "batch_no", "row_in_batch"
     )
 
@@ -217,7 +218,7 @@ def dataset_select(spark, sf_dir):
 
 @query
 def batch_sizes(spark, sf_dir):
-    rows = D.batched_features(spark, sf_dir)
+    rows = D.batched_features(spark, sf_dir, part="both")
     return rows.groupBy("batch_no").agg(
         F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("y")), ",").alias("labels")
     )
@@ -491,23 +492,17 @@ def mlp_predict(spark, sf_dir):
 
 
 def _predictions(spark, sf_dir, model):
-    """Every row scored by every checkpoint of one model."""
+    """Every held-out row scored by every second checkpoint of one model."""
     scored = D.checkpoint_predictions(spark, sf_dir, CLASSIFIER_FAMILY)
     return scored.filter(F.col("model") == model).select("row_id", "checkpoint", "truth", "prediction")
 
 
 @query
 def sharded_fit(spark, sf_dir):
-    """All labelled rows as one batch, learnt in shards whose weights are averaged.
-
-    Shards hold an eighth of a small table, and never more than ``SHARD_ROWS`` rows.
-    """
-    rows = D.batched_features(spark, sf_dir, 1).withColumn("row_in_batch", F.col("row_no"))
+    """All labelled rows as one batch, learnt in eight shards whose weights are averaged."""
+    rows = D.batched_features(spark, sf_dir, 1, "both").withColumn("row_in_batch", F.col("row_no"))
     n = rows.count()
-    fitted = fit_batch(
-        rows, {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON)}, n,
-        shard_rows=min(SHARD_ROWS, max(64, -(-n // 8))),
-    )
+    fitted = fit_batch(rows, {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON)}, shards=8)
     weights = spark.createDataFrame(
         [(m, n, s.params.tolist()) for m, s in fitted.items()], "model string, n long, params array<double>"
     )
@@ -523,7 +518,7 @@ def sharded_fit(spark, sf_dir):
 def stream_decode(spark, sf_dir):
     """The payload folder through a file stream."""
     out = work_dir(spark, "decoded")
-    (payload_stream(spark, D.payload_folder(spark, sf_dir), batches_per_trigger=16)
+    (payload_stream(spark, D.payload_folder(spark, sf_dir, part="both"), batches_per_trigger=16)
      .writeStream.format("parquet").option("path", out)
      .option("checkpointLocation", work_dir(spark, "progress"))
      .trigger(availableNow=True).start().awaitTermination())
@@ -536,8 +531,8 @@ def _classifier_log(spark, sf_dir):
 
 @query
 def stream_train_log(spark, sf_dir):
-    """Training log of the three classifiers whose arithmetic SQL can follow."""
-    log = _classifier_log(spark, sf_dir).filter(F.col("model") != MLP)
+    """Training log of the classifiers."""
+    log = _classifier_log(spark, sf_dir)
     return _rounded(log, "accuracy", "precision", "recall").drop("epoch_id")
 
 
@@ -549,8 +544,8 @@ def mlp_stream(spark, sf_dir):
 
 @query
 def stream_test_log(spark, sf_dir):
-    """Predictions of the final models over the test stream."""
-    log = D.tested(spark, sf_dir).test_log().filter(F.col("model") != MLP)
+    """Predictions of the final models over the stream of held-out messages."""
+    log = D.tested(spark, sf_dir).test_log()
     return log.select("model", "batch_no", "row_in_batch", "prediction", "truth")
 
 
@@ -568,6 +563,59 @@ def model_latest(spark, sf_dir):
     )
 
 
+@query
+def model_number(spark, sf_dir):
+    """Held-out predictions of the models saved after batch 2, loaded by number."""
+    store = D.trained(spark, sf_dir)
+    rows = D.batched_features(spark, sf_dir, part="test").select("row_id", "y", "features")
+    models = store.load_models(2).select("model", F.col("batch_no").alias("checkpoint"), "params")
+    scored = score(rows.withColumn("checkpoint", F.lit(2).cast("long")), models, ["checkpoint"])
+    return scored.select("model", "checkpoint", "row_id", "prediction", "truth")
+
+
+@query
+def test_after_reset(spark, sf_dir):
+    """A run that trains, clears its logs and is tested: the final model still scores."""
+    store = Store(spark, work_dir(spark, "reset"))
+    store.create()
+    stream_train(spark, D.payload_folder(spark, sf_dir), store.root, shards=1, models=(NAIVE_BAYES,)).awaitTermination()
+    store.reset_logs()
+    stream_test(spark, D.payload_folder(spark, sf_dir, part="test"), store.root).awaitTermination()
+    return store.test_log().select("model", "batch_no", "row_in_batch", "prediction", "truth")
+
+
+def _naive_bayes_log(spark, store, rows):
+    """Rows cut into batches, sent as payloads and learnt: the log of the run."""
+    path = work_dir(spark, "payloads")
+    write_payloads(payloads.encode_columnar(batch_table(rows, "row_id", D.BATCH)), path)
+    stream_train(spark, path, store.root, models=(NAIVE_BAYES,)).awaitTermination()
+    return _rounded(store.train_log(), "accuracy", "precision", "recall").drop("epoch_id")
+
+
+@query
+def csv_to_log(spark, sf_dir):
+    """Training messages from a headed CSV file all the way to the training log."""
+    path = work_dir(spark, "csv")
+    D.messages(spark, sf_dir, "train").orderBy("row_id").select(
+        F.col("feature0").alias("Subject"), F.col("feature1").alias("Message"), F.col("feature2").alias("Spam/Ham")
+    ).write.csv(path, header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    store = Store(spark, work_dir(spark, "run"))
+    store.create()
+    return _naive_bayes_log(spark, store, csv_rows(spark, path))
+
+
+@query
+def plain_stream_log(spark, sf_dir):
+    """Training on a folder of plain payload lines, which say no batch number."""
+    path = work_dir(spark, "plain")
+    encoded = payloads.encode_columnar(D.batched_messages(spark, sf_dir, part="train"))
+    encoded.coalesce(1).sortWithinPartitions("batch_no").select("payload").write.text(path)
+    store = Store(spark, work_dir(spark, "run"))
+    store.create()
+    stream_train(spark, path, store.root, plain=True, models=(NAIVE_BAYES,)).awaitTermination()
+    return _rounded(store.train_log(), "accuracy", "precision", "recall").drop("epoch_id")
+
+
 @query
 def log_reset(spark, sf_dir):
     """A run that trains, then clears its logs: models stay, logs are empty."""
@@ -588,13 +636,12 @@ def log_reset(spark, sf_dir):
 
 @query
 def batch_report(spark, sf_dir):
-    log = _classifier_log(spark, sf_dir).filter(F.col("model") != MLP)
-    return metrics.batch_report(log)
+    return metrics.batch_report(_classifier_log(spark, sf_dir))
 
 
 @query
 def train_curve_long(spark, sf_dir):
-    log = _classifier_log(spark, sf_dir).filter(F.col("model") != MLP)
+    log = _classifier_log(spark, sf_dir)
     return _rounded(reports.report(reports.MODEL_CURVES, train_log=log), "value")
 
 
@@ -606,20 +653,19 @@ def train_curve_one_model(spark, sf_dir):
 @query
 def train_curve_pivot(spark, sf_dir):
     log = _classifier_log(spark, sf_dir)
-    models = [m for m in CLASSIFIERS if m != MLP]
-    return _rounded(reports.curves_of_all_models(log, models), *models)
+    return _rounded(reports.curves_of_all_models(log, list(CLASSIFIERS)), *CLASSIFIERS)
 
 
 @query
 def test_accuracy_bar(spark, sf_dir):
-    log = D.tested(spark, sf_dir).test_log().filter(F.col("model") != MLP)
+    log = D.tested(spark, sf_dir).test_log()
     return _rounded(reports.report(reports.TEST_ACCURACY, test_log=log), "accuracy")
 
 
 @query
 def test_curve(spark, sf_dir):
     """Test metrics of the classifiers by checkpoint, the final one left out."""
-    scored = D.checkpoint_predictions(spark, sf_dir, CLASSIFIER_FAMILY).filter(F.col("model") != MLP)
+    scored = D.checkpoint_predictions(spark, sf_dir, CLASSIFIER_FAMILY)
     return _rounded(reports.test_curve(scored), "value")
 
 
@@ -665,7 +711,7 @@ def _exported(spark, sf_dir):
 def csv_train_logs(spark, sf_dir):
     """CSV training logs found by folder name and read back."""
     root, _ = _exported(spark, sf_dir)
-    read = logs.read_train_logs(spark, root, [m for m in CLASSIFIERS if m != MLP])
+    read = logs.read_train_logs(spark, root, CLASSIFIERS)
     return _rounded(read, "accuracy", "precision", "recall").withColumn("batch_no", F.col("batch_no").cast("long"))
 
 
@@ -680,7 +726,7 @@ def csv_cluster_log(spark, sf_dir):
 def checkpoint_number(spark, sf_dir):
     """Test logs by the checkpoint their file is named after: records and hits."""
     root, last = _exported(spark, sf_dir)
-    read = logs.read_test_logs(spark, root, last).filter(F.col("model") != MLP)
+    read = logs.read_test_logs(spark, root, last)
     return read.groupBy("model", "checkpoint", "is_final").agg(
         F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("truth")).alias("hits")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.payloads import COLUMNAR, decode_columnar
 
@@ -47,6 +48,34 @@ def payload_stream(spark: SparkSession, path: str, batches_per_trigger: int = 1)
     return decode_columnar(arrays, payload=None, keep=["batch_no"])
 
 
+def plain_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """Rows of a folder of payload lines that say no batch number: every line is a
+    batch.  ``arrival, row_in_batch, feature0..``, where ``arrival`` puts the lines of
+    a micro-batch in order: by age and name of their file, then by place.  A file is
+    read as a whole to know the places, so it should hold few lines."""
+    files = (
+        spark.readStream.format("text").option("wholetext", True)
+        .option("maxFilesPerTrigger", files_per_trigger).load(path)
+    )
+    lines = files.select(
+        F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"),
+        F.posexplode(F.split("value", "\n")).alias("line", "payload"),
+    ).filter("payload != ''")
+    return decode_columnar(
+        lines.select(F.struct("time", "file", "line").alias("arrival"), "payload"), keep=["arrival"]
+    )
+
+
+def number_arrivals(rows: DataFrame, after: int) -> DataFrame:
+    """Rows of a micro-batch with ``batch_no`` counted on from ``after``; the batches
+    of a micro-batch are few."""
+    arrivals = [r.arrival for r in rows.select("arrival").distinct().orderBy("arrival").collect()]
+    table = rows.sparkSession.createDataFrame(
+        [(a, after + i + 1) for i, a in enumerate(arrivals)], rows.select("arrival").schema.add("batch_no", "long")
+    )
+    return rows.join(F.broadcast(table), "arrival").drop("arrival")
+
+
 def payload_rows(spark: SparkSession, path: str) -> DataFrame:
     """The same rows as a static table."""
     arrays = spark.read.schema(f"{COLUMNAR}, batch_no long").json(path)

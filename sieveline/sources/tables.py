@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.batching import number_rows_by_range
 from ..session import spread
 
 
@@ -50,6 +51,16 @@ def csv_scan(spark: SparkSession, path: str | Sequence[str], n_columns: int = 3)
     )
 
 
+def csv_rows(spark: SparkSession, path: str | Sequence[str], n_columns: int = 3) -> DataFrame:
+    """:func:`csv_scan` with ``row_id``: the place of the row, files in order of their
+    names.  A file with fields that span lines is one task, so send many files."""
+    rows = csv_scan(spark, path, n_columns).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")
+    )
+    numbered = number_rows_by_range(rows, ["file", "place"])
+    return numbered.withColumnRenamed("row_no", "row_id").drop("file", "place", "n_rows")
+
+
 def text_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Lines with the position they were read from: ``file, line_key, line``.
 

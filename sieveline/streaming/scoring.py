@@ -28,11 +28,18 @@ class Scorer:
         )
 
     def __call__(self, rows: DataFrame, epoch_id: int) -> None:
-        """An empty micro-batch writes nothing; one that comes again replaces its rows."""
+        """Log the batches of a micro-batch under numbers given on arrival, as in
+        training.  An empty one writes nothing; one that comes again replaces its rows."""
+        sent = sorted(r.batch_no for r in rows.select("batch_no").distinct().collect())  # a trigger's batches
+        if not sent:
+            return
+        first = self.store.tested_before(self.model_num, epoch_id) + 1
+        number = F.create_map(*[F.lit(n).cast("long") for i, b in enumerate(sent) for n in (b, first + i)])
         asked = rows.select(
-            F.lit(self.model_num).cast("long").alias("checkpoint"), "batch_no", "row_in_batch", "y", "features"
+            F.lit(self.model_num).cast("long").alias("checkpoint"),
+            F.element_at(number, F.col("batch_no")).alias("batch_no"), "row_in_batch", "y", "features",
         )
-        self.store.write_test_log(score(asked, self.table, ["checkpoint"]), self.model_num)
+        self.store.write_test_log(score(asked, self.table, ["checkpoint"]), self.model_num, epoch_id)
 
 
 def stream_test(

@@ -1,16 +1,17 @@
 """Model checkpoints and logs as partitioned tables.
 
 Classifiers and clustering train in runs of their own, so each family has its
-folder with ``models``, ``train_log`` and ``test_log``.  Every batch writes its
-own partition and overwrites it when it is replayed, so a batch delivered twice
-leaves one set of rows.
+folder with ``models``, ``train_log``, ``test_log`` and ``commits``.  Every micro-batch
+writes its own partitions and overwrites them when it is replayed, so one delivered
+twice leaves one set of rows, while batches of another delivery are added.  A commit
+is the last thing written: models and log rows without one do not count.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.models import CLASSIFIERS, CLUSTERING
@@ -19,7 +20,7 @@ from ..operators.sharded import ModelState
 CLASSIFIER_FAMILY, CLUSTER_FAMILY = "classifiers", "clustering"
 FAMILIES = {CLASSIFIER_FAMILY: CLASSIFIERS, CLUSTER_FAMILY: (CLUSTERING,)}
 
-_COUNTS = "model string, epoch_id long, n long, tp long, fp long, fn long, tn long"
+_COUNTS = "batch_no long, model string, n long, tp long, fp long, fn long, tn long"
 TRAIN_LOG = {
     CLASSIFIER_FAMILY: f"{_COUNTS}, accuracy double, precision double, recall double",
     CLUSTER_FAMILY: (
@@ -27,8 +28,9 @@ TRAIN_LOG = {
         "accuracy_spam_0 double, precision_spam_0 double, recall_spam_0 double"
     ),
 }
-TEST_LOG = "row_in_batch int, model string, prediction int, truth int"
-MODELS = "model string, epoch_id long, params array<double>, moments array<double>, steps long"
+TEST_LOG = "batch_no long, row_in_batch int, model string, prediction int, truth int"
+MODELS = "batch_no long, model string, params array<double>, moments array<double>, steps long"
+COMMITS = "first_batch long, batch_no long, sent_before long, sent long, shards int"
 
 #: Stands for "the model after the last batch", as in ``model_num=0``.
 FINAL = 0
@@ -57,42 +59,54 @@ class Store:
         self.path = f"{self.root}/{family}"
 
     def _clear(self, table: str, schema: str) -> None:
-        (self.spark.createDataFrame([], f"{schema}, batch_no long")
+        (self.spark.createDataFrame([], f"{schema}, epoch_id long")
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("batch_no").parquet(f"{self.path}/{table}"))
+         .partitionBy("epoch_id").parquet(f"{self.path}/{table}"))
 
     def _read(self, table: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(f"{schema}, batch_no long").parquet(f"{self.path}/{table}")
+        return self.spark.read.schema(f"{schema}, epoch_id long").parquet(f"{self.path}/{table}")
 
-    def _write(self, rows: DataFrame, table: str) -> None:
-        """Replace the partitions of the batches in ``rows`` and no others."""
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_no").parquet(f"{self.path}/{table}"))
+    def _write(self, rows: DataFrame, table: str, epoch_id: int) -> None:
+        """Replace the partition of one micro-batch and no other."""
+        (rows.withColumn("epoch_id", F.lit(epoch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("epoch_id").parquet(f"{self.path}/{table}"))
 
     def create(self) -> None:
         """Start from nothing: no models, empty logs."""
         self._clear("models", MODELS)
+        self._clear("commits", COMMITS)
         self.reset_logs()
 
     def reset_logs(self) -> None:
         """Empty every log and keep the models."""
         self._clear("train_log", TRAIN_LOG[self.family])
-        (self.spark.createDataFrame([], f"{TEST_LOG}, checkpoint long, batch_no long")
+        (self.spark.createDataFrame([], f"{TEST_LOG}, checkpoint long, epoch_id long")
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("checkpoint", "batch_no").parquet(f"{self.path}/test_log"))
+         .partitionBy("checkpoint", "epoch_id").parquet(f"{self.path}/test_log"))
 
     # Models
 
     def write_models(self, by_batch: dict[int, dict[str, ModelState]], epoch_id: int) -> None:
-        rows = model_rows(self.spark, by_batch).withColumn("epoch_id", F.lit(epoch_id).cast("long"))
-        self._write(rows.coalesce(1), "models")
+        self._write(model_rows(self.spark, by_batch).coalesce(1), "models", epoch_id)
 
     def models(self) -> DataFrame:
         return self._read("models", MODELS)
 
+    def commit(self, epoch_id: int, **numbers: int | None) -> None:
+        """Let the models and log rows of a micro-batch count."""
+        names = [f.split()[0] for f in COMMITS.split(", ")]
+        row = self.spark.createDataFrame([tuple(numbers[n] for n in names)], COMMITS)
+        self._write(row, "commits", epoch_id)
+
+    def last_commit(self) -> Row | None:
+        """The newest commit; resetting the logs does not touch it."""
+        return self._read("commits", COMMITS).orderBy(F.desc("epoch_id")).first()
+
     def last_batch(self) -> int:
-        """Number of the last batch whose log row is in place; 0 before the first."""
-        return self.train_log().agg(F.max("batch_no")).first()[0] or 0
+        """Number of the last batch whose models are committed; 0 before the first."""
+        last = self.last_commit()
+        return last.batch_no if last else 0
 
     def load_models(self, model_num: int = FINAL) -> DataFrame:
         """Models saved after batch ``model_num``, or the final ones."""
@@ -106,9 +120,9 @@ class Store:
 
     # Logs
 
-    def write_train_log(self, rows: DataFrame) -> None:
+    def write_train_log(self, rows: DataFrame, epoch_id: int) -> None:
         columns = [f.split()[0] for f in TRAIN_LOG[self.family].split(", ")]
-        self._write(rows.select(*columns, "batch_no").coalesce(1), "train_log")
+        self._write(rows.select(*columns).coalesce(1), "train_log", epoch_id)
 
     def train_log(self) -> DataFrame:
         return self._read("train_log", TRAIN_LOG[self.family])
@@ -117,10 +131,15 @@ class Store:
         """Empty the log of one checkpoint, as a new test run does."""
         self._clear(f"test_log/checkpoint={model_num}", TEST_LOG)
 
-    def write_test_log(self, scored: DataFrame, model_num: int) -> None:
+    def tested_before(self, model_num: int, epoch_id: int) -> int:
+        """How many batches of a test run were logged before a micro-batch."""
+        log = self.test_log().filter((F.col("checkpoint") == model_num) & (F.col("epoch_id") < epoch_id))
+        return log.agg(F.max("batch_no")).first()[0] or 0
+
+    def write_test_log(self, scored: DataFrame, model_num: int, epoch_id: int) -> None:
         rows = scored.select("batch_no", "row_in_batch", "model", "prediction", "truth")
-        self._write(rows, f"test_log/checkpoint={model_num}")
+        self._write(rows, f"test_log/checkpoint={model_num}", epoch_id)
 
     def test_log(self) -> DataFrame:
-        """``checkpoint, batch_no, row_in_batch, model, prediction, truth``."""
-        return self.spark.read.schema(f"{TEST_LOG}, checkpoint long, batch_no long").parquet(f"{self.path}/test_log")
+        """``checkpoint, epoch_id, batch_no, row_in_batch, model, prediction, truth``."""
+        return self.spark.read.schema(f"{TEST_LOG}, checkpoint long, epoch_id long").parquet(f"{self.path}/test_log")

@@ -13,8 +13,8 @@ from ..operators.features import FeatureOptions, featurize
 from ..operators.metrics import accuracy_precision_recall, confusion_counts, dual_polarity
 from ..operators.models import CLUSTERING, NAIVE_BAYES, score
 from ..operators.naive_bayes import batch_updates
-from ..operators.sharded import SHARD_ROWS, ModelState, fit_batches, initial_state
-from ..sources.replay import payload_stream
+from ..operators.sharded import SHARDS, ModelState, fit_batches, initial_state
+from ..sources.replay import number_arrivals, payload_stream, plain_stream
 from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store, model_rows
 
 
@@ -35,33 +35,38 @@ class Trainer:
     def __init__(
         self,
         store: Store,
-        shard_rows: int = SHARD_ROWS,
+        shards: int = SHARDS,
         prequential: bool = False,
         models: tuple[str, ...] | None = None,
     ):
-        self.store, self.shard_rows, self.prequential = store, shard_rows, prequential
+        self.store, self.shards, self.prequential = store, shards, prequential
         self.models = models or FAMILIES[store.family]
-        logged = store.train_log().agg(F.max("epoch_id")).first()[0]
-        self.last_epoch = -1 if logged is None else logged
-        self._resume_after(store.last_batch())
-
-    def _resume_after(self, batch_no: int) -> None:
-        self.batch_no = batch_no
+        last = store.last_commit()
+        if last and last.shards != shards:
+            raise ValueError(f"the models were learnt in {last.shards} shards, not {shards}")
+        self.last_epoch = last.epoch_id if last else -1
+        self._resume_after(last.batch_no if last else 0, last.sent if last else None)
+
+    def _resume_after(self, batch_no: int, sent: int | None) -> None:
+        self.batch_no, self.sent = batch_no, sent
         self.states = self.store.load_states(batch_no) if batch_no else {}
 
     def __call__(self, rows: DataFrame, epoch_id: int) -> None:
         """Learn the batches of one micro-batch of ``batch_no, row_in_batch, y,
         features``, in the order of their numbers; skip an empty one.
 
-        Log rows are written last.  A micro-batch that comes again, because the
-        run broke before it was committed, is learnt again from the models
-        before it and overwrites what it left.
+        A number at or below the last one learnt means that batches come in another
+        order than they were cut in, and is an error.  The commit is written last.
+        A micro-batch that comes again, because the run broke before that, is learnt
+        again from the models before it and overwrites what it left.
         """
         if epoch_id < self.last_epoch:
             return
         if epoch_id == self.last_epoch:
-            done = self.store.train_log().filter(F.col("epoch_id") == epoch_id)
-            self._resume_after(done.agg(F.min("batch_no")).first()[0] - 1)
+            done = self.store.last_commit()
+            self._resume_after(done.first_batch - 1, done.sent_before)
+        if "arrival" in rows.columns:
+            rows = number_arrivals(rows, self.sent or 0)
         features = rows.select("batch_no", "row_in_batch", "y", "features").persist()
         try:
             # The class sums hold the class sizes, so they find and count the batches too.
@@ -69,15 +74,22 @@ class Trainer:
             if not sums:
                 return
             order = sorted(sums)
+            if self.sent is not None and order[0] <= self.sent:
+                raise ValueError(f"batch {order[0]} came after batch {self.sent}")
             start = self.states or self._fresh(features.filter(F.col("batch_no") == order[0]))
             after = self._fit(features, start, sums)
             numbers = {sent: self.batch_no + i + 1 for i, sent in enumerate(order)}
             self.store.write_models({numbers[sent]: after[sent] for sent in order}, epoch_id)
             before = dict(zip(order, [start] + [after[sent] for sent in order[:-1]]))
             self._log(features, before if self.prequential else after, numbers, epoch_id)
+            self.store.commit(
+                epoch_id, first_batch=self.batch_no + 1, batch_no=numbers[order[-1]], sent_before=self.sent,
+                sent=order[-1], shards=self.shards,
+            )
         finally:
             features.unpersist()
         self.batch_no, self.states, self.last_epoch = numbers[order[-1]], after[order[-1]], epoch_id
+        self.sent = order[-1]
 
     def _fresh(self, features: DataFrame) -> dict[str, ModelState]:
         start = {}
@@ -103,8 +115,7 @@ class Trainer:
                 after[sent][NAIVE_BAYES] = ModelState(total)
         in_order = {m: s for m, s in start.items() if m != NAIVE_BAYES}
         if in_order:
-            sizes = {sent: int(sums[sent][:2].sum()) for sent in order}
-            for sent, states in fit_batches(features, in_order, sizes, self.shard_rows).items():
+            for sent, states in fit_batches(features, in_order, order, self.shards).items():
                 after[sent].update(states)
         return after
 
@@ -116,9 +127,9 @@ class Trainer:
         counts = confusion_counts(score(features, models, ["batch_no"]), ["model", "batch_no"])
         number = F.create_map(*[F.lit(n).cast("long") for pair in numbers.items() for n in pair])
         measured = dual_polarity(counts) if self.store.family == CLUSTER_FAMILY else accuracy_precision_recall(counts)
-        self.store.write_train_log(measured.withColumns({
-            "batch_no": F.element_at(number, F.col("batch_no")), "epoch_id": F.lit(epoch_id).cast("long"),
-        }))
+        self.store.write_train_log(
+            measured.withColumn("batch_no", F.element_at(number, F.col("batch_no"))), epoch_id
+        )
 
 
 def stream_train(
@@ -129,9 +140,11 @@ def stream_train(
     delay: int | None = None,
     batches_per_trigger: int = BATCHES_PER_TRIGGER,
     options: FeatureOptions = FeatureOptions(),
+    plain: bool = False,
     **trainer_options,
 ) -> StreamingQuery:
-    """Start training on a payload folder.
+    """Start training on a payload folder, or with ``plain`` on a folder of payload
+    lines without batch numbers, which are numbered on arrival.
 
     With ``delay`` a micro-batch starts every so many seconds until the query is
     stopped; without, it ends when the folder is used up.  A query started again
@@ -142,7 +155,7 @@ def stream_train(
     trainer = Trainer(store, **trainer_options)
     trigger = {"processingTime": f"{delay} seconds"} if delay else {"availableNow": True}
     return (
-        featurize(payload_stream(spark, payload_dir, batches_per_trigger), options)
+        featurize((plain_stream if plain else payload_stream)(spark, payload_dir, batches_per_trigger), options)
         .writeStream.foreachBatch(trainer)
         .option("checkpointLocation", f"{store.path}/train_progress")
         .trigger(**trigger).start()

@@ -23,7 +23,9 @@ def batches(df):
     (2, 4, []), (3, 4, [3]), (5, 1, [1] * 5), (399, 100, [100, 100, 100, 99]), (87, 100, []),
 ])
 def test_tail_rule(spark, n, size, expected):
-    made = batch_table(table(spark, range(n)), "k", size)
+    made = batch_table(table(spark, range(n)), "k", size, keep_tail=False)
+    whole = batch_table(table(spark, range(n)), "k", size)
+    assert batches(whole) == [size] * (n // size) + [n % size] * (n % size > 0)
     assert batches(made) == expected
     # The rule as a loop over start positions.
     starts = range(0, n - size + 2, size)
@@ -95,10 +97,12 @@ def test_numbering_within_files_by_range(spark):
 
 
 def test_epochs(spark):
-    rows = replay_epochs(batch_table(table(spark, range(10)), "k", 4), 4, 3)
+    rows = replay_epochs(batch_table(table(spark, range(10)), "k", 4, keep_tail=False), 4, 3)
     assert batches(rows) == [4] * 6
     firsts = {r.batch_no: r.k for r in rows.filter("row_in_batch = 0").collect()}
     assert firsts == {1: 0, 2: 4, 3: 0, 4: 4, 5: 0, 6: 4}
+    with pytest.raises(ValueError):
+        replay_epochs(table(spark, range(10)), 4, 0)
 
 
 @pytest.mark.parametrize("block", [3, 10, 1000])

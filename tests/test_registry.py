@@ -14,7 +14,8 @@ QUICK = [
     "l2_features", "batch_assign", "batch_assign_events", "replay_files_in_order", "replay_epochs_twice",
     "columnar_roundtrip", "record_map_roundtrip", "lines_roundtrip", "nb_model", "nb_predict", "nb_train_metrics",
     "dual_polarity", "kmeans_step", "kmeans_stream", "logreg_weights", "stream_train_log", "stream_test_log",
-    "train_curve_pivot", "test_curve_clustering", "checkpoint_number",
+    "train_curve_pivot", "test_curve_clustering", "checkpoint_number", "model_number", "test_after_reset", "csv_to_log",
+    "plain_stream_log", "sharded_fit", "mlp_test_curve", "test_curve", "test_accuracy_bar", "stream_decode",
 ]
 
 

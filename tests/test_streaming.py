@@ -19,7 +19,7 @@ from sieveline.streaming.train import Trainer, stream_train
 def payload_dir(spark):
     """87 messages in four batches of 20."""
     path = work_dir(spark, "test-payloads")
-    write_payloads(encode_columnar(batch_table(labelled_messages(spark, SMALL), "row_id", 20)), path)
+    write_payloads(encode_columnar(batch_table(labelled_messages(spark, SMALL), "row_id", 20, keep_tail=False)), path)
     return path
 
 
@@ -177,10 +177,10 @@ def test_clustering_has_its_own_run(spark, payload_dir):
 
 
 def test_large_batches_are_learnt_in_shards(spark, payload_dir):
-    """Batches of 20 in shards of 5: other weights, one set of rows per batch."""
+    """Batches of 20 in two shards: other weights, one set of rows per batch."""
     for family, models in FAMILIES.items():
         store, root = new_store(spark, family)
-        stream_train(spark, payload_dir, root, clustering=family == CLUSTER_FAMILY, shard_rows=5).awaitTermination()
+        stream_train(spark, payload_dir, root, clustering=family == CLUSTER_FAMILY, shards=2).awaitTermination()
         assert {(r.batch_no, r.model) for r in store.models().collect()} == {(b, m) for b in range(1, 5) for m in models}
         assert store.train_log().agg(F.sum("n")).first()[0] == 80 * len(models)
 
@@ -189,7 +189,42 @@ def test_reset_keeps_models(spark, payload_dir):
     store, _ = new_store(spark)
     Trainer(store, models=(NAIVE_BAYES,))(featurize(payload_rows(spark, payload_dir)).filter("batch_no = 1"), 0)
     store.reset_logs()
-    assert store.train_log().count() == 0 and store.test_log().count() == 0 and store.models().count() == 1
+    assert store.train_log().count() == 0 and store.test_log().count() == 0
+    assert store.load_models().count() == 1 and store.last_batch() == 1
+    Scorer(store)(featurize(payload_rows(spark, payload_dir)), 0)
+    assert store.test_log().count() == 80
+
+
+def test_two_deliveries_both_stay(spark, payload_dir):
+    """Two test deliveries with the same numbers add up; a replayed one counts once."""
+    store, _ = new_store(spark)
+    rows = featurize(payload_rows(spark, payload_dir))
+    Trainer(store, models=(NAIVE_BAYES,))(rows.filter("batch_no = 1"), 0)
+    scorer = Scorer(store)
+    for epoch in (0, 1, 1):
+        scorer(rows, epoch)
+    assert {(r.batch_no, r["count"]) for r in store.test_log().groupBy("batch_no").count().collect()} == {
+        (b, 20) for b in range(1, 9)}
+
+
+def test_batches_out_of_order_are_rejected(spark, payload_dir):
+    store, _ = new_store(spark)
+    rows = featurize(payload_rows(spark, payload_dir))
+    trainer = Trainer(store, models=(NAIVE_BAYES,))
+    trainer(rows.filter("batch_no = 2"), 0)
+    for again in (trainer, Trainer(store, models=(NAIVE_BAYES,))):
+        with pytest.raises(ValueError, match="came after"):
+            again(rows.filter("batch_no = 1"), 1)
+    with pytest.raises(ValueError, match="shards"):
+        Trainer(store, shards=2, models=(NAIVE_BAYES,))
+
+
+def test_a_cluster_must_name_the_folder():
+    from types import SimpleNamespace
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: None)))
 
 
 def test_interval_trigger(spark, payload_dir):
