@@ -45,10 +45,10 @@ def sparse_vector(dense: Column) -> Column:
 def to_dense(vector: Column, n_buckets: int = N_BUCKETS) -> Column:
     """``array<double>`` of fixed width with zeros where the vector has no entry."""
     def fill(entries: Column) -> Column:
-        return F.transform(
+        return bind(F.transform(entries, lambda e: e.bucket), lambda buckets: F.transform(
             F.sequence(F.lit(0), F.lit(n_buckets - 1)),
-            lambda b: F.coalesce(F.get(entries, F.array_position(F.transform(entries, lambda e: e.bucket), b).cast("int") - 1).x, F.lit(0.0)),
-        )
+            lambda b: F.coalesce(F.get(entries, F.array_position(buckets, b).cast("int") - 1).x, F.lit(0.0)),
+        ))
 
     return bind(vector, fill)
 

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.hashing import N_BUCKETS
-from ..functions.vectors import bucket_counts, hash_buckets, l2_normalize
+from ..functions.arrays import bind, run_lengths
+from ..functions.hashing import BUCKETS, N_BUCKETS
+from ..functions.porter import stem_tokens
+from ..functions.vectors import bucket_counts, l2_normalize
 
 
 @dataclass(frozen=True)
@@ -25,17 +27,24 @@ class FeatureOptions:
     repr_compat: bool = False
 
 
-def message_tokens(options: FeatureOptions = FeatureOptions()) -> Column:
-    """Tokens the vectoriser hashes, from the columns ``feature0`` and ``feature1``."""
+@lru_cache(maxsize=16)
+def _feature_column(options: FeatureOptions, context: SparkContext) -> Column:
+    """The expression is long and the same for every table, so it is built once.
+
+    Words repeat within a message, so each is stemmed and hashed once and its bucket
+    taken as often as it occurs: the counts are those of
+    ``vectorizer_tokens(preprocess_tokens(joint))``.
+    """
     joint = T.join_subject_message(F.col("feature0"), F.col("feature1"), options.na_token)
-    return T.vectorizer_tokens(T.preprocess_tokens(joint, options.stop_words, options.repr_compat))
+    words = T.remove_stopwords(T.tokenize(T.clean_text(joint, options.repr_compat)), options.stop_words)
 
+    def taken(counted: Column) -> Column:
+        stems = stem_tokens(F.transform(counted, lambda c: c.value))
+        return F.flatten(F.zip_with(stems, counted, lambda s, c: F.when(
+            F.length(s) > 1, F.array_repeat(BUCKETS[options.hash](s, options.n_buckets), c.n)
+        ).otherwise(F.array().cast("array<int>"))))
 
-@lru_cache(maxsize=16)
-def _feature_column(options: FeatureOptions, context: SparkContext) -> Column:
-    """The expression is long and the same for every table, so it is built once."""
-    buckets = hash_buckets(message_tokens(options), options.hash, options.n_buckets)
-    return l2_normalize(bucket_counts(buckets))
+    return l2_normalize(bucket_counts(bind(run_lengths(words), taken)))
 
 
 def featurize(rows: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
