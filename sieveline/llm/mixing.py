@@ -32,6 +32,8 @@ STEPS, CLOSE = 60, 1e-7
 RANKED = 8192
 #: Rounds in which single copies are moved.
 MOVES = 3
+#: Sources whose few numbers and name travel to all tasks.
+MAX_SENT_SOURCES = 100_000
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
@@ -143,10 +145,18 @@ def _rounded(rows: DataFrame, cells: DataFrame, largest: float) -> DataFrame:
     )
 
 
+def _sent(by_source: DataFrame) -> DataFrame:
+    """A hint for a table of a row per source, if they are few: documents of a source
+    that holds a third of all then need not meet in one task."""
+    return F.broadcast(by_source) if by_source.count() <= MAX_SENT_SOURCES else by_source
+
+
 def _move(plan: DataFrame, sources: DataFrame, largest: float) -> DataFrame:
     """One copy more or less of the document that brings each source closest to its target."""
     taken = plan.groupBy("src").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
-    gaps = sources.join(taken, "src").select("src", (F.col("target") - F.col("taken")).alias("gap"))
+    gaps = _sent(materialize(
+        sources.join(taken, "src").select("src", (F.col("target") - F.col("taken")).alias("gap")), "gaps"
+    ))
     gap, size = F.col("gap"), F.col("size")
     may = ((gap > 0) & (F.col("copies") < int(largest))) | ((gap < 0) & (F.col("copies") > 0))
     closer = F.abs(F.abs(gap) - size)
@@ -162,7 +172,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, largest: float
     """``doc_id, text_key, source, size, source_size, target, rate, copies, taken``."""
     sizes = materialize(document_sizes(docs), "sizes")
     sources = materialize(source_targets(sizes, weights, budget, largest), "targets")
-    named = F.broadcast(sources) if sources.count() <= 100_000 else sources  # two numbers and a name each
+    named = _sent(sources)
     same = sizes["source"].eqNullSafe(named["source"])
     rows = materialize(sizes.join(named, same).select(sizes["doc_id"], "text_key", "src", "size"), "rows")
     cells = materialize(rows.groupBy("src", "size").agg(F.count("*").alias("n")), "cells")
