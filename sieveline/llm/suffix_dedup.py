@@ -9,10 +9,10 @@ together first, and suffix arrays by linear grouping decide:
    whose anchor's hash occurs once in the corpus are unique.
 2. Consecutive windows with the same anchor form a segment.  Equal segments with a
    repeated anchor are counted together.
-3. The distinct segments of an anchor are written one after another, in blocks of
-   BLOCK bytes lined up at the anchor, and suffix sorted.  Windows that share all
-   their whole blocks are neighbours in that order; the bytes at their ends are
-   compared directly.
+3. The distinct segments of an anchor are written one after another as numbers of
+   their blocks of BLOCK bytes, lined up at the anchor, and suffix sorted.  Windows
+   that share all their whole blocks are neighbours in that order; the bytes at their
+   ends are compared directly.
 4. An anchor with more than FULL distinct segments is split by longer anchors, until
    in the end the anchor is the window itself; so no task gets an unbounded group.
 
@@ -25,12 +25,11 @@ are ignored and may have any name.  An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -40,13 +39,13 @@ from .words import mix, raw_texts
 #: Contract: length of the strings.
 LENGTH = 200
 #: Bytes of an anchor, and of a block of the sorted sequences.
-ANCHOR, BLOCK = 64, 8
+ANCHOR, BLOCK = 64, 32
 #: Distinct segments of an anchor that are sorted together.
 FULL = 8192
 #: Bytes of segments per suffix array, and window starts handled at a time.
 SORTED_BYTES, PIECE = 1 << 18, 1 << 19
-#: Largest tables that travel to all tasks: repeated anchors, and rows per document.
-MAX_SENT_ANCHORS, MAX_SENT_ROWS = 2_000_000, 400_000
+#: Repeated anchors, of 8 bytes each, that travel to all tasks.
+MAX_SENT_ANCHORS = 2_000_000
 
 _WINDOWS = LENGTH - ANCHOR + 1  # anchors to choose from in a window
 _FACTOR = 0x9E3779B97F4A7C15
@@ -99,11 +98,6 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
     """``h``: anchor hashes of at least two segments of the corpus."""
-    def emit(batches):
-        for batch in batches:
-            for raw in raw_texts(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(anchors(raw)[0].view(np.int64))], ["h"])
-
     def packed(batches):
         """Counts of a whole batch at once; the shuffle adds the rest."""
         for batch in batches:
@@ -173,14 +167,13 @@ def _repeated_by_document(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     return own.join(repeated, "h", "left_semi").groupBy("did", "tk").agg(F.collect_set("h").alias("own"))
 
 
-def _sent_if_small(df: DataFrame, max_sent: int) -> DataFrame:
-    """A hint for a table whose rows are counted; above the bound the join shuffles."""
-    return F.broadcast(df) if df.count() <= max_sent else df
-
+def distinct_segments(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``h, sid, off, n, weight, bytes``: each distinct segment, cut from one of the
+    documents that hold it, with its number of occurrences.
 
-def distinct_segments(docs: DataFrame, places: DataFrame, max_sent: int = MAX_SENT_ROWS) -> DataFrame:
-    """``h, sid, off, n, weight, bytes``: each distinct segment once, cut from one of
-    the documents that hold it, with its number of occurrences."""
+    Where the row of that document is repeated, the segment comes as often; that
+    changes nothing, for it occurs more than once then and so do all its windows.
+    """
     chosen = places.groupBy("h", "sid").agg(
         F.min(F.struct("did", "tk", "lo", "n", "off")).alias("at"), F.count("*").alias("weight")
     )
@@ -189,7 +182,7 @@ def distinct_segments(docs: DataFrame, places: DataFrame, max_sent: int = MAX_SE
             F.collect_list(F.struct("h", "sid", "at.lo", "at.n", "at.off", "weight")).alias("cuts")
         ), "cuts",
     )
-    texts = docs.join(_sent_if_small(cuts, max_sent), ["did", "tk"]).select("text", "cuts")
+    texts = docs.join(cuts, ["did", "tk"]).select("text", "cuts")
 
     def cut(batches):
         for batch in batches:
@@ -206,8 +199,7 @@ def distinct_segments(docs: DataFrame, places: DataFrame, max_sent: int = MAX_SE
         ("h", pa.int64()), ("sid", pa.binary()), ("off", pa.int32()), ("n", pa.int32()), ("weight", pa.int64()),
         ("bytes", pa.binary()),
     ])
-    made = texts.mapInArrow(cut, "h long, sid binary, off int, n int, weight long, bytes binary")
-    return made.dropDuplicates(["h", "sid"])  # a repeated row is cut once per repetition
+    return texts.mapInArrow(cut, "h long, sid binary, off int, n int, weight long, bytes binary")
 
 
 def split_full(segments: DataFrame, full: int = FULL) -> tuple[DataFrame, DataFrame]:
@@ -260,41 +252,40 @@ def split_full(segments: DataFrame, full: int = FULL) -> tuple[DataFrame, DataFr
 def repeated_windows(segments: list[tuple[bytes, int, int, int]]) -> list[np.ndarray]:
     """For ``(bytes, off, n, weight)`` segments, which of the ``n`` windows of each
     occur more than once among all of them, an occurrence counting ``weight`` times."""
-    whole = LENGTH // BLOCK - 1  # blocks that lie in any window, wherever it starts in a block
-    symbols, owner, start = [], [], []
+    whole = (LENGTH - BLOCK + 1) // BLOCK  # blocks that lie in any window, wherever it starts in a block
+    numbers: dict[bytes, int] = {}
+    values, owner, start = [], [], []
     for i, (data, off, _, _) in enumerate(segments):
-        first = off % BLOCK
-        blocks = np.frombuffer(data, dtype="<u8", count=(len(data) - first) // BLOCK, offset=first)
-        symbols += [blocks, np.zeros(1, dtype="<u8")]
-        owner += [i] * len(blocks) + [-1]
-        start += [*range(first, first + BLOCK * len(blocks), BLOCK), -1]
-    # Separators differ from each other and from all blocks, so no match crosses one.
-    ranks = np.unique(np.concatenate(symbols), return_inverse=True)[1]
-    ends = np.flatnonzero(np.array(owner) < 0)
-    ranks[ends] = ranks.max() + 1 + np.arange(len(ends))
+        places = range(off % BLOCK, len(data) - BLOCK + 1, BLOCK)
+        values += [numbers.setdefault(data[p:p + BLOCK], len(numbers)) for p in places]
+        values.append(-1 - i)  # separators differ from each other and from all blocks
+        owner += [i] * (len(places) + 1)
+        start += [*places, len(data)]
 
     flags = [np.zeros(n, dtype=bool) for _, _, n, _ in segments]
 
     def close(run: list[tuple[int, int]]) -> None:
+        """Decide the windows that start in the block before each place of a run."""
+        if len(run) == 1:
+            i, p = run[0]
+            if segments[i][3] > 1:
+                flags[i][max(0, p - BLOCK + 1):p + 1] = True
+            return
         for t in range(BLOCK):
             windows = [(i, p - t) for i, p in run if 0 <= p - t < segments[i][2]]
-            if len(windows) == 1:
-                i, s = windows[0]
-                flags[i][s] |= segments[i][3] > 1
-                continue
             edges = [segments[i][0][s:s + t] + segments[i][0][s + t + whole * BLOCK:s + LENGTH] for i, s in windows]
-            seen: Counter = Counter()
+            seen: dict[bytes, int] = {}
             for (i, _), edge in zip(windows, edges):
-                seen[edge] += segments[i][3]
+                seen[edge] = seen.get(edge, 0) + segments[i][3]
             for (i, s), edge in zip(windows, edges):
-                flags[i][s] |= seen[edge] > 1
+                flags[i][s] = seen[edge] > 1
 
     run, shared = [], b""
-    for at in suffix_array(ranks.tolist()):
+    for at in suffix_array(values):
         i, p = owner[at], start[at]
-        if i < 0 or p + whole * BLOCK > len(segments[i][0]):
-            continue
         data = segments[i][0][p:p + whole * BLOCK]
+        if len(data) < whole * BLOCK:
+            continue
         if data != shared and run:
             close(run)
             run = []
@@ -333,13 +324,16 @@ def flagged(segments: DataFrame) -> DataFrame:
     return rows.repartition("h").sortWithinPartitions("h", "sid").mapInArrow(sort_blocks, "part binary, from int, upto int")
 
 
+_RUNS = pa.list_(pa.struct([("from", pa.int64()), ("upto", pa.int64())]))
+
+
 def repeated_spans(
-    docs: DataFrame, full: int = FULL, max_anchors: int = MAX_SENT_ANCHORS, max_rows: int = MAX_SENT_ROWS
+    docs: DataFrame, full: int = FULL, max_anchors: int = MAX_SENT_ANCHORS
 ) -> DataFrame:
     """``did, tk, spans``: byte ranges of each document inside repeated strings."""
     repeated = materialize(repeated_anchors(docs), "anchors")
     places = materialize(segments_of(docs, repeated, max_anchors), "places")
-    segments, links = split_full(distinct_segments(docs, places, max_rows), full)
+    segments, links = split_full(distinct_segments(docs, places), full)
     found = links.join(flagged(segments), "part").groupBy("sid").agg(
         F.collect_set(F.struct(
             (F.col("shift") + F.col("from")).alias("from"), (F.col("shift") + F.col("upto")).alias("upto")
@@ -348,10 +342,21 @@ def repeated_spans(
     found = materialize(found, "flags")
     span = F.transform("ranges", lambda r: F.struct(
         (F.col("lo") + r["from"]).alias("from"), (F.col("lo") + r["upto"] + LENGTH - 1).alias("upto")))
-    return places.join(found, "sid").select("did", "tk", span.alias("spans")).groupBy("did", "tk").agg(
-        F.flatten(F.collect_list("spans")).alias("spans")
+    spans = places.join(found, "sid").select("did", "tk", span.alias("spans")).groupBy("did", "tk").agg(
+        F.flatten(F.collect_list("spans")).alias("spans")  # of one document
     )
 
+    def merge(batches):
+        for batch in batches:
+            runs = [
+                [{"from": a, "upto": b} for a, b in merged([(s["from"], s["upto"]) for s in own])]
+                for own in batch.column(2).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(runs, type=_RUNS)], ["did", "tk", "spans"])
+
+    return spans.mapInArrow(merge, "did long, tk long, spans array<struct<from:bigint,upto:bigint>>")
+
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs covered by the spans."""
@@ -365,13 +370,13 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def remove_repeats(
-    docs: DataFrame, full: int = FULL, max_anchors: int = MAX_SENT_ANCHORS, max_rows: int = MAX_SENT_ROWS
+    docs: DataFrame, full: int = FULL, max_anchors: int = MAX_SENT_ANCHORS
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, runs``, one row per document
     row; ``runs`` are the removed byte ranges."""
     keyed = _documents(docs)
-    spans = materialize(repeated_spans(keyed, full, max_anchors, max_rows), "spans")
-    rows = keyed.join(_sent_if_small(spans, max_rows), ["did", "tk"], "left").select("doc_id", "text", "spans")
+    spans = materialize(repeated_spans(keyed, full, max_anchors), "spans")
+    rows = keyed.join(spans, ["did", "tk"], "left").select("doc_id", "text", "spans")
 
     def finish(batches):
         for batch in batches:
@@ -379,7 +384,7 @@ def remove_repeats(
             for doc_id, raw, spans in zip(
                 batch.column(0).to_pylist(), raw_texts(batch.column(1)), batch.column(2).to_pylist()
             ):
-                runs = merged([(s["from"], s["upto"]) for s in spans or ()])
+                runs = [(s["from"], s["upto"]) for s in spans or ()]
                 kept, at = hashlib.sha256(), 0
                 for a, b in [*runs, (len(raw), len(raw))]:
                     kept.update(raw[at:a])
@@ -393,7 +398,7 @@ def remove_repeats(
 
     layout = pa.schema([
         ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-        ("kept_sha256", pa.string()), ("runs", pa.list_(pa.struct([("from", pa.int64()), ("upto", pa.int64())]))),
+        ("kept_sha256", pa.string()), ("runs", _RUNS),
     ])
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     return rows.mapInArrow(

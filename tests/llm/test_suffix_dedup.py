@@ -75,7 +75,7 @@ def cases():
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"full": 3}, {"full": 1, "max_anchors": 0, "max_rows": 0}, {"max_anchors": 0}])
+@pytest.mark.parametrize("limits", [{}, {"full": 3}, {"full": 1, "max_anchors": 0}, {"max_anchors": 0}])
 def test_repeats(rows_of, limits):
     rows = cases()
     assert made(rows_of(rows), **limits) == plain(rows)
