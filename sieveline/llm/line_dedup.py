@@ -153,7 +153,8 @@ def surplus_lines(
     for part in again[1:]:
         counts = counts.unionByName(part)
     others = counts.groupBy(*HASH).agg(F.sum("n_docs").alias("others")).filter(F.col("others") >= min_docs - 1)
-    common = others.select(*HASH).join(runs.close(), HASH)
+    # Written first: as a plain table it lets the lines of one hash be split over tasks.
+    common = materialize(others.select(*HASH).join(runs.close(), HASH), "common")
     return lines.join(common, HASH).filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select(
         "doc_id", "text_key", "pos"
     )
