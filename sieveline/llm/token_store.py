@@ -15,8 +15,12 @@ store without chunks.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +36,8 @@ from .words import raw_texts
 END_ID = 2
 #: Ids of a chunk, and zstandard's level.
 CHUNK_IDS, LEVEL = 1 << 17, 3
-#: Encoded words a task remembers.
-MEMORY = 300_000
+#: Encoded words a worker remembers, and bytes of text it looks up together.
+MEMORY, GROUP = 1_200_000, 1 << 19
 
 CHUNKS = (
     "shard int, chunk long, first long, n_ids long, plane_bits int, plane_bytes array<int>, planes binary, "
@@ -79,8 +83,9 @@ class WordEncoder:
     """Ids of whole texts from a tokenizer that treats blank-separated words apart.
 
     The vocabulary's own splitting never joins characters across ASCII blanks and
-    drops the blanks, so a text's ids are its words' ids in turn.  A text is encoded
-    word by word, each distinct word once, as long as it is remembered.
+    drops the blanks, so a text's ids are its words' ids in turn.  New words are
+    encoded together, as one text, and remembered; the offsets of its tokens tell
+    which word they are of.
     """
 
     def __init__(self, path: str):
@@ -90,24 +95,87 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        made = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, encoding in zip(words, made):
-            self.known[word] = np.array(encoding.ids, dtype="<u4").tobytes()
-
-    def encode(self, raws: Iterable[bytes]) -> Iterator[np.ndarray]:
-        for raw in raws:
-            words = raw.split()
-            try:
-                yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<u4")
-            except KeyError:
-                fresh = set(words)
-                self._learn([w for w in fresh if w not in self.known])
-                known = self.known
-                if not fresh <= known.keys():  # forgotten just now
-                    self._learn([w for w in fresh if w not in known])
-                yield np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4")
+        """Words of Latin letters alone go straight to the vocabulary's merges, for
+        which nothing is left to be split or normalised; all others through the whole
+        tokenizer."""
+        others, merge, known = [], self.tokenizer.model.tokenize, self.known
+        for word in words:
+            text = word.decode()
+            if _LETTERS.fullmatch(text):
+                text = text.lower()
+                if not text.isascii():
+                    text = text.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+                ids = [token.id for token in merge(text)]
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                others.append(word)
+        if others:
+            self._learn_together(others)
+
+    def _learn_together(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
+        first = np.fromiter((a for a, _ in encoding.offsets), dtype=np.int64, count=len(encoding.ids))
+        cuts = np.searchsorted(first, ends).tolist()
+        ids = np.array(encoding.ids, dtype="<u4").tobytes()
+        at = 0
+        for word, cut in zip(words, cuts):
+            self.known[word] = ids[4 * at:4 * cut]
+            at = cut
+
+    def encode(self, raws: list[bytes]) -> Iterator[np.ndarray]:
+        known = self.known
+        for group in _groups(raws):
+            if len(known) > MEMORY:
+                known.clear()
+            texts = [plain_words(raw) for raw in group]
+            words = list(chain.from_iterable(texts))
+            found = list(map(known.get, words))
+            if None in found:
+                missing = [i for i, ids in enumerate(found) if ids is None]
+                self._learn(list(dict.fromkeys(words[i] for i in missing)))
+                for i in missing:
+                    found[i] = known[words[i]]
+            at = 0
+            for own in texts:
+                yield np.frombuffer(b"".join(found[at:at + len(own)]), dtype="<u4")
+                at += len(own)
+
+
+#: Letters that are one code point each and of which the lower case is another such.
+_LETTERS = re.compile("[a-z]+|[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: How byte-level vocabularies write bytes that are no printable Latin-1 characters:
+#: by the characters from U+0100 on, in order.
+_BYTE_CHARACTERS = {b: 0x100 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+_STOP = re.compile(rb"([A-Za-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
+
+
+def plain_words(raw: bytes) -> list[bytes]:
+    """Words that give the same ids, but fewer different ones: case does not matter
+    to the vocabulary, save in its special tokens, and a full stop or comma between
+    an ASCII letter and a blank is a token of its own."""
+    text = raw if b"<|" in raw else raw.lower()
+    return _STOP.sub(rb"\1 \2", text).split()
+
+
+def _groups(raws: list[bytes]) -> Iterator[list[bytes]]:
+    """Consecutive texts of about GROUP bytes."""
+    group, size = [], 0
+    for raw in raws:
+        group.append(raw)
+        size += len(raw)
+        if size >= GROUP:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One per worker process: what it remembers serves all its tasks."""
+    return WordEncoder(path)
 
 
 def write_store(
@@ -118,7 +186,7 @@ def write_store(
     ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def chunks(batches):
-        encoder = WordEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         shard = _partition()
         held, n_held, ended, chunk, first = [], 0, [], 0, 0
 

@@ -45,6 +45,7 @@ def test_word_by_word_is_the_whole_text(text):
 
 def test_a_full_memory_is_forgotten(monkeypatch):
     monkeypatch.setattr(T, "MEMORY", 3)
+    monkeypatch.setattr(T, "GROUP", 20)
     encoder = T.WordEncoder(PATH)
     texts = ["one two three four five", "five six one", "seven", "one two three four five"] * 3
     assert [list(i) for i in encoder.encode([t.encode() for t in texts])] == [ids_of(t) for t in texts]
