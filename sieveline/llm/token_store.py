@@ -153,10 +153,18 @@ _STOP = re.compile(rb"([A-Za-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
 
 def plain_words(raw: bytes) -> list[bytes]:
     """Words that give the same ids, but fewer different ones: case does not matter
-    to the vocabulary, save in its special tokens, and a full stop or comma between
-    an ASCII letter and a blank is a token of its own."""
-    text = raw if b"<|" in raw else raw.lower()
-    return _STOP.sub(rb"\1 \2", text).split()
+    to the vocabulary in ASCII words, save in its special tokens, and a full stop or
+    comma between an ASCII letter and a blank is a token of its own.
+
+    The vocabulary composes letters with their marks before it lowers them, and some
+    letters compose in lower case alone, so words with other characters stay as they
+    are."""
+    words = _STOP.sub(rb"\1 \2", raw)
+    if b"<|" in raw:
+        return words.split()
+    if raw.isascii():
+        return words.lower().split()
+    return [word.lower() if word.isascii() else word for word in words.split()]
 
 
 def _groups(raws: list[bytes]) -> Iterator[list[bytes]]:

@@ -43,6 +43,13 @@ def test_word_by_word_is_the_whole_text(text):
     assert next(encoder.encode([text.encode()])).tolist() == ids_of(text)
 
 
+@pytest.mark.parametrize("pair", ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"])
+def test_letters_that_compose_in_lower_case_alone(pair):
+    encoder = T.WordEncoder(PATH)
+    for text in (pair, f"x {pair}y z", f"Caf\u00c9 A{pair}, {pair.lower()} B.", f"W\u0331\u030a {pair}<|endoftext|>"):
+        assert next(encoder.encode([text.encode()])).tolist() == ids_of(text)
+
+
 def test_a_full_memory_is_forgotten(monkeypatch):
     monkeypatch.setattr(T, "MEMORY", 3)
     monkeypatch.setattr(T, "GROUP", 20)
