@@ -17,7 +17,7 @@ from ..operators.naive_bayes import class_sums, model_table
 from ..operators.sharded import fit_batch, initial_state
 from ..session import spread, work_dir
 from ..sources import logs
-from ..sources.replay import payload_stream, write_payloads
+from ..sources.replay import payload_stream, write_payloads, write_plain
 from ..sources.tables import csv_rows, csv_scan, is_test_row, labelled_messages, load, text_scan
 from ..streaming.scoring import stream_test
 from ..streaming.store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, Store
@@ -608,8 +608,7 @@ def csv_to_log(spark, sf_dir):
 def plain_stream_log(spark, sf_dir):
     """Training on a folder of plain payload lines, which say no batch number."""
     path = work_dir(spark, "plain")
-    encoded = payloads.encode_columnar(D.batched_messages(spark, sf_dir, part="train"))
-    encoded.coalesce(1).sortWithinPartitions("batch_no").select("payload").write.text(path)
+    write_plain(payloads.encode_columnar(D.batched_messages(spark, sf_dir, part="train")), path)
     store = Store(spark, work_dir(spark, "run"))
     store.create()
     stream_train(spark, path, store.root, plain=True, models=(NAIVE_BAYES,)).awaitTermination()

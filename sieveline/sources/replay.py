@@ -1,7 +1,11 @@
-"""Payload folders: a replayed dataset on disk, one file of payload lines per batch."""
+"""Payload folders: a replayed dataset on disk, one file of payload lines per batch.
+
+Plain folders hold payload lines that say no batch number, a few lines to a file.
+"""
 
 from __future__ import annotations
 
+import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,22 +52,53 @@ def payload_stream(spark: SparkSession, path: str, batches_per_trigger: int = 1)
     return decode_columnar(arrays, payload=None, keep=["batch_no"])
 
 
+#: Payload lines of a plain file; a micro-batch takes in whole files.
+LINES_PER_FILE = 16
+
+
+def write_plain(payloads: DataFrame, path: str, lines_per_file: int = LINES_PER_FILE) -> None:
+    """Write the payloads of ``batch_no, payload`` as plain lines in order of their
+    batches, at most ``lines_per_file`` to a file.
+
+    Tasks write ranges of batches; a file's name says its task and its place there,
+    and file times are set to follow both.
+    """
+    (payloads.repartitionByRange("batch_no").sortWithinPartitions("batch_no", "payload").select("payload")
+     .write.option("maxRecordsPerFile", lines_per_file).text(path))
+    spark = payloads.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = {}
+    for status in fs.listStatus(folder):
+        if place := re.match(r"part-(\d+)-.*-c(\d+)", status.getPath().getName()):
+            files[tuple(map(int, place.groups()))] = status.getPath()
+    start = int(time.time() * 1000) - len(files)
+    for i, place in enumerate(sorted(files)):
+        fs.setTimes(files[place], start + i, -1)
+
+
 def plain_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Rows of a folder of payload lines that say no batch number: every line is a
-    batch.  ``arrival, row_in_batch, feature0..``, where ``arrival`` puts the lines of
-    a micro-batch in order: by age and name of their file, then by place.  A file is
-    read as a whole to know the places, so it should hold few lines."""
-    files = (
-        spark.readStream.format("text").option("wholetext", True)
+    """Lines of a folder of payload lines that say no batch number: every line is a
+    batch.  ``time, file, block, payload``: of what age and name its file is, and
+    where the block starts that a task reads it from."""
+    lines = (
+        spark.readStream.format("text").option("lineSep", "\n")
         .option("maxFilesPerTrigger", files_per_trigger).load(path)
     )
-    lines = files.select(
+    return lines.select(
         F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"),
-        F.posexplode(F.split("value", "\n")).alias("line", "payload"),
-    ).filter("payload != ''")
-    return decode_columnar(
-        lines.select(F.struct("time", "file", "line").alias("arrival"), "payload"), keep=["arrival"]
+        F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("payload"),
+    )
+
+
+def plain_rows(lines: DataFrame) -> DataFrame:
+    """Rows of a micro-batch of :func:`plain_stream`: ``arrival, row_in_batch,
+    feature0..``, where ``arrival`` puts its lines in order.  A block is read by one
+    task from its start to its end, so the task's count orders the lines in it."""
+    placed = lines.select(
+        F.struct("time", "file", "block", F.monotonically_increasing_id().alias("line")).alias("arrival"), "payload"
     )
+    return decode_columnar(placed.filter("payload != ''"), keep=["arrival"])
 
 
 def number_arrivals(rows: DataFrame, after: int) -> DataFrame:

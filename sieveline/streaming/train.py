@@ -14,7 +14,7 @@ from ..operators.metrics import accuracy_precision_recall, confusion_counts, dua
 from ..operators.models import CLUSTERING, NAIVE_BAYES, score
 from ..operators.naive_bayes import batch_updates
 from ..operators.sharded import SHARDS, ModelState, fit_batches, initial_state
-from ..sources.replay import number_arrivals, payload_stream, plain_stream
+from ..sources.replay import LINES_PER_FILE, number_arrivals, payload_stream, plain_rows, plain_stream
 from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store, model_rows
 
 
@@ -144,19 +144,28 @@ def stream_train(
     **trainer_options,
 ) -> StreamingQuery:
     """Start training on a payload folder, or with ``plain`` on a folder of payload
-    lines without batch numbers, which are numbered on arrival.
+    lines without batch numbers, which are numbered on arrival.  A micro-batch takes
+    in whole files, of plain ones as many as hold ``batches_per_trigger`` lines if
+    they are written by :func:`write_plain`, and one at least.
 
     With ``delay`` a micro-batch starts every so many seconds until the query is
     stopped; without, it ends when the folder is used up.  A query started again
-    on the same root goes on where the last one stopped.  Every payload file is a
-    training step of its own, however many of them one micro-batch takes in.
+    on the same root goes on where the last one stopped.  Every payload file, or
+    plain line, is a training step of its own, however many one micro-batch takes in.
     """
     store = Store(spark, root, CLUSTER_FAMILY if clustering else CLASSIFIER_FAMILY)
     trainer = Trainer(store, **trainer_options)
     trigger = {"processingTime": f"{delay} seconds"} if delay else {"availableNow": True}
+    if plain:
+        sent = plain_stream(spark, payload_dir, max(1, batches_per_trigger // LINES_PER_FILE))
+    else:
+        sent = featurize(payload_stream(spark, payload_dir, batches_per_trigger), options)
+
+    def learn(rows: DataFrame, epoch_id: int) -> None:
+        trainer(featurize(plain_rows(rows), options) if plain else rows, epoch_id)
+
     return (
-        featurize((plain_stream if plain else payload_stream)(spark, payload_dir, batches_per_trigger), options)
-        .writeStream.foreachBatch(trainer)
+        sent.writeStream.foreachBatch(learn)
         .option("checkpointLocation", f"{store.path}/train_progress")
         .trigger(**trigger).start()
     )

@@ -8,7 +8,7 @@ from sieveline.operators.features import featurize
 from sieveline.operators.models import CLASSIFIERS, CLUSTERING, LOGISTIC, NAIVE_BAYES
 from sieveline.operators.payloads import encode_columnar
 from sieveline.session import shared_dir, work_dir
-from sieveline.sources.replay import payload_rows, payload_stream, write_payloads
+from sieveline.sources.replay import payload_rows, payload_stream, plain_rows, plain_stream, write_payloads, write_plain
 from sieveline.sources.tables import labelled_messages
 from sieveline.streaming.scoring import Scorer, run, stream_test
 from sieveline.streaming.store import CLUSTER_FAMILY, FAMILIES, Store
@@ -185,6 +185,42 @@ def test_large_batches_are_learnt_in_shards(spark, payload_dir):
         assert store.train_log().agg(F.sum("n")).first()[0] == 80 * len(models)
 
 
+def test_plain_lines_are_learnt_in_order_whatever_their_files(spark):
+    """30 batches in files of 4 lines, and in one file that several tasks read."""
+    rows = batch_table(labelled_messages(spark, SMALL), "row_id", 3)
+    encoded = encode_columnar(rows).cache()
+    folders = [work_dir(spark, "test-plain") for _ in range(3)]
+    write_payloads(encoded, folders[0])
+    write_plain(encoded, folders[1], lines_per_file=4)
+    encoded.coalesce(1).sortWithinPartitions("batch_no").select("payload").write.text(folders[2])
+    lines = spark.read.text(folders[1]).groupBy(F.col("_metadata.file_path")).count().collect()
+    assert sum(r["count"] for r in lines) == encoded.count() > 16 and max(r["count"] for r in lines) <= 4
+
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        stores = []
+        for folder, plain in zip(folders, (False, True, True)):
+            store, root = new_store(spark)
+            stream_train(spark, folder, root, plain=plain, models=(NAIVE_BAYES,)).awaitTermination()
+            stores.append(store)
+        blocks = []
+        (plain_stream(spark, folders[2]).writeStream
+         .foreachBatch(lambda df, i: blocks.extend(plain_rows(df).select("arrival.block").distinct().collect()))
+         .option("checkpointLocation", work_dir(spark, "blocks")).trigger(availableNow=True).start().awaitTermination())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert len(blocks) > 1
+    for store in stores[1:]:
+        assert sorted(r[:2] + r[3:] for r in log(store)) == sorted(r[:2] + r[3:] for r in log(stores[0]))
+        whole, again = params(stores[0]), params(store)
+        assert set(whole) == set(again)
+        for key in whole:
+            np.testing.assert_allclose(again[key], whole[key], atol=1e-12)
+    per_epoch = stores[1].train_log().groupBy("epoch_id").count().collect()
+    assert len(per_epoch) > 1 and max(r["count"] for r in per_epoch) <= 16
+
+
 def test_reset_keeps_models(spark, payload_dir):
     store, _ = new_store(spark)
     Trainer(store, models=(NAIVE_BAYES,))(featurize(payload_rows(spark, payload_dir)).filter("batch_no = 1"), 0)
