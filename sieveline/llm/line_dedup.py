@@ -118,10 +118,13 @@ class Runs:
         self.levels[level].append((name, path))
 
 
-def _batch_no(doc_id: Column, low, high, batches: int) -> Column:
-    """0 for the largest ids, rising; equal ranges of ids, null in the last."""
+def _batch_no(doc_id: Column, low: int, high: int, batches: int) -> Column:
+    """0 for the largest ids, rising; equal ranges of ids, null in the last.  Ids are
+    compared with the ranges' ends, which is exact for all 64-bit numbers."""
     width = -(-(high - low + 1) // batches)
-    return F.coalesce(F.floor((F.lit(high) - doc_id) / F.lit(width)).cast("int"), F.lit(batches - 1))
+    ends = [end for end in (high - k * width for k in range(1, batches)) if end >= low]
+    number = sum(((doc_id <= F.lit(end)).cast("int") for end in ends), F.lit(0))
+    return F.when(doc_id.isNull(), batches - 1).otherwise(number)
 
 
 def surplus_lines(

@@ -74,3 +74,9 @@ def test_runs_are_compacted(spark):
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert runs.close().select("h1").distinct().count() == 55
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("run_")]
+
+
+@pytest.mark.parametrize("ids", [(1, 2**57, 2**58), (-(2**63), 5, 2**63 - 1)])
+def test_ids_that_span_all_longs(rows_of, ids):
+    made = L.dedup_lines(rows_of([(i, "a line that is long enough") for i in ids])).collect()
+    assert {r.doc_id: r.n_dropped for r in made} == {ids[0]: 1, ids[1]: 1, ids[2]: 0}
