@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import chat_format, decontaminate, licenses, line_dedup, mixing, quality, search, simhash, suffix_dedup, token_store
+from . import (
+    centroids, chat_format, decontaminate, licenses, line_dedup, mixing, quality, search, simhash, suffix_dedup, token_store,
+)
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -176,3 +178,49 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document whose id is divisible by 20 asks, all documents answer."""
     return search.top_k(load(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = centroids.cluster(load(spark, sf_dir, "embeddings"))
+    return made.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.concat_ws(",", F.transform("centroid", lambda x: x.cast("string"))), 256).alias("centroid_sha256"),
+    )
+
+
+_FINITE = "coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), false)"
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)"
+
+
+def _centroid_sql(k: int, rounds: int) -> str:
+    """Every round as two tables: who is nearest to what, and where the centroids go."""
+    gap = "list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    tables = [f"""
+WITH kept AS (
+    SELECT vec_id, {_WHOLE} AS v FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}
+), c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v FROM kept ORDER BY sha256('2:' || vec_id) LIMIT {k}
+), {_nearest_sql(0, gap)}"""]
+    for i in range(1, rounds + 1):
+        tables.append(f"""c{i} AS (
+    SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i - 1} c LEFT JOIN (
+        SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS v FROM (
+            SELECT c, pos, sum(x)::BIGINT AS s, count(*) AS n FROM (
+                SELECT c, unnest(v) AS x, unnest(range(64)) AS pos FROM a{i - 1}) GROUP BY c, pos) GROUP BY c) m USING (c)
+), {_nearest_sql(i, gap)}""")
+    return ", ".join(tables) + f"""
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+    (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM (SELECT a.*, c{rounds}.v AS w FROM a{rounds} a JOIN c{rounds} USING (c))
+"""
+
+
+def _nearest_sql(i: int, gap: str) -> str:
+    return f"""a{i} AS MATERIALIZED (
+    SELECT vec_id, any_value(v.v) AS v, (min({gap}::BIGINT * 64 + c.c) // 64)::BIGINT AS d, min({gap}::BIGINT * 64 + c.c) % 64 AS c
+    FROM kept v, c{i} c GROUP BY vec_id
+)"""
+
+
+SQL["op13_centroids"] = _centroid_sql(centroids.K, centroids.ROUNDS)

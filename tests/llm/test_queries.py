@@ -33,7 +33,7 @@ def run(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) and "pipeline" in entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", SQL)
