@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import load
 from . import (
-    centroids, chat_format, decontaminate, licenses, line_dedup, mixing, quality, search, simhash, suffix_dedup, token_store,
+    centroids, chat_format, decontaminate, licenses, line_dedup, mixing, negatives, neighbours, quality, search, simhash,
+    suffix_dedup, token_store,
 )
 
 QUERIES = {}
@@ -180,6 +181,19 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(load(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
 
 
+@query
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whose id is divisible by 100 asks, all others answer."""
+    return neighbours.search(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whose id is divisible by 100 is an anchor; the label of every seventh is moved on first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(load(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = centroids.cluster(load(spark, sf_dir, "embeddings"))
@@ -192,6 +206,26 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FINITE = "coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), false)"
 _WHOLE = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)"
 
+SQL["op12_negatives"] = f"""
+WITH kept AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS v
+    FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND {_FINITE}
+), scored AS (
+    SELECT a.vec_id AS anchor_id, k.vec_id, k.label = a.label AS same,
+        list_sum(list_transform(list_zip(a.v, k.v), lambda z: z[1] * z[2]))::BIGINT AS score
+    FROM kept a JOIN kept k ON a.vec_id % 100 = 0 AND k.vec_id <> a.vec_id AND len(a.v) = len(k.v)
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER one)::INTEGER AS rank, s.vec_id AS negative_id, positive_score,
+    s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW one AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER one <= 10
+"""
+
 
 def _centroid_sql(k: int, rounds: int) -> str:
     """Every round as two tables: who is nearest to what, and where the centroids go."""

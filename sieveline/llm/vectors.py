@@ -47,7 +47,11 @@ def by_width(column: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
     return made
 
 
-def list_column(matrix: np.ndarray) -> pa.ListArray:
-    """A matrix as a column of lists."""
-    n, width = matrix.shape
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, type=pa.int32()), pa.array(matrix.ravel()))
+def runs(batch: pa.RecordBatch, names: tuple[str, ...]) -> list[tuple[tuple, pa.RecordBatch]]:
+    """Pieces of a batch whose rows agree in the named integer columns, in order."""
+    if not batch.num_rows:
+        return []
+    keys = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+    first = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))
+    ends = np.append(first[1:], batch.num_rows)
+    return [(tuple(int(x) for x in keys[:, i]), batch.slice(i, j - i)) for i, j in zip(first, ends)]

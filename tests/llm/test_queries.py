@@ -108,7 +108,20 @@ def test_search(spark, docs):
     assert got == {q: lists[0] for q, lists in plain_search([(d, t) for d, t, _ in docs], 10).items()}
 
 
+def test_neighbours(spark):
+    vectors = {r.vec_id: np.array(r.embedding, dtype=float) for r in load(spark, SMALL, "embeddings").collect()}
+    got, hits = {}, 0
+    for r in sorted(run(spark, "op11_neighbours"), key=lambda r: r.rank):
+        assert r.score == pytest.approx(np.linalg.norm(vectors[r.query_id] - vectors[r.vec_id]), rel=1e-12)
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    for q, near in got.items():
+        assert near == sorted(near) and len(near) == 10
+        true = sorted((np.linalg.norm(v - vectors[q]), i) for i, v in vectors.items() if i != q)[:10]
+        hits += len({i for _, i in near} & {i for _, i in true})
+    assert set(got) == {i for i in vectors if i % 100 == 0} and hits >= 0.9 * 10 * len(got)
+
+
 def test_reruns_agree(spark):
     digest = lambda name: hashlib.sha256(repr(sorted(map(str, run(spark, name)))).encode()).hexdigest()
-    for name in ("op4_mixing", "op6_quality"):
+    for name in ("op4_mixing", "op6_quality", "op11_neighbours"):
         assert digest(name) == digest(name)
