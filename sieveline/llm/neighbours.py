@@ -1,18 +1,21 @@
 """Approximate nearest neighbours by a hierarchical k-means tree.
 
 The tree grows level by level.  A pass over the table counts the rows of every open
-node; a node with more than ``LEAF_ROWS`` rows is split by k-means into ``BRANCHES``
-children, fitted on a sample of about ``FIT_ROWS`` of its rows, all nodes of a level side
-by side.  So the number of leaves grows with the table, up to ``TREE_BYTES`` of
-centroids, which is what a task and a broadcast hold.  Every row is indexed: it goes
-down to the nearest child at each level and belongs to one leaf.
+node; a node with more rows than a leaf should hold is split by k-means into
+``BRANCHES`` children, fitted on a sample of about ``FIT_ROWS`` of its rows, all nodes of
+a level side by side.  Leaves hold about twice the square root of the number of rows, so
+that queries visit and read about as much of a larger table as leaves are more; there
+are at most ``LEVELS`` levels and ``TREE_BYTES`` of centroids, which is what a task and a
+broadcast hold.  Every row is indexed: it goes down to the nearest child at each level
+and belongs to one leaf.
 
 A query goes through the tree best bin first (Muja and Lowe 2009): it descends to the
 nearest child, leaves the siblings in a priority queue by distance, and takes the
 nearest node of the queue next, until it has seen as many leaves as asked and as many
 rows as it must return.  How many leaves that is comes from calibration: for a bounded
 number of queries the true neighbours are found by brute force over all rows, and the
-visits are widened, doubling, until the leaves visited hold a share ``TARGET`` of them.
+visits are widened, by a quarter at a time, until the leaves visited hold a share
+``TARGET`` of them.
 The target lies above the recall promised, 0.9, by more than the sampling error.
 
 The rows of a visited leaf and the queries that visit it meet in tasks of bounded size:
@@ -31,6 +34,7 @@ ignored and may have any name.  An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,9 +48,9 @@ from ..session import materialize
 from .vectors import by_width, finite, one_per_id, runs
 
 TOP = 10
-#: Children of a node, rows above which a node is split, rows of the sample that splits
-#: it, rounds of its k-means, and bytes of all centroids together.
-BRANCHES, LEAF_ROWS, FIT_ROWS, FIT_ROUNDS, TREE_BYTES = 16, 128, 2048, 8, 32 << 20
+#: Children of a node, rows that are never split, rows of the sample that splits a node,
+#: rounds of its k-means, and the most levels and bytes of centroids of a tree.
+BRANCHES, LEAF_ROWS, FIT_ROWS, FIT_ROUNDS, LEVELS, TREE_BYTES = 16, 256, 2048, 8, 5, 32 << 20
 #: Queries that are also answered by brute force, and the share of true neighbours to reach.
 CALIBRATION, TARGET = 200, 0.95
 #: Rows of a leaf, and visits of it, that meet in one group.
@@ -168,13 +172,15 @@ def grow(kept: DataFrame) -> Forest:
         made = kmeans(x, BRANCHES)
         return pd.DataFrame({"leaf": frame["leaf"].iloc[0], "centroid": list(made)})
 
-    while open_ones:
+    for level in range(LEVELS + 1):
         placed = _placed(kept, forest)
         counts = {r[0]: r[1] for r in placed.groupBy("leaf").agg(F.count("*")).collect()}  # nodes, of bounded number
         for node in open_ones:
             forest.nodes[node].rows = counts.get(node, 0)
-        large = {n: counts[n] for n in open_ones if counts.get(n, 0) > LEAF_ROWS}
-        if not large or forest.bytes() >= TREE_BYTES:
+        if not level:
+            limit = max(LEAF_ROWS, 2 * math.isqrt(sum(counts.values())))
+        large = {n: counts[n] for n in open_ones if counts.get(n, 0) > limit}
+        if not large or level == LEVELS or forest.bytes() >= TREE_BYTES:
             break
         share = F.element_at(F.create_map(*[F.lit(x) for n, c in large.items() for x in (n, min(1.0, FIT_ROWS / c))]), F.col("leaf"))
         chance = F.pmod(F.xxhash64("vec_id", F.lit(len(forest.nodes))), F.lit(1 << 30)) / (1 << 30)
@@ -254,7 +260,7 @@ def calibrate(placed: DataFrame, asked: DataFrame, forest: Forest, k: int, targe
         return 1, 1.0
     places, n_leaves = np.array(places), 1
     while (recall := float((places < n_leaves).mean())) < target:
-        n_leaves *= 2
+        n_leaves += max(1, n_leaves // 4)
     return n_leaves, recall
 
 
