@@ -17,7 +17,7 @@ from ..operators.naive_bayes import class_sums, model_table
 from ..operators.sharded import fit_batch, initial_state
 from ..session import spread, work_dir
 from ..sources import logs
-from ..sources.replay import payload_stream, write_payloads, write_plain
+from ..sources.replay import Replay, payload_stream, write_payloads, write_plain
 from ..sources.tables import csv_rows, csv_scan, is_test_row, labelled_messages, load, text_scan
 from ..streaming.scoring import stream_test
 from ..streaming.store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, Store
@@ -516,12 +516,11 @@ def sharded_fit(spark, sf_dir):
 
 @query
 def stream_decode(spark, sf_dir):
-    """The payload folder through a file stream."""
+    """The log of payloads as a stream."""
     out = work_dir(spark, "decoded")
-    (payload_stream(spark, D.payload_folder(spark, sf_dir, part="both"), batches_per_trigger=16)
-     .writeStream.format("parquet").option("path", out)
-     .option("checkpointLocation", work_dir(spark, "progress"))
-     .trigger(availableNow=True).start().awaitTermination())
+    Replay(payload_stream(spark, D.payload_folder(spark, sf_dir, part="both"), batches_per_trigger=1024)
+           .writeStream.format("parquet").option("path", out)
+           .option("checkpointLocation", work_dir(spark, "progress")).start()).awaitTermination()
     return spark.read.parquet(out).select("batch_no", "row_in_batch", "feature0", "feature1", "feature2")
 
 

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,3 +50,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def has_table(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table was written at ``path``."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True

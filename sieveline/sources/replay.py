@@ -1,117 +1,66 @@
-"""Payload folders: a replayed dataset on disk, one file of payload lines per batch.
+"""A replayed dataset on disk and as a stream: payload lines in order of their batches.
 
-Plain folders hold payload lines that say no batch number, a few lines to a file.
+Payload lines that say no batch number, in a folder of text files, are numbered by their
+place and become a log like any other.
 """
 
 from __future__ import annotations
 
-import re
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.payloads import COLUMNAR, decode_columnar
+from ..operators.batching import number_rows_by_range
+from ..operators.payloads import decode_columnar
+from .payload_log import read_log, stream_log, write_log
+from .tables import text_scan
 
 
 def write_payloads(payloads: DataFrame, path: str) -> None:
-    """Write ``batch_no, payload`` as text, one folder and file per batch.
-
-    The batches are written in parallel, so their files finish in any order.  A
-    file stream takes files by age; the ages are set to follow the batch numbers.
-    """
-    (payloads.repartition("batch_no").sortWithinPartitions("batch_no", "payload")
-     .write.partitionBy("batch_no").text(path))
-    _age_by_batch(payloads.sparkSession, path)
-
-
-def _age_by_batch(spark: SparkSession, path: str) -> None:
-    """Give batch n an older file time than batch n + 1 (file metadata only)."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    batches = {
-        int(s.getPath().getName().split("=")[1]): s.getPath()
-        for s in fs.listStatus(folder) if s.getPath().getName().startswith("batch_no=")
-    }
-    start = int(time.time() * 1000) - len(batches)
-    for i, batch_no in enumerate(sorted(batches)):
-        for file in fs.listStatus(batches[batch_no]):
-            fs.setTimes(file.getPath(), start + i, -1)
-
-
-def payload_stream(spark: SparkSession, path: str, batches_per_trigger: int = 1) -> DataFrame:
-    """Rows of a payload folder as a stream: ``batch_no, row_in_batch, feature0..``.
-
-    One file is one batch, so each micro-batch holds one batch by default.
-    """
-    arrays = (
-        spark.readStream.schema(f"{COLUMNAR}, batch_no long")
-        .option("maxFilesPerTrigger", batches_per_trigger).json(path)
-    )
-    return decode_columnar(arrays, payload=None, keep=["batch_no"])
+    """Write ``batch_no, payload`` as a log of payload lines."""
+    write_log(payloads, path)
 
 
-#: Payload lines of a plain file; a micro-batch takes in whole files.
-LINES_PER_FILE = 16
+def write_plain(payloads: DataFrame, path: str) -> None:
+    """Write the payloads alone as text files, in order of their batches."""
+    payloads.repartitionByRange("batch_no").sortWithinPartitions("batch_no", "payload").select("payload").write.text(path)
 
 
-def write_plain(payloads: DataFrame, path: str, lines_per_file: int = LINES_PER_FILE) -> None:
-    """Write the payloads of ``batch_no, payload`` as plain lines in order of their
-    batches, at most ``lines_per_file`` to a file.
+def number_plain(spark: SparkSession, folder: str, path: str) -> None:
+    """Make a log of a folder of payload lines without batch numbers.
 
-    Tasks write ranges of batches; a file's name says its task and its place there,
-    and file times are set to follow both.
+    Every line that is not empty is a batch; files count in order of their names and
+    lines in order of their place.
     """
-    (payloads.repartitionByRange("batch_no").sortWithinPartitions("batch_no", "payload").select("payload")
-     .write.option("maxRecordsPerFile", lines_per_file).text(path))
-    spark = payloads.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = {}
-    for status in fs.listStatus(folder):
-        if place := re.match(r"part-(\d+)-.*-c(\d+)", status.getPath().getName()):
-            files[tuple(map(int, place.groups()))] = status.getPath()
-    start = int(time.time() * 1000) - len(files)
-    for i, place in enumerate(sorted(files)):
-        fs.setTimes(files[place], start + i, -1)
-
-
-def plain_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Lines of a folder of payload lines that say no batch number: every line is a
-    batch.  ``time, file, block, payload``: of what age and name its file is, and
-    where the block starts that a task reads it from."""
-    lines = (
-        spark.readStream.format("text").option("lineSep", "\n")
-        .option("maxFilesPerTrigger", files_per_trigger).load(path)
-    )
-    return lines.select(
-        F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("payload"),
-    )
-
-
-def plain_rows(lines: DataFrame) -> DataFrame:
-    """Rows of a micro-batch of :func:`plain_stream`: ``arrival, row_in_batch,
-    feature0..``, where ``arrival`` puts its lines in order.  A block is read by one
-    task from its start to its end, so the task's count orders the lines in it."""
-    placed = lines.select(
-        F.struct("time", "file", "block", F.monotonically_increasing_id().alias("line")).alias("arrival"), "payload"
-    )
-    return decode_columnar(placed.filter("payload != ''"), keep=["arrival"])
-
-
-def number_arrivals(rows: DataFrame, after: int) -> DataFrame:
-    """Rows of a micro-batch with ``batch_no`` counted on from ``after``; the batches
-    of a micro-batch are few."""
-    arrivals = [r.arrival for r in rows.select("arrival").distinct().orderBy("arrival").collect()]
-    table = rows.sparkSession.createDataFrame(
-        [(a, after + i + 1) for i, a in enumerate(arrivals)], rows.select("arrival").schema.add("batch_no", "long")
-    )
-    return rows.join(F.broadcast(table), "arrival").drop("arrival")
+    lines = text_scan(spark, folder).filter("line != ''")
+    numbered = number_rows_by_range(lines, ["file", "block_start", "line_key"])
+    write_log(numbered.select((F.col("row_no") + 1).alias("batch_no"), F.col("line").alias("payload")), path)
+
+
+def payload_stream(
+    spark: SparkSession, path: str, batches_per_trigger: int = 1, progress: str | None = None
+) -> DataFrame:
+    """Rows of a log as a stream: ``batch_no, row_in_batch, feature0..``, that many batches
+    to a micro-batch.  ``progress`` is as in :func:`.payload_log.stream_log`."""
+    return decode_columnar(stream_log(spark, path, batches_per_trigger, progress), keep=["batch_no"])
 
 
 def payload_rows(spark: SparkSession, path: str) -> DataFrame:
     """The same rows as a static table."""
-    arrays = spark.read.schema(f"{COLUMNAR}, batch_no long").json(path)
-    return decode_columnar(arrays, payload=None, keep=["batch_no"])
+    return decode_columnar(read_log(spark, path), keep=["batch_no"])
+
+
+class Replay:
+    """A started query on a log; awaiting it means to wait until the log is used up."""
+
+    def __init__(self, query: StreamingQuery):
+        self.query = query
+
+    def awaitTermination(self) -> None:
+        try:
+            self.query.processAllAvailable()
+        finally:
+            self.query.stop()
+
+    def __getattr__(self, name: str):
+        return getattr(self.query, name)

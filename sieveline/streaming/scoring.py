@@ -9,9 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.features import FeatureOptions, featurize
 from ..operators.models import score
 from ..session import work_dir
-from ..sources.replay import payload_stream
+from ..sources.replay import Replay, payload_stream
 from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FINAL, Store, model_rows
-from .train import BATCHES_PER_TRIGGER, stream_train
+from .train import BATCHES_PER_TRIGGER, start, stream_train
 
 
 class Scorer:
@@ -51,21 +51,16 @@ def stream_test(
     delay: int | None = None,
     batches_per_trigger: int = BATCHES_PER_TRIGGER,
     options: FeatureOptions = FeatureOptions(),
-) -> StreamingQuery:
-    """Empty the checkpoint's test log and start scoring a payload folder."""
+) -> StreamingQuery | Replay:
+    """Empty the checkpoint's test log and start scoring a log of payloads."""
     store = Store(spark, root, CLUSTER_FAMILY if clustering else CLASSIFIER_FAMILY)
     scorer = Scorer(store, model_num)
     store.start_test(model_num)
-    trigger = {"processingTime": f"{delay} seconds"} if delay else {"availableNow": True}
-    return (
-        featurize(payload_stream(spark, payload_dir, batches_per_trigger), options)
-        .writeStream.foreachBatch(scorer)
-        .option("checkpointLocation", work_dir(spark, "test_progress"))
-        .trigger(**trigger).start()
-    )
+    rows = featurize(payload_stream(spark, payload_dir, batches_per_trigger), options)
+    return start(rows, scorer, work_dir(spark, "test_progress"), delay)
 
 
-def run(spark: SparkSession, mode: str, payload_dir: str, root: str, **options) -> StreamingQuery:
+def run(spark: SparkSession, mode: str, payload_dir: str, root: str, **options) -> StreamingQuery | Replay:
     """Start a query by mode, ``train`` or ``test``."""
     modes = {"train": stream_train, "test": stream_test}
     if mode.lower() not in modes:

@@ -14,7 +14,8 @@ from ..operators.metrics import accuracy_precision_recall, confusion_counts, dua
 from ..operators.models import CLUSTERING, NAIVE_BAYES, score
 from ..operators.naive_bayes import batch_updates
 from ..operators.sharded import SHARDS, ModelState, fit_batches, initial_state
-from ..sources.replay import LINES_PER_FILE, number_arrivals, payload_stream, plain_rows, plain_stream
+from ..session import has_table
+from ..sources.replay import Replay, number_plain, payload_stream
 from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store, model_rows
 
 
@@ -65,8 +66,6 @@ class Trainer:
         if epoch_id == self.last_epoch:
             done = self.store.last_commit()
             self._resume_after(done.first_batch - 1, done.sent_before)
-        if "arrival" in rows.columns:
-            rows = number_arrivals(rows, self.sent or 0)
         features = rows.select("batch_no", "row_in_batch", "y", "features").persist()
         try:
             # The class sums hold the class sizes, so they find and count the batches too.
@@ -142,30 +141,30 @@ def stream_train(
     options: FeatureOptions = FeatureOptions(),
     plain: bool = False,
     **trainer_options,
-) -> StreamingQuery:
-    """Start training on a payload folder, or with ``plain`` on a folder of payload
-    lines without batch numbers, which are numbered on arrival.  A micro-batch takes
-    in whole files, of plain ones as many as hold ``batches_per_trigger`` lines if
-    they are written by :func:`write_plain`, and one at least.
+) -> StreamingQuery | Replay:
+    """Start training on a log of payloads, or with ``plain`` on a folder of payload
+    lines without batch numbers, which become a log first.
 
     With ``delay`` a micro-batch starts every so many seconds until the query is
-    stopped; without, it ends when the folder is used up.  A query started again
-    on the same root goes on where the last one stopped.  Every payload file, or
-    plain line, is a training step of its own, however many one micro-batch takes in.
+    stopped; without, one follows another and awaiting the end means to wait until the
+    log is used up.  A query started again on the same root goes on where the last one
+    stopped.  Every batch is a training step of its own, however many one micro-batch
+    takes in.
     """
     store = Store(spark, root, CLUSTER_FAMILY if clustering else CLASSIFIER_FAMILY)
     trainer = Trainer(store, **trainer_options)
-    trigger = {"processingTime": f"{delay} seconds"} if delay else {"availableNow": True}
+    log = payload_dir
     if plain:
-        sent = plain_stream(spark, payload_dir, max(1, batches_per_trigger // LINES_PER_FILE))
-    else:
-        sent = featurize(payload_stream(spark, payload_dir, batches_per_trigger), options)
-
-    def learn(rows: DataFrame, epoch_id: int) -> None:
-        trainer(featurize(plain_rows(rows), options) if plain else rows, epoch_id)
-
-    return (
-        sent.writeStream.foreachBatch(learn)
-        .option("checkpointLocation", f"{store.path}/train_progress")
-        .trigger(**trigger).start()
-    )
+        log = f"{store.path}/plain_log"
+        if not has_table(spark, f"{log}/index"):
+            number_plain(spark, payload_dir, log)
+    progress = f"{store.path}/train_progress"
+    return start(featurize(payload_stream(spark, log, batches_per_trigger, progress), options), trainer, progress, delay)
+
+
+def start(rows: DataFrame, learn_or_score, progress: str, delay: int | None) -> StreamingQuery | Replay:
+    """Run a function on every micro-batch, at an interval or until a log is used up."""
+    writer = rows.writeStream.foreachBatch(learn_or_score).option("checkpointLocation", progress)
+    if delay:
+        return writer.trigger(processingTime=f"{delay} seconds").start()
+    return Replay(writer.start())

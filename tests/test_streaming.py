@@ -8,7 +8,8 @@ from sieveline.operators.features import featurize
 from sieveline.operators.models import CLASSIFIERS, CLUSTERING, LOGISTIC, NAIVE_BAYES
 from sieveline.operators.payloads import encode_columnar
 from sieveline.session import shared_dir, work_dir
-from sieveline.sources.replay import payload_rows, payload_stream, plain_rows, plain_stream, write_payloads, write_plain
+from sieveline.sources.payload_log import LogReader, write_log
+from sieveline.sources.replay import Replay, payload_rows, payload_stream, write_payloads, write_plain
 from sieveline.sources.tables import labelled_messages
 from sieveline.streaming.scoring import Scorer, run, stream_test
 from sieveline.streaming.store import CLUSTER_FAMILY, FAMILIES, Store
@@ -50,12 +51,47 @@ def test_the_session_names_the_shared_folder(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
 
 
-def test_batches_arrive_in_order(spark, payload_dir):
+def arrivals(spark, path, per_trigger, progress):
     order = []
-    (payload_stream(spark, payload_dir).writeStream
-     .foreachBatch(lambda df, i: order.append([r[0] for r in df.select("batch_no").distinct().collect()]))
-     .option("checkpointLocation", work_dir(spark, "order")).trigger(availableNow=True).start().awaitTermination())
-    assert order == [[1], [2], [3], [4]]
+    query = (payload_stream(spark, path, per_trigger, progress).writeStream
+             .foreachBatch(lambda df, i: order.append(sorted(r[0] for r in df.select("batch_no").distinct().collect())))
+             .option("checkpointLocation", progress).start())
+    Replay(query).awaitTermination()
+    return order
+
+
+def test_batches_arrive_in_order(spark, payload_dir):
+    assert arrivals(spark, payload_dir, 1, work_dir(spark, "order")) == [[1], [2], [3], [4]]
+    assert arrivals(spark, payload_dir, 3, work_dir(spark, "order")) == [[1, 2, 3], [4]]
+
+
+def test_a_grown_log_goes_on_after_its_end(spark, payload_dir):
+    """The same query on more batches hands out only the new ones."""
+    progress, path = work_dir(spark, "order"), work_dir(spark, "grown")
+    lines = spark.read.parquet(f"{payload_dir}/lines")
+    for upto, expected in ((2, [[1, 2]]), (2, []), (4, [[3, 4]])):
+        write_log(lines.filter(F.col("batch_no") <= upto), f"{path}-{upto}-{len(expected)}")
+        order = arrivals(spark, f"{path}-{upto}-{len(expected)}", 2, progress)
+        assert order == expected
+
+
+def test_files_do_not_grow_with_batches(spark):
+    """Two thousand batches of one line: few files, and each micro-batch reads only its row groups."""
+    path = work_dir(spark, "many")
+    lines = spark.range(1, 2001).selectExpr(
+        "id AS batch_no", "array_join(transform(sequence(1, 300), i -> sha2(concat(id, '-', i), 256)), '') AS payload"
+    )
+    write_log(lines, path)
+    index = spark.read.parquet(f"{path}/index")
+    assert index.select("file").distinct().count() <= 8 < index.count() and index.agg(F.min("first_batch"), F.max("last_batch")).first() == (1, 2000)
+    reader = LogReader(path, 100, "")
+    asked = reader.partitions({"batch": 700}, {"batch": 800})
+    assert 1 <= len(asked) <= 3
+    got = [n for piece in asked for batch in reader.read(piece) for n in batch.column(0).to_pylist()]
+    assert sorted(got) == list(range(701, 801))
+    assert reader.latestOffset() == {"batch": 900} and reader.partitions({"batch": 2000}, {"batch": 2000}) == []
+    with pytest.raises(ValueError):
+        payload_stream(spark, path, 0)
 
 
 def test_training_logs_every_model_and_batch(finished):
@@ -186,16 +222,14 @@ def test_large_batches_are_learnt_in_shards(spark, payload_dir):
 
 
 def test_plain_lines_are_learnt_in_order_whatever_their_files(spark):
-    """30 batches in files of 4 lines, and in one file that several tasks read."""
+    """30 batches in several files, and in one file that several tasks read."""
     rows = batch_table(labelled_messages(spark, SMALL), "row_id", 3)
     encoded = encode_columnar(rows).cache()
     folders = [work_dir(spark, "test-plain") for _ in range(3)]
     write_payloads(encoded, folders[0])
-    write_plain(encoded, folders[1], lines_per_file=4)
-    encoded.coalesce(1).sortWithinPartitions("batch_no").select("payload").write.text(folders[2])
-    lines = spark.read.text(folders[1]).groupBy(F.col("_metadata.file_path")).count().collect()
-    assert sum(r["count"] for r in lines) == encoded.count() > 16 and max(r["count"] for r in lines) <= 4
-
+    write_plain(encoded, folders[1])
+    (encoded.coalesce(1).sortWithinPartitions("batch_no").select(F.explode(F.array(F.lit(""), "payload")).alias("payload"))
+     .write.text(folders[2]))
     kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
@@ -204,21 +238,16 @@ def test_plain_lines_are_learnt_in_order_whatever_their_files(spark):
             store, root = new_store(spark)
             stream_train(spark, folder, root, plain=plain, models=(NAIVE_BAYES,)).awaitTermination()
             stores.append(store)
-        blocks = []
-        (plain_stream(spark, folders[2]).writeStream
-         .foreachBatch(lambda df, i: blocks.extend(plain_rows(df).select("arrival.block").distinct().collect()))
-         .option("checkpointLocation", work_dir(spark, "blocks")).trigger(availableNow=True).start().awaitTermination())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
-    assert len(blocks) > 1
     for store in stores[1:]:
         assert sorted(r[:2] + r[3:] for r in log(store)) == sorted(r[:2] + r[3:] for r in log(stores[0]))
         whole, again = params(stores[0]), params(store)
         assert set(whole) == set(again)
         for key in whole:
             np.testing.assert_allclose(again[key], whole[key], atol=1e-12)
-    per_epoch = stores[1].train_log().groupBy("epoch_id").count().collect()
-    assert len(per_epoch) > 1 and max(r["count"] for r in per_epoch) <= 16
+    stream_train(spark, folders[2], stores[2].root, plain=True, models=(NAIVE_BAYES,)).awaitTermination()  # nothing new
+    assert stores[2].last_batch() == 29
 
 
 def test_reset_keeps_models(spark, payload_dir):
