@@ -11,6 +11,7 @@ from ..functions.hashing import N_BUCKETS
 from ..functions.vectors import dot
 from .models import CLUSTERING, score
 from .naive_bayes import batch_updates
+from .sharded import moved_centres
 
 
 def model_row(rows: DataFrame, params: np.ndarray, batch_no: int) -> DataFrame:
@@ -59,11 +60,4 @@ def update(rows: DataFrame, params: np.ndarray, batch_no: int) -> np.ndarray:
     """
     assigned = assign(rows, params, batch_no).withColumn("y", F.col("prediction"))
     added = batch_updates(assigned.select("batch_no", "y", "features"))[batch_no]
-    moved = params.copy()
-    for k in (0, 1):
-        at = slice(2 + k * N_BUCKETS, 2 + (k + 1) * N_BUCKETS)
-        weight = params[k] + added[k]
-        if weight > 0:
-            moved[at] = (params[k] * params[at] + added[at]) / weight
-        moved[k] = weight
-    return moved
+    return moved_centres(params, added)

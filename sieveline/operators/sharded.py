@@ -1,25 +1,33 @@
-"""Learners that go through rows one after another, in a stated number of shards.
+"""Learners that go through batches one after another, in a stated number of shards.
 
 A batch is dealt into ``shards`` by its row numbers.  Every shard starts from the
 current model, makes one pass over its rows in order, and the parameters are averaged
-by shard size (parameter mixing, McDonald et al. 2010; Zinkevich et al. 2010).  One
-shard is the sequential rule itself.  The number is an argument that is kept with
-the models; neither the size of a batch nor the cluster has a part in the results.
+by shard size (parameter mixing, McDonald et al. 2010; Zinkevich et al. 2010); the
+clusterer's shards add up sums instead.  One shard is the sequential rule itself.
+The number is an argument that is kept with the models; neither the size of a batch
+nor the cluster has a part in the results.
+
+All batches of a call are one barrier stage.  Its tasks hold a shard each, or several
+where the cluster has fewer slots, and exchange parameters after every batch, so a
+batch costs an exchange of a few hundred kilobytes and no Spark job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import base64
+import pickle
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import N_BUCKETS
-from . import kmeans
-from .models import CLUSTERING, HIDDEN_UNITS, LOGISTIC, MLP, PERCEPTRON
+from .models import CLUSTERING, HIDDEN_UNITS, LOGISTIC, MLP, PERCEPTRON, TIE
 
 SHARDS = 4
 
@@ -119,6 +127,31 @@ def _network_gradient(params: np.ndarray, rows, y) -> np.ndarray:
 
 PASSES = {LOGISTIC: logistic_pass, PERCEPTRON: perceptron_pass, MLP: network_pass}
 
+
+def cluster_sums(params: np.ndarray, rows) -> np.ndarray:
+    """Sizes and bucket sums of the rows nearest to each of two centres, laid out as the model is."""
+    first, second = params[2:2 + N_BUCKETS], params[2 + N_BUCKETS:]
+    bias, weights = first @ first - second @ second, 2 * (second - first)
+    added = np.zeros(2 + 2 * N_BUCKETS)
+    for buckets, x in rows:
+        nearest = int(bias + x @ weights[buckets] > TIE)
+        added[nearest] += 1
+        added[2 + nearest * N_BUCKETS + buckets] += x
+    return added
+
+
+def moved_centres(params: np.ndarray, added: np.ndarray) -> np.ndarray:
+    """Each centre as the mean of all rows it has been given so far; a starved one stays."""
+    moved = params.copy()
+    for k in (0, 1):
+        at = slice(2 + k * N_BUCKETS, 2 + (k + 1) * N_BUCKETS)
+        weight = params[k] + added[k]
+        if weight > 0:
+            moved[at] = (params[k] * params[at] + added[at]) / weight
+        moved[k] = weight
+    return moved
+
+
 #: Rows that a shard holds at a time: whole mini-batches of the network.
 PIECE = 10 * MLP_BATCH
 
@@ -126,28 +159,15 @@ PIECE = 10 * MLP_BATCH
 def fit_batches(
     rows: DataFrame, states: dict[str, ModelState], order: Sequence[int], shards: int = SHARDS
 ) -> dict[int, dict[str, ModelState]]:
-    """The given models after each batch, batches taken in ``order``.
+    """The given models after each batch, batches taken in ``order``, which rises.
 
-    ``rows`` has ``batch_no, row_in_batch, y, features``.  The clusterer may be among
-    the models; its update needs no order and is summed up by all tasks.  One shard
-    learns all batches in one pass; more shards meet after every batch.
+    ``rows`` has ``batch_no, row_in_batch, y, features``.
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
     after: dict[int, dict[str, ModelState]] = {batch_no: {} for batch_no in order}
-    if CLUSTERING in states:
-        params = states[CLUSTERING].params
-        for batch_no in order:
-            params = kmeans.update(rows.filter(F.col("batch_no") == batch_no), params, batch_no)
-            after[batch_no][CLUSTERING] = ModelState(params)
-    mixed = {m: s for m, s in states.items() if m != CLUSTERING}
-    if mixed and shards == 1:
-        for r in _learn(rows, mixed, 1).collect():
-            after[r.batch_no][r.model] = _state(r.model, r.steps, r.numbers)
-    elif mixed:
-        for batch_no in order:
-            mixed = _average(_learn(rows.filter(F.col("batch_no") == batch_no), mixed, shards).collect())
-            after[batch_no].update(mixed)
+    for r in _learn(rows, states, list(order), shards).collect():  # a row per batch and model
+        after[r.batch_no][r.model] = _state(r.model, r.steps, r.numbers)
     return after
 
 
@@ -157,65 +177,95 @@ def fit_batch(rows: DataFrame, states: dict[str, ModelState], shards: int = SHAR
     return fit_batches(one, states, [1], shards)[1]
 
 
-def _learn(rows: DataFrame, states: dict[str, ModelState], shards: int) -> DataFrame:
-    """Every model after one pass over each shard and batch, all in one shuffle.
+def _learn(rows: DataFrame, states: dict[str, ModelState], order: list[int], shards: int) -> DataFrame:
+    """Every model after every batch, in one shuffle and one stage.
 
-    The models are small and travel with the tasks.  A shard's rows stream by in
-    order and are taken in pieces, so a task holds a piece whatever the batch size.
+    The models are small and travel with the tasks.  Rows stream by in order and are
+    taken in pieces, so a task holds a piece whatever the batch size.
     """
     def learn(frames):
-        at, current, held, n = None, {}, [], 0
-        for frame in frames:
-            for shard, batch_no, y, buckets, xs in frame.itertuples(index=False, name=None):
-                if (shard, batch_no) != at:
-                    if at is not None:
-                        current = take(current, held)
-                        yield report(at, current, n)
-                    if at is None or shard != at[0]:
-                        current = dict(states)
-                    at, held, n = (shard, batch_no), [], 0
-                held.append((np.asarray(buckets, dtype=np.int64), np.asarray(xs, dtype=float), y))
-                n += 1
-                if len(held) == PIECE:
-                    current, held = take(current, held), []
-        if at is not None:
-            yield report(at, take(current, held), n)
-
-    def take(current, held):
-        if not held:
-            return current
-        data, y = [(b, x) for b, x, _ in held], np.array([y for _, _, y in held])
-        return {m: PASSES[m](s, data, y) for m, s in current.items()}
-
-    def report(at, current, n):
-        return pd.DataFrame(
-            [(*at, m, n, s.steps, np.concatenate([s.params, s.moments])) for m, s in current.items()],
-            columns=["shard", "batch_no", "model", "n", "steps", "numbers"],
-        )
-
+        context = BarrierTaskContext.get()
+        feed = groupby(_in_order(frames), key=lambda r: r[0])
+        batch_no, own = next(feed, (None, None))
+        current = dict(states)
+        for number in order:
+            parts = {}
+            if batch_no == number:
+                for shard, dealt in groupby(own, key=lambda r: r[1]):
+                    parts[shard] = _pass(current, dealt)
+                batch_no, own = next(feed, (None, None))
+            sent = base64.b64encode(pickle.dumps(parts)).decode()
+            gathered = {}
+            for message in context.allGather(sent):
+                gathered |= pickle.loads(base64.b64decode(message))
+            current = _meet(current, [gathered[shard] for shard in sorted(gathered)])
+            if context.partitionId() == 0:
+                yield pd.DataFrame(
+                    [(number, m, s.steps, np.concatenate([s.params, s.moments])) for m, s in current.items()],
+                    columns=["batch_no", "model", "steps", "numbers"],
+                )
+
+    tasks = min(shards, rows.sparkSession.sparkContext.defaultParallelism)
     dealt = rows.select(
         F.pmod("row_in_batch", F.lit(shards)).cast("int").alias("shard"), "batch_no", "row_in_batch", "y",
         F.col("features.bucket").alias("buckets"), F.col("features.x").alias("xs"),
     )
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "batch_no", "row_in_batch")
-    return dealt.drop("row_in_batch").mapInPandas(
-        learn, "shard int, batch_no long, model string, n long, steps long, numbers array<double>"
+    dealt = dealt.repartitionById(tasks, F.pmod("shard", F.lit(tasks))).sortWithinPartitions("batch_no", "shard", "row_in_batch")
+    return dealt.select("batch_no", "shard", "y", "buckets", "xs").mapInPandas(
+        learn, "batch_no long, model string, steps long, numbers array<double>", barrier=True
     )
 
 
+def _in_order(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    for frame in frames:
+        yield from frame.itertuples(index=False, name=None)
+
+
+def _pass(states: dict[str, ModelState], dealt: Iterator[tuple]) -> tuple[int, dict[str, ModelState]]:
+    """Rows of a shard, and every model after them; for the clusterer, their sums."""
+    current = {m: replace(s, params=np.zeros_like(s.params)) if m == CLUSTERING else s for m, s in states.items()}
+    n, held = 0, []
+
+    def take():
+        data, y = [(b, x) for b, x, _ in held], np.array([y for _, _, y in held])
+        for m, s in current.items():
+            if m == CLUSTERING:
+                current[m] = replace(s, params=s.params + cluster_sums(states[m].params, data))
+            else:
+                current[m] = PASSES[m](s, data, y)
+        held.clear()
+
+    for _, _, y, buckets, xs in dealt:
+        held.append((np.asarray(buckets, dtype=np.int64), np.asarray(xs, dtype=float), y))
+        n += 1
+        if len(held) == PIECE:
+            take()
+    if held:
+        take()
+    return n, current
+
+
 def _state(model: str, steps: int, numbers) -> ModelState:
     numbers = np.array(numbers)
     size = MLP_SIZE if model == MLP else len(numbers)  # only the network has moments
     return ModelState(numbers[:size], numbers[size:], steps)
 
 
-def _average(parts: list) -> dict[str, ModelState]:
-    """Mean of the shards' numbers, weighted by rows, added up in order of the shards:
-    as many rows of a few thousand numbers as there are shards."""
-    mean: dict[str, ModelState] = {}
-    for model in sorted({r.model for r in parts}):
-        own = sorted((r for r in parts if r.model == model), key=lambda r: r.shard)
-        n = sum(r.n for r in own)
-        numbers = sum(r.n * np.array(r.numbers) for r in own) / n
-        mean[model] = _state(model, round(sum(r.n * r.steps for r in own) / n), numbers)
-    return mean
+def _meet(before: dict[str, ModelState], parts: list[tuple[int, dict[str, ModelState]]]) -> dict[str, ModelState]:
+    """The models after a batch from those of its shards, in order of the shards: the
+    mean weighted by rows, or the centres moved by the sum."""
+    after = dict(before)
+    n = sum(size for size, _ in parts)
+    for model in before if parts else ():
+        own = [(size, states[model]) for size, states in parts]
+        if model == CLUSTERING:
+            added = sum(s.params for _, s in own)
+            after[model] = replace(before[model], params=moved_centres(before[model].params, added))
+        elif len(own) == 1:
+            after[model] = own[0][1]
+        else:
+            after[model] = ModelState(
+                sum(size * s.params for size, s in own) / n, sum(size * s.moments for size, s in own) / n,
+                round(sum(size * s.steps for size, s in own) / n),
+            )
+    return after

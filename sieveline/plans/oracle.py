@@ -158,7 +158,11 @@ UNION ALL SELECT batch_no, CAST(k AS INTEGER), round(w[k + 1], 6) FROM {_model}_
 sql("sharded_fit", " UNION ALL ".join(
     f"SELECT '{model}' AS model, CAST(n AS BIGINT) AS n, CAST(pos AS INTEGER) AS pos, round(value, 6) AS value FROM {name}_mean"
     for model, name in (("SGD Classifier", "logistic"), ("Perceptron", "perceptron"))
-), "logistic_mean", "perceptron_mean")
+) + """
+UNION ALL SELECT 'Multi Layer Perceptron', n_rows::BIGINT, CAST(k * 513 + j AS INTEGER), round(w1[k + 1][j + 1], 6)
+FROM network_mean, (SELECT unnest(range(15)) AS k), (SELECT unnest(range(513)) AS j)
+UNION ALL SELECT 'Multi Layer Perceptron', n_rows::BIGINT, CAST(15 * 513 + k AS INTEGER), round(w2[k + 1], 6)
+FROM network_mean, (SELECT unnest(range(16)) AS k)""", "logistic_mean", "perceptron_mean", "network_mean")
 sql("mlp_predict", f"SELECT row_id, checkpoint, truth, prediction FROM network_test_predictions WHERE {TESTED}", "network_test_predictions", "rows")
 sql("mlp_weights", """
 SELECT batch_no, CAST(k * 513 + j AS INTEGER) AS pos, round(w1[k + 1][j + 1], 6) AS value

@@ -248,22 +248,43 @@ GROUP BY r.batch_no, r.row_in_batch, r.row_id, r.y""", f"{_prefix}rows", f"{_pre
 
 ZEROS = "list_transform(range(512), lambda j: 0.0::DOUBLE)"
 
-part("logistic_run", f"""
-SELECT 0::BIGINT AS i, 0::BIGINT AS batch_no, {ZEROS} AS w, 0.0::DOUBLE AS b
-UNION ALL
-SELECT i, batch_no, list_transform(range(512), lambda j: w[j + 1] * (1 - 0.01 * 0.0001) - 0.01 * error * v[j + 1]), b - 0.01 * error
-FROM (SELECT d.i, d.batch_no, d.v, r.w, r.b, 1 / (1 + exp(-(list_dot_product(r.w, d.v) + r.b))) - d.y AS error
-      FROM logistic_run r JOIN dense d ON d.i = r.i + 1)""", "dense")
-part("perceptron_run", f"""
-SELECT 0::BIGINT AS i, 0::BIGINT AS batch_no, {ZEROS} AS w, 0.0::DOUBLE AS b
+SHARDS = 4
+
+
+def _each_shard(expression: str) -> str:
+    return f"list_transform(range({SHARDS}), lambda k: {expression})"
+
+
+def _by_shard(expression: str) -> str:
+    """A list of what an aggregate gives for the rows of every shard."""
+    return "[" + ", ".join(f"{expression} FILTER (row_in_batch % {SHARDS} = {k})" for k in range(SHARDS)) + "]"
+
+
+# A batch's rows dealt into shards; a step has the next row of every shard, if it has one.
+part("shard_steps", f"""
+SELECT row_number() OVER (ORDER BY batch_no, p) AS i, *, p = max(p) OVER (PARTITION BY batch_no) AS last FROM (
+  SELECT batch_no, row_in_batch // {SHARDS} AS p,
+         {_by_shard('any_value(list_prepend(1.0::DOUBLE, v))')} AS vs, {_by_shard('any_value(y)')} AS ys
+  FROM dense GROUP BY ALL)
+JOIN (SELECT batch_no, count(*) AS n, {_by_shard('count(*)')} AS sizes FROM dense GROUP BY batch_no) USING (batch_no)""", "dense")
+_Z, _Y = "list_dot_product(ws[k + 1], vs[k + 1])", "ys[k + 1]"
+for _model, _error, _keep in (
+    ("logistic", f"0.01 * (1 / (1 + exp(-{_Z})) - {_Y})", "CASE WHEN j = 0 THEN 1 ELSE 1 - 0.01 * 0.0001 END"),
+    ("perceptron", f"CASE WHEN (2 * {_Y} - 1) * {_Z} <= 0 THEN 1 - 2 * {_Y} ELSE 0 END", "1"),
+):
+    _moved = f"list_transform(range(513), lambda j: ws[k + 1][j + 1] * ({_keep}) - steps[k + 1] * vs[k + 1][j + 1])"
+    _mean = f"list_transform(range(513), lambda j: list_sum(list_transform(range({SHARDS}), lambda s: sizes[s + 1] * moved[s + 1][j + 1])) / n)"
+    part(f"{_model}_run", f"""
+SELECT 0::BIGINT AS i, 0::BIGINT AS batch_no, false AS last,
+       {_each_shard('list_transform(range(513), lambda j: 0.0::DOUBLE)')} AS ws
 UNION ALL
-SELECT i, batch_no, list_transform(range(512), lambda j: w[j + 1] + step * v[j + 1]), b + step
-FROM (SELECT d.i, d.batch_no, d.v, r.w, r.b,
-             CASE WHEN (2 * d.y - 1) * (list_dot_product(r.w, d.v) + r.b) <= 0 THEN 2 * d.y - 1 ELSE 0 END AS step
-      FROM perceptron_run r JOIN dense d ON d.i = r.i + 1)""", "dense")
+SELECT i, batch_no, last, CASE WHEN last THEN {_each_shard(_mean)} ELSE moved END
+FROM (SELECT *, {_each_shard(f'CASE WHEN vs[k + 1] IS NULL THEN ws[k + 1] ELSE {_moved} END')} AS moved
+FROM (SELECT *, {_each_shard(f'CASE WHEN vs[k + 1] IS NULL THEN 0 ELSE {_error} END')} AS steps
+FROM (SELECT d.i, d.batch_no, d.last, d.vs, d.ys, d.n, d.sizes, r.ws FROM {_model}_run r JOIN shard_steps d ON d.i = r.i + 1)))""",
+         "shard_steps")
 for _model in ("logistic", "perceptron"):
-    part(f"{_model}_models", f"""
-SELECT batch_no, w, b FROM {_model}_run WHERE i IN (SELECT max(i) FROM dense GROUP BY batch_no)""", f"{_model}_run", "dense")
+    part(f"{_model}_models", f"SELECT batch_no, ws[1][2:] AS w, ws[1][1] AS b FROM {_model}_run WHERE last", f"{_model}_run")
     for _prefix in ("", "test_"):
         part(f"{_model}_{_prefix}predictions", f"""
 SELECT d.row_id, d.batch_no, m.batch_no AS checkpoint, d.y AS truth,
@@ -306,8 +327,8 @@ UNION ALL SELECT 'Perceptron', row_id, batch_no, checkpoint, truth, prediction F
 UNION ALL SELECT model, row_id, batch_no, checkpoint, truth, prediction FROM network_{_prefix}predictions""",
          *[f"{m}_{_prefix}predictions" for m in ("nb", "logistic", "perceptron", "network")])
 
-# The network with a hidden layer: one Adam step per batch, since a batch of 100
-# rows is one mini-batch.  Its random start is written out as a literal.
+# The network with a hidden layer: one Adam step per batch and shard, since the 25
+# rows of a shard are one mini-batch.  Its random start is written out as a literal.
 
 _U = 1 + H.N_BUCKETS
 _START = initial_state(MLP).params
@@ -332,24 +353,20 @@ def _each_out(expression: str) -> str:
     return f"list_transform(range({HIDDEN_UNITS + 1}), lambda k: {expression})"
 
 
-_RATE = "0.001 * sqrt(1 - 0.999 ** batch_no) / (1 - 0.9 ** batch_no)"
+_RATE = "0.001 * sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t)"
 
-part("network_input", """
-SELECT batch_no, list(list_prepend(1.0::DOUBLE, v) ORDER BY row_in_batch) AS xs, list(y ORDER BY row_in_batch) AS ys, count(*) AS n
-FROM dense GROUP BY batch_no""", "dense")
-part("network_run", f"""
-SELECT 0::BIGINT AS batch_no, {_HIDDEN_START} AS w1, {_literal(_START[HIDDEN_UNITS * _U:])} AS w2,
-       {_ZERO_HIDDEN} AS m1, {_ZERO_HIDDEN} AS v1, {_ZERO_OUT} AS m2, {_ZERO_OUT} AS v2
-UNION ALL
-SELECT batch_no,
-       {_each_weight(f'w1[k + 1][j + 1] - {_RATE} * m1[k + 1][j + 1] / (sqrt(v1[k + 1][j + 1]) + 1e-8)')},
-       {_each_out(f'w2[k + 1] - {_RATE} * m2[k + 1] / (sqrt(v2[k + 1]) + 1e-8)')}, m1, v1, m2, v2
-FROM (SELECT batch_no, w1, w2,
+
+def _network_step(keys: str, source: str) -> str:
+    """States after one mini-batch each, from states joined with ``t, xs, ys, n``."""
+    return f"""
+SELECT {keys}, n, {_each_weight(f'w1[k + 1][j + 1] - {_RATE} * m1[k + 1][j + 1] / (sqrt(v1[k + 1][j + 1]) + 1e-8)')} AS w1,
+       {_each_out(f'w2[k + 1] - {_RATE} * m2[k + 1] / (sqrt(v2[k + 1]) + 1e-8)')} AS w2, m1, v1, m2, v2
+FROM (SELECT {keys}, step AS t, n, w1, w2,
              {_each_weight('0.9 * m1[k + 1][j + 1] + 0.1 * g1[k + 1][j + 1]')} AS m1,
              {_each_weight('0.999 * v1[k + 1][j + 1] + 0.001 * g1[k + 1][j + 1] ** 2')} AS v1,
              {_each_out('0.9 * m2[k + 1] + 0.1 * g2[k + 1]')} AS m2,
              {_each_out('0.999 * v2[k + 1] + 0.001 * g2[k + 1] ** 2')} AS v2
-FROM (SELECT batch_no, w1, w2, m1, v1, m2, v2,
+FROM (SELECT {keys}, step, n, w1, w2, m1, v1, m2, v2,
              {_each_weight('(list_dot_product(back[k + 1], columns[j + 1]) + CASE WHEN j = 0 THEN 0 ELSE 1e-4 * w1[k + 1][j + 1] END) / n')} AS g1,
              {_each_out('(list_dot_product(errors, outs[k + 1]) + CASE WHEN k = 0 THEN 0 ELSE 1e-4 * w2[k + 1] END) / n')} AS g2
 FROM (SELECT *, list_transform(range({_U}), lambda j: list_transform(xs, lambda x: x[j + 1])) AS columns,
@@ -357,9 +374,49 @@ FROM (SELECT *, list_transform(range({_U}), lambda j: list_transform(xs, lambda
              list_transform(range({HIDDEN_UNITS}), lambda k: list_transform(range(n), lambda i:
                errors[i + 1] * w2[k + 2] * (1 - hs[i + 1][k + 1] ** 2))) AS back
 FROM (SELECT *, list_transform(range(n), lambda i: 1 / (1 + exp(-(w2[1] + list_dot_product(w2[2:], hs[i + 1])))) - ys[i + 1]) AS errors
-FROM (SELECT b.batch_no, b.xs, b.ys, b.n, r.w1, r.w2, r.m1, r.v1, r.m2, r.v2,
-             list_transform(b.xs, lambda x: list_transform(r.w1, lambda u: tanh(list_dot_product(u, x)))) AS hs
-      FROM network_run r JOIN network_input b ON b.batch_no = r.batch_no + 1)))))""", "network_input")
+FROM (SELECT *, list_transform(xs, lambda x: list_transform(w1, lambda u: tanh(list_dot_product(u, x)))) AS hs FROM ({source}))))))"""
+
+
+def _network_mean(key: str, source: str, names: tuple[str, ...]) -> str:
+    """States averaged by rows over the shards of a key."""
+    def mean(name: str) -> str:
+        hidden = name.endswith("1")
+        value = f"{name}s[s + 1][k + 1]" + "[j + 1]" * hidden
+        over = f"list_sum(list_transform(range(len(ns)), lambda s: ns[s + 1] * {value})) / list_sum(ns)"
+        return f"{_each_weight(over) if hidden else _each_out(over)} AS {name}"
+
+    lists = ", ".join(f"list({c} ORDER BY shard) AS {c}s" for c in names)
+    return f"""
+SELECT {key}, {', '.join(map(mean, names))}
+FROM (SELECT {key}, list(n ORDER BY shard) AS ns, {lists} FROM ({source}) GROUP BY {key})"""
+
+
+_NETWORK = f"""{_HIDDEN_START} AS w1, {_literal(_START[HIDDEN_UNITS * _U:])} AS w2,
+       {_ZERO_HIDDEN} AS m1, {_ZERO_HIDDEN} AS v1, {_ZERO_OUT} AS m2, {_ZERO_OUT} AS v2"""
+_NEXT = """
+SELECT b.{0} AS step, b.*, r.w1, r.w2, r.m1, r.v1, r.m2, r.v2 FROM {1} r JOIN {2} b ON b.{0} = r.{0} + 1"""
+
+part("network_input", f"""
+SELECT batch_no, row_in_batch % {SHARDS} AS shard, list(list_prepend(1.0::DOUBLE, v) ORDER BY row_in_batch) AS xs,
+       list(y ORDER BY row_in_batch) AS ys, count(*) AS n
+FROM dense GROUP BY ALL""", "dense")
+_after = _network_step("batch_no, shard", _NEXT.format("batch_no", "network_run", "network_input"))
+part("network_run", f"""
+SELECT 0::BIGINT AS batch_no, {_NETWORK}
+UNION ALL {_network_mean("batch_no", _after, ("w1", "w2", "m1", "v1", "m2", "v2"))}""", "network_input")
+# The whole table in eight shards that each learn from the start, in mini-batches of 200.
+part("network_pieces", """
+SELECT shard, (i - 1) // 200 + 1 AS piece, list(list_prepend(1.0::DOUBLE, v) ORDER BY i) AS xs, list(y ORDER BY i) AS ys,
+       count(*) AS n
+FROM shard_rows GROUP BY ALL""", "shard_rows")
+_after = _network_step("piece, shard", _NEXT.format("piece", "network_shards", "network_pieces") + " AND b.shard = r.shard")
+part("network_shards", f"""
+SELECT DISTINCT 0::BIGINT AS piece, shard, 0::BIGINT AS n, {_NETWORK} FROM network_pieces
+UNION ALL {_after}""", "network_pieces")
+part("network_mean", _network_mean("n_rows", """
+SELECT r.shard, r.w1, r.w2, z.n, sum(z.n) OVER () AS n_rows
+FROM network_shards r JOIN (SELECT shard, max(piece) AS piece, sum(n) AS n FROM network_pieces GROUP BY shard) z USING (shard, piece)""",
+    ("w1", "w2")), "network_shards", "network_pieces")
 for _prefix in ("", "test_"):
     part(f"network_{_prefix}predictions", f"""
 SELECT 'Multi Layer Perceptron' AS model, d.row_id, d.batch_no, m.batch_no AS checkpoint, d.y AS truth,

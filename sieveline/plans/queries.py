@@ -502,7 +502,7 @@ def sharded_fit(spark, sf_dir):
     """All labelled rows as one batch, learnt in eight shards whose weights are averaged."""
     rows = D.batched_features(spark, sf_dir, 1, "both").withColumn("row_in_batch", F.col("row_no"))
     n = rows.count()
-    fitted = fit_batch(rows, {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON)}, shards=8)
+    fitted = fit_batch(rows, {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON, MLP)}, shards=8)
     weights = spark.createDataFrame(
         [(m, n, s.params.tolist()) for m, s in fitted.items()], "model string, n long, params array<double>"
     )
@@ -577,7 +577,7 @@ def test_after_reset(spark, sf_dir):
     """A run that trains, clears its logs and is tested: the final model still scores."""
     store = Store(spark, work_dir(spark, "reset"))
     store.create()
-    stream_train(spark, D.payload_folder(spark, sf_dir), store.root, shards=1, models=(NAIVE_BAYES,)).awaitTermination()
+    stream_train(spark, D.payload_folder(spark, sf_dir), store.root, models=(NAIVE_BAYES,)).awaitTermination()
     store.reset_logs()
     stream_test(spark, D.payload_folder(spark, sf_dir, part="test"), store.root).awaitTermination()
     return store.test_log().select("model", "batch_no", "row_in_batch", "prediction", "truth")

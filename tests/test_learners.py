@@ -160,6 +160,23 @@ def test_batches_follow_one_another(spark, shards):
             assert made[b][m].steps == state[m].steps
 
 
+def test_a_batch_costs_no_job_and_missing_ones_change_nothing(spark):
+    """Five batches run as many jobs as one; a number without rows keeps the models."""
+    df = frame(spark, messages(90)).persist()
+    start = {m: initial_state(m) for m in (LOGISTIC, MLP)}
+    jobs, made = {}, {}
+    for order in ([1], [1, 2, 3, 4, 5], [1, 7, 9]):
+        group = f"fit-{len(order)}"
+        spark.sparkContext.setJobGroup(group, group)
+        made[len(order)] = fit_batches(df.filter(F.col("batch_no").isin(order)), start, order, 4)
+        jobs[len(order)] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] == jobs[5] <= 2
+    for m in start:
+        np.testing.assert_array_equal(made[3][9][m].params, made[3][1][m].params)
+        np.testing.assert_array_equal(made[5][1][m].params, made[1][1][m].params)
+
+
 @pytest.mark.parametrize("n", [8191, 8192, 8193])
 def test_no_size_changes_the_rule(spark, n):
     rows = messages(n, batch=n)
