@@ -64,6 +64,12 @@ def invert_predictions(scored: DataFrame, prediction: str = "prediction") -> Dat
     return scored.withColumn(prediction, 1 - F.col(prediction))
 
 
+def invert_counts(counts: DataFrame) -> DataFrame:
+    """Confusion counts of predictions read the other way round."""
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return counts.withColumns({"tp": fn, "fp": tn, "fn": tp, "tn": fp})
+
+
 def error_rate(scored: DataFrame, keys: Sequence[str], truth: str = "truth", prediction: str = "prediction") -> DataFrame:
     return scored.groupBy(*keys).agg(
         F.avg((F.col(prediction) != F.col(truth)).cast("double")).alias("error_rate")

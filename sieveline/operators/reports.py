@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import truncate3
-from .metrics import classification_metrics, invert_predictions
+from .metrics import accuracy_precision_recall, confusion_counts, invert_counts
 from .models import CLASSIFIERS, CLUSTERING
 
 METRICS = ("accuracy", "precision", "recall")
@@ -42,19 +42,26 @@ def test_accuracy_bars(test_log: DataFrame) -> DataFrame:
 
 
 def test_curve(test_log: DataFrame, include_final: bool = False) -> DataFrame:
-    """Test metrics by checkpoint, one row per model, polarity, checkpoint and metric.
+    """:func:`curve_of_counts` of a log of predictions, one row per record."""
+    kept = [c for c in ("is_final",) if c in test_log.columns]
+    return curve_of_counts(confusion_counts(test_log, ["model", "checkpoint", *kept]), include_final)
 
-    Clusters have no fixed meaning, so the clusterer appears under both
-    polarities.  The final model is left out unless asked for; ``is_final`` marks
-    its rows where the log has them.
+
+def curve_of_counts(counts: DataFrame, include_final: bool = False) -> DataFrame:
+    """Test metrics by checkpoint, one row per model, polarity, checkpoint and metric,
+    from the confusion counts of each model and checkpoint.
+
+    Clusters have no fixed meaning, so the clusterer appears under both polarities.  The
+    final model is left out unless asked for; ``is_final`` marks its rows where the
+    counts have it.
     """
-    if not include_final and "is_final" in test_log.columns:
-        test_log = test_log.filter(~F.col("is_final"))
-    both = test_log.withColumn("polarity", F.lit(1)).unionByName(
-        invert_predictions(test_log.filter(F.col("model") == CLUSTERING)).withColumn("polarity", F.lit(0))
+    if not include_final and "is_final" in counts.columns:
+        counts = counts.filter(~F.col("is_final"))
+    clusters = counts.filter(F.col("model") == CLUSTERING)
+    both = counts.withColumn("polarity", F.lit(1)).unionByName(
+        invert_counts(clusters).withColumn("polarity", F.lit(0))
     )
-    metrics = classification_metrics(both, ["model", "polarity", "checkpoint"])
-    return metrics_to_long(metrics, ["model", "polarity", "checkpoint"])
+    return metrics_to_long(accuracy_precision_recall(both), ["model", "polarity", "checkpoint"])
 
 
 def in_curve_order(curve: DataFrame) -> DataFrame:

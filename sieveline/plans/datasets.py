@@ -6,12 +6,13 @@ folder and read by several queries.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.batching import batch_table
+from ..operators.curves import checkpoint_counts
 from ..operators.features import featurize
 from ..operators.models import score_checkpoints, tested_checkpoints
 from ..operators.naive_bayes import cumulative_models
@@ -102,13 +103,23 @@ def tested(spark: SparkSession, sf_dir: str, family: str = CLASSIFIER_FAMILY, ba
 
 
 def checkpoint_predictions(
-    spark: SparkSession, sf_dir: str, family: str, batch: int = BATCH, every: int = 2
+    spark: SparkSession, sf_dir: str, family: str, batch: int = BATCH, checkpoints: Sequence[int] | None = None
 ) -> DataFrame:
-    """Every held-out row scored by the checkpoints of a family that are tested: the
-    logs of a test run per checkpoint, in one table."""
+    """Every held-out row scored by some checkpoints of a family, every tenth and the last
+    unless they are listed: the logs of a test run per checkpoint, in one table."""
     store = trained(spark, sf_dir, family, batch)
-    last = store.last_batch()
     rows = batched_features(spark, sf_dir, batch, "test").select("row_id", "batch_no", "y", "features")
-    return score_checkpoints(rows, store.models(), tested_checkpoints(last, every)).withColumn(
-        "is_final", F.col("checkpoint") == last
-    )
+    last = store.last_batch()
+    return score_checkpoints(rows, store.models(), checkpoints or tested_checkpoints(last))
+
+
+def tested_counts(spark: SparkSession, sf_dir: str, family: str, batch: int = BATCH) -> DataFrame:
+    """Confusion counts of all held-out rows under every checkpoint of a family."""
+    def build() -> DataFrame:
+        store = trained(spark, sf_dir, family, batch)
+        rows = batched_features(spark, sf_dir, batch, "test").select("row_id", "y", "features")
+        models = store.models().select("model", F.col("batch_no").alias("checkpoint"), "params")
+        counts = checkpoint_counts(rows, models)
+        return materialize(counts.withColumn("is_final", F.col("checkpoint") == store.last_batch()), "tested-counts")
+
+    return _once(spark, f"tested-counts-{family}", sf_dir, batch, build)

@@ -6,8 +6,8 @@ from .oracle_parts import BATCH, CLEAN, batched, confusion, statement
 
 SQL: dict[str, str] = {}
 
-#: The checkpoints that are tested: every second one and the last.
-TESTED = "checkpoint > 0 AND (checkpoint % 2 = 0 OR checkpoint = (SELECT max(batch_no) FROM rows))"
+#: The checkpoints that score row by row: every tenth one and the last.  Curves have all.
+TESTED = "checkpoint > 0 AND (checkpoint % 10 = 0 OR checkpoint = (SELECT max(batch_no) FROM rows))"
 
 
 def sql(name: str, select: str, *needs: str) -> None:
@@ -207,14 +207,14 @@ sql("test_accuracy_bar", f"""
 SELECT model, round(accuracy, 6) AS accuracy, floor(accuracy * 1000) / 1000.0 AS bar_label
 FROM ({confusion(_FINAL.format('test_predictions'), 'model')})""", "test_predictions", "rows")
 sql("test_curve", curve(
-    f"(SELECT *, 1 AS polarity FROM test_predictions WHERE {TESTED} AND checkpoint < (SELECT max(batch_no) FROM rows))",
+    f"(SELECT *, 1 AS polarity FROM test_predictions WHERE checkpoint < (SELECT max(batch_no) FROM rows))",
     "model", "polarity", "checkpoint"), "test_predictions", "rows")
 sql("test_curve_clustering", curve(
-    f"(SELECT *, 1 AS polarity FROM kmeans_test_predictions WHERE {TESTED} UNION ALL "
-    f"SELECT * REPLACE (1 - prediction AS prediction), 0 FROM kmeans_test_predictions WHERE {TESTED})",
+    "(SELECT *, 1 AS polarity FROM kmeans_test_predictions WHERE checkpoint > 0 UNION ALL "
+    "SELECT * REPLACE (1 - prediction AS prediction), 0 FROM kmeans_test_predictions WHERE checkpoint > 0)",
     "model", "polarity", "checkpoint"), "kmeans_test_predictions", "rows")
 sql("mlp_test_curve", curve(
-    f"(SELECT *, 1 AS polarity FROM network_test_predictions WHERE {TESTED})", "model", "polarity", "checkpoint"
+    "(SELECT *, 1 AS polarity FROM network_test_predictions WHERE checkpoint > 0)", "model", "polarity", "checkpoint"
 ), "network_test_predictions", "rows")
 sql("preview5", f"""
 SELECT model, batch_no, round(accuracy, 6) AS accuracy FROM ({confusion(_TRAIN, 'model', 'batch_no')})
@@ -226,7 +226,8 @@ sql("csv_cluster_log", f"SELECT * EXCLUDE (n) FROM ({dual('(SELECT * FROM kmeans
 sql("checkpoint_number", f"""
 SELECT model, CAST(checkpoint AS INTEGER) AS checkpoint, checkpoint = (SELECT max(batch_no) FROM rows) AS is_final,
        count(*) AS n, count(*) FILTER (truth = prediction) AS hits
-FROM (SELECT * FROM {_FINAL.format('test_predictions')} UNION ALL SELECT * FROM kmeans_test_predictions WHERE {TESTED})
+FROM (SELECT * FROM {_FINAL.format('test_predictions')} UNION ALL
+      SELECT * FROM kmeans_test_predictions WHERE checkpoint IN (1, 2, (SELECT max(batch_no) FROM rows)))
 GROUP BY model, checkpoint""", "test_predictions", "kmeans_test_predictions", "rows")
 sql("model_number", """
 SELECT model, checkpoint, row_id, prediction, truth FROM test_predictions WHERE checkpoint = 2""", "test_predictions")

@@ -492,7 +492,7 @@ def mlp_predict(spark, sf_dir):
 
 
 def _predictions(spark, sf_dir, model):
-    """Every held-out row scored by every second checkpoint of one model."""
+    """Every held-out row scored by every tenth checkpoint of one model and the last."""
     scored = D.checkpoint_predictions(spark, sf_dir, CLASSIFIER_FAMILY)
     return scored.filter(F.col("model") == model).select("row_id", "checkpoint", "truth", "prediction")
 
@@ -662,22 +662,21 @@ def test_accuracy_bar(spark, sf_dir):
 
 @query
 def test_curve(spark, sf_dir):
-    """Test metrics of the classifiers by checkpoint, the final one left out."""
-    scored = D.checkpoint_predictions(spark, sf_dir, CLASSIFIER_FAMILY)
-    return _rounded(reports.test_curve(scored), "value")
+    """Test metrics of the classifiers by checkpoint, all but the final one."""
+    return _rounded(reports.curve_of_counts(D.tested_counts(spark, sf_dir, CLASSIFIER_FAMILY)), "value")
 
 
 @query
 def test_curve_clustering(spark, sf_dir):
     """Test metrics of the clusterer by checkpoint under both polarities, the final one included."""
-    scored = D.checkpoint_predictions(spark, sf_dir, CLUSTER_FAMILY)
-    return _rounded(reports.test_curve(scored, include_final=True), "value")
+    counts = D.tested_counts(spark, sf_dir, CLUSTER_FAMILY)
+    return _rounded(reports.curve_of_counts(counts, include_final=True), "value")
 
 
 @query
 def mlp_test_curve(spark, sf_dir):
-    scored = D.checkpoint_predictions(spark, sf_dir, CLASSIFIER_FAMILY).filter(F.col("model") == MLP)
-    return _rounded(reports.test_curve(scored, include_final=True), "value")
+    counts = D.tested_counts(spark, sf_dir, CLASSIFIER_FAMILY).filter(F.col("model") == MLP)
+    return _rounded(reports.curve_of_counts(counts, include_final=True), "value")
 
 
 @query
@@ -692,7 +691,7 @@ def _exported(spark, sf_dir):
         root = work_dir(spark, "logs")
         store = D.tested(spark, sf_dir)
         clusters = D.tested(spark, sf_dir, CLUSTER_FAMILY)
-        numbered = D.checkpoint_predictions(spark, sf_dir, CLUSTER_FAMILY).filter(~F.col("is_final"))
+        numbered = D.checkpoint_predictions(spark, sf_dir, CLUSTER_FAMILY, checkpoints=[1, 2])
         logs.export_csv_logs(
             root, store.train_log(), clusters.train_log(), store.test_log().select("model", "checkpoint", *logs.TEST_HEADER)
         )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveline.functions.hashing import N_BUCKETS
+from sieveline.operators import curves as C
 from sieveline.operators import kmeans, sharded
 from sieveline.operators.metrics import classification_metrics, confusion_matrix, dual_polarity, confusion_counts, error_rate, invert_predictions
 from sieveline.operators.models import (
@@ -163,6 +164,7 @@ def test_batches_follow_one_another(spark, shards):
 def test_a_batch_costs_no_job_and_missing_ones_change_nothing(spark):
     """Five batches run as many jobs as one; a number without rows keeps the models."""
     df = frame(spark, messages(90)).persist()
+    df.count()
     start = {m: initial_state(m) for m in (LOGISTIC, MLP)}
     jobs, made = {}, {}
     for order in ([1], [1, 2, 3, 4, 5], [1, 7, 9]):
@@ -341,6 +343,33 @@ def test_checkpoints_in_groups(spark, monkeypatch):
         score_checkpoints(frame(spark, rows), models, [])
 
 
+@pytest.mark.parametrize("block_bytes, block_rows", [(C.BLOCK_BYTES, C.BLOCK_ROWS), (200_000, 7)])
+def test_counts_by_blocks_equal_counts_of_scores(spark, monkeypatch, block_bytes, block_rows):
+    """Every kind of model, classes without rows, and rows without words."""
+    monkeypatch.setattr(C, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(C, "BLOCK_ROWS", block_rows)
+    rows = messages(90)
+    df = frame(spark, rows)
+    order = [1, 2, 3, 4, 5]
+    learnt = {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON, MLP)}
+    learnt[CLUSTERING] = ModelState(kmeans.initial_model(df.filter("batch_no = 1")))
+    after = fit_batches(df, learnt, order, 2)
+    sums = batch_updates(df)
+    for b in order:
+        after[b][NAIVE_BAYES] = ModelState(sum(sums[i] for i in order if i <= b))
+    one_class = np.append([5.0, 0.0], np.ones(2 * N_BUCKETS))
+    table = [(m, b, s.params.tolist()) for b in order for m, s in after[b].items()]
+    table += [(NAIVE_BAYES, 6, one_class.tolist()), (NAIVE_BAYES, 7, one_class[[1, 0, *range(2, 2 + 2 * N_BUCKETS)]].tolist())]
+    models = spark.createDataFrame(table, "model string, checkpoint long, params array<double>")
+    ided = df.withColumn("row_id", F.col("batch_no") * 100 + F.col("row_in_batch"))
+    made = C.checkpoint_counts(ided, models).collect()
+    scored = score_checkpoints(ided, models.withColumnRenamed("checkpoint", "batch_no"), [*order, 6, 7])
+    expected = confusion_counts(scored, ["model", "checkpoint"]).collect()
+    columns = ("model", "checkpoint", "n", "tp", "fp", "fn", "tn")
+    assert sorted(tuple(r[c] for c in columns) for r in made) == sorted(tuple(r[c] for c in columns) for r in expected)
+    assert C.checkpoint_counts(ided.limit(0), models).count() == 0
+
+
 # Metrics
 
 
