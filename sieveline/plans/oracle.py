@@ -230,7 +230,7 @@ FROM (SELECT * FROM {_FINAL.format('test_predictions')} UNION ALL
       SELECT * FROM kmeans_test_predictions WHERE checkpoint IN (1, 2, (SELECT max(batch_no) FROM rows)))
 GROUP BY model, checkpoint""", "test_predictions", "kmeans_test_predictions", "rows")
 sql("model_number", """
-SELECT model, checkpoint, row_id, prediction, truth FROM test_predictions WHERE checkpoint = 2""", "test_predictions")
+SELECT model, checkpoint, row_id, prediction, truth FROM test_predictions WHERE checkpoint IN (1, 2)""", "test_predictions")
 sql("test_after_reset", """
 SELECT 'Multinomial Naive Bayes' AS model, p.batch_no, r.row_in_batch, p.prediction, p.truth
 FROM nb_test_predictions p JOIN test_rows r ON p.row_id = r.row_id

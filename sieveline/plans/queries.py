@@ -564,11 +564,15 @@ def model_latest(spark, sf_dir):
 
 @query
 def model_number(spark, sf_dir):
-    """Held-out predictions of the models saved after batch 2, loaded by number."""
+    """Held-out predictions of models loaded by number: after batch 1, saved whole, and
+    after batch 2, saved as what it changed."""
     store = D.trained(spark, sf_dir)
     rows = D.batched_features(spark, sf_dir, part="test").select("row_id", "y", "features")
-    models = store.load_models(2).select("model", F.col("batch_no").alias("checkpoint"), "params")
-    scored = score(rows.withColumn("checkpoint", F.lit(2).cast("long")), models, ["checkpoint"])
+    scored = None
+    for number in (1, 2):
+        models = store.load_models(number).select("model", F.col("batch_no").alias("checkpoint"), "params")
+        one = score(rows.withColumn("checkpoint", F.lit(number).cast("long")), models, ["checkpoint"])
+        scored = one if scored is None else scored.unionByName(one)
     return scored.select("model", "checkpoint", "row_id", "prediction", "truth")
 
 

@@ -19,8 +19,8 @@ from ..sources.replay import Replay, number_plain, payload_stream
 from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store, model_rows
 
 
-#: Batches one micro-batch takes in.  Their models are held and written together,
-#: at most 750 kB for the four classifiers of a batch.
+#: Batches one micro-batch takes in.  Their models are held and written together, at
+#: most 200 kB for the four classifiers of a batch.
 BATCHES_PER_TRIGGER = 16
 
 
@@ -46,6 +46,7 @@ class Trainer:
         if last and last.shards != shards:
             raise ValueError(f"the models were learnt in {last.shards} shards, not {shards}")
         self.last_epoch = last.epoch_id if last else -1
+        self.turn = last.turn + 1 if last else 0
         self._resume_after(last.batch_no if last else 0, last.sent if last else None)
 
     def _resume_after(self, batch_no: int, sent: int | None) -> None:
@@ -65,6 +66,7 @@ class Trainer:
             return
         if epoch_id == self.last_epoch:
             done = self.store.last_commit()
+            self.turn = done.turn
             self._resume_after(done.first_batch - 1, done.sent_before)
         features = rows.select("batch_no", "row_in_batch", "y", "features").persist()
         try:
@@ -78,17 +80,17 @@ class Trainer:
             start = self.states or self._fresh(features.filter(F.col("batch_no") == order[0]))
             after = self._fit(features, start, sums)
             numbers = {sent: self.batch_no + i + 1 for i, sent in enumerate(order)}
-            self.store.write_models({numbers[sent]: after[sent] for sent in order}, epoch_id)
+            self.store.write_models({numbers[sent]: after[sent] for sent in order}, start, epoch_id, self.turn)
             before = dict(zip(order, [start] + [after[sent] for sent in order[:-1]]))
             self._log(features, before if self.prequential else after, numbers, epoch_id)
             self.store.commit(
                 epoch_id, first_batch=self.batch_no + 1, batch_no=numbers[order[-1]], sent_before=self.sent,
-                sent=order[-1], shards=self.shards,
+                sent=order[-1], shards=self.shards, turn=self.turn,
             )
         finally:
             features.unpersist()
         self.batch_no, self.states, self.last_epoch = numbers[order[-1]], after[order[-1]], epoch_id
-        self.sent = order[-1]
+        self.sent, self.turn = order[-1], self.turn + 1
 
     def _fresh(self, features: DataFrame) -> dict[str, ModelState]:
         start = {}

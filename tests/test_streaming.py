@@ -11,6 +11,7 @@ from sieveline.session import shared_dir, work_dir
 from sieveline.sources.payload_log import LogReader, write_log
 from sieveline.sources.replay import Replay, payload_rows, payload_stream, write_payloads, write_plain
 from sieveline.sources.tables import labelled_messages
+from sieveline.streaming import store as S
 from sieveline.streaming.scoring import Scorer, run, stream_test
 from sieveline.streaming.store import CLUSTER_FAMILY, FAMILIES, Store
 from sieveline.streaming.train import Trainer, stream_train
@@ -250,6 +251,37 @@ def test_plain_lines_are_learnt_in_order_whatever_their_files(spark):
     assert stores[2].last_batch() == 29
 
 
+def test_chains_give_back_what_was_saved(spark, monkeypatch, payload_dir):
+    """Snapshots every third batch, links between, over micro-batches of one and of two."""
+    monkeypatch.setattr(S, "SNAPSHOT_EVERY", 3)
+    rng = np.random.default_rng(0)
+    saved, state = {}, {"a": S.ModelState(rng.normal(size=50), rng.normal(size=4)), "b": S.ModelState(rng.normal(size=7))}
+    for n in range(1, 9):
+        changed = {m: s.params.copy() for m, s in state.items()}
+        changed["a"][rng.integers(0, 50, 5)] = rng.normal(size=5)
+        if n % 2:
+            changed["b"] = rng.normal(size=7)
+        state = {m: S.ModelState(p, rng.normal(size=4) if m == "a" else np.zeros(0), n) for m, p in changed.items()}
+        saved[n] = state
+    store, _ = new_store(spark)
+    before = {}
+    for turn, batches in enumerate(([1], [2, 3], [4, 5], [6], [7, 8])):
+        store.write_models({n: saved[n] for n in batches}, before, turn, turn)
+        store.commit(turn, first_batch=batches[0], batch_no=batches[-1], sent_before=None, sent=batches[-1], shards=1, turn=turn)
+        before = saved[batches[-1]]
+    whole = {(r.batch_no, r.model): (np.array(r.params), r.steps) for r in store.models().collect()}
+    assert set(whole) == {(n, m) for n in saved for m in "ab"}
+    for n in saved:
+        loaded = store.load_states(n)
+        for m, s in saved[n].items():
+            np.testing.assert_array_equal(whole[n, m][0], s.params)
+            np.testing.assert_array_equal(loaded[m].params, s.params)
+            assert loaded[m].steps == n
+            np.testing.assert_array_equal(loaded[m].moments, s.moments if n in (6, 8) else np.zeros(0))
+    links = {(r.batch_no, r.model): r.slots for r in store._links().collect()}
+    assert all((links[n, m] is None) == (n % 3 == 1) for n, m in links) and len(links[2, "a"]) <= 5 and links[2, "b"] == []
+
+
 def test_reset_keeps_models(spark, payload_dir):
     store, _ = new_store(spark)
     Trainer(store, models=(NAIVE_BAYES,))(featurize(payload_rows(spark, payload_dir)).filter("batch_no = 1"), 0)
