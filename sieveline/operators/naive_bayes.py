@@ -35,10 +35,12 @@ def batch_updates(rows: DataFrame) -> dict[int, np.ndarray]:
 
     For the few batches of one micro-batch; the first two sums count their rows.
     """
-    added: dict[int, np.ndarray] = {}
-    for batch_no, slot, s in class_sums(rows).collect():
-        added.setdefault(batch_no, np.zeros(2 + 2 * N_BUCKETS))[slot] = s
-    return added
+    sums = class_sums(rows).toArrow()
+    numbers, slots, s = (sums[c].to_numpy() for c in ("batch_no", "slot", "s"))
+    order, place = np.unique(numbers, return_inverse=True)
+    added = np.zeros((len(order), 2 + 2 * N_BUCKETS))
+    added[place, slots] = s
+    return dict(zip(order.tolist(), added))
 
 
 def cumulative_models(rows: DataFrame, n_batches: int | None = None) -> DataFrame:

@@ -614,7 +614,8 @@ def plain_stream_log(spark, sf_dir):
     write_plain(payloads.encode_columnar(D.batched_messages(spark, sf_dir, part="train")), path)
     store = Store(spark, work_dir(spark, "run"))
     store.create()
-    stream_train(spark, path, store.root, plain=True, models=(NAIVE_BAYES,)).awaitTermination()
+    # One model of 8 kB a batch: more batches to a micro-batch than with all four.
+    stream_train(spark, path, store.root, plain=True, batches_per_trigger=64, models=(NAIVE_BAYES,)).awaitTermination()
     return _rounded(store.train_log(), "accuracy", "precision", "recall").drop("epoch_id")
 
 
