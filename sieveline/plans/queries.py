@@ -18,7 +18,7 @@ from ..operators.sharded import fit_batch, initial_state
 from ..session import spread, work_dir
 from ..sources import logs
 from ..sources.replay import Replay, payload_stream, write_payloads, write_plain
-from ..sources.tables import csv_rows, csv_scan, is_test_row, labelled_messages, load, text_scan
+from ..sources.tables import csv_rows, csv_split_scan, is_test_row, labelled_messages, load, text_scan
 from ..streaming.scoring import stream_test
 from ..streaming.store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, Store
 from ..streaming.train import stream_train
@@ -290,7 +290,7 @@ def csv_scan_rows(spark, sf_dir):
     labelled_messages(spark, sf_dir).select(
         F.col("feature0").alias("Subject"), F.col("feature1").alias("Message"), F.col("feature2").alias("Spam/Ham")
     ).write.csv(path, header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return csv_scan(spark, path)
+    return csv_split_scan(spark, path)
 
 
 # Naive Bayes

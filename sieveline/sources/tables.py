@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.batching import number_rows_by_range
 from ..session import spread
+from .csv_records import OPTIONS, csv_records, parsed
 
 
 def load(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -41,24 +42,26 @@ def dataset_split(rows: DataFrame, mode: str = "train") -> DataFrame:
 
 
 def csv_scan(spark: SparkSession, path: str | Sequence[str], n_columns: int = 3) -> DataFrame:
-    """Headed CSV read by position into string columns ``feature0..``.
+    """Headed CSV read by position into string columns ``feature0..``, a task a file, in the
+    file's order; :func:`csv_split_scan` has the same rows from many tasks.
 
     Quoted fields may span lines.  The schema is fixed, so nothing is inferred.
     """
     names = [f"feature{i}" for i in range(n_columns)]
     return spark.read.schema(", ".join(f"{n} string" for n in names)).csv(
-        path, header=True, enforceSchema=True, multiLine=True, escape='"'
+        path, header=True, enforceSchema=True, **OPTIONS
     )
 
 
+def csv_split_scan(spark: SparkSession, path: str | Sequence[str], n_columns: int = 3) -> DataFrame:
+    """The rows of :func:`csv_scan`, in no order; a large file is read by many tasks."""
+    return parsed(csv_records(spark, path), n_columns).drop("file", "record")
+
+
 def csv_rows(spark: SparkSession, path: str | Sequence[str], n_columns: int = 3) -> DataFrame:
-    """:func:`csv_scan` with ``row_id``: the place of the row, files in order of their
-    names.  A file with fields that span lines is one task, so send many files."""
-    rows = csv_scan(spark, path, n_columns).select(
-        "*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")
-    )
-    numbered = number_rows_by_range(rows, ["file", "place"])
-    return numbered.withColumnRenamed("row_no", "row_id").drop("file", "place", "n_rows")
+    """:func:`csv_split_scan` with ``row_id``: the place of the row, files in order of their names."""
+    numbered = number_rows_by_range(parsed(csv_records(spark, path), n_columns), ["file", "record"])
+    return numbered.withColumnRenamed("row_no", "row_id").drop("file", "record", "n_rows")
 
 
 def text_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

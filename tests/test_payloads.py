@@ -1,10 +1,14 @@
+import csv
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from sieveline.operators import payloads as P
 from sieveline.operators.batching import assign_batches, batch_table, number_rows_by_range
-from sieveline.sources.tables import csv_scan, dataset_split, text_scan
+from sieveline.sources import csv_records as R
+from sieveline.sources.tables import csv_rows, csv_scan, dataset_split, text_scan
 
 
 def test_columnar_payload_shape(spark):
@@ -92,6 +96,34 @@ def test_csv_by_position(spark, tmp_path):
     assert csv_scan(spark, str(tmp_path / "mail.csv")).columns == list(P.FEATURES)
 
 
+@pytest.mark.parametrize("block, buckets", [("37", 50_000), ("400", 50_000), ("100000", 50_000), ("61", 2)])
+def test_csv_blocks_at_any_place(spark, monkeypatch, tmp_path, block, buckets):
+    """Quotes, line ends and empty fields on both sides of every block edge, as the csv module reads them."""
+    monkeypatch.setattr(R, "MAX_BUCKETS", buckets)
+    rng = random.Random(int(block))
+    pieces = ["a", "", '"', '""', ",", "\n", "\r\n", " ", "é", "\n\n", 'x"y', "word " * 9]
+    expected = []
+    for f in range(3):
+        rows = [["".join(rng.choice(pieces) for _ in range(rng.randrange(5))) + "." for _ in range(3)] for _ in range(60 * f)]
+        with open(tmp_path / f"part{f}.csv", "w", newline="") as out:
+            writer = csv.writer(out, quoting=csv.QUOTE_ALL if f == 1 else csv.QUOTE_MINIMAL, lineterminator="\r\n" if f == 2 else "\n")
+            writer.writerow(["Sub\nject", "Message", "Spam/Ham"])
+            for i, row in enumerate(rows):
+                writer.writerow(row)
+                if i % 7 == 0:
+                    out.write("\r\n" if f == 2 else "\n")  # an empty line is no record
+        expected += rows
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        assert block == "100000" or R._lines(spark, str(tmp_path)).select("file", "block").distinct().count() > 3
+        got = csv_rows(spark, str(tmp_path)).orderBy("row_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert [r.row_id for r in got] == list(range(len(expected)))
+    assert [[r.feature0, r.feature1, r.feature2] for r in got] == expected
+
+
 def test_text_lines_keep_their_order(spark, tmp_path):
     lines = [f"line {i}" for i in range(1000)]
     (tmp_path / "a.txt").write_text("\n".join(lines) + "\n")
