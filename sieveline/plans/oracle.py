@@ -235,5 +235,9 @@ sql("test_after_reset", """
 SELECT 'Multinomial Naive Bayes' AS model, p.batch_no, r.row_in_batch, p.prediction, p.truth
 FROM nb_test_predictions p JOIN test_rows r ON p.row_id = r.row_id
 WHERE checkpoint = (SELECT max(batch_no) FROM rows)""", "nb_test_predictions", "test_rows", "rows")
-for _name in ("csv_to_log", "plain_stream_log"):
+SQL["replay_epochs_stream"] = SQL["replay_epochs_twice"]
+sql("stream_progress", """
+SELECT 'rows' AS what, count(*) AS n FROM rows UNION ALL SELECT 'logged', max(batch_no) FROM rows
+UNION ALL SELECT 'models', max(batch_no) FROM rows UNION ALL SELECT 'started', 1 UNION ALL SELECT 'terminated', 1""", "rows")
+for _name in ("csv_to_log", "plain_stream_log", "nb_state_log"):
     SQL[_name] = SQL["nb_train_metrics"]

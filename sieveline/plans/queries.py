@@ -17,8 +17,11 @@ from ..operators.naive_bayes import class_sums, model_table
 from ..operators.sharded import fit_batch, initial_state
 from ..session import spread, work_dir
 from ..sources import logs
+from ..sources.payload_log import read_log, stream_log, write_log
 from ..sources.replay import Replay, payload_stream, write_payloads, write_plain
 from ..sources.tables import csv_rows, csv_split_scan, is_test_row, labelled_messages, load, text_scan
+from ..streaming.bayes import stream_bayes
+from ..streaming.progress import Progress
 from ..streaming.scoring import stream_test
 from ..streaming.store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, Store
 from ..streaming.train import stream_train
@@ -619,6 +622,60 @@ def plain_stream_log(spark, sf_dir):
     return _rounded(store.train_log(), "accuracy", "precision", "recall").drop("epoch_id")
 
 
+@query
+def nb_state_log(spark, sf_dir):
+    """Naive Bayes trained as a stream whose sums are in Spark's state store."""
+    store = Store(spark, work_dir(spark, "bayes"))
+    store.create()
+    stream_bayes(spark, D.payload_folder(spark, sf_dir), store.root).awaitTermination()
+    return _rounded(store.train_log(), "accuracy", "precision", "recall").drop("epoch_id")
+
+
+@query
+def replay_epochs_stream(spark, sf_dir):
+    """The stream of a log that is replayed twice, batch numbers counted on."""
+    labels = load(spark, sf_dir, "labels").select("doc_id")
+    batched = batch_table(labels, "doc_id", 50, keep_tail=False).withColumn("line", F.col("doc_id").cast("string"))
+    path, out = work_dir(spark, "replayed"), work_dir(spark, "decoded")
+    write_log(payloads.encode_lines(batched), path)
+    lines = payloads.decode_lines(stream_log(spark, path, batches_per_trigger=64, epochs=2), ["batch_no"])
+    Replay(lines.writeStream.format("parquet").option("path", out)
+           .option("checkpointLocation", work_dir(spark, "progress")).start()).awaitTermination()
+    n_batches = read_log(spark, path).agg(F.max("batch_no")).first()[0] or 1
+    return spark.read.parquet(out).select(
+        F.rtrim(F.regexp_replace("line", "\n", "")).cast("long").alias("doc_id"),
+        F.expr(f"(batch_no - 1) div {n_batches}").cast("int").alias("epoch"), "batch_no", F.col("pos").alias("row_in_batch"),
+    )
+
+
+@query
+def stream_progress(spark, sf_dir):
+    """A run at an interval whose last micro-batch is an empty batch: it is started,
+    takes in all rows, leaves no log row or commit for the empty one, and is ended."""
+    per_trigger = 64
+    sent = payloads.encode_columnar(D.batched_messages(spark, sf_dir, part="train"))
+    n_batches = sent.agg(F.max("batch_no")).first()[0] or 0
+    alone = (n_batches // per_trigger + 1) * per_trigger + 1  # the first of a micro-batch of its own
+    nothing = spark.createDataFrame([(alone, '{"feature0":[],"feature1":[],"feature2":[]}')], sent.select("batch_no", "payload").schema)
+    path, store = work_dir(spark, "payloads"), Store(spark, work_dir(spark, "run"))
+    write_payloads(sent.select("batch_no", "payload").unionByName(nothing), path)
+    store.create()
+    with Progress(spark) as progress:
+        query = stream_train(
+            spark, path, store.root, delay=1, batches_per_trigger=per_trigger, models=(NAIVE_BAYES,), observe=True
+        )
+        query.processAllAvailable()
+        query.stop()
+    events = progress.table()
+    told = events.filter("event = 'progress'").agg(F.sum("rows").alias("n")).select(F.lit("rows").alias("what"), "n")
+    for what, n in (
+        ("started", events.filter("event = 'started'")), ("terminated", events.filter("event = 'terminated'")),
+        ("logged", store.train_log()), ("models", store.models()),
+    ):
+        told = told.unionByName(n.agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "n"))
+    return told
+
+
 @query
 def log_reset(spark, sf_dir):
     """A run that trains, then clears its logs: models stay, logs are empty."""

@@ -6,7 +6,8 @@ its file, its place there, and its first and last batch.  The source hands out t
 next batches by their numbers alone, so neither file names nor file times have a part
 in the order, and reads only the row groups that hold them.  How many files there are
 follows from the bytes of the log, and what the driver does for a micro-batch from
-the batches in it.
+the batches in it.  A log can be replayed several times or without end; batch numbers
+then count on from one time to the next.
 
 The log is read by pyarrow's file systems, which know local paths and the common stores.
 """
@@ -70,18 +71,23 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(f"{path}/lines")
 
 
-def stream_log(spark: SparkSession, path: str, batches_per_trigger: int, progress: str | None = None) -> DataFrame:
+def stream_log(
+    spark: SparkSession, path: str, batches_per_trigger: int, progress: str | None = None, epochs: int = 1
+) -> DataFrame:
     """The lines of a log as a stream, that many batch numbers to a micro-batch.
 
     ``progress`` is the checkpoint location of the query if it may be started again: it
-    tells where the last run stopped.
+    tells where the last run stopped.  The whole log comes ``epochs`` times, or again and
+    again for 0, until the query is stopped.
     """
     if batches_per_trigger < 1:
         raise ValueError("batches_per_trigger must be at least 1")
+    if epochs < 0:
+        raise ValueError("epochs must be 0 or more")
     spark.dataSource.register(PayloadLog)
     return (
         spark.readStream.format(FORMAT).option("path", path).option("batches", batches_per_trigger)
-        .option("progress", progress or "").load()
+        .option("progress", progress or "").option("epochs", epochs).load()
     )
 
 
@@ -94,29 +100,34 @@ class PayloadLog(DataSource):
         return SCHEMA
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
-        return LogReader(self.options["path"], int(self.options["batches"]), self.options.get("progress", ""))
+        options = self.options
+        return LogReader(options["path"], int(options["batches"]), options.get("progress", ""), int(options.get("epochs", 1)))
 
 
 @dataclass
 class Piece(InputPartition):
-    """Batches above ``after`` up to ``upto`` in one row group."""
+    """Batches above ``after`` up to ``upto`` in one row group, and what their numbers are raised by."""
 
     file: str
     row_group: int
     after: int
     upto: int
+    raised: int = 0
 
 
 class LogReader(DataSourceStreamReader):
     """Offsets are ``{"batch": n}``: everything up to batch n has been handed out."""
 
-    def __init__(self, path: str, batches: int, progress: str):
+    def __init__(self, path: str, batches: int, progress: str, epochs: int = 1):
         store, folder = _open(f"{path}/index")
         index = ds.dataset(folder, filesystem=store, format="parquet").to_table()
         self.index = index.sort_by([("first_batch", "ascending"), ("file", "ascending"), ("row_group", "ascending")])
         self.batches = batches
         self.first = pc.min(self.index["first_batch"]).as_py() or 1
         self.last = pc.max(self.index["last_batch"]).as_py() or 0
+        self.length = max(self.last - self.first + 1, 0)
+        # With an empty log, no time adds anything.
+        self.end = self.first - 1 + epochs * self.length if epochs or not self.length else None
         self.at = max(self.first - 1, self._handed_out(progress)) if progress else self.first - 1
 
     def _handed_out(self, progress: str) -> int:
@@ -133,14 +144,24 @@ class LogReader(DataSourceStreamReader):
         return {"batch": self.first - 1}
 
     def latestOffset(self) -> dict:
-        return {"batch": max(self.at, min(self.last, self.at + self.batches))}
+        upto = self.at + self.batches
+        return {"batch": upto if self.end is None else max(self.at, min(self.end, upto))}
 
     def partitions(self, start: dict, end: dict) -> list[Piece]:
         after, upto = start["batch"], end["batch"]
         self.at = max(self.at, upto)
+        pieces = []
+        while after < upto:
+            raised = (after - self.first + 1) // self.length * self.length
+            last = min(upto, raised + self.last)
+            pieces += self._pieces(after - raised, last - raised, raised)
+            after = last
+        return pieces
+
+    def _pieces(self, after: int, upto: int, raised: int) -> list[Piece]:
         meets = pc.and_(pc.less_equal(self.index["first_batch"], upto), pc.greater(self.index["last_batch"], after))
         asked = self.index.filter(meets)
-        return [Piece(f, g, after, upto) for f, g in zip(asked["file"].to_pylist(), asked["row_group"].to_pylist())]
+        return [Piece(f, g, after, upto, raised) for f, g in zip(asked["file"].to_pylist(), asked["row_group"].to_pylist())]
 
     def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
         store, name = _open(partition.file)
@@ -148,4 +169,5 @@ class LogReader(DataSourceStreamReader):
             group = pq.ParquetFile(opened).read_row_group(partition.row_group, columns=_LAYOUT.names)
         number = group["batch_no"]
         asked = group.filter(pc.and_(pc.greater(number, partition.after), pc.less_equal(number, partition.upto)))
+        asked = asked.set_column(0, "batch_no", pc.add(asked["batch_no"], partition.raised))
         yield from asked.cast(_LAYOUT).to_batches(max_chunksize=64)

@@ -152,6 +152,11 @@ class Store:
             (self.spark.createDataFrame(carried, OPTIMISER).coalesce(1).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("turn").parquet(f"{self.path}/optimiser"))
 
+    def write_whole_models(self, models: DataFrame, epoch_id: int) -> None:
+        """Save ``batch_no, model, params`` that the executors hold, each whole."""
+        links = models.select("batch_no", "model", F.lit(None).cast("array<int>").alias("slots"), "params", F.lit(0).cast("long").alias("steps"))
+        self._write(links, "models", epoch_id)
+
     def _links(self) -> DataFrame:
         return self._read("models", MODELS)
 

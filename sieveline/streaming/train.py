@@ -16,6 +16,7 @@ from ..operators.naive_bayes import batch_updates
 from ..operators.sharded import SHARDS, ModelState, fit_batches, initial_state
 from ..session import has_table
 from ..sources.replay import Replay, number_plain, payload_stream
+from .progress import observed
 from .store import CLASSIFIER_FAMILY, CLUSTER_FAMILY, FAMILIES, Store, model_rows
 
 
@@ -142,13 +143,15 @@ def stream_train(
     batches_per_trigger: int = BATCHES_PER_TRIGGER,
     options: FeatureOptions = FeatureOptions(),
     plain: bool = False,
+    observe: bool = False,
     **trainer_options,
 ) -> StreamingQuery | Replay:
     """Start training on a log of payloads, or with ``plain`` on a folder of payload
     lines without batch numbers, which become a log first.
 
     With ``delay`` a micro-batch starts every so many seconds until the query is
-    stopped; without, one follows another and awaiting the end means to wait until the
+    stopped; ``observe`` counts the rows for :class:`.progress.Progress`.  Without ``delay`` one
+    micro-batch follows another and awaiting the end means to wait until the
     log is used up.  A query started again on the same root goes on where the last one
     stopped.  Every batch is a training step of its own, however many one micro-batch
     takes in.
@@ -161,12 +164,15 @@ def stream_train(
         if not has_table(spark, f"{log}/index"):
             number_plain(spark, payload_dir, log)
     progress = f"{store.path}/train_progress"
-    return start(featurize(payload_stream(spark, log, batches_per_trigger, progress), options), trainer, progress, delay)
+    rows = featurize(payload_stream(spark, log, batches_per_trigger, progress), options)
+    return start(observed(rows) if observe else rows, trainer, progress, delay)
 
 
-def start(rows: DataFrame, learn_or_score, progress: str, delay: int | None) -> StreamingQuery | Replay:
+def start(
+    rows: DataFrame, learn_or_score, progress: str, delay: int | None, mode: str = "append"
+) -> StreamingQuery | Replay:
     """Run a function on every micro-batch, at an interval or until a log is used up."""
-    writer = rows.writeStream.foreachBatch(learn_or_score).option("checkpointLocation", progress)
+    writer = rows.writeStream.outputMode(mode).foreachBatch(learn_or_score).option("checkpointLocation", progress)
     if delay:
         return writer.trigger(processingTime=f"{delay} seconds").start()
     return Replay(writer.start())
