@@ -83,3 +83,14 @@ def batch_report(metrics: DataFrame) -> DataFrame:
         *[F.format_number(c, 3).alias(c) for c in ("accuracy", "precision", "recall")],
         F.format_string("[[%d %d] [%d %d]]", "tn", "fp", "fn", "tp").alias("confusion_matrix"),
     )
+
+
+def cluster_report(log: DataFrame) -> DataFrame:
+    """What a training run of the clusterer prints for a batch: metrics and matrix with
+    spam as 1, and again with the truth flipped, from its log."""
+    metrics = [f"{m}_spam_{s}" for s in (1, 0) for m in ("accuracy", "precision", "recall")]
+    return log.select(
+        "model", "batch_no", F.col("n").alias("batch_size"), *[F.format_number(c, 3).alias(c) for c in metrics],
+        F.format_string("[[%d %d] [%d %d]]", "tn", "fp", "fn", "tp").alias("confusion_matrix_spam_1"),
+        F.format_string("[[%d %d] [%d %d]]", "fn", "tp", "tn", "fp").alias("confusion_matrix_spam_0"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import truncate3
@@ -68,6 +68,12 @@ def in_curve_order(curve: DataFrame) -> DataFrame:
     return curve.orderBy("metric", "model", "polarity", F.col("checkpoint").cast("int"))
 
 
+def numbered_curve(curve: DataFrame) -> DataFrame:
+    """The points of every curve numbered in order of their checkpoints."""
+    line = Window.partitionBy("model", "polarity", "metric").orderBy(F.col("checkpoint").cast("int"))
+    return curve.withColumn("place", F.row_number().over(line))
+
+
 def preview(log: DataFrame, *order: str, n: int = 5) -> DataFrame:
     """First rows of a log in a stated order."""
     return log.orderBy(*order).limit(n)

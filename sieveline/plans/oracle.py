@@ -92,6 +92,31 @@ sql("lines_roundtrip", f"""
 SELECT batch_no, row_in_batch AS pos, line || chr(10) AS line
 FROM ({batched('''(SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
   generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM conversations)''', 'conv_id, turn, line_no', 100)})""")
+_pixels = "CAST(floor(CAST(embedding[{}] AS DOUBLE) * 1000) AS INTEGER)"
+_keyed = "string_agg('\"' || row_in_batch || '\":' || record, ',' ORDER BY row_in_batch)"
+_cube = "list_transform(range(4), lambda i: list_transform(range(4), lambda j: list_transform(range(4), lambda k: " + _pixels.format("i * 16 + j * 4 + k + 1") + ")))"
+_texts = {
+    "columnar": f"""
+SELECT batch_no, '{{"first_row":0,' || string_agg('"feature' || i || '":' || column_text, ',' ORDER BY i) || '}}' AS payload FROM (
+  SELECT batch_no, 0 AS i, to_json(list(feature0 ORDER BY row_in_batch))::VARCHAR AS column_text FROM sent GROUP BY batch_no
+  UNION ALL SELECT batch_no, 1, to_json(list(feature1 ORDER BY row_in_batch))::VARCHAR FROM sent GROUP BY batch_no
+  UNION ALL SELECT batch_no, 2, to_json(list(feature2 ORDER BY row_in_batch))::VARCHAR FROM sent GROUP BY batch_no) GROUP BY batch_no""",
+    "record map": f"""
+SELECT batch_no, '{{' || {_keyed} || '}}' AS payload FROM (
+  SELECT batch_no, row_in_batch, '{{' || array_to_string(list_transform(range(len(embedding)),
+    lambda i: '"feature' || i || '":' || {_pixels.format('i + 1')}), ',') || ',"label":' || label || '}}' AS record FROM images) GROUP BY batch_no""",
+    "nested record map": f"""
+SELECT batch_no, '{{' || {_keyed} || '}}' AS payload FROM (
+  SELECT batch_no, row_in_batch, '{{"img":' || to_json({_cube})::VARCHAR || ',"label":' || label || '}}' AS record FROM images) GROUP BY batch_no""",
+    "lines": """
+SELECT batch_no, to_json(list(line || chr(10) ORDER BY row_in_batch))::VARCHAR AS payload FROM said GROUP BY batch_no""",
+}
+_said = batched("""(SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
+  generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM conversations)""", "conv_id, turn, line_no", 100)
+sql("payload_texts", f"""
+SELECT shape, batch_no, CAST(length(payload) AS INTEGER) AS n_chars, md5(payload) AS digest
+FROM (WITH sent AS ({batched('mail', 'row_id', BATCH)}), images AS ({batched('embeddings', 'vec_id', 64)}), said AS ({_said})
+      """ + " UNION ALL ".join(f"SELECT '{shape}' AS shape, * FROM ({text})" for shape, text in _texts.items()) + ")", "mail")
 sql("text_scan_batches", f"""
 SELECT batch_no, count(*) AS n_lines
 FROM ({batched("(SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark)", "line", 10)}) GROUP BY batch_no""")
@@ -198,6 +223,13 @@ def curve(table: str, *keys: str) -> str:
     return f"SELECT {', '.join(keys)}, metric, round(value, 6) AS value FROM ({_LONG.format(f'FROM {counted}')})"
 
 
+_clusters = "(SELECT * FROM kmeans_predictions WHERE checkpoint = batch_no)"
+sql("cluster_report", f"""
+SELECT 'Clustering' AS model, batch_no, c.n AS batch_size, {', '.join(
+    f"format('{{:.3f}}', {m}_spam_{s}) AS {m}_spam_{s}" for s in (1, 0) for m in ('accuracy', 'precision', 'recall')
+)}, format('[[{{}} {{}}] [{{}} {{}}]]', tn, fp, fn, tp) AS confusion_matrix_spam_1,
+    format('[[{{}} {{}}] [{{}} {{}}]]', fn, tp, tn, fp) AS confusion_matrix_spam_0
+FROM ({confusion(_clusters, 'batch_no')}) c JOIN ({dual(_clusters, 'batch_no')}) d USING (batch_no)""", "kmeans_predictions")
 sql("train_curve_long", curve(_TRAIN, "model", "batch_no"), "predictions")
 sql("train_curve_one_model", f"SELECT * EXCLUDE (model) FROM ({curve(_TRAIN, 'model', 'batch_no')}) WHERE model = 'Perceptron'", "predictions")
 sql("train_curve_pivot", "SELECT metric, batch_no, " + ", ".join(
@@ -235,6 +267,12 @@ sql("test_after_reset", """
 SELECT 'Multinomial Naive Bayes' AS model, p.batch_no, r.row_in_batch, p.prediction, p.truth
 FROM nb_test_predictions p JOIN test_rows r ON p.row_id = r.row_id
 WHERE checkpoint = (SELECT max(batch_no) FROM rows)""", "nb_test_predictions", "test_rows", "rows")
+SQL["report_metric_curves"] = SQL["train_curve_pivot"]
+sql("test_curve_order", "SELECT *, CAST(row_number() OVER (PARTITION BY model, polarity, metric ORDER BY checkpoint) AS INTEGER) AS place FROM (" + curve(
+    "(SELECT *, 1 AS polarity FROM kmeans_test_predictions WHERE checkpoint > 0 UNION ALL "
+    "SELECT * REPLACE (1 - prediction AS prediction), 0 FROM kmeans_test_predictions WHERE checkpoint > 0)",
+    "model", "polarity", "checkpoint") + ")", "kmeans_test_predictions")
+SQL["preview_test_log"] = SQL["stream_test_log"] + " ORDER BY model, p.batch_no, row_in_batch LIMIT 5"
 SQL["replay_epochs_stream"] = SQL["replay_epochs_twice"]
 sql("stream_progress", """
 SELECT 'rows' AS what, count(*) AS n FROM rows UNION ALL SELECT 'logged', max(batch_no) FROM rows

@@ -260,6 +260,31 @@ def nested_map_roundtrip(spark, sf_dir):
     return decoded.select("batch_no", "row_in_batch", "label", F.posexplode("img").alias("pos", "pixel"))
 
 
+def _image_payloads(spark, sf_dir):
+    rows = _image_rows(spark, sf_dir)
+    cube = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.transform(
+        F.sequence(F.lit(0), F.lit(3)), lambda j: F.slice("pixels", i * 16 + j * 4 + 1, 4)
+    ))
+    return payloads.encode_record_map(rows), payloads.encode_nested_record_map(rows.withColumn("img", cube))
+
+
+@query
+def payload_texts(spark, sf_dir):
+    """The text of every payload line of each shape, as a digest and its length."""
+    flat, nested = _image_payloads(spark, sf_dir)
+    numbered = number_rows_by_range(_conversation_lines(spark, sf_dir), ["conv_id", "turn", "line_no"])
+    told = None
+    for shape, encoded in (
+        ("columnar", payloads.encode_columnar(D.batched_messages(spark, sf_dir))), ("record map", flat),
+        ("nested record map", nested), ("lines", payloads.encode_lines(assign_batches(numbered, 100))),
+    ):
+        one = encoded.select(
+            F.lit(shape).alias("shape"), "batch_no", F.length("payload").alias("n_chars"), F.md5("payload").alias("digest")
+        )
+        told = one if told is None else told.unionByName(one)
+    return told
+
+
 def _conversation_lines(spark, sf_dir):
     return load(spark, sf_dir, "conversations").select(
         "conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
@@ -699,6 +724,19 @@ def batch_report(spark, sf_dir):
     return metrics.batch_report(_classifier_log(spark, sf_dir))
 
 
+@query
+def cluster_report(spark, sf_dir):
+    """The clusterer's report of every batch under both polarities."""
+    return metrics.cluster_report(D.trained(spark, sf_dir, CLUSTER_FAMILY).train_log())
+
+
+@query
+def report_metric_curves(spark, sf_dir):
+    """Report mode 3: all supervised models on one batch axis, metric by metric."""
+    log = _classifier_log(spark, sf_dir)
+    return _rounded(reports.report(reports.METRIC_CURVES, train_log=log), *CLASSIFIERS)
+
+
 @query
 def train_curve_long(spark, sf_dir):
     log = _classifier_log(spark, sf_dir)
@@ -741,6 +779,20 @@ def mlp_test_curve(spark, sf_dir):
     return _rounded(reports.curve_of_counts(counts, include_final=True), "value")
 
 
+@query
+def test_curve_order(spark, sf_dir):
+    """Points of the clusterer's test curves, numbered in order of their checkpoints."""
+    counts = D.tested_counts(spark, sf_dir, CLUSTER_FAMILY)
+    return _rounded(reports.numbered_curve(reports.curve_of_counts(counts, include_final=True)), "value")
+
+
+@query
+def preview_test_log(spark, sf_dir):
+    """The first five records of the test log."""
+    log = D.tested(spark, sf_dir).test_log().select("model", "batch_no", "row_in_batch", "prediction", "truth")
+    return reports.preview(log, "model", "batch_no", "row_in_batch")
+
+
 @query
 def preview5(spark, sf_dir):
     log = _classifier_log(spark, sf_dir).filter(F.col("model") == PERCEPTRON)
