@@ -165,6 +165,10 @@ for _name, _batch in (("kmeans_init", 0), ("kmeans_step", 1)):
 SELECT CAST(k AS INTEGER) AS cluster, CAST(b AS INTEGER) AS bucket,
        round(CASE WHEN k = 0 THEN c0[b + 1] ELSE c1[b + 1] END, 6) AS value
 FROM kmeans_run, (SELECT unnest([0, 1]) AS k), (SELECT unnest(range(512)) AS b) WHERE batch_no = {_batch}""", "kmeans_run")
+sql("kmeans_seeded_init", """
+SELECT CAST(k AS INTEGER) AS cluster, CAST(b AS INTEGER) AS bucket,
+       round(CASE WHEN k = 0 THEN c0[b + 1] ELSE c1[b + 1] END, 6) AS value
+FROM kmeans_drawn, (SELECT unnest([0, 1]) AS k), (SELECT unnest(range(512)) AS b)""", "kmeans_drawn")
 sql("kmeans_centres", """
 SELECT batch_no, CAST(k AS INTEGER) AS cluster, CASE WHEN k = 0 THEN n0 ELSE n1 END AS size, CAST(b AS INTEGER) AS bucket,
        round(CASE WHEN k = 0 THEN c0[b + 1] ELSE c1[b + 1] END, 6) AS value

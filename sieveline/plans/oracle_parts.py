@@ -431,6 +431,13 @@ SELECT (SELECT v FROM dense WHERE batch_no = 1 ORDER BY row_in_batch LIMIT 1) AS
        (SELECT d.v FROM dense d, (SELECT v FROM dense WHERE batch_no = 1 ORDER BY row_in_batch LIMIT 1) f
         WHERE d.batch_no = 1
         ORDER BY round(list_dot_product(d.v, d.v) - 2 * list_dot_product(d.v, f.v), 9) DESC, d.row_in_batch LIMIT 1) AS c1""", "dense")
+_CHANCE = "(('0x' || substr(md5('0:{}:' || row_in_batch), 1, 8))::BIGINT + 1) / 4294967296.0"
+part("kmeans_drawn", f"""
+SELECT c0, arg_min(v, {{'key': -ln({_CHANCE.format(1)}) / gap, 'place': row_in_batch}}) FILTER (gap > 0) AS c1 FROM (
+  SELECT d.v, d.row_in_batch, f.c0,
+         round(list_dot_product(d.v, d.v) - 2 * list_dot_product(d.v, f.c0) + list_dot_product(f.c0, f.c0), 9) AS gap
+  FROM dense d, (SELECT arg_min(v, {{'key': {_CHANCE.format(0)}, 'place': row_in_batch}}) AS c0 FROM dense WHERE batch_no = 1) f
+  WHERE d.batch_no = 1) GROUP BY c0""", "dense")
 part("batch_rows", "SELECT batch_no, list(v ORDER BY row_in_batch) AS vs FROM dense GROUP BY batch_no", "dense")
 
 

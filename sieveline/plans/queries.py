@@ -434,6 +434,12 @@ def kmeans_init(spark, sf_dir):
     return _centre_table(spark, kmeans.initial_model(_first_batch(spark, sf_dir)))
 
 
+@query
+def kmeans_seeded_init(spark, sf_dir):
+    """Centres drawn by squared distance with seed 0."""
+    return _centre_table(spark, kmeans.seeded_model(_first_batch(spark, sf_dir), 0))
+
+
 @query
 def kmeans_step(spark, sf_dir):
     """Centres after the first batch."""

@@ -31,7 +31,8 @@ class Trainer:
     Call it with the feature rows of each micro-batch and its number.  A
     micro-batch may hold several batches; they are learnt one after another and
     scored, saved and logged together.  Rows stay on the executors: what the
-    driver holds are the models, at most 23,133 numbers each, and their sums.
+    driver holds are the models, at most 23,133 numbers each, and their sums.  With
+    ``seed`` the clusterer draws its first centres, else it takes rows far apart.
     """
 
     def __init__(
@@ -40,8 +41,9 @@ class Trainer:
         shards: int = SHARDS,
         prequential: bool = False,
         models: tuple[str, ...] | None = None,
+        seed: int | None = None,
     ):
-        self.store, self.shards, self.prequential = store, shards, prequential
+        self.store, self.shards, self.prequential, self.seed = store, shards, prequential, seed
         self.models = models or FAMILIES[store.family]
         last = store.last_commit()
         if last and last.shards != shards:
@@ -97,7 +99,9 @@ class Trainer:
         start = {}
         for m in self.models:
             if m == CLUSTERING:
-                start[m] = ModelState(kmeans.initial_model(features))
+                start[m] = ModelState(
+                    kmeans.initial_model(features) if self.seed is None else kmeans.seeded_model(features, self.seed)
+                )
             elif m == NAIVE_BAYES:
                 start[m] = ModelState(np.zeros(2 + 2 * N_BUCKETS))
             else:

@@ -296,6 +296,29 @@ def test_clusters_batch_by_batch(spark):
     assert made == {(3, r[1]): closest(dense(r), centres) for r in rows if r[0] == 3}
 
 
+def test_seeded_centres(spark):
+    """By hand from the same chances; other partitions draw the same, other seeds others."""
+    import hashlib
+
+    rows = messages(60, batch=60)
+    xs = [dense(r) for r in rows]
+    u = lambda seed, turn, i: (int(hashlib.md5(f"{seed}:{turn}:{i}".encode()).hexdigest()[:8], 16) + 1) / 2**32
+    drawn = set()
+    for seed in range(4):
+        made = kmeans.seeded_centres(frame(spark, rows).repartition(1 + 3 * seed), 3, seed)
+        chosen = [min(range(60), key=lambda i: u(seed, 0, i))]
+        for turn in (1, 2):
+            gap = [min(round(((x - xs[c]) ** 2).sum(), 9) for c in chosen) for x in xs]
+            chosen.append(min((i for i in range(60) if gap[i] > 0), key=lambda i: -math.log(u(seed, turn, i)) / gap[i]))
+        for c, i in zip(made, chosen):
+            np.testing.assert_array_equal(c, xs[i])
+        drawn.add(tuple(chosen))
+    assert len(drawn) > 1
+    same = [(1, i, 0, [(3, 1.0)]) for i in range(4)]
+    first, second = kmeans.seeded_centres(frame(spark, same), 2, 1)
+    np.testing.assert_array_equal(first, second)
+
+
 @pytest.mark.parametrize("shards", [1, 4])
 def test_clusters_do_not_depend_on_shards(spark, shards):
     df = frame(spark, messages(90, batch=30))
