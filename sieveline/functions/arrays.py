@@ -46,3 +46,18 @@ def run_lengths(values: Column) -> Column:
 def total(values: Column) -> Column:
     """Sum of an ``array<double>``, left to right; 0 for an empty array."""
     return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+
+
+def laid_out(entries: Column, size: Column, empty: Column) -> Column:
+    """An array of ``size`` elements from ``array<struct<at, value>>`` ascending by ``at``, with
+    ``empty`` where no entry is: each entry is put behind the gap before it, so the work is
+    that of writing the array once."""
+    def fill(e: Column) -> Column:
+        before = lambda i: F.coalesce(F.get(e, i - 1).at, F.lit(-1))
+        pieces = F.transform(e, lambda x, i: F.concat(
+            F.array_repeat(empty, F.greatest(x.at - before(i) - 1, F.lit(0)).cast("int")), F.array(x.value)
+        ))
+        last = F.coalesce(F.get(e, F.size(e) - 1).at, F.lit(-1))
+        return F.concat(F.flatten(pieces), F.array_repeat(empty, F.greatest(size - last - 1, F.lit(0)).cast("int")))
+
+    return bind(entries, fill)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .arrays import bind, run_lengths
+from .arrays import bind, laid_out, run_lengths
 from .hashing import BUCKETS, N_BUCKETS
 
 
@@ -44,13 +44,8 @@ def sparse_vector(dense: Column) -> Column:
 
 def to_dense(vector: Column, n_buckets: int = N_BUCKETS) -> Column:
     """``array<double>`` of fixed width with zeros where the vector has no entry."""
-    def fill(entries: Column) -> Column:
-        return bind(F.transform(entries, lambda e: e.bucket), lambda buckets: F.transform(
-            F.sequence(F.lit(0), F.lit(n_buckets - 1)),
-            lambda b: F.coalesce(F.get(entries, F.array_position(buckets, b).cast("int") - 1).x, F.lit(0.0)),
-        ))
-
-    return bind(vector, fill)
+    entries = F.transform(F.sort_array(vector), lambda e: F.struct(e.bucket.alias("at"), e.x.alias("value")))
+    return laid_out(entries, F.lit(n_buckets), F.lit(0.0))
 
 
 def dot(vector: Column, weights: Column) -> Column:

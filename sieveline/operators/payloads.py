@@ -16,6 +16,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import laid_out
+
 LINE_ROWS = 10_000
 
 FEATURES = ("feature0", "feature1", "feature2")
@@ -89,10 +91,13 @@ def decode_record_map(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFram
     rows = rows.filter(F.col("row").isNotNull())
     # The label is the one entry that is not a pixel.
     n_pixels = F.size("record") - F.when(F.map_contains_key("record", "label"), 1).otherwise(0)
-    pixels = F.when(n_pixels > 0, F.transform(
-        F.sequence(F.lit(0), n_pixels - 1),
-        lambda i: F.try_element_at("record", F.concat(F.lit("feature"), i)),
-    )).otherwise(F.array().cast("array<int>"))
+    # By the number in their name; a name without one, or beyond the count, is no pixel.
+    numbered = F.transform(F.map_entries("record"), lambda e: F.struct(
+        F.regexp_extract(e.key, r"^feature(\d{1,9})$", 1).try_cast("int").alias("at"), e.value.alias("value")
+    ))
+    pixels = laid_out(
+        F.sort_array(F.filter(numbered, lambda e: e.at < n_pixels)), n_pixels, F.lit(None).cast("int")
+    )
     return rows.select(
         *keep, F.col("row").cast("int").alias("row_in_batch"), pixels.alias("pixels"),
         F.try_element_at("record", F.lit("label")).alias("label"),

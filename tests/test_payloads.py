@@ -73,6 +73,17 @@ def test_pixels_are_ordered_by_number(spark):
     assert P.decode_record_map(P.encode_record_map(batch_table(rows, "k", 1))).first().pixels == pixels
 
 
+def test_pixels_with_gaps_and_other_names(spark):
+    """Missing numbers are null, numbers beyond the count and other names are no pixels."""
+    payload = json.dumps({
+        "0": {"feature0": 5, "feature2": 7, "label": 1}, "1": {"feature3": 1, "feature1": 2, "feature12": 9, "label": 0},
+        "2": {"label": 3}, "3": {"featurex": 4, "feature0": 6},
+    })
+    df = spark.createDataFrame([(payload,)], "payload string")
+    made = {r.row_in_batch: (r.pixels, r.label) for r in P.decode_record_map(df).collect()}
+    assert made == {0: ([5, None], 1), 1: ([None, 2, None], 0), 2: ([], 3), 3: ([6, None], None)}
+
+
 def test_nested_record_map(spark):
     img = [[[1, 2], [3, 4]]]
     rows = spark.createDataFrame([(0, img, 0)], "k long, img array<array<array<int>>>, label int")
