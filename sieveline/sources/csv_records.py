@@ -39,7 +39,7 @@ def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _runs(batch: pa.RecordBatch):
+def block_runs(batch: pa.RecordBatch):
     """Ranges of rows of one block: where they start and end, the file and the block."""
     files, blocks = batch.column("file").to_pylist(), batch.column("block").to_pylist()
     edges = [0] + [i for i in range(1, len(files)) if blocks[i] != blocks[i - 1] or files[i] != files[i - 1]] + [len(files)]
@@ -60,7 +60,7 @@ def _block_counts(lines: DataFrame) -> DataFrame:
     def count(batches):
         at, seen, odd = None, [0, 0], 0
         for batch in batches:
-            for low, high, block in _runs(batch):
+            for low, high, block in block_runs(batch):
                 if block != at:
                     if at is not None:
                         yield report(at, odd, seen)
@@ -93,24 +93,28 @@ def _block_starts(counts: DataFrame) -> DataFrame:
     )
 
 
+def with_block_numbers(lines: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``lines`` with the few numbers of their ``file, block``, still in order within a block."""
+    if numbers.count() <= MAX_BUCKETS:
+        return lines.join(F.broadcast(numbers), _AT)
+    # The lines of a block meet its numbers in one task, in the order they were read in.
+    ordered = lines.withColumn("read", F.monotonically_increasing_id())
+    return ordered.join(numbers, _AT).repartition(*_AT).sortWithinPartitions(*_AT, "read").drop("read")
+
+
 def csv_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``file, record, text``: the records of the files after their headers, numbered from 1
     in each file.  Empty lines between records are no records but count."""
     lines = _lines(spark, path)
     starts = materialize(_block_starts(_block_counts(lines)), "csv-blocks")
-    if starts.count() <= MAX_BUCKETS:  # four numbers and a file name a block
-        placed = lines.join(F.broadcast(starts), _AT)
-    else:
-        # The lines of a block meet its numbers in one task, in the order they were read in.
-        ordered = lines.withColumn("read", F.monotonically_increasing_id())
-        placed = ordered.join(starts, _AT).repartition(*_AT).sortWithinPartitions(*_AT, "read").drop("read")
+    placed = with_block_numbers(lines, starts)
 
     def number(batches):
         at, within, record, line = None, 0, 0, 0
         for batch in batches:
             records, places, alone = (np.zeros(batch.num_rows, dtype=np.int64) for _ in range(3))
             begins, first = batch.column("begins").to_numpy(), batch.column("first").to_numpy()
-            for low, high, block in _runs(batch):
+            for low, high, block in block_runs(batch):
                 if block != at:
                     at, within, record, line = block, int(begins[low]), int(first[low]) - 1, 0
                 inside = _inside(batch, low, high, within)

@@ -41,12 +41,14 @@ def _open(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(path)
 
 
-def write_log(lines: DataFrame, path: str) -> None:
+def write_log(lines: DataFrame, path: str, in_order: bool = False) -> None:
     """Write ``batch_no, payload`` as a log: one pass for the lines, and one over the
     footers of their files for the index.  The index comes last: a log is whole or
-    cannot be read."""
-    (lines.select("batch_no", "payload").repartitionByRange("batch_no").sortWithinPartitions("batch_no", "payload")
-     .write.option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/lines"))
+    cannot be read.  Lines that are ``in_order`` in every partition are written as they are."""
+    kept = lines.select("batch_no", "payload")
+    if not in_order:
+        kept = kept.repartitionByRange("batch_no").sortWithinPartitions("batch_no", "payload")
+    (kept.write.option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/lines"))
     spark = lines.sparkSession
 
     def footers(batches):

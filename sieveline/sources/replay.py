@@ -6,14 +6,16 @@ place and become a log like any other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.batching import number_rows_by_range
 from ..operators.payloads import decode_columnar
+from ..session import materialize
+from .csv_records import block_runs, with_block_numbers
 from .payload_log import read_log, stream_log, write_log
-from .tables import text_scan
 
 
 def write_payloads(payloads: DataFrame, path: str) -> None:
@@ -30,11 +32,29 @@ def number_plain(spark: SparkSession, folder: str, path: str) -> None:
     """Make a log of a folder of payload lines without batch numbers.
 
     Every line that is not empty is a batch; files count in order of their names and
-    lines in order of their place.
+    lines in order of their place.  Lines are counted by block, and each block then
+    numbers its own and writes them where it reads them, so no text is shuffled.
     """
-    lines = text_scan(spark, folder).filter("line != ''")
-    numbered = number_rows_by_range(lines, ["file", "block_start", "line_key"])
-    write_log(numbered.select((F.col("row_no") + 1).alias("batch_no"), F.col("line").alias("payload")), path)
+    lines = spark.read.option("lineSep", "\n").text(folder).filter("value != ''").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+    )
+    counts = materialize(lines.groupBy("file", "block").agg(F.count("*").alias("n")), "line-blocks")
+    # A block is a row: the literal partition names the single group of the running sum.
+    before = Window.partitionBy(F.lit(0)).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+
+    def number(batches):
+        at, line = None, 0
+        for batch in batches:
+            numbers, first = np.zeros(batch.num_rows, dtype=np.int64), batch.column("first").to_numpy()
+            for low, high, block in block_runs(batch):
+                if block != at:
+                    at, line = block, int(first[low])
+                numbers[low:high] = np.arange(line + 1, line + 1 + high - low)
+                line += high - low
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), batch.column("value")], names=["batch_no", "payload"])
+
+    write_log(with_block_numbers(lines, starts).mapInArrow(number, "batch_no long, payload string"), path, in_order=True)
 
 
 def payload_stream(
