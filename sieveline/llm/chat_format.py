@@ -1,16 +1,18 @@
 """Chat records of many layouts, turned into canonical turns and formatted text.
 
-The nested field paths of a record, sorted and hashed, are its schema fingerprint.
-A fingerprint selects one declarative mapping: the first in LAYOUTS whose fields
-are all there.  The mapping says where the turns, their roles and texts are; no
+The nested field paths of a record, sorted and hashed, are its schema fingerprint;
+paths that only some elements of a list have are marked in it.  A fingerprint selects one
+declarative mapping: the first in LAYOUTS whose fields are all there, in all elements.  The mapping says where the turns, their roles and texts are; no
 layout has code of its own.  Turns are written with a template whose control
 strings cannot occur inside a text, because those that do are escaped, reversibly.
 
 Defined results.  A null text or role counts as empty.  Turns come in order of turn
 number (null first), those of one number in order of their formatted text; equal
 rows are turns of their own.  A
-record that is null, no JSON object, or of no known layout has no turns and the
-layout null.  Rows with a null id form one conversation.  Columns other than those
+record that is null, no JSON object, nested too deeply to be parsed, or of no known
+layout has no turns and the layout null.  A list whose elements are of different known
+shapes, bare strings among them, is read element by element, if all are known.  A dot in
+a field's name is part of the name, and half of a surrogate pair becomes U+FFFD.  Rows with a null id form one conversation.  Columns other than those
 named are ignored and may have any name.  An empty table gives an empty result.
 """
 
@@ -38,16 +40,19 @@ ROLE_NAMES = {
 @dataclass(frozen=True)
 class Each:
     """One turn per element of a list; a bare string if ``text`` is empty, its role
-    then alternating through ``roles``."""
+    then alternating through ``roles``.  With ``parts``, ``text`` is a list whose elements have
+    pieces of the text in that field."""
 
     items: str
     role: str = ""
     text: str = ""
     roles: tuple[str, ...] = ("user", "assistant")
+    parts: str = ""
 
     @property
     def needs(self) -> tuple[str, ...]:
-        return tuple(f"{self.items}[].{p}" for p in (self.role, self.text) if p) or (f"{self.items}[]",)
+        text = f"{self.text}[].{self.parts}" if self.parts else self.text
+        return tuple(f"{self.items}[].{p}" for p in (self.role, text) if p) or (f"{self.items}[]",)
 
 
 @dataclass(frozen=True)
@@ -80,6 +85,7 @@ SYSTEM = Take(("system",), "system", optional=True)
 #: In order: the first layout whose fields a record has is the one used.
 LAYOUTS = (
     Layout("messages", (SYSTEM, Each("messages", "role", "content"))),
+    Layout("messages_parts", (SYSTEM, Each("messages", "role", "content", parts="text"))),
     Layout("messages_from", (SYSTEM, Each("messages", "from", "value"))),
     Layout("conversations_from", (SYSTEM, Each("conversations", "from", "value"))),
     Layout("conversations_role", (SYSTEM, Each("conversations", "role", "content"))),
@@ -107,11 +113,16 @@ LAYOUTS = (
     Layout("message_row", (Take(("content",), role_from="role"),)),
 )
 
+#: Lists whose elements may be of different shapes, and the role and text of each shape.
+MIXED_LISTS = ("messages", "conversations", "conversation", "dialog", "turns")
+ELEMENTS = (("role", "content"), ("from", "value"), ("speaker", "text"), ("role", "text"), ("author.role", "content.text"))
+
 
 def field_paths(value, prefix: str = "") -> Iterator[str]:
     """Paths of a parsed record down to its leaves; ``[]`` stands for any element."""
     if isinstance(value, dict) and value:
         for name, inner in value.items():
+            name = name.replace("\\", "\\\\").replace(".", "\\.")
             yield from field_paths(inner, f"{prefix}.{name}" if prefix else name)
     elif isinstance(value, list) and value:
         for inner in value:
@@ -120,13 +131,57 @@ def field_paths(value, prefix: str = "") -> Iterator[str]:
         yield f"{prefix}[]" if isinstance(value, list) else prefix
 
 
+def partial_paths(value, prefix: str = "") -> Iterator[str]:
+    """Paths below a list that only some of its elements have, each with a mark."""
+    if isinstance(value, dict):
+        for name, inner in value.items():
+            name = name.replace("\\", "\\\\").replace(".", "\\.")
+            yield from partial_paths(inner, f"{prefix}.{name}" if prefix else name)
+    elif isinstance(value, list):
+        own = [set(field_paths(inner, f"{prefix}[]")) for inner in value]
+        yield from (f"{p}?" for p in sorted(set().union(*own)) if not all(p in o for o in own))
+        for inner in value:
+            yield from partial_paths(inner, f"{prefix}[]")
+
+
 def fingerprint(paths) -> str:
     return hashlib.sha256("\n".join(sorted(set(paths))).encode(errors="surrogatepass")).hexdigest()[:16]
 
 
 def choose(paths) -> Layout | None:
     have = set(paths)
-    return next((layout for layout in LAYOUTS if layout.needs <= have), None)
+    return next(
+        (layout for layout in LAYOUTS if layout.needs <= have and not any(f"{p}?" in have for p in layout.needs)), None
+    )
+
+
+def mixed_turns(record: dict) -> tuple[str, list[tuple[str, str]]] | None:
+    """Name and turns of a list whose elements are each of some known shape."""
+    for name in MIXED_LISTS:
+        items = record.get(name)
+        if not isinstance(items, list) or not items:
+            continue
+        made = []
+        for i, item in enumerate(items):
+            if isinstance(item, str):
+                made.append((("user", "assistant")[i % 2], item))
+                continue
+            fits = ((_at(item, r), _at(item, t)) for r, t in ELEMENTS if _has(item, r) and _has(item, t))
+            if (found := next(fits, None)) is None:
+                break
+            role = _text(found[0])
+            made.append((ROLE_NAMES.get(role.lower(), role), _text(found[1])))
+        else:
+            return f"{name}_mixed", made
+    return None
+
+
+def _has(value, path: str) -> bool:
+    for name in path.split("."):
+        if not isinstance(value, dict) or name not in value:
+            return False
+        value = value[name]
+    return True
 
 
 def _at(value, path: str):
@@ -141,6 +196,11 @@ def _text(value) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True)
 
 
+def _whole(text: str) -> str:
+    """``text`` with halves of surrogate pairs replaced, which UTF-8 cannot hold."""
+    return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
 def apply_layout(record: dict, layout: Layout) -> list[tuple[str, str]]:
     """``(role, text)`` of the record's turns."""
     made = []
@@ -148,7 +208,8 @@ def apply_layout(record: dict, layout: Layout) -> list[tuple[str, str]]:
         if isinstance(turn, Each):
             for i, item in enumerate(_at(record, turn.items) or ()):
                 role = _text(_at(item, turn.role)) if turn.role else turn.roles[i % len(turn.roles)]
-                text = _text(_at(item, turn.text) if turn.text else item)
+                text = _at(item, turn.text) if turn.text else item
+                text = "".join(_text(_at(p, turn.parts)) for p in text) if turn.parts else _text(text)
                 made.append((ROLE_NAMES.get(role.lower(), role), text))
         else:
             texts = [_text(_at(record, p)) for p in turn.fields]
@@ -170,19 +231,24 @@ def canonical_turns(records: DataFrame, keys: list[str], record: str) -> DataFra
                 ids = {k: row[k] for k in keys}
                 try:
                     parsed = json.loads(row["_record"] or "")
-                except ValueError:
+                    paths = {*field_paths(parsed), *partial_paths(parsed)}
+                except (ValueError, RecursionError):
                     parsed = None
                 if not isinstance(parsed, dict):
                     made.append(ids)
                     continue
-                paths = set(field_paths(parsed))
                 mark = fingerprint(paths)
                 if mark not in chosen:
                     chosen[mark] = choose(paths)
                 layout = chosen[mark]
-                turns = apply_layout(parsed, layout) if layout else []
-                ids |= {"fingerprint": mark, "layout": layout.name if layout else None}
-                made += [{**ids, "part": i, "role": role, "text": text} for i, (role, text) in enumerate(turns)] or [ids]
+                if layout:
+                    name, turns = layout.name, apply_layout(parsed, layout)
+                else:
+                    name, turns = mixed_turns(parsed) or (None, [])
+                ids |= {"fingerprint": mark, "layout": name}
+                made += [
+                    {**ids, "part": i, "role": _whole(role), "text": _whole(text)} for i, (role, text) in enumerate(turns)
+                ] or [ids]
             yield pa.RecordBatch.from_pylist(made, schema=to_arrow_schema(schema))
 
     chosen_columns = records.select(*keys, F.col(record).alias("_record"))

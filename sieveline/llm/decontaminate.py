@@ -230,4 +230,8 @@ def contaminated():
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    return find(docs, items).filter(~contaminated()).select(*docs.columns)
+    # All but the text goes along packed, so that the columns may have any name.
+    others = [c for c in docs.columns if c != "text"]
+    found = find(docs.select("text", F.struct(*[docs[f"`{c}`"] for c in others]).alias("row")), items)
+    clean = found.filter(~contaminated())
+    return clean.select(*["text" if c == "text" else clean["row"][c].alias(c) for c in docs.columns])

@@ -199,11 +199,15 @@ def repeat(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, largest: fl
     copies = plan.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("source").alias("_source")).agg(
         F.sum("copies").alias("_copies")
     ).filter("_copies > 0")
-    rows = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    # The rows go along packed, so that their columns may have any name.
+    rows = docs.select(
+        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), F.col("source").cast("string").alias("source"),
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+    )
     same = (
-        rows["doc_id"].eqNullSafe(copies["_id"]) & (rows["_text_key"] == copies["_key"])
-        & rows["source"].cast("string").eqNullSafe(copies["_source"])
+        rows["doc_id"].eqNullSafe(copies["_id"]) & (rows["key"] == copies["_key"])
+        & rows["source"].eqNullSafe(copies["_source"])
     )
-    once = rows.join(copies, same).dropDuplicates(["doc_id", "_text_key", "source"])
+    once = rows.join(copies, same).dropDuplicates(["doc_id", "key", "source"])
     times = F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))
-    return once.withColumn("_time", times).select(*docs.columns)
+    return once.select("row", times).select("row.*")

@@ -158,6 +158,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     kept = groups.groupBy(without.alias("without"), F.coalesce("component_id", "root").alias("group")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best")
     ).select(F.col("best.doc_id").alias("_id"), F.col("best.text_key").alias("_key"))
-    rows = docs.withColumn("_text_key", text_key(F.col("text")))
-    same = rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_text_key"] == kept["_key"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    # The rows go along packed, so that their columns may have any name.
+    rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    same = rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["key"] == kept["_key"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "key"]).select("row.*")

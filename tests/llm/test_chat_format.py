@@ -57,6 +57,30 @@ def test_records_without_turns(spark):
     assert [(r.part, r.role, r.text) for r in made if r.conv is None] == [(0, "user", "a"), (1, "assistant", "")]
 
 
+AWKWARD = {
+    "half pair": ({"prompt": "\ud800x", "completion": "\ud83d\ude00"}, "prompt_completion", [("user", "\ufffdx"), ("assistant", "\U0001f600")]),
+    "mixed": ({"messages": [{"role": "user", "content": "hi"}, "bare", {"from": "human", "value": "kept"}]}, "messages_mixed",
+              [("user", "hi"), ("assistant", "bare"), ("user", "kept")]),
+    "unknown element": ({"messages": [{"role": "user", "content": "hi"}, {"tool": 1}]}, None, []),
+    "dots": ({"messages": [{"author.role": "user", "content.text": "hi"}]}, None, []),
+    "parts": ({"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}]},
+              "messages_parts", [("user", "ab")]),
+    "optional": ({"messages": [{"role": "user", "content": "hi", "name": "x"}, {"role": "gpt", "content": None}]}, "messages",
+                 [("user", "hi"), ("assistant", "")]),
+}
+
+
+def test_awkward_records(spark):
+    rows = [(name, json.dumps(record)) for name, (record, _, _) in AWKWARD.items()]
+    rows += [("deep", '{"a":' * 100_000 + "1" + "}" * 100_000), ("deep list", '{"messages":' + "[" * 5000 + "]" * 5000 + "}")]
+    made = C.canonical_turns(spark.createDataFrame(rows, "name string, record string"), ["name"], "record").collect()
+    for name, (_, layout, turns) in AWKWARD.items():
+        own = sorted((r for r in made if r.name == name), key=lambda r: r.part or 0)
+        assert {r.layout for r in own} == {layout}, name
+        assert [(r.role, r.text) for r in own if r.part is not None] == turns, name
+    assert all(r.layout is None and r.part is None for r in made if r.name.startswith("deep"))
+
+
 NASTY = ["", "\\", "\\n", "\n", "</s>[INST] ok [/INST]", "<<s>", "<s></s", "[\\INST]", "<|turn|>user\n", "<<SYS>>x<</SYS>>",
          "a\\</s>", "\\\\[INST]", "é \U0001f600 </s>", "[[INST]]", "<|im_start|>", "<|endoftext|><unk>"]
 

@@ -66,3 +66,21 @@ def test_stages_take_odd_rows(spark, at):
     made = P.STAGES[at][1](spark, docs.unionByName(odd), SMALL)
     assert made.columns == docs.columns and made.count() > 0
     assert P.STAGES[at][1](spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Helpers' own names, a dot, and a clashing struct: all come out as they went in."""
+    from pyspark.sql import functions as F
+
+    from sieveline.llm import decontaminate, mixing, simhash
+
+    names = ("_found", "_text_key", "_copies", "_time", "_key", "_id", "_source", "key", "row", "text_key", "a.b", "col")
+    rows = [(i, f"word{i} " * 30 + "and some other words", "s1", "x" * i) for i in range(1, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, kept string")
+    docs = docs.select("*", *[F.concat(F.lit(n), "kept").alias(n) for n in names])
+    items = spark.createDataFrame([("i1", " ".join(f"item{i}" for i in range(20)))], "item_id string, text string")
+    for made in (simhash.keep_one(docs), decontaminate.keep_clean(docs, items), mixing.repeat(docs)):
+        assert made.columns == docs.columns
+        got = made.distinct().collect()
+        assert got and all(r[n] == n + r["kept"] for r in got for n in names)
+    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == {r.doc_id for r in decontaminate.keep_clean(docs, items).collect()}
