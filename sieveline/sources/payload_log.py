@@ -33,8 +33,8 @@ SCHEMA = "batch_no long, payload string"
 _INDEX = "file string, row_group int, first_batch long, last_batch long"
 _LAYOUT = pa.schema([("batch_no", pa.int64()), ("payload", pa.string())])
 
-#: Bytes of a row group: what one task of a micro-batch reads at least.
-GROUP_BYTES = 4 << 20
+#: Bytes of a row group, what one task of a micro-batch reads, and lines between two looks at its size.
+GROUP_BYTES, GROUP_LINES = 1 << 20, 4
 
 
 def _open(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -48,7 +48,8 @@ def write_log(lines: DataFrame, path: str, in_order: bool = False) -> None:
     kept = lines.select("batch_no", "payload")
     if not in_order:
         kept = kept.repartitionByRange("batch_no").sortWithinPartitions("batch_no", "payload")
-    (kept.write.option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/lines"))
+    (kept.write.option("parquet.block.size", GROUP_BYTES).option("parquet.block.size.row.check.min", GROUP_LINES)
+     .parquet(f"{path}/lines"))
     spark = lines.sparkSession
 
     def footers(batches):
