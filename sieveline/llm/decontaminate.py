@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .words import raw_texts, shingle_hashes, split_words, word_hashes
+from .words import raw_texts, release, shingle_hashes, split_words, word_hashes
 
 #: Contract: words of a window.  Words of a shingle, or the whole of a shorter window.
 WINDOW, SHINGLE = 13, 5
@@ -177,6 +177,7 @@ def _found_by_sent(docs: DataFrame, rare: DataFrame) -> DataFrame:
             ]
             column = pa.array([dict(zip(("n_words", "n_hit", "items"), r)) for r in results], type=_RESULT)
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "_found"])
+        release()
 
     return docs.mapInArrow(look, _with(docs, "_found", RESULT))
 

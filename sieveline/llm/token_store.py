@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import work_dir
-from .words import raw_texts
+from .words import raw_texts, release
 
 #: Contract: the id that ends a document.
 END_ID = 2
@@ -226,6 +226,7 @@ def write_store(
                     ended.append((doc_id, n_tokens))
         if n_held:
             yield flush(np.concatenate(held))
+        release()
 
     ordered.mapInArrow(chunks, CHUNKS).write.parquet(path)
 
