@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ from sieveline.operators.models import (
 )
 from sieveline.operators import models as M
 from sieveline.operators.naive_bayes import batch_updates, cumulative_models, model_table
-from sieveline.operators.sharded import ModelState, fit_batch, fit_batches, initial_state
+from sieveline.operators.sharded import TASK_ROWS, ModelState, fit_batch, fit_batches, initial_state
 
 SCHEMA = "batch_no long, row_in_batch int, y int, features array<struct<bucket int, x double>>"
 
@@ -179,6 +180,32 @@ def test_a_batch_costs_no_job_and_missing_ones_change_nothing(spark):
         np.testing.assert_array_equal(made[5][1][m].params, made[1][1][m].params)
 
 
+def test_small_batches_wait_for_no_exchange(spark):
+    """Sixty batches of two rows by four shards: well under a second each."""
+    df = frame(spark, messages(120, batch=2)).persist()
+    df.count()
+    start = {m: initial_state(m) for m in (LOGISTIC, MLP)}
+    fit_batches(df, start, [1, 2], 4)
+    began = time.monotonic()
+    made = fit_batches(df, start, list(range(1, 61)), 4)
+    assert len(made) == 60 and time.monotonic() - began < 30
+
+
+@pytest.mark.parametrize("large", [set(), {1}, {2, 3}, {1, 3, 5}, {1, 2, 3, 4, 5}])
+def test_large_batches_between_small_ones(spark, large):
+    """Shards in tasks of their own or in one task: the same models."""
+    df = frame(spark, messages(90))
+    start = {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON, MLP)}
+    start[CLUSTERING] = ModelState(kmeans.initial_model(df.filter("batch_no = 1")))
+    plain = fit_batches(df, start, [1, 2, 3, 4, 5], 3)
+    made = fit_batches(df, start, [1, 2, 3, 4, 5], 3, {b: TASK_ROWS + (b in large) for b in range(1, 6)})
+    for b in plain:
+        for m in start:
+            np.testing.assert_array_equal(made[b][m].params, plain[b][m].params)
+    for m in start:
+        np.testing.assert_array_equal(made[5][m].moments, plain[5][m].moments)
+
+
 @pytest.mark.parametrize("n", [8191, 8192, 8193])
 def test_no_size_changes_the_rule(spark, n):
     rows = messages(n, batch=n)
