@@ -1,12 +1,16 @@
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
 from porter_check import stem
 from sieveline.functions import text as T
+from sieveline.functions import vectors
 from sieveline.functions.hashing import md5_bucket, murmur3, murmur3_bucket, spark_bucket
 from sieveline.functions.porter import stem_tokens
-from sieveline.functions.vectors import bucket_counts, dot, l2_normalize, sparse_vector, to_dense
+from sieveline.functions.vectors import bucket_counts, dot, hash_buckets, l2_normalize, sparse_vector, to_dense
 from sieveline.operators.features import FeatureOptions, featurize
 
 
@@ -163,3 +167,22 @@ def test_hash_is_an_option(spark):
     assert 79 in [e.bucket for e in md5]
     wide = featurize(rows, FeatureOptions(n_buckets=1 << 20)).first().features
     assert max(e.bucket for e in wide) > 512
+
+
+def test_counts_by_distinct_word_equal_counts_by_word(spark, monkeypatch):
+    """Words stemmed and hashed once per task: null, empty and repeated ones, strips of any size."""
+    rng = random.Random(3)
+    pieces = ["ational", "ing", "ied", "eed", "s", "sses", "logi", "alli", "ion", "e", "ll", "yyed", "dying", "bbing", "", "ies"]
+    word = lambda: "".join(rng.choice("abeilostyz") for _ in range(rng.randint(1, 6))) + rng.choice(pieces)
+    lists = [None, [], ["a"], ["as", "as"]] + [[word() for _ in range(rng.randint(0, 40))] for _ in range(200)] + [None]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(lists)], "id int, words array<string>").repartition(3)
+    plain = bucket_counts(hash_buckets(T.vectorizer_tokens(stem_tokens(F.col("words")))))
+    expected = {r.id: r.counts for r in df.select("id", plain.alias("counts")).collect()}
+    for strip in (vectors.STRIP, 7):
+        monkeypatch.setattr(vectors, "STRIP", strip)
+        counted = vectors.count_words(pa.array(lists, pa.list_(pa.string())), 512).to_pylist()
+        told = {i: None if c is None else [e.asDict() for e in c] for i, c in expected.items()}
+        assert counted == [told[i] for i in range(len(lists))]
+    made = df.select("id", vectors.stem_counts(F.col("words")).alias("counts"))
+    assert {r.id: r.counts for r in made.collect()} == expected
+    assert made.filter("id < 0").count() == 0
