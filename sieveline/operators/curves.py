@@ -4,12 +4,15 @@ Checkpoints are laid out as matrices, a column per linear decider and one per hi
 of a network.  Rows and checkpoints are cut into blocks of bounded bytes; every block
 of rows meets every block of checkpoints in a task, which multiplies them and gives
 only four counts per checkpoint.  No table of rows times checkpoints exists, neither in
-a shuffle nor in a task.  The work is rows times checkpoints by its definition; what is
+a shuffle nor in a task, unless every decision is asked for; then they leave the task as
+they are made.  The work is rows times checkpoints by its definition; what is
 moved is the rows once per block of checkpoints.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +23,8 @@ from .models import CLUSTERING, HIDDEN_UNITS, MLP, NAIVE_BAYES, TIE
 
 #: Bytes of the matrices of a block of checkpoints, rows of a block and rows multiplied at a time.
 BLOCK_BYTES, BLOCK_ROWS, STRIP = 16 << 20, 16_384, 512
+#: Decisions of a row under a checkpoint that a task gives out at a time, or those of one row.
+STRIP_DECISIONS = 1 << 17
 
 _UNIT = 1 + N_BUCKETS
 _COUNTS = "model string, checkpoint long, n long, tp long, fp long, fn long, tn long"
@@ -55,20 +60,23 @@ class Deciders:
         self.output = params[:, HIDDEN_UNITS * _UNIT:]
         self.counts = np.zeros((len(self.names), 4), dtype=np.int64)
 
-    def add(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Count what every checkpoint makes of some dense rows."""
+    def says(self, x: np.ndarray) -> np.ndarray:
+        """Whether every checkpoint puts some dense rows into class 1."""
         decided = x @ self.weights + self.bias
         if len(self.output):
             h = np.tanh(x @ self.hidden + self.hidden_bias).reshape(len(x), -1, HIDDEN_UNITS)
             decided = np.hstack([decided, (h * self.output[:, 1:]).sum(axis=2) + self.output[:, 0]])
-        said, true = decided > TIE, (y == 1)[:, None]
+        return decided > TIE
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        """Count what every checkpoint makes of some dense rows."""
+        said, true = self.says(x), (y == 1)[:, None]
         pairs = (said & true, said & ~true, ~said & true, ~said & ~true)
         self.counts += np.stack([p.sum(axis=0) for p in pairs], axis=1)
 
 
-def checkpoint_counts(rows: DataFrame, models: DataFrame) -> DataFrame:
-    """``model, checkpoint, n, tp, fp, fn, tn`` of ``rows`` (``row_id, y, features``) under every row
-    of ``models`` (``model, checkpoint, params``)."""
+def _meetings(rows: DataFrame, models: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every block of rows with every block of checkpoints, models first, in a partition."""
     n_rows = rows.count()
     n_checkpoints = models.select("checkpoint").distinct().count()
     per_checkpoint = models.groupBy("checkpoint").agg(F.sum(F.size("params")).alias("n")).agg(F.max("n")).first()[0] or 1
@@ -79,44 +87,58 @@ def checkpoint_counts(rows: DataFrame, models: DataFrame) -> DataFrame:
     matrices = models.select(
         dealt("checkpoint", n_blocks).alias("block"), each(n_parts).alias("part"), F.lit(0).alias("kind"), "model",
         "checkpoint", "params", F.lit(None).cast("int").alias("y"), F.lit(None).cast("array<int>").alias("buckets"),
+        *[F.lit(None).cast("long").alias(c) for c in keep],
     )
     vectors = rows.select(
         each(n_blocks).alias("block"), dealt("row_id", n_parts).alias("part"), F.lit(1).alias("kind"),
         F.lit(None).cast("string").alias("model"), F.lit(None).cast("long").alias("checkpoint"),
         F.col("features.x").alias("params"), "y", F.col("features.bucket").cast("array<int>").alias("buckets"),
+        *[F.col(c).cast("long") for c in keep],
     )
     tasks = matrices.unionByName(vectors).repartition(n_blocks * n_parts, "block", "part")
-    tasks = tasks.sortWithinPartitions("block", "part", "kind", "model", "checkpoint")
+    return tasks.sortWithinPartitions("block", "part", "kind", "model", "checkpoint")
+
+
+def _strips(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Deciders, np.ndarray, np.ndarray, pa.RecordBatch]]:
+    """The checkpoints of a block with strips of its rows: dense, their classes, and as they came."""
+    task, held, deciders = None, [], None
+    for batch in batches:
+        block, part, kind = (batch.column(n).to_numpy() for n in ("block", "part", "kind"))
+        params = batch.column("params")
+        values, ends = params.values.to_numpy(), params.offsets.to_numpy()
+        edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(part) != 0) | (np.diff(kind) != 0)) + 1
+        for low, high in zip(np.append(0, edges), np.append(edges, batch.num_rows)):
+            if (block[low], part[low]) != task:
+                task, held, deciders = (block[low], part[low]), [], None
+            if not kind[low]:
+                names = zip(batch.column("model")[low:high].to_pylist(), batch.column("checkpoint")[low:high].to_pylist())
+                held += [(*name, values[ends[i]:ends[i + 1]].copy()) for name, i in zip(names, range(low, high))]
+                continue
+            if deciders is None:
+                deciders, held = Deciders(held), []
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            buckets = batch.column("buckets")
+            slots, starts = buckets.values.to_numpy(), buckets.offsets.to_numpy()
+            for start in range(low, high, STRIP):
+                upto = min(start + STRIP, high)
+                x = np.zeros((upto - start, N_BUCKETS))
+                row = np.repeat(np.arange(upto - start), np.diff(ends[start:upto + 1]))
+                x[row, slots[starts[start]:starts[upto]]] = values[ends[start]:ends[upto]]
+                yield deciders, x, y[start:upto], batch.slice(start, upto - start)
+
 
+def checkpoint_counts(rows: DataFrame, models: DataFrame) -> DataFrame:
+    """``model, checkpoint, n, tp, fp, fn, tn`` of ``rows`` (``row_id, y, features``) under every row
+    of ``models`` (``model, checkpoint, params``)."""
     def multiply(batches):
-        task, held, deciders = None, [], None
-        for batch in batches:
-            block, part, kind = (batch.column(n).to_numpy() for n in ("block", "part", "kind"))
-            params = batch.column("params")
-            values, ends = params.values.to_numpy(), params.offsets.to_numpy()
-            edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(part) != 0) | (np.diff(kind) != 0)) + 1
-            for low, high in zip(np.append(0, edges), np.append(edges, batch.num_rows)):
-                if (block[low], part[low]) != task:
-                    if deciders:
-                        yield report(deciders)
-                    task, held, deciders = (block[low], part[low]), [], None
-                if not kind[low]:
-                    names = zip(batch.column("model")[low:high].to_pylist(), batch.column("checkpoint")[low:high].to_pylist())
-                    held += [(*name, values[ends[i]:ends[i + 1]].copy()) for name, i in zip(names, range(low, high))]
-                    continue
-                if deciders is None:
-                    deciders, held = Deciders(held), []
-                y = batch.column("y").to_numpy(zero_copy_only=False)
-                buckets = batch.column("buckets")
-                slots, starts = buckets.values.to_numpy(), buckets.offsets.to_numpy()
-                for start in range(low, high, STRIP):
-                    upto = min(start + STRIP, high)
-                    x = np.zeros((upto - start, N_BUCKETS))
-                    row = np.repeat(np.arange(upto - start), np.diff(ends[start:upto + 1]))
-                    x[row, slots[starts[start]:starts[upto]]] = values[ends[start]:ends[upto]]
-                    deciders.add(x, y[start:upto])
-        if deciders:
-            yield report(deciders)
+        counting = None
+        for deciders, x, y, _ in _strips(batches):
+            if counting is not None and counting is not deciders:
+                yield report(counting)
+            counting = deciders
+            deciders.add(x, y)
+        if counting is not None:
+            yield report(counting)
 
     def report(deciders):
         found = [(*name, *c) for name, c in zip(deciders.names, deciders.counts.tolist())]
@@ -126,5 +148,27 @@ def checkpoint_counts(rows: DataFrame, models: DataFrame) -> DataFrame:
             **{c: pa.array([f[2 + i] for f in found], type=pa.int64()) for i, c in enumerate(("tp", "fp", "fn", "tn"))},
         })
 
-    counted = tasks.mapInArrow(multiply, _COUNTS)
+    counted = _meetings(rows, models).mapInArrow(multiply, _COUNTS)
     return counted.groupBy("model", "checkpoint").agg(*[F.sum(c).alias(c) for c in ("n", "tp", "fp", "fn", "tn")])
+
+
+def checkpoint_decisions(rows: DataFrame, models: DataFrame, keep: Sequence[str] = ("row_id",)) -> DataFrame:
+    """``model, checkpoint, truth, prediction`` and the integer columns in ``keep`` of every one of
+    ``rows`` (``row_id, y, features``) under every row of ``models``."""
+    def decide(batches):
+        for deciders, x, y, came in _strips(batches):
+            n = len(deciders.names)
+            at = max(1, STRIP_DECISIONS // max(n, 1))
+            models = pa.array([m for m, _ in deciders.names], type=pa.string())
+            checkpoints = np.array([c for _, c in deciders.names], dtype=np.int64)
+            for low in range(0, len(x), at):
+                said = deciders.says(x[low:low + at])
+                row, decider = np.repeat(np.arange(low, low + len(said)), n), np.tile(np.arange(n), len(said))
+                yield pa.RecordBatch.from_arrays(
+                    [models.take(pa.array(decider)), pa.array(checkpoints[decider]), pa.array(y[row].astype(np.int32)),
+                     pa.array(said.ravel().astype(np.int32)), *[came.column(c).take(pa.array(row)) for c in keep]],
+                    names=["model", "checkpoint", "truth", "prediction", *keep],
+                )
+
+    kept = "".join(f", {c} long" for c in keep)
+    return _meetings(rows, models, keep).mapInArrow(decide, f"model string, checkpoint long, truth int, prediction int{kept}")

@@ -8,6 +8,7 @@ model, and ``logs<N>.csv`` the same for the model saved after batch N.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ CLUSTER_HEADER = {
 }
 TEST_HEADER = {"batch_no": "BatchNum", "prediction": "Prediction", "truth": "GroundTruth"}
 
+#: Batches of a test log that are written by one task, and test logs written at a time.
+PART_BATCHES, FILES_AT_ONCE = 1000, 16
+
 _INTEGERS = {"batch_no", "prediction", "truth"}
 
 
@@ -87,8 +91,15 @@ def export_csv_logs(
     if test is not None:
         # Written once by model and checkpoint; each file then reads its partition.
         path = work_dir(test.sparkSession, "test-log")
-        test.select("model", "checkpoint", *TEST_HEADER).write.partitionBy("model", "checkpoint").parquet(path)
+        placed = test.select("model", "checkpoint", *TEST_HEADER).repartition(
+            "model", "checkpoint", F.floor(F.col("batch_no") / PART_BATCHES)
+        )
+        placed.write.partitionBy("model", "checkpoint").parquet(path)
         test = test.sparkSession.read.parquet(path)
-        for model, number in test.select("model", "checkpoint").distinct().collect():
-            log = test.filter((F.col("model") == model) & (F.col("checkpoint") == number))
-            write_csv_log(log, f"{root}/{model}/TestLogs/logs{number or ''}.csv", TEST_HEADER)
+
+        def write(found):
+            log = test.filter((F.col("model") == found.model) & (F.col("checkpoint") == found.checkpoint))
+            write_csv_log(log, f"{root}/{found.model}/TestLogs/logs{found.checkpoint or ''}.csv", TEST_HEADER)
+
+        with ThreadPoolExecutor(FILES_AT_ONCE) as pool:
+            list(pool.map(write, test.select("model", "checkpoint").distinct().collect()))

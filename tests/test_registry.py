@@ -42,6 +42,19 @@ def test_query_equals_sql(spark, sql, name):
     assert expected and rows(made.columns, made.collect()) == expected
 
 
+def test_predictions_and_logs_are_of_every_checkpoint(spark, sql):
+    """Of the network row by row, and of the clusterer by file: more than two checkpoints here."""
+    made = entry.queries()["mlp_predict"](spark, MEDIUM)
+    result = sql.execute(entry.oracle_sql()["mlp_predict"])
+    columns = [c[0] for c in result.description]
+    assert rows(made.columns, made.collect()) == rows(columns, result.fetchall())
+    n_batches = sql.execute(f"SELECT max(batch_no) FROM ({entry.oracle_sql()['stream_train_log']})").fetchone()[0]
+    everyone = list(range(1, n_batches + 1))
+    assert n_batches > 3 and sorted(r.checkpoint for r in made.select("checkpoint").distinct().collect()) == everyone
+    logs = entry.queries()["checkpoint_number"](spark, MEDIUM).filter("model = 'Clustering'").collect()
+    assert sorted(r.checkpoint for r in logs) == everyone
+
+
 def test_every_statement_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
