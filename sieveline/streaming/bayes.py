@@ -25,7 +25,7 @@ from ..operators.metrics import accuracy_precision_recall, confusion_counts
 from ..operators.models import NAIVE_BAYES, score
 from ..sources.replay import Replay, payload_rows, payload_stream
 from .store import Store
-from .train import start
+from .train import BATCHES_PER_TRIGGER, start
 
 SLOTS = 2 + 2 * N_BUCKETS
 #: Slots of a key of the state.
@@ -88,7 +88,7 @@ def models_of(blocks: DataFrame) -> DataFrame:
 
 
 def stream_bayes(
-    spark: SparkSession, payload_dir: str, root: str, delay: int | None = None, batches_per_trigger: int = 64,
+    spark: SparkSession, payload_dir: str, root: str, delay: int | None = None, batches_per_trigger: int = BATCHES_PER_TRIGGER,
     options: FeatureOptions = FeatureOptions(),
 ) -> StreamingQuery | Replay:
     """Train Naive Bayes alone on a log of payloads, into the tables of a store.
@@ -104,7 +104,7 @@ def stream_bayes(
             first, last = made.agg(F.min("batch_no"), F.max("batch_no")).first()
             if first is None:
                 return
-            rows = featurize(payload_rows(spark, payload_dir).filter(F.col("batch_no").between(first, last)), options)
+            rows = featurize(payload_rows(spark, payload_dir, first, last), options)
             scored = score(rows.select("batch_no", "y", "features"), made, ["batch_no"], broadcast=False)
             store.write_train_log(accuracy_precision_recall(confusion_counts(scored, ["model", "batch_no"])), epoch_id)
             store.write_whole_models(made, epoch_id)

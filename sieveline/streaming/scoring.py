@@ -19,6 +19,7 @@ class Scorer:
 
     def __init__(self, store: Store, model_num: int = FINAL):
         self.store, self.model_num = store, model_num
+        self.logged, self.next_epoch = 0, -1
         states = store.load_states(model_num if model_num != FINAL else store.last_batch())
         if not states:
             raise ValueError(f"no models saved under number {model_num}")
@@ -33,13 +34,16 @@ class Scorer:
         sent = sorted(r.batch_no for r in rows.select("batch_no").distinct().collect())  # a trigger's batches
         if not sent:
             return
-        first = self.store.tested_before(self.model_num, epoch_id) + 1
+        if epoch_id != self.next_epoch:  # the first one, or one that comes again
+            self.logged = self.store.tested_before(self.model_num, epoch_id)
+        first = self.logged + 1
         number = F.create_map(*[F.lit(n).cast("long") for i, b in enumerate(sent) for n in (b, first + i)])
         asked = rows.select(
             F.lit(self.model_num).cast("long").alias("checkpoint"),
             F.element_at(number, F.col("batch_no")).alias("batch_no"), "row_in_batch", "y", "features",
         )
         self.store.write_test_log(score(asked, self.table, ["checkpoint"]), self.model_num, epoch_id)
+        self.logged, self.next_epoch = self.logged + len(sent), epoch_id + 1
 
 
 def stream_test(

@@ -9,7 +9,7 @@ from sieveline.operators.batching import batch_table
 from sieveline.operators.models import NAIVE_BAYES
 from sieveline.operators.payloads import encode_columnar
 from sieveline.session import work_dir
-from sieveline.sources.payload_log import LogReader, read_log, stream_log, write_log
+from sieveline.sources.payload_log import LogReader, read_batches, read_log, stream_log, write_log
 from sieveline.sources.replay import Replay
 from sieveline.sources.tables import labelled_messages
 from sieveline.streaming.bayes import stream_bayes
@@ -95,3 +95,13 @@ def test_progress_of_good_and_broken_queries(spark, lines):
     counts = {e: sum(r.event == e for r in rows) for e in ("started", "terminated")}
     assert counts == {"started": 2, "terminated": 2}
     assert [r.epoch_id for r in rows if r.event == "progress" and r.rows] == [0, 1, 2]
+
+
+def test_some_batches_are_read_by_row_groups(spark, lines):
+    """The same lines as a filter of the whole log gives, a task for each row group that has any."""
+    whole = {r.batch_no: r.payload for r in read_log(spark, lines).collect()}
+    for first, last in ((1, max(whole)), (2, 2), (2, 3), (max(whole), max(whole) + 5), (max(whole) + 1, max(whole) + 2)):
+        made = read_batches(spark, lines, first, last)
+        assert {r.batch_no: r.payload for r in made.collect()} == {b: p for b, p in whole.items() if first <= b <= last}
+        groups = spark.read.parquet(f"{lines}/index").filter(f"first_batch <= {last} and last_batch >= {first}").count()
+        assert not groups or made.rdd.getNumPartitions() == groups
