@@ -5,7 +5,10 @@ shard's ids run on from document to document, cut into chunks of a fixed number
 ids.  A chunk is turned into planes: plane ``b`` holds bit (or byte) ``b`` of all
 its ids in turn, and each plane is compressed with zstandard.  The chunk index says
 for every chunk where its ids start, how many there are, how long each plane is,
-and which documents end in it.
+which documents end in it, and how much of the first of them lies in chunks before.
+
+Reading back takes every chunk where it is stored.  What is moved are the checksums of
+the documents' parts, which are then joined by arithmetic; planes and ids stay.
 
 Defined results.  A null or empty text has the end id alone.  Rows come in order of
 ``doc_id`` (null first), text and repetition; rows with the same id are written one
@@ -37,19 +40,60 @@ END_ID = 2
 #: Ids of a chunk, and zstandard's level.
 CHUNK_IDS, LEVEL = 1 << 17, 3
 #: Encoded words a worker remembers, and bytes of text it looks up together.
-MEMORY, GROUP = 1_200_000, 1 << 19
+MEMORY, GROUP = 600_000, 1 << 19
 
 CHUNKS = (
     "shard int, chunk long, first long, n_ids long, plane_bits int, plane_bytes array<int>, planes binary, "
-    "doc_ids array<bigint>, doc_tokens array<bigint>"
+    "open_ids long, doc_ids array<bigint>, doc_tokens array<bigint>"
 )
 _CHUNKS = pa.schema([
     ("shard", pa.int32()), ("chunk", pa.int64()), ("first", pa.int64()), ("n_ids", pa.int64()),
     ("plane_bits", pa.int32()), ("plane_bytes", pa.list_(pa.int32())), ("planes", pa.binary()),
-    ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())),
+    ("open_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())),
+])
+#: A row for every chunk: the documents that end in it, where the first of them starts, and the
+#: checksums of their parts in the chunk, of which the first has ``n_first`` ids; the last is of the open end.
+PARTS = "shard int, chunk long, at long, n_first long, doc_ids array<bigint>, doc_tokens array<bigint>, crcs array<bigint>"
+_PARTS = pa.schema([
+    ("shard", pa.int32()), ("chunk", pa.int64()), ("at", pa.int64()), ("n_first", pa.int64()),
+    ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("crcs", pa.list_(pa.int64())),
 ])
 
 
+def _times(a: int, b: int) -> int:
+    """Product of two polynomials modulo the CRC-32 polynomial, highest bit the constant term."""
+    product = 0
+    while a:
+        if a & 1 << 31:
+            product ^= b
+        a = a << 1 & 0xFFFFFFFF
+        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return product
+
+
+#: x to the power of 8, 16, 32, ..: what one, two, four, .. further bytes multiply a checksum by.
+_FURTHER = [1 << 23]
+while len(_FURTHER) < 48:
+    _FURTHER.append(_times(_FURTHER[-1], _FURTHER[-1]))
+
+
+def joined_crc32(first: int, second: int, n_bytes: int) -> int:
+    """The CRC-32 of two byte strings in turn from those of each; the second has ``n_bytes``."""
+    for bit, power in enumerate(_FURTHER[:n_bytes.bit_length()] if first else ()):
+        if n_bytes >> bit & 1:
+            first = _times(power, first)
+    return first ^ second
+
+
+def _turned(column: np.ndarray) -> np.ndarray:
+    """Bytes in groups of eight, each a square of bits, with rows and columns exchanged."""
+    x = column.view("<u8")
+    for by, mask in ((7, 0x00AA00AA00AA00AA), (14, 0x0000CCCC0000CCCC), (28, 0x00000000F0F0F0F0)):
+        t = (x ^ (x >> np.uint64(by))) & np.uint64(mask)
+        x = x ^ t ^ (t << np.uint64(by))
+    return x.view(np.uint8).reshape(-1, 8)
+
+
 def pack(ids: np.ndarray, plane_bits: int = 1) -> list[bytes]:
     """Compressed planes of unsigned 32-bit ids, lowest first; planes above the
     largest id are left out."""
@@ -69,13 +113,17 @@ def pack(ids: np.ndarray, plane_bits: int = 1) -> list[bytes]:
 
 def unpack(planes: list[bytes], n_ids: int, plane_bits: int = 1) -> np.ndarray:
     decompress = zstandard.ZstdDecompressor().decompress
+    read = [np.frombuffer(decompress(plane), dtype=np.uint8) for plane in planes]
     raw = np.zeros((n_ids, 4), dtype=np.uint8)
-    for i, plane in enumerate(planes):
-        data = np.frombuffer(decompress(plane), dtype=np.uint8)
-        if plane_bits == 8:
-            raw[:, i] = data
-        else:
-            raw[:, i // 8] |= np.unpackbits(data, count=n_ids, bitorder="little") << (i % 8)
+    if plane_bits == 8:
+        for byte, data in enumerate(read):
+            raw[:, byte] = data
+    else:
+        for byte in range(-(-len(read) // 8)):
+            turned = np.zeros((-(-n_ids // 8), 8), dtype=np.uint8)
+            for bit, data in enumerate(read[8 * byte:8 * byte + 8]):
+                turned[:, bit] = data
+            raw[:, byte] = _turned(turned.reshape(-1)).reshape(-1)[:n_ids]
     return raw.reshape(-1).view("<u4")
 
 
@@ -148,7 +196,7 @@ _LETTERS = re.compile("[a-z]+|[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 #: How byte-level vocabularies write bytes that are no printable Latin-1 characters:
 #: by the characters from U+0100 on, in order.
 _BYTE_CHARACTERS = {b: 0x100 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
-_STOP = re.compile(rb"([A-Za-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
+_STOP = re.compile(rb"[.,](?<=[A-Za-z][.,])(?=[\x20\x09-\x0D]|\Z)")  # the stop comes first, as few characters are one
 
 
 def plain_words(raw: bytes) -> list[bytes]:
@@ -159,7 +207,7 @@ def plain_words(raw: bytes) -> list[bytes]:
     The vocabulary composes letters with their marks before it lowers them, and some
     letters compose in lower case alone, so words with other characters stay as they
     are."""
-    words = _STOP.sub(rb"\1 \2", raw)
+    words = _STOP.sub(rb" \g<0>", raw)
     if b"<|" in raw:
         return words.split()
     if raw.isascii():
@@ -197,13 +245,14 @@ def write_store(
         encoder = _encoder(tokenizer)
         shard = _partition()
         held, n_held, ended, chunk, first = [], 0, [], 0, 0
+        behind = 0  # ids of the documents that ended in earlier chunks
 
         def flush(ids):
             planes = pack(ids, plane_bits)
             return pa.RecordBatch.from_pylist([{
                 "shard": shard, "chunk": chunk, "first": first, "n_ids": len(ids), "plane_bits": plane_bits,
                 "plane_bytes": [len(p) for p in planes], "planes": b"".join(planes),
-                "doc_ids": [d for d, _ in ended], "doc_tokens": [n for _, n in ended],
+                "open_ids": first - behind, "doc_ids": [d for d, _ in ended], "doc_tokens": [n for _, n in ended],
             }], schema=_CHUNKS)
 
         end = np.array([end_id], dtype="<u4")
@@ -219,6 +268,7 @@ def write_store(
                         ended.append((doc_id, n_tokens))
                     yield flush(run[:chunk_ids])
                     held, n_held = [run[chunk_ids:]], n_held - chunk_ids
+                    behind += sum(n for _, n in ended)
                     ended, chunk, first = [], chunk + 1, first + chunk_ids
                     if done:
                         break
@@ -240,40 +290,53 @@ def _partition() -> int:
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document in a store.
 
-    Shards are read in order, a chunk at a time; only the open end of a document is
-    carried from one chunk to the next.
+    Every chunk is unpacked alone and gives the checksums of the parts of documents in
+    it; these come together by shard, in order, and only the checksum of a document's
+    open end is carried from one chunk to the next.
     """
     stored = spark.read.schema(CHUNKS).parquet(path)
     totals = stored.groupBy("shard").agg(F.sum("n_ids").alias("ids"))  # one row per shard
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
 
+    def parts(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                cuts = np.cumsum([0, *row["plane_bytes"]])
+                planes = [row["planes"][a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+                ids = unpack(planes, row["n_ids"], row["plane_bits"])
+                ends = np.cumsum(row["doc_tokens"], dtype=np.int64) - row["open_ids"]
+                crcs = [zlib.crc32(part.tobytes()) for part in np.split(ids, ends)]
+                yield pa.RecordBatch.from_pylist([{
+                    "shard": row["shard"], "chunk": row["chunk"], "at": row["first"] - row["open_ids"],
+                    "doc_ids": row["doc_ids"], "doc_tokens": row["doc_tokens"], "crcs": crcs,
+                    "n_first": int(ends[0]) if len(ends) else row["n_ids"],
+                }], schema=_PARTS)
+        release()
+
     def documents(batches):
-        shard, crc, open_ids, at = None, 0, 0, 0
+        shard, crc = None, 0
         for batch in batches:
             out = {"shard": [], "doc_id": [], "at": [], "n_tokens": [], "ids_crc32": []}
             for row in batch.to_pylist():
                 if row["shard"] != shard:
-                    shard, crc, open_ids, at = row["shard"], 0, 0, 0
-                cuts = np.cumsum([0, *row["plane_bytes"]])
-                planes = [row["planes"][a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-                ids = unpack(planes, row["n_ids"], row["plane_bits"])
-                used = 0
-                for doc_id, n_tokens in zip(row["doc_ids"], row["doc_tokens"]):
-                    rest = n_tokens - open_ids
+                    shard, crc = row["shard"], 0
+                crcs, at = row["crcs"], row["at"]
+                crcs[0] = joined_crc32(crc, crcs[0], 4 * row["n_first"])
+                for doc_id, n_tokens, own in zip(row["doc_ids"], row["doc_tokens"], crcs):
                     out["shard"].append(shard)
                     out["doc_id"].append(doc_id)
                     out["at"].append(at)
                     out["n_tokens"].append(n_tokens)
-                    out["ids_crc32"].append(zlib.crc32(ids[used:used + rest].tobytes(), crc))
-                    used, at, crc, open_ids = used + rest, at + n_tokens, 0, 0
-                if used < len(ids):
-                    crc, open_ids = zlib.crc32(ids[used:].tobytes(), crc), open_ids + len(ids) - used
+                    out["ids_crc32"].append(own)
+                    at += n_tokens
+                crc = crcs[-1]
             yield pa.RecordBatch.from_pydict(out, schema=layout)
 
     layout = pa.schema([(n, pa.int32() if n == "shard" else pa.int64()) for n in (
         "shard", "doc_id", "at", "n_tokens", "ids_crc32")])
-    rows = stored.repartition("shard").sortWithinPartitions("shard", "chunk")
+    rows = stored.mapInArrow(parts, PARTS).repartition("shard").sortWithinPartitions("shard", "chunk")
     read = rows.mapInArrow(documents, "shard int, doc_id long, at long, n_tokens long, ids_crc32 long")
     return read.join(bases, "shard").select(
         "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"

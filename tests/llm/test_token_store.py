@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -31,6 +32,12 @@ def test_planes_round_trip(ids, plane_bits):
     assert (T.unpack(T.pack(ids, plane_bits), len(ids), plane_bits) == ids).all()
 
 
+def test_planes_hold_the_bits_of_eight_ids_in_a_byte():
+    ids = np.random.RandomState(0).randint(0, 49_408, 1003).astype("<u4")
+    planes = [zstandard.ZstdDecompressor().decompress(p) for p in T.pack(ids)]
+    assert planes == [np.packbits(ids >> bit & 1, bitorder="little").tobytes() for bit in range(16)]
+
+
 def test_planes_are_as_many_as_bits():
     assert len(T.pack(np.array([5, 1], dtype="<u4"))) == 3 and len(T.pack(np.array([300], dtype="<u4"), 8)) == 2
     assert T.pack(np.zeros(4, dtype="<u4")) == [] and (T.unpack([], 4) == 0).all()
@@ -43,6 +50,12 @@ def test_word_by_word_is_the_whole_text(text):
     assert next(encoder.encode([text.encode()])).tolist() == ids_of(text)
 
 
+def test_stops_between_a_letter_and_a_blank_stand_alone():
+    assert T.plain_words(b"a. b, c.d e., 1. f.\tg,\nH. .i x,") == [
+        b"a", b".", b"b", b",", b"c.d", b"e.,", b"1.", b"f", b".", b"g", b",", b"h", b".", b".i", b"x", b","
+    ]
+
+
 @pytest.mark.parametrize("pair", ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"])
 def test_letters_that_compose_in_lower_case_alone(pair):
     encoder = T.WordEncoder(PATH)
@@ -70,6 +83,18 @@ def test_store(rows_of, chunk_ids, plane_bits):
     assert sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in made) == sorted((s, d, n, c) for d, s, n, c in expected)
 
 
+@pytest.mark.parametrize("first, second", [(b"", b""), (b"", b"ab"), (b"ab", b""), (b"one", b"two" * 999), (b"\0" * 70_000, b"\0" * 131_072)])
+def test_joined_checksums(first, second):
+    assert T.joined_crc32(zlib.crc32(first), zlib.crc32(second), len(second)) == zlib.crc32(first + second)
+
+
+def test_planes_are_not_moved_when_read_back(rows_of):
+    made = T.store_and_read(rows_of([(i, "some words here") for i in range(30)]), PATH, 16)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    moved = next(line for line in plan.splitlines() if "RepartitionByExpression [shard" in line)
+    assert "MapInArrow parts" in plan[plan.index(moved):].splitlines()[1]
+
+
 def test_null_ids_come_first_and_empty_table(rows_of):
     made = T.store_and_read(rows_of([(3, "b"), (None, "a")]), PATH).orderBy("start").collect()
     assert [(r.doc_id, r.start) for r in made] == [(None, 0), (3, 2)]
