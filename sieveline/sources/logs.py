@@ -7,14 +7,15 @@ model, and ``logs<N>.csv`` the same for the model saved after batch N.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.models import ALL_MODELS, CLUSTERING
-from ..session import work_dir
 
 # Header names of the log files.
 TRAIN_HEADER = {"batch_no": "BatchNum", "accuracy": "Accuracy", "precision": "Precision", "recall": "Recall"}
@@ -24,7 +25,7 @@ CLUSTER_HEADER = {
 }
 TEST_HEADER = {"batch_no": "BatchNum", "prediction": "Prediction", "truth": "GroundTruth"}
 
-#: Batches of a test log that are written by one task, and test logs written at a time.
+#: Batches of a test log that are written by one task, and test logs put in place at a time.
 PART_BATCHES, FILES_AT_ONCE = 1000, 16
 
 _INTEGERS = {"batch_no", "prediction", "truth"}
@@ -40,35 +41,39 @@ def _model_of(path: Column) -> Column:
     return F.url_decode(F.regexp_extract(path, r"([^/]+)/(?:Train|Test)Logs/", 1))
 
 
-def _read(spark: SparkSession, paths: Sequence[str], header: dict[str, str], models: Sequence[str]) -> DataFrame:
+def _read(
+    spark: SparkSession, paths: Sequence[str], header: dict[str, str], models: Sequence[str], **told: Column
+) -> DataFrame:
+    """The lines of logs with their ``model`` and what else is ``told`` by the name of their
+    ``file``, which is looked at once and not for every line."""
     schema = ", ".join(f"{c} {'int' if c in _INTEGERS else 'double'}" for c in header)
-    path = F.col("_metadata.file_path")
-    return (
-        spark.read.schema(schema).csv(list(paths), header=True, enforceSchema=True)
-        .select("*", path.alias("file"), _model_of(path).alias("model"))
-        .filter(F.col("model").isin(list(models)))
+    file, path = F.col("file"), F.col("_metadata.file_path").alias("file")
+    # Grouped, since a condition on an expression of the file would be carried over to the lines.
+    files = spark.read.format("binaryFile").load(list(paths)).select(path).groupBy("file").agg(
+        *[F.first(c).alias(n) for n, c in {"model": _model_of(file), **told}.items()]
     )
+    lines = spark.read.schema(schema).csv(list(paths), header=True, enforceSchema=True).select("*", path)
+    return lines.join(F.broadcast(files.filter(F.col("model").isin(list(models)))), "file").drop("file")
 
 
 def read_train_logs(spark: SparkSession, root: str, models: Sequence[str]) -> DataFrame:
     """Training logs of the named classifiers; folders of other names are passed over."""
-    return _read(spark, [f"{root}/*/TrainLogs/logs.csv"], TRAIN_HEADER, models).drop("file")
+    return _read(spark, [f"{root}/*/TrainLogs/logs.csv"], TRAIN_HEADER, models)
 
 
 def read_cluster_log(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, [f"{root}/{CLUSTERING}/TrainLogs/logs.csv"], CLUSTER_HEADER, [CLUSTERING]).drop("file")
+    return _read(spark, [f"{root}/{CLUSTERING}/TrainLogs/logs.csv"], CLUSTER_HEADER, [CLUSTERING])
 
 
 def read_test_logs(
     spark: SparkSession, root: str, last: int, models: Sequence[str] = ALL_MODELS
 ) -> DataFrame:
     """Test logs of every checkpoint: ``model, checkpoint, batch_no, prediction, truth, is_final``."""
-    logs = _read(spark, [f"{root}/*/TestLogs/logs*.csv"], TEST_HEADER, models)
-    return logs.select(
-        "model", checkpoint_number(F.col("file"), last).alias("checkpoint"),
-        "batch_no", "prediction", "truth",
-        F.regexp_like("file", F.lit(r"logs\.csv")).alias("is_final"),
+    logs = _read(
+        spark, [f"{root}/*/TestLogs/logs*.csv"], TEST_HEADER, models, checkpoint=checkpoint_number(F.col("file"), last),
+        is_final=F.regexp_like("file", F.lit(r"logs\.csv")),
     )
+    return logs.select("model", "checkpoint", "batch_no", "prediction", "truth", "is_final")
 
 
 def write_csv_log(log: DataFrame, path: str, header: dict[str, str]) -> None:
@@ -89,17 +94,29 @@ def export_csv_logs(
     if clusters is not None:
         write_csv_log(clusters, f"{root}/{CLUSTERING}/TrainLogs/logs.csv", CLUSTER_HEADER)
     if test is not None:
-        # Written once by model and checkpoint; each file then reads its partition.
-        path = work_dir(test.sparkSession, "test-log")
-        placed = test.select("model", "checkpoint", *TEST_HEADER).repartition(
-            "model", "checkpoint", F.floor(F.col("batch_no") / PART_BATCHES)
-        )
-        placed.write.partitionBy("model", "checkpoint").parquet(path)
-        test = test.sparkSession.read.parquet(path)
-
-        def write(found):
-            log = test.filter((F.col("model") == found.model) & (F.col("checkpoint") == found.checkpoint))
-            write_csv_log(log, f"{root}/{found.model}/TestLogs/logs{found.checkpoint or ''}.csv", TEST_HEADER)
-
-        with ThreadPoolExecutor(FILES_AT_ONCE) as pool:
-            list(pool.map(write, test.select("model", "checkpoint").distinct().collect()))
+        _export_test_logs(root, test)
+
+
+def _export_test_logs(root: str, test: DataFrame) -> None:
+    """All test logs in one pass, a folder each, which then takes its place."""
+    spark = test.sparkSession
+    staged = f"{root}/_test-logs-{uuid.uuid4().hex}"
+    kept = test.filter(F.col("model").isNotNull() & F.col("checkpoint").isNotNull())
+    placed = kept.repartition("model", "checkpoint", F.floor(F.col("batch_no") / PART_BATCHES))
+    (placed.select("model", "checkpoint", *[F.col(c).alias(h) for c, h in TEST_HEADER.items()])
+     .write.partitionBy("model", "checkpoint").csv(staged, header=True))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f.getPath() for m in store.listStatus(path(staged)) if m.isDirectory() for f in store.listStatus(m.getPath())]
+
+    def put(folder):
+        model, checkpoint = (unquote(f.getName().split("=", 1)[1]) for f in (folder.getParent(), folder))
+        to = path(f"{root}/{model}/TestLogs/logs{checkpoint if checkpoint != '0' else ''}.csv")
+        store.mkdirs(to.getParent())
+        store.delete(to, True)
+        if not store.rename(folder, to):
+            raise OSError(f"{to} could not be written")
+
+    with ThreadPoolExecutor(FILES_AT_ONCE) as pool:
+        list(pool.map(put, folders))
+    store.delete(path(staged), True)

@@ -91,6 +91,34 @@ def test_written_logs_read_back(spark, folder):
     assert back == {(7, True, 1), (20, False, 0)}
 
 
+def test_many_test_logs_are_written_in_one_pass(spark, tmp_path, monkeypatch):
+    """No write for every log; what stood in the place of a log is gone, and nothing else is left over."""
+    root, names = str(tmp_path), ("Odd = name, 50%", NAIVE_BAYES)
+    rows = [(m, c, b, (b + c) % 2, b % 2) for m in names for c in range(30) for b in (1, 1, 2, 1500)]
+    test = spark.createDataFrame(rows + [(None, 3, 1, 0, 0)], "model string, checkpoint long, batch_no long, prediction int, truth int")
+    monkeypatch.setattr(logs, "write_csv_log", lambda *_: pytest.fail("a write for one log"))
+    logs.export_csv_logs(root, test=spark.createDataFrame([(NAIVE_BAYES, 7, 9, 9, 9)], test.schema))
+    logs.export_csv_logs(root, test=test)
+    read = logs.read_test_logs(spark, root, last=99, models=names)
+    assert sorted((r.model, r.checkpoint, r.batch_no, r.prediction, r.truth) for r in read.collect()) == sorted(
+        (m, c or 99, *rest) for m, c, *rest in rows
+    )
+    assert {r.checkpoint for r in read.filter("is_final").collect()} == {99}
+    assert {p.name for p in tmp_path.iterdir()} == set(names)
+    logs.export_csv_logs(root, test=test.limit(0))
+    assert read.count() == len(rows)
+
+
+def test_file_names_are_not_taken_apart_for_every_line(spark, folder):
+    plan = logs.read_test_logs(spark, folder, last=303)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below_join = next(i for i, line in enumerate(plan) if "Join" in line)
+    scanned = next(i for i, line in enumerate(plan) if line.rstrip().endswith("csv"))
+    assert scanned > below_join
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    own = [line for line in plan[below_join + 1:scanned] if depth(line) <= depth(plan[scanned])]
+    assert not [line for line in plan[:below_join] + own if "regexp" in line.lower() or "rlike" in line.lower()]
+
+
 def test_batch_report(spark):
     counts = spark.createDataFrame(
         [(PERCEPTRON, 1, 4, 1, 1, 0, 2, 0.75, 0.5, 1.0)],
