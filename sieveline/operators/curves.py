@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import N_BUCKETS
 from .models import CLUSTERING, HIDDEN_UNITS, MLP, NAIVE_BAYES, TIE
@@ -60,13 +61,17 @@ class Deciders:
         self.output = params[:, HIDDEN_UNITS * _UNIT:]
         self.counts = np.zeros((len(self.names), 4), dtype=np.int64)
 
-    def says(self, x: np.ndarray) -> np.ndarray:
-        """Whether every checkpoint puts some dense rows into class 1."""
+    def decisions(self, x: np.ndarray) -> np.ndarray:
+        """The decision value of some dense rows under every checkpoint."""
         decided = x @ self.weights + self.bias
         if len(self.output):
             h = np.tanh(x @ self.hidden + self.hidden_bias).reshape(len(x), -1, HIDDEN_UNITS)
             decided = np.hstack([decided, (h * self.output[:, 1:]).sum(axis=2) + self.output[:, 0]])
-        return decided > TIE
+        return decided
+
+    def says(self, x: np.ndarray) -> np.ndarray:
+        """Whether every checkpoint puts some dense rows into class 1."""
+        return self.decisions(x) > TIE
 
     def add(self, x: np.ndarray, y: np.ndarray) -> None:
         """Count what every checkpoint makes of some dense rows."""
@@ -75,28 +80,33 @@ class Deciders:
         self.counts += np.stack([p.sum(axis=0) for p in pairs], axis=1)
 
 
-def _meetings(rows: DataFrame, models: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Every block of rows with every block of checkpoints, models first, in a partition."""
+def _meetings(
+    rows: DataFrame, models: DataFrame, keep: Sequence[str] = (), block_bytes: int | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Every block of rows with every block of checkpoints, models first, in a partition, and the
+    names of the models."""
     n_rows = rows.count()
-    n_checkpoints = models.select("checkpoint").distinct().count()
-    per_checkpoint = models.groupBy("checkpoint").agg(F.sum(F.size("params")).alias("n")).agg(F.max("n")).first()[0] or 1
-    n_blocks = max(1, -(-n_checkpoints * per_checkpoint * 8 // BLOCK_BYTES))
+    sizes = models.groupBy("checkpoint").agg(F.sum(F.size("params")).alias("n"), F.array_sort(F.collect_set("model")).alias("names"))
+    n_checkpoints, per_checkpoint, names = sizes.agg(
+        F.count("*"), F.max("n"), F.array_distinct(F.flatten(F.collect_set("names")))
+    ).first()
+    n_blocks = max(1, min(n_checkpoints, -(-n_checkpoints * (per_checkpoint or 1) * 8 // (block_bytes or BLOCK_BYTES))))
     n_parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n_rows // BLOCK_ROWS))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    dealt = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
     matrices = models.select(
-        dealt("checkpoint", n_blocks).alias("block"), each(n_parts).alias("part"), F.lit(0).alias("kind"), "model",
+        dealt(n_blocks, "checkpoint").alias("block"), each(n_parts).alias("part"), F.lit(0).alias("kind"), "model",
         "checkpoint", "params", F.lit(None).cast("int").alias("y"), F.lit(None).cast("array<int>").alias("buckets"),
-        *[F.lit(None).cast("long").alias(c) for c in keep],
+        *[F.lit(None).cast(rows.schema[c].dataType).alias(f"kept_{c}") for c in keep],
     )
     vectors = rows.select(
-        each(n_blocks).alias("block"), dealt("row_id", n_parts).alias("part"), F.lit(1).alias("kind"),
+        each(n_blocks).alias("block"), dealt(n_parts, *(keep or ["row_id"])).alias("part"), F.lit(1).alias("kind"),
         F.lit(None).cast("string").alias("model"), F.lit(None).cast("long").alias("checkpoint"),
-        F.col("features.x").alias("params"), "y", F.col("features.bucket").cast("array<int>").alias("buckets"),
-        *[F.col(c).cast("long") for c in keep],
+        F.col("features.x").alias("params"), F.col("y").cast("int"), F.col("features.bucket").cast("array<int>").alias("buckets"),
+        *[F.col(c).alias(f"kept_{c}") for c in keep],
     )
     tasks = matrices.unionByName(vectors).repartition(n_blocks * n_parts, "block", "part")
-    return tasks.sortWithinPartitions("block", "part", "kind", "model", "checkpoint")
+    return tasks.sortWithinPartitions("block", "part", "kind", "model", "checkpoint"), names or []
 
 
 def _strips(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Deciders, np.ndarray, np.ndarray, pa.RecordBatch]]:
@@ -148,27 +158,48 @@ def checkpoint_counts(rows: DataFrame, models: DataFrame) -> DataFrame:
             **{c: pa.array([f[2 + i] for f in found], type=pa.int64()) for i, c in enumerate(("tp", "fp", "fn", "tn"))},
         })
 
-    counted = _meetings(rows, models).mapInArrow(multiply, _COUNTS)
+    counted = _meetings(rows, models)[0].mapInArrow(multiply, _COUNTS)
     return counted.groupBy("model", "checkpoint").agg(*[F.sum(c).alias(c) for c in ("n", "tp", "fp", "fn", "tn")])
 
 
 def checkpoint_decisions(rows: DataFrame, models: DataFrame, keep: Sequence[str] = ("row_id",)) -> DataFrame:
     """``model, checkpoint, truth, prediction`` and the integer columns in ``keep`` of every one of
     ``rows`` (``row_id, y, features``) under every row of ``models``."""
+    return every_decision(rows.withColumns({c: F.col(c).cast("long") for c in keep}), models, keep)
+
+
+def every_decision(
+    rows: DataFrame, models: DataFrame, keep: Sequence[str], values: bool = False, block_bytes: int | None = None
+) -> DataFrame:
+    """``model, checkpoint, truth, prediction`` and the columns in ``keep`` of every one of ``rows``
+    (``y, features``) under every row of ``models``, with ``values`` the ``decision`` too."""
+    tasks, names = _meetings(rows, models, keep, block_bytes)
+    code = {name: i for i, name in enumerate(names)}
+
     def decide(batches):
-        for deciders, x, y, came in _strips(batches):
+        for deciders, x, _, came in _strips(batches):
             n = len(deciders.names)
             at = max(1, STRIP_DECISIONS // max(n, 1))
-            models = pa.array([m for m, _ in deciders.names], type=pa.string())
+            codes = np.array([code[m] for m, _ in deciders.names], dtype=np.int32)
             checkpoints = np.array([c for _, c in deciders.names], dtype=np.int64)
             for low in range(0, len(x), at):
-                said = deciders.says(x[low:low + at])
-                row, decider = np.repeat(np.arange(low, low + len(said)), n), np.tile(np.arange(n), len(said))
+                decided = deciders.decisions(x[low:low + at])
+                row = pa.array(np.repeat(np.arange(low, low + len(decided)), n))
                 yield pa.RecordBatch.from_arrays(
-                    [models.take(pa.array(decider)), pa.array(checkpoints[decider]), pa.array(y[row].astype(np.int32)),
-                     pa.array(said.ravel().astype(np.int32)), *[came.column(c).take(pa.array(row)) for c in keep]],
-                    names=["model", "checkpoint", "truth", "prediction", *keep],
+                    [pa.array(np.tile(codes, len(decided))), pa.array(np.tile(checkpoints, len(decided))), came.column("y").take(row),
+                     pa.array((decided > TIE).ravel().astype(np.int32)), *([pa.array(decided.ravel())] if values else []),
+                     *[came.column(f"kept_{c}").take(row) for c in keep]],
+                    names=layout.names,
                 )
 
-    kept = "".join(f", {c} long" for c in keep)
-    return _meetings(rows, models, keep).mapInArrow(decide, f"model string, checkpoint long, truth int, prediction int{kept}")
+    # Names are put in by number, so a decision leaves its task without text.
+    layout = T.StructType([
+        T.StructField("code", T.IntegerType()), T.StructField("checkpoint", T.LongType()), T.StructField("truth", T.IntegerType()),
+        T.StructField("prediction", T.IntegerType()), *([T.StructField("decision", T.DoubleType())] if values else []),
+        *[T.StructField(f"kept_{c}", rows.schema[c].dataType) for c in keep],
+    ])
+    name = F.element_at(F.array(*[F.lit(m) for m in names]).cast("array<string>"), F.col("code") + 1)
+    made = tasks.mapInArrow(decide, layout)
+    return made.select(
+        name.alias("model"), "checkpoint", "truth", "prediction", *(["decision"] if values else []), *[F.col(f"kept_{c}").alias(c) for c in keep]
+    )

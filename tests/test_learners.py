@@ -420,6 +420,29 @@ def test_counts_by_blocks_equal_counts_of_scores(spark, monkeypatch, block_bytes
     assert C.checkpoint_counts(ided.limit(0), models).count() == 0
 
 
+def test_checkpoints_are_scored_by_products(spark, monkeypatch):
+    """The values of the expressions in every kind of model, without one in the plan, whatever the rows hold."""
+    rows = messages(60)
+    df = frame(spark, rows).withColumn("y", F.when(F.col("row_in_batch") != 3, F.col("y"))).withColumn("note", F.lit("a"))
+    learnt = {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON, MLP)}
+    learnt[CLUSTERING] = ModelState(kmeans.initial_model(df.filter("batch_no = 1")))
+    sums = batch_updates(frame(spark, rows))
+    after = {b: {**s, NAIVE_BAYES: ModelState(sums[b])} for b, s in fit_batches(frame(spark, rows), learnt, sorted(sums), 2).items()}
+    table = [(m, b, s.params.tolist()) for b in after for m, s in after[b].items()]
+    models = spark.createDataFrame(table, "model string, batch_no long, params array<double>")
+    asked = [b for b in after if b != 2]
+    listed = df.crossJoin(spark.createDataFrame([(b,) for b in asked], "checkpoint long"))
+    told = score(listed, models.withColumnRenamed("batch_no", "checkpoint"), ["checkpoint"])
+    monkeypatch.setattr(M, "score", lambda *_, **__: pytest.fail("row by row"))
+    made = score_checkpoints(df, models, asked)
+    assert made.columns == told.columns and "note" in made.columns
+    key = lambda r: (r.model, r.checkpoint, r.batch_no, r.row_in_batch)
+    made, told = sorted(made.collect(), key=key), sorted(told.collect(), key=key)
+    assert [(*key(r), r.note, r.truth, r.prediction) for r in made] == [(*key(r), r.note, r.truth, r.prediction) for r in told]
+    assert [r.decision for r in made] == pytest.approx([r.decision for r in told], abs=1e-9)
+    assert len({r.model for r in made}) == 5 and any(r.truth is None for r in made)
+
+
 # Metrics
 
 
