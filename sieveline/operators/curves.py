@@ -203,3 +203,54 @@ def every_decision(
     return made.select(
         name.alias("model"), "checkpoint", "truth", "prediction", *(["decision"] if values else []), *[F.col(f"kept_{c}").alias(c) for c in keep]
     )
+
+
+def decisions_by_key(rows: DataFrame, models: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Every row (``y, features``) with ``decision`` and ``prediction`` under every model that shares its
+    ``on`` columns, ``y`` renamed to ``truth``.  The models are few: the driver sends them to all tasks."""
+    table = models.select(*on, "model", "params").toArrow()
+    keys = list(zip(*(table[c].to_pylist() for c in on)))
+    own: dict[tuple, list] = {}
+    for key, model, params in zip(keys, table["model"].to_pylist(), table["params"]):
+        if None not in key:
+            own.setdefault(key, []).append((model, 0, params.values.to_numpy()))
+    sent = rows.sparkSession.sparkContext.broadcast(own)
+    others = [c for c in rows.columns if c not in (*on, "features")]
+
+    def decide(batches):
+        at, deciders = None, None
+        for batch in batches:
+            places: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in on))):
+                places.setdefault(key, []).append(i)
+            for key in sorted(k for k in places if k in sent.value):
+                if key != at:
+                    at, deciders = key, Deciders(sent.value[key])
+                n = len(deciders.names)
+                for low in range(0, len(places[key]), STRIP):
+                    part = batch.take(pa.array(places[key][low:low + STRIP]))
+                    decided = deciders.decisions(_dense(part.column("features"))).ravel()
+                    empty = np.repeat(part.column("features").is_null().to_numpy(zero_copy_only=False), n)
+                    row = pa.array(np.repeat(np.arange(part.num_rows), n))
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(c).take(row) for c in (*on, *others)),
+                         pa.array([m for m, _ in deciders.names], type=pa.string()).take(pa.array(np.tile(np.arange(n), part.num_rows))),
+                         pa.array(decided, mask=empty), pa.array((decided > TIE).astype(np.int32), mask=empty)],
+                        names=layout.names,
+                    )
+
+    named = lambda c: "truth" if c == "y" else c
+    layout = T.StructType([
+        *[T.StructField(named(c), rows.schema[c].dataType) for c in (*on, *others)], T.StructField("model", T.StringType()),
+        T.StructField("decision", T.DoubleType()), T.StructField("prediction", T.IntegerType()),
+    ])
+    return rows.mapInArrow(decide, layout)
+
+
+def _dense(features: pa.Array) -> np.ndarray:
+    """Sparse vectors as rows."""
+    slots, values = (features.flatten().field(n).to_numpy(zero_copy_only=False) for n in ("bucket", "x"))
+    sizes = np.nan_to_num(features.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    x = np.zeros((len(features), N_BUCKETS))
+    x[np.repeat(np.arange(len(features)), sizes), slots] = values
+    return x

@@ -432,7 +432,8 @@ def test_checkpoints_are_scored_by_products(spark, monkeypatch):
     models = spark.createDataFrame(table, "model string, batch_no long, params array<double>")
     asked = [b for b in after if b != 2]
     listed = df.crossJoin(spark.createDataFrame([(b,) for b in asked], "checkpoint long"))
-    told = score(listed, models.withColumnRenamed("batch_no", "checkpoint"), ["checkpoint"])
+    renamed = models.withColumnRenamed("batch_no", "checkpoint")
+    told = score(listed, renamed, ["checkpoint"], broadcast=False)
     monkeypatch.setattr(M, "score", lambda *_, **__: pytest.fail("row by row"))
     made = score_checkpoints(df, models, asked)
     assert made.columns == told.columns and "note" in made.columns
@@ -443,6 +444,27 @@ def test_checkpoints_are_scored_by_products(spark, monkeypatch):
     assert len({r.model for r in made}) == 5 and any(r.truth is None for r in made)
 
 
+def test_sent_models_score_by_products(spark):
+    """Few models are sent as matrices, to the values of the join; rows without a key find none."""
+    rows = messages(40)
+    df = frame(spark, rows).withColumn("tag", F.lit("t")).withColumn("x", F.col("features"))
+    df = df.unionByName(df.limit(3).withColumn("batch_no", F.lit(None).cast("long"))).unionByName(
+        df.limit(2).withColumn("features", F.lit(None).cast(df.schema["features"].dataType))
+    )
+    learnt = {m: initial_state(m) for m in (LOGISTIC, PERCEPTRON, MLP)}
+    after = fit_batches(frame(spark, rows), learnt, sorted({r[0] for r in rows}), 2)
+    table = [(m, b, s.params.tolist()) for b in after for m, s in after[b].items()] + [(LOGISTIC, None, [0.0] * (1 + N_BUCKETS))]
+    models = spark.createDataFrame(table, "model string, batch_no long, params array<double>")
+    made, told = score(df, models, ["batch_no"]), score(df, models, ["batch_no"], broadcast=False)
+    assert "hidden" not in made._jdf.queryExecution().optimizedPlan().toString() and made.columns == told.columns
+    key = lambda r: (r.model, r.batch_no, r.row_in_batch, r.decision is None, r.tag, r.truth)
+    made, told = sorted(made.collect(), key=key), sorted(told.collect(), key=key)
+    assert [(*key(r), r.prediction, r.x) for r in made] == [(*key(r), r.prediction, r.x) for r in told] and None in {r.decision for r in made}
+    assert [r.decision for r in made if r.x and r.decision is not None] == pytest.approx(
+        [r.decision for r in told if r.x and r.decision is not None], abs=1e-9
+    )
+
+
 # Metrics
 
 
